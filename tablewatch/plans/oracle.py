@@ -157,3 +157,205 @@ def _profile_rows_sql():
 
 
 ORACLE["profile_orders_columns"] = _profile_rows_sql()
+
+
+# ------------------------------------------------------------------ suggestions
+
+_RULE_TEXT = {
+    "complete": ("CompleteIfCompleteRule()",
+                 "If a column is complete in the sample, we suggest a NOT NULL constraint"),
+    "retain_completeness": ("RetainCompletenessRule()",
+                            "If a column is incomplete in the sample, we model its completeness as a binomial "
+                            "variable, estimate a confidence interval and use this to define a lower bound for "
+                            "the completeness"),
+    "retain_type": ("RetainTypeRule()", "If we detect a non-string type, we suggest a type constraint"),
+    "categorical": ("CategoricalRangeRule()",
+                    "If we see a categorical range for a column, we suggest an IS IN (...) constraint"),
+    "fractional_categorical": ("FractionalCategoricalRangeRule(0.9)",
+                               "If we see a categorical range for most values in a column, we suggest an "
+                               "IS IN (...) constraint that should hold for most values"),
+    "non_negative": ("NonNegativeNumbersRule()",
+                     "If we see only non-negative numbers in a column, we suggest a corresponding constraint"),
+}
+
+
+def _lower(p, n):
+    return f"(floor(100.0 * ({p} - 1.96 * sqrt({p} * (1.0 - {p}) / {n}))) / 100.0)"
+
+
+def _suggest_sql(src: str, tbl: str, cols) -> str:
+    """cols: (name, kind) with kind in int / frac / str / other."""
+    prof = []
+    hist = []
+    for c, kind in cols:
+        if kind in ("int", "frac"):
+            dt = "'Integral'" if kind == "int" else "'Fractional'"
+            prof.append(f"SELECT '{c}' AS col, {dt} AS data_type, FALSE AS is_inferred, count(*) AS n_rows, "
+                        f"CAST(count({c}) AS DOUBLE) / count(*) AS completeness, 'numeric' AS profile_kind, "
+                        f"min(CAST({c} AS DOUBLE)) AS minimum, count(DISTINCT {c}) AS nd FROM {src}")
+        elif kind == "str":
+            k = _class(c)
+            dt = _infer("ni", "nf", "nb", "ns")
+            prof.append(
+                f"SELECT '{c}' AS col, {dt} AS data_type, TRUE AS is_inferred, n_rows, completeness, "
+                f"CASE WHEN {dt} IN ('Integral', 'Fractional') THEN 'numeric' WHEN {dt} = 'String' THEN 'string' "
+                f"ELSE 'standard' END AS profile_kind, "
+                f"CASE WHEN {dt} IN ('Integral', 'Fractional') THEN mn END AS minimum, nd FROM ("
+                f"SELECT count(*) AS n_rows, CAST(count({c}) AS DOUBLE) / count(*) AS completeness, "
+                f"min(TRY_CAST({c} AS DOUBLE)) AS mn, count(DISTINCT {c}) AS nd, "
+                f"count(*) FILTER (WHERE {k} = 'Integral') AS ni, count(*) FILTER (WHERE {k} = 'Fractional') AS nf, "
+                f"count(*) FILTER (WHERE {k} = 'Boolean') AS nb, count(*) FILTER (WHERE {k} = 'String') AS ns "
+                f"FROM {src}) x")
+            hist.append(f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value, count(*) AS cnt FROM {src} "
+                        f"WHERE {c} IS NOT NULL GROUP BY {c}")
+        else:
+            prof.append(f"SELECT '{c}' AS col, 'Unknown' AS data_type, FALSE AS is_inferred, count(*) AS n_rows, "
+                        f"CAST(count({c}) AS DOUBLE) / count(*) AS completeness, 'standard' AS profile_kind, "
+                        f"CAST(NULL AS DOUBLE) AS minimum, count(DISTINCT {c}) AS nd FROM {src}")
+    prof_sql = "\nUNION ALL\n".join(prof)
+    hist_sql = "\nUNION ALL\n".join(hist) if hist else \
+        "SELECT CAST(NULL AS VARCHAR) AS col, CAST(NULL AS VARCHAR) AS value, 0 AS cnt WHERE FALSE"
+    dq = "'\"' || replace(replace(value, '\\', '\\\\'), '\"', '\\\"') || '\"'"
+    sq = "'''' || value || ''''"
+    t = lambda r: (f"'{_RULE_TEXT[r][0]}' AS suggesting_rule, '{_RULE_TEXT[r][1]}' AS rule_description")  # noqa
+    r2 = _lower("completeness", "n_rows")
+    p5 = "(CAST(top_cnt AS DOUBLE) / n_rows)"
+    r5 = _lower(p5, "n_rows")
+    return f"""
+WITH prof AS (
+{prof_sql}
+), hist AS (
+SELECT h.col, h.value, h.cnt, p.n_rows FROM ({hist_sql}) h JOIN prof p ON h.col = p.col
+WHERE p.data_type = 'String' AND p.nd <= 120
+), ranked AS (
+SELECT *, coalesce(sum(cnt) OVER (PARTITION BY col ORDER BY cnt DESC, value ASC
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_before
+FROM hist
+), cat AS (
+SELECT col, count(*) AS bins, sum(CASE WHEN cnt = 1 THEN 1 ELSE 0 END) AS singles, any_value(n_rows) AS n_rows,
+       string_agg({dq}, ', ' ORDER BY cnt DESC, value ASC) AS all_dq,
+       string_agg({sq}, ', ' ORDER BY cnt DESC, value ASC) AS all_sq,
+       string_agg({dq}, ', ' ORDER BY cnt DESC, value ASC) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_dq,
+       string_agg({sq}, ', ' ORDER BY cnt DESC, value ASC) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_sq,
+       sum(cnt) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_cnt,
+       count(*) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_size
+FROM ranked GROUP BY col
+), s AS (
+SELECT 'CompletenessConstraint(Completeness(' || col || '))' AS constraint_name, col AS column_name,
+       'Completeness: ' || printf('%.4f', completeness) AS current_value, '''' || col || ''' is not null' AS description,
+       {t('complete')}, '.isComplete("' || col || '")' AS code_for_constraint, 'is_complete' AS kind, 1.0 AS threshold
+FROM prof WHERE completeness = 1.0
+UNION ALL
+SELECT 'CompletenessConstraint(Completeness(' || col || '))', col,
+       'Completeness: ' || printf('%.4f', completeness),
+       '''' || col || ''' has completeness of at least ' || printf('%.2f', {r2}),
+       {t('retain_completeness')},
+       '.hasCompleteness("' || col || '", lambda x: x >= ' || printf('%.2f', {r2}) || ', hint="It should be above '
+         || printf('%.2f', {r2}) || '!")', 'has_completeness', {r2}
+FROM prof WHERE completeness > 0.2 AND completeness < 1.0
+UNION ALL
+SELECT 'DataTypeConstraint(' || col || ',' || data_type || ')', col, 'DataType: ' || data_type,
+       '''' || col || ''' has type ' || data_type, {t('retain_type')},
+       '.hasDataType("' || col || '", ConstrainableDataTypes.' || data_type || ')', 'has_data_type', 1.0
+FROM prof WHERE is_inferred AND data_type IN ('Integral', 'Fractional', 'Boolean')
+UNION ALL
+SELECT 'ContainedInConstraint(' || col || ')', col, 'Compliance: 1', '''' || col || ''' has value range ' || all_sq,
+       {t('categorical')}, '.isContainedIn("' || col || '", [' || all_dq || '])', 'is_contained_in', 1.0
+FROM cat WHERE CAST(singles AS DOUBLE) / bins <= 0.1
+UNION ALL
+SELECT 'ContainedInConstraint(' || col || ')', col, 'Compliance: ' || printf('%.4f', {p5}),
+       '''' || col || ''' has value range ' || top_sq || ' for at least ' || printf('%.2f', {r5}) || ' of values',
+       {t('fractional_categorical')},
+       '.isContainedIn("' || col || '", [' || top_dq || '], lambda x: x >= ' || printf('%.2f', {r5})
+         || ', hint="It should be above ' || printf('%.2f', {r5}) || '!")', 'is_contained_in', {r5}
+FROM cat WHERE CAST(singles AS DOUBLE) / bins <= 0.4 AND top_cnt >= 0.9 * n_rows AND top_size < bins
+UNION ALL
+SELECT 'NonNegativeConstraint(' || col || ')', col, 'Minimum: ' || printf('%.4f', minimum),
+       '''' || col || ''' has no negative values', {t('non_negative')}, '.isNonNegative("' || col || '")',
+       'is_non_negative', 1.0
+FROM prof WHERE profile_kind = 'numeric' AND minimum >= 0
+)
+SELECT '{tbl}' AS tbl, constraint_name, column_name, current_value, description, suggesting_rule,
+       rule_description, code_for_constraint, kind, round(CAST(threshold AS DOUBLE), 6) AS threshold FROM s
+"""
+
+
+_ORDERS_S = [("o_orderkey", "int"), ("o_custkey", "int"), ("o_orderstatus", "str"), ("o_totalprice", "frac"),
+             ("o_orderdate", "other"), ("o_orderpriority", "str")]
+_EVENTS_S = [("event_id", "int"), ("ts", "other"), ("user_id", "int"), ("event_type", "str"),
+             ("value", "frac"), ("props", "str")]
+ORACLE["suggest_rules"] = ("SELECT * FROM (" + _suggest_sql("orders", "orders", _ORDERS_S) + ") a\nUNION ALL\n"
+                           + "SELECT * FROM (" + _suggest_sql(f"{HOLES} h", "events", _EVENTS_S) + ") b")
+_CATEGORY = ("(SELECT CASE WHEN event_id % 20 = 0 THEN 'rare_' || CAST(user_id % 10 AS VARCHAR) "
+             "ELSE event_type END AS category FROM events) c")
+ORACLE["suggest_fractional_categories"] = (
+    "SELECT * FROM (" + _suggest_sql(_CATEGORY, "events_category", [("category", "str")])
+    + ") q WHERE suggesting_rule LIKE 'Fractional%'")
+
+
+# ------------------------------------------------------------------ verification
+
+def _rule_value_sql(rule, src):
+    c = rule.column_name
+    k = rule.kind
+    if k in ("is_complete", "has_completeness"):
+        return f"CAST(count({c}) AS DOUBLE) / count(*)"
+    if k == "is_contained_in":
+        vals = ", ".join("'" + v.replace("'", "''") + "'" for v in rule.values)
+        return f"avg(CASE WHEN {c} IS NULL OR CAST({c} AS VARCHAR) IN ({vals}) THEN 1.0 ELSE 0.0 END)"
+    if k == "is_non_negative":
+        return f"avg(CASE WHEN coalesce(CAST({c} AS DOUBLE), 0.0) >= 0 THEN 1.0 ELSE 0.0 END)"
+    if k == "satisfies":
+        return f"avg(CASE WHEN ({rule.predicate}) THEN 1.0 ELSE 0.0 END)"
+    if k == "has_data_type":
+        want = {"Fractional": "('Integral', 'Fractional')", "Numeric": "('Integral', 'Fractional')"}.get(
+            rule.dtype, f"('{rule.dtype}')")
+        return (f"CAST(sum(CASE WHEN ({_class(f'CAST({c} AS VARCHAR)')}) IN {want} THEN 1 ELSE 0 END) AS DOUBLE) "
+                f"/ count({c})")
+    if k == "is_unique":
+        return (f"(SELECT CAST(count(*) FILTER (WHERE cnt = 1) AS DOUBLE) / sum(cnt) FROM "
+                f"(SELECT {c}, count(*) AS cnt FROM {src} WHERE {c} IS NOT NULL GROUP BY {c}) g)")
+    raise ValueError(k)
+
+
+def _verify_sql(check, src, rules, cols=("check", "check_level", "check_status", "constraint", "constraint_status",
+                                          "constraint_message", "value", "status_value")):
+    parts = [f"SELECT '{check}' AS chk, '{r.constraint_name}' AS cons, {_rule_value_sql(r, src)} AS v, "
+             f"{float(r.threshold if r.threshold is not None else 1.0)} AS thr, count(*) AS n FROM {src}"
+             for r in rules]
+    body = "\nUNION ALL\n".join(parts)
+    ok = "coalesce(v >= thr, FALSE)"
+    exprs = {
+        "check": "chk AS \"check\"",
+        "check_level": "'Warning' AS check_level",
+        "check_status": f"CASE WHEN bool_and({ok}) OVER (PARTITION BY chk) THEN 'Success' ELSE 'Warning' END "
+                        f"AS check_status",
+        "constraint": "cons AS \"constraint\"",
+        "constraint_status": f"CASE WHEN {ok} THEN 'Success' ELSE 'Failure' END AS constraint_status",
+        "constraint_message": f"CASE WHEN n = 0 THEN 'no rows' WHEN {ok} THEN '' ELSE 'Value: ' || "
+                              f"coalesce(printf('%.4f', v), 'NULL') || ' does not meet the constraint requirement!' "
+                              f"END AS constraint_message",
+        "value": "round(v, 6) AS value",
+        "status_value": f"CASE WHEN {ok} THEN 1 ELSE 0 END AS status_value",
+    }
+    return f"SELECT {', '.join(exprs[c] for c in cols)} FROM (\n{body}\n) r"
+
+
+def _verify_oracles():
+    from .queries import EVENT_CHECK_RULES, ORDER_CHECK_RULES
+    from ..operators.verify import Rule
+    ORACLE["verify_rules"] = (_verify_sql("events_check", f"{HOLES} h", EVENT_CHECK_RULES) + "\nUNION ALL\n"
+                              + _verify_sql("orders_check", "orders", ORDER_CHECK_RULES))
+    short = ("check", "check_status", "constraint", "constraint_status", "constraint_message", "value")
+    ORACLE["verify_unique"] = _verify_sql("orders_unique", "orders", [
+        Rule("orderkey_unique", "o_orderkey", "is_unique"), Rule("custkey_unique", "o_custkey", "is_unique"),
+        Rule("status_unique", "o_orderstatus", "is_unique")], short)
+    ORACLE["verify_datatype"] = _verify_sql("text_types", f"{TEXTS} t", [
+        Rule("user_text_integral", "user_text", "has_data_type", dtype="Integral"),
+        Rule("price_text_fractional", "price_text", "has_data_type", dtype="Fractional"),
+        Rule("flag_text_boolean", "flag_text", "has_data_type", dtype="Boolean"),
+        Rule("mixed_text_integral", "mixed_text", "has_data_type", dtype="Integral"),
+        Rule("props_text_integral", "props_text", "has_data_type", dtype="Integral")], short)
+
+
+_verify_oracles()
