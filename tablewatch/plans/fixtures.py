@@ -61,3 +61,111 @@ SELECT event_id,
        props AS props_text
 FROM events
 """
+
+
+# ------------------------------------------------------------------ rules from part
+
+def part_rules(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Rule rows derived from ``part``: ``new`` (p_size <= 30) are fresh suggestions,
+    ``old`` (p_size >= 20) the existing rule table, ``ranked`` the whole table with
+    frequency = p_size.  column_name is NULL on every 5th part key."""
+    p = read_table(spark, sf_dir, "part")
+    name = F.concat(F.lit("rule_"), F.col("p_partkey").cast("string"))
+    colname = F.when(F.col("p_partkey") % 5 == 0, F.lit(None)).otherwise(F.col("p_type"))
+    code = F.concat(F.lit('.isComplete("'), F.col("p_name"), F.lit('")'))
+    if kind == "new":
+        return p.where(F.col("p_size") <= 30).select(
+            name.alias("constraint_name"), colname.alias("column_name"),
+            F.concat(F.lit("Size: "), F.col("p_size").cast("string")).alias("current_value"),
+            F.col("p_name").alias("description"),
+            F.concat(F.lit("R"), (F.col("p_size") % 6).cast("string")).alias("suggesting_rule"),
+            F.col("p_brand").alias("rule_description"), code.alias("code_for_constraint"))
+    if kind == "old":
+        return p.where(F.col("p_size") >= 20).select(
+            name.alias("constraint_name"), colname.alias("column_name"), F.lit("old").alias("current_value"),
+            F.concat(F.lit("old "), F.col("p_name")).alias("description"), F.lit("old").alias("suggesting_rule"),
+            F.lit("old").alias("rule_description"), code.alias("code_for_constraint"),
+            F.when(F.col("p_size") % 7 == 0, F.lit("high")).otherwise(F.lit("low")).alias("level"),
+            (F.col("p_size") % 5 + 1).cast("int").alias("frequency"), (F.col("p_size") % 2).cast("int").alias("active"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("created_at"),
+            F.lit("2024-01-15 00:00:00").cast("timestamp").alias("updated_at"),
+            F.lit(None).cast("string").alias("kind"), F.lit(None).cast("array<string>").alias("values"),
+            F.lit(None).cast("double").alias("threshold"), F.lit(None).cast("string").alias("dtype"))
+    return p.select(
+        name.alias("constraint_name"), F.col("p_type").alias("column_name"), code.alias("code_for_constraint"),
+        F.when(F.col("p_partkey") % 13 == 0, F.lit("high")).when(F.col("p_partkey") % 17 == 0, F.lit(None))
+        .otherwise(F.lit("low")).alias("level"),
+        F.col("p_size").cast("int").alias("frequency"))
+
+
+PART_NEW_SQL = """
+SELECT 'rule_' || CAST(p_partkey AS VARCHAR) AS constraint_name,
+       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_type END AS column_name,
+       'Size: ' || CAST(p_size AS VARCHAR) AS current_value, p_name AS description,
+       'R' || CAST(p_size % 6 AS VARCHAR) AS suggesting_rule, p_brand AS rule_description,
+       '.isComplete("' || p_name || '")' AS code_for_constraint
+FROM part WHERE p_size <= 30
+"""
+PART_OLD_SQL = """
+SELECT 'rule_' || CAST(p_partkey AS VARCHAR) AS constraint_name,
+       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_type END AS column_name,
+       'old' AS current_value, 'old ' || p_name AS description, 'old' AS suggesting_rule, 'old' AS rule_description,
+       '.isComplete("' || p_name || '")' AS code_for_constraint,
+       CASE WHEN p_size % 7 = 0 THEN 'high' ELSE 'low' END AS level,
+       CAST(p_size % 5 + 1 AS INTEGER) AS frequency, CAST(p_size % 2 AS INTEGER) AS active,
+       TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-15 00:00:00' AS updated_at
+FROM part WHERE p_size >= 20
+"""
+PART_RANKED_SQL = """
+SELECT 'rule_' || CAST(p_partkey AS VARCHAR) AS constraint_name, p_type AS column_name,
+       '.isComplete("' || p_name || '")' AS code_for_constraint,
+       CASE WHEN p_partkey % 13 = 0 THEN 'high' WHEN p_partkey % 17 = 0 THEN NULL ELSE 'low' END AS level,
+       CAST(p_size AS INTEGER) AS frequency
+FROM part
+"""
+
+
+# ------------------------------------------------------------------ metric history from events
+
+def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as pushed metric rows: job from user_id, table from event_type,
+    metric name from event_id, value from value (Completeness scaled into [0, 1])."""
+    ev = events(spark, sf_dir)
+    k = F.col("event_id") % 5
+    name = (F.when(k == 0, "Completeness").when(k == 1, "Maximum").when(k == 2, "MaxLength")
+            .when(k == 3, "ApproxCountDistinct").otherwise("Size"))
+    return ev.select(
+        F.concat(F.lit("job_"), (F.col("user_id") % 3).cast("string")).alias("job"),
+        F.col("event_type").alias("table"),
+        F.when(k == 4, F.lit("Dataset")).otherwise(F.lit("Column")).alias("entity"),
+        F.when(k == 4, F.lit("*")).otherwise(F.concat(F.lit("col_"), (F.col("user_id") % 10).cast("string")))
+        .alias("instance"),
+        name.alias("name"), "ts",
+        F.when(k == 0, F.col("value") / 500).otherwise(F.col("value")).alias("value"))
+
+
+METRIC_HISTORY_SQL = """
+SELECT 'job_' || CAST(user_id % 3 AS VARCHAR) AS job, event_type AS "table",
+       CASE WHEN event_id % 5 = 4 THEN 'Dataset' ELSE 'Column' END AS entity,
+       CASE WHEN event_id % 5 = 4 THEN '*' ELSE 'col_' || CAST(user_id % 10 AS VARCHAR) END AS instance,
+       CASE event_id % 5 WHEN 0 THEN 'Completeness' WHEN 1 THEN 'Maximum' WHEN 2 THEN 'MaxLength'
+                         WHEN 3 THEN 'ApproxCountDistinct' ELSE 'Size' END AS name,
+       ts,
+       CASE WHEN event_id % 5 = 0 THEN value / 500 ELSE value END AS value
+FROM events
+"""
+
+
+def verification_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as verification results over time."""
+    ev = events(spark, sf_dir)
+    return ev.select(F.concat(F.lit("c_"), (F.col("user_id") % 20).cast("string")).alias("constraint"),
+                     F.when(F.col("value") > 100, F.lit("Failure")).otherwise(F.lit("Success"))
+                     .alias("constraint_status"), "ts", "value")
+
+
+VERIFICATION_HISTORY_SQL = """
+SELECT 'c_' || CAST(user_id % 20 AS VARCHAR) AS "constraint",
+       CASE WHEN value > 100 THEN 'Failure' ELSE 'Success' END AS constraint_status, ts, value
+FROM events
+"""

@@ -359,3 +359,213 @@ def _verify_oracles():
 
 
 _verify_oracles()
+
+
+# ------------------------------------------------------------------ rule lifecycle
+
+from .fixtures import (METRIC_HISTORY_SQL, PART_NEW_SQL, PART_OLD_SQL, PART_RANKED_SQL,  # noqa: E402
+                       VERIFICATION_HISTORY_SQL)
+
+_KEYS = ("constraint_name", "column_name", "code_for_constraint")
+_ON = " AND ".join(f"n.{k} IS NOT DISTINCT FROM o.{k}" for k in _KEYS)
+_PICK = ", ".join(f"CASE WHEN n.constraint_name IS NOT NULL THEN n.{k} ELSE o.{k} END AS {k}" for k in _KEYS)
+
+ORACLE["merge_rules"] = f"""
+WITH n AS (SELECT *, 'low' AS level, 1 AS frequency, 0 AS active, TIMESTAMP '2024-02-01 00:00:00' AS created_at
+           FROM ({PART_NEW_SQL}) x),
+     o AS ({PART_OLD_SQL})
+SELECT {_PICK},
+       coalesce(n.current_value, o.current_value) AS current_value,
+       coalesce(n.description, o.description) AS description,
+       coalesce(n.suggesting_rule, o.suggesting_rule) AS suggesting_rule,
+       coalesce(n.rule_description, o.rule_description) AS rule_description,
+       coalesce(o.level, n.level) AS level,
+       CAST(CASE WHEN o.constraint_name IS NOT NULL AND n.constraint_name IS NOT NULL THEN o.frequency + 1
+                 WHEN o.constraint_name IS NOT NULL THEN o.frequency ELSE 1 END AS INTEGER) AS frequency,
+       CAST(coalesce(o.active, 0) AS INTEGER) AS active,
+       CASE WHEN o.created_at IS NOT NULL THEN o.created_at ELSE n.created_at END AS created_at,
+       TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+FROM n FULL OUTER JOIN o ON {_ON}
+"""
+
+ORACLE["activate_rules"] = f"""
+WITH r AS ({PART_RANKED_SQL}),
+nh AS (SELECT *, row_number() OVER (ORDER BY frequency DESC NULLS LAST, constraint_name ASC NULLS FIRST,
+                                             column_name ASC NULLS FIRST, code_for_constraint ASC NULLS FIRST) AS rn,
+              count(*) OVER () AS cnt
+       FROM r WHERE level IS DISTINCT FROM 'high')
+SELECT constraint_name, level, frequency, 1 AS active FROM r WHERE level = 'high'
+UNION ALL
+SELECT constraint_name, level, frequency, CASE WHEN rn <= floor(cnt * 0.8) THEN 1 ELSE 0 END AS active FROM nh
+"""
+
+ORACLE["top_rules"] = f"""
+SELECT constraint_name, frequency FROM ({PART_RANKED_SQL}) r
+ORDER BY frequency DESC, constraint_name, column_name, code_for_constraint LIMIT 50
+"""
+
+ORACLE["rest_except_all"] = """
+SELECT o_orderstatus, o_orderpriority FROM orders
+EXCEPT ALL
+SELECT o_orderstatus, o_orderpriority FROM orders WHERE o_totalprice > 200000
+"""
+
+ORACLE["publish_rules"] = f"""
+WITH n AS ({PART_NEW_SQL}), o AS ({PART_OLD_SQL})
+SELECT {_PICK},
+       CAST(CASE WHEN n.constraint_name IS NOT NULL AND o.constraint_name IS NOT NULL THEN 2 ELSE 1 END AS INTEGER)
+         AS frequency,
+       'low' AS level, CAST(0 AS INTEGER) AS active
+FROM n FULL OUTER JOIN o ON {_ON}
+"""
+
+
+# ------------------------------------------------------------------ metric history
+
+HIST = f"(\n{METRIC_HISTORY_SQL}\n)"
+_SER = 'job, "table", entity, instance, name'
+
+ORACLE["history_latest"] = (f"SELECT {_SER}, max(ts) AS ts, round(arg_max(value, ts), 6) AS value "
+                            f"FROM {HIST} h GROUP BY {_SER}")
+
+ORACLE["history_fresh"] = f"""
+WITH h AS (SELECT * FROM {HIST} x WHERE ts > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 200 HOUR
+                                    AND ts <= TIMESTAMP '2024-01-30 12:00:00'),
+p AS (SELECT job, "table", max(ts) AS ts FROM h GROUP BY job, "table"),
+f AS (SELECT job, "table" FROM p WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'),
+s AS (SELECT * FROM h WHERE name = 'Size' AND regexp_full_match(entity, 'Data.*')
+        AND EXISTS (SELECT 1 FROM f WHERE f.job = h.job AND f."table" = h."table"))
+SELECT job, "table", round(arg_max(value, ts), 6) AS value FROM s GROUP BY job, "table"
+"""
+
+ORACLE["history_null_pct"] = (f"SELECT \"table\", instance, round(1.0 - arg_max(value, ts), 6) AS null_pct "
+                              f"FROM {HIST} h WHERE name = 'Completeness' GROUP BY \"table\", instance")
+ORACLE["history_max_null"] = (f"SELECT \"table\", round(max(null_pct), 6) AS max_null_pct FROM ("
+                              f"SELECT \"table\", instance, 1.0 - arg_max(value, ts) AS null_pct "
+                              f"FROM {HIST} h WHERE name = 'Completeness' GROUP BY \"table\", instance) x "
+                              f"GROUP BY \"table\"")
+ORACLE["history_column_counts"] = f"""
+SELECT "table",
+       count(DISTINCT CASE WHEN name = 'Completeness' THEN instance END) AS n_columns,
+       count(DISTINCT CASE WHEN name = 'Maximum' THEN instance END) AS n_numeric,
+       count(DISTINCT CASE WHEN name = 'MaxLength' THEN instance END) AS n_string
+FROM {HIST} h GROUP BY "table"
+"""
+_WIDE = ["Completeness", "Maximum", "MaxLength", "ApproxCountDistinct"]
+ORACLE["history_wide"] = (
+    "SELECT \"table\", instance, "
+    + ", ".join(f"round(max(CASE WHEN name = '{m}' THEN v END), 6) AS {m}" for m in _WIDE)
+    + f" FROM (SELECT \"table\", instance, name, arg_max(value, ts) AS v FROM {HIST} h "
+    + "WHERE name IN (" + ", ".join(f"'{m}'" for m in _WIDE) + ") GROUP BY \"table\", instance, name) x "
+    + "GROUP BY \"table\", instance")
+ORACLE["history_tables"] = f"SELECT DISTINCT \"table\" FROM {HIST} h"
+
+ORACLE["verification_latest"] = (
+    f"SELECT \"constraint\", arg_max(constraint_status, ts) AS constraint_status, max(ts) AS ts, "
+    f"round(arg_max(value, ts), 6) AS value FROM ({VERIFICATION_HISTORY_SQL}) v GROUP BY \"constraint\"")
+
+ORACLE["attribution_share"] = """
+WITH a AS (SELECT 'model_' || CAST(user_id % 4 AS VARCHAR) AS "table", event_type AS instance,
+                  avg(abs(value)) AS value FROM events GROUP BY 1, 2)
+SELECT "table", instance, round(value / sum(value) OVER (PARTITION BY "table"), 6) AS share FROM a
+"""
+
+ORACLE["alert_hold"] = f"""
+WITH r AS (
+  SELECT job, "table", name, ts, value > 60 AS b,
+         row_number() OVER (PARTITION BY job, "table", name ORDER BY ts) AS rn,
+         sum(CASE WHEN value > 60 THEN 1 ELSE 0 END) OVER (PARTITION BY job, "table", name ORDER BY ts
+                                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rb
+  FROM {HIST} h),
+i AS (SELECT job, "table", name, min(ts) AS start, max(ts) AS "end", count(*) AS n
+      FROM r WHERE b GROUP BY job, "table", name, rn - rb)
+SELECT job, "table", name, start, "end", n, round((epoch_us("end") - epoch_us(start)) / 1e6, 6) AS held_seconds
+FROM i WHERE (epoch_us("end") - epoch_us(start)) / 1e6 >= 21600
+"""
+
+ORACLE["alert_absent"] = f"""
+SELECT DISTINCT job, "table", instance, name FROM {HIST} h
+WHERE ts >= TIMESTAMP '2024-01-29 00:00:00' AND ts < TIMESTAMP '2024-01-30 00:00:00'
+EXCEPT
+SELECT job, "table", instance, name FROM {HIST} h
+WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
+"""
+
+ORACLE["metric_rate"] = f"""
+SELECT job, "table", name, ts, round(rate, 9) AS rate FROM (
+  SELECT job, "table", name, ts, lag(ts) OVER w AS pts,
+         (value - lag(value) OVER w) / nullif((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1e6, 0) AS rate
+  FROM {HIST} h WINDOW w AS (PARTITION BY job, "table", name ORDER BY ts)) x
+WHERE pts IS NOT NULL
+"""
+
+
+def _esc(c):
+    return f"replace(replace(replace({c}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n')"
+
+
+ORACLE["exposition_text"] = f"""
+WITH l AS (SELECT job, "table" || '"\\' AS "table", entity, instance, name, arg_max(value, ts) AS value
+           FROM {HIST} h GROUP BY job, "table", entity, instance, name)
+SELECT regexp_replace('dq.' || job, '[^a-zA-Z0-9_]', '_', 'g') || '{{table="' || {_esc('"table"')}
+       || '",entity="' || {_esc('entity')} || '",instance="' || {_esc('instance')}
+       || '",name="' || {_esc('name')} || '"}} ' || printf('%.6f', value) AS line
+FROM l
+"""
+
+
+# ------------------------------------------------------------------ ingestion / conformance
+
+ORACLE["conform_cast"] = r"""
+SELECT l_orderkey,
+       TRY_CAST(CASE WHEN l_linenumber = 7 THEN 'bad' ELSE CAST(l_quantity AS VARCHAR) END AS DOUBLE) AS l_quantity,
+       string_split(regexp_replace('[' || l_returnflag || ',' || l_linestatus || ']', '[\[\]]', '', 'g'), ',') AS tags,
+       CAST(2 AS INTEGER) AS n_tags, CAST(NULL AS INTEGER) AS l_missing, CAST(l_linenumber AS VARCHAR) AS extra,
+       TIMESTAMP '2024-02-01 00:00:00' AS processing_time
+FROM lineitem
+"""
+ORACLE["csv_round_trip"] = ("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_shipdate "
+                            "FROM lineitem")
+ORACLE["parse_json_props"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
+ORACLE["flatten_json"] = """
+SELECT event_id, 'a_b_k' AS name, CAST(json_extract(props, '$.k') AS DOUBLE) AS value FROM events
+UNION ALL SELECT event_id, 's_0__n', CAST(user_id AS DOUBLE) FROM events
+UNION ALL SELECT event_id, 's_1_', CAST(event_id % 10 AS DOUBLE) FROM events
+"""
+ORACLE["table_from_path"] = r"""
+SELECT event_id,
+       regexp_replace(split_part(regexp_extract(p, '[^/]*$'), '.', 1), '_\d{8}_\d{4}-\d{4}$', '') AS tbl
+FROM (SELECT event_id, '/data/in/' || event_type || '_' || strftime(ts, '%Y%m%d') || '_0000-0100.csv' AS p
+      FROM events) x
+"""
+ORACLE["format_ts"] = ("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_str, "
+                       "strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS ts_local FROM events")
+ORACLE["write_stats"] = """
+WITH s AS (SELECT l_returnflag AS partition_path, CAST(l_linenumber AS BIGINT) AS num_inserts,
+                  CAST(trunc(l_quantity) AS BIGINT) AS num_writes,
+                  CAST(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS num_deletes,
+                  CAST(trunc(l_extendedprice) AS BIGINT) AS file_size FROM lineitem),
+p AS (SELECT partition_path, sum(num_inserts) AS a, sum(num_writes) AS b, sum(num_deletes) AS c,
+             sum(file_size) AS d FROM s GROUP BY partition_path),
+t AS (SELECT sum(num_inserts) AS a, sum(num_writes) AS b, sum(file_size) AS d FROM s),
+m AS (
+  SELECT 'WriteStat' AS type, partition_path AS "column", 'numInserts' AS metric, CAST(a AS DOUBLE) AS value FROM p
+  UNION ALL SELECT 'WriteStat', partition_path, 'numWrites', CAST(b AS DOUBLE) FROM p
+  UNION ALL SELECT 'WriteStat', partition_path, 'numDeletes', CAST(c AS DOUBLE) FROM p
+  UNION ALL SELECT 'WriteStat', partition_path, 'fileSizeInBytes', CAST(d AS DOUBLE) FROM p
+  UNION ALL SELECT 'CommitSummary', NULL, 'totalInserts', CAST(a AS DOUBLE) FROM t
+  UNION ALL SELECT 'CommitSummary', NULL, 'totalUpdates', 0.0 FROM t
+  UNION ALL SELECT 'CommitSummary', NULL, 'totalRecordsWritten', CAST(b AS DOUBLE) FROM t
+  UNION ALL SELECT 'CommitSummary', NULL, 'totalBytesWritten', CAST(d AS DOUBLE) FROM t)
+SELECT type, "column", metric, value, CAST(CAST(value AS BIGINT) AS VARCHAR) AS value_str FROM m
+UNION ALL SELECT 'CommitSummary', NULL, 'operationType', NULL, 'insert'
+"""
+
+
+def _metric_tables_sql():
+    base = _profile_sql(f"{DAY} s", EVENTS_COLS)
+    return (f"SELECT entity, instance, name, CAST(2 AS BIGINT) AS n, value, '2024-02-01 00:00:00' AS timestamp_str "
+            f"FROM ({base}) q")
+
+
+ORACLE["metric_tables"] = _metric_tables_sql()

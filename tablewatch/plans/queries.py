@@ -258,3 +258,289 @@ def verify_datatype(spark, sf_dir):
              V.Rule("props_text_integral", "props_text", "has_data_type", dtype="Integral")]
     out = V.verify(FX.event_texts(spark, sf_dir), rules, check="text_types")
     return out.select("check", "check_status", "constraint", "constraint_status", "constraint_message", _r())
+
+
+# ------------------------------------------------------------------ rule lifecycle
+
+from ..operators import rules as RL  # noqa: E402
+from ..operators import history as H  # noqa: E402
+
+NOW = "2024-02-01 00:00:00"
+_NTZ = ("created_at", "updated_at")
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in _NTZ if c in df.columns})
+
+
+@query("merge_rules")
+def merge_rules(spark, sf_dir):
+    """J1 + C3 + C4 + P14 + P16: new suggestions full-outer-merged into the rule table,
+    NULL-safe on the three keys."""
+    new = RL.new_rules(FX.part_rules(spark, sf_dir, "new"), NOW)
+    old = FX.part_rules(spark, sf_dir, "old")
+    merged = RL.merge_rules(new, old, NOW)
+    return _ntz(merged.select(*[c for c in RL.ACTIVATED_SCHEMA.fieldNames() if c not in RL.STRUCTURED]))
+
+
+@query("activate_rules")
+def activate_rules(spark, sf_dir):
+    """C5 + F5 + F6 + U1: high rules active; top floor(0.8 n) of the others by frequency
+    (ties by key) active, via the skew-safe global rank."""
+    rules = FX.part_rules(spark, sf_dir, "ranked")
+    return RL.activate_rules(rules, 0.8).select("constraint_name", "level", "frequency", "active")
+
+
+@query("top_rules")
+def top_rules(spark, sf_dir):
+    """O1: top-50 rules by frequency (ties by key) -- a top-k report, the limit is the feature."""
+    return RL.top_by_frequency(FX.part_rules(spark, sf_dir, "ranked"), 50).select("constraint_name", "frequency")
+
+
+@query("rest_except_all")
+def rest_except_all(spark, sf_dir):
+    """Multiset difference (EXCEPT ALL) of order attribute rows."""
+    od = read_table(spark, sf_dir, "orders")
+    allrows = od.select("o_orderstatus", "o_orderpriority")
+    part = od.where(F.col("o_totalprice") > 200000).select("o_orderstatus", "o_orderpriority")
+    return RL.rest_except_all(allrows, part)
+
+
+@query("publish_rules")
+def publish_rules(spark, sf_dir):
+    """C1 + C2 + C6 + K6: two suggestion runs published through the suggested table,
+    the (created-if-absent) activated table and the tmp/drop/rename swap; read back."""
+    from ..sinks import scratch_path
+    import uuid
+    db = f"tw_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'warehouse')}'")
+    suggested, activated = RL.table_names("events", db)
+    RL.create_rule_table(spark, activated)
+    for kind in ("new", "old"):
+        batch = FX.part_rules(spark, sf_dir, "new") if kind == "new" else \
+            FX.part_rules(spark, sf_dir, "old").select(*SG.SUGGESTION_FIELDS)
+        RL.save_suggestions(spark, batch, suggested)
+        merged = RL.merge_rules(RL.new_rules(spark.table(suggested), NOW), spark.table(activated), NOW)
+        RL.swap_publish(spark, merged, activated)
+    return spark.table(activated).select("constraint_name", "column_name", "code_for_constraint", "frequency",
+                                         "level", "active")
+
+
+# ------------------------------------------------------------------ metric history
+
+HIST_NOW = "2024-01-30 12:00:00"
+
+
+@query("history_latest")
+def history_latest(spark, sf_dir):
+    """Latest value per series (max_by with partial aggregation, no window)."""
+    return H.latest(FX.metric_history(spark, sf_dir)).select(*H.SERIES, F.col("ts"), _r())
+
+
+@query("history_fresh")
+def history_fresh(spark, sf_dir):
+    """J2 + D2 + D11: record count (latest Size) of tables whose (job, table) pushed in the
+    last 12 hours, inside the 200-hour retention range."""
+    hist = H.time_range(FX.metric_history(spark, sf_dir), HIST_NOW, 200)
+    pushes = H.push_times(hist, ["job", "table"])
+    sizes = H.select_series(hist, name="Size", entity="~Data.*")
+    fresh = H.fresh(sizes, pushes, HIST_NOW, 12, ["job", "table"])
+    return H.latest(fresh, ["job", "table"]).select("job", "table", _r())
+
+
+@query("history_null_pct")
+def history_null_pct(spark, sf_dir):
+    """D6 + P25: latest null share per column."""
+    return H.null_percent(FX.metric_history(spark, sf_dir)).select("table", "instance", _r("null_pct"))
+
+
+@query("history_max_null")
+def history_max_null(spark, sf_dir):
+    """D4 + A23: worst null share per table."""
+    return H.max_null_percent(FX.metric_history(spark, sf_dir)).select("table", _r("max_null_pct"))
+
+
+@query("history_column_counts")
+def history_column_counts(spark, sf_dir):
+    """D3 + A22: column / numeric / string column counts per table."""
+    return H.column_counts(FX.metric_history(spark, sf_dir))
+
+
+@query("history_wide")
+def history_wide(spark, sf_dir):
+    """Latest Completeness / Maximum / MaxLength / ApproxCountDistinct side by side."""
+    w = H.wide(FX.metric_history(spark, sf_dir), ["Completeness", "Maximum", "MaxLength", "ApproxCountDistinct"])
+    return w.select("table", "instance", *[_r(c) for c in ["Completeness", "Maximum", "MaxLength",
+                                                            "ApproxCountDistinct"]])
+
+
+@query("history_tables")
+def history_tables(spark, sf_dir):
+    """Distinct tables."""
+    return H.tables(FX.metric_history(spark, sf_dir))
+
+
+@query("verification_latest")
+def verification_latest(spark, sf_dir):
+    """D9 + O2: latest status per constraint, newest first."""
+    res = H.latest_status(FX.verification_history(spark, sf_dir))
+    return res.select("constraint", "constraint_status", "ts", _r()).orderBy(F.col("ts").desc())
+
+
+@query("attribution_share")
+def attribution_share(spark, sf_dir):
+    """O3 + D8: per-feature share of the whole attribution of each model, totals joined back."""
+    ev = FX.events(spark, sf_dir)
+    attr = ev.groupBy(F.concat(F.lit("model_"), (F.col("user_id") % 4).cast("string")).alias("table"),
+                      F.col("event_type").alias("instance")).agg(F.avg(F.abs("value")).alias("value"))
+    return H.share_of_total(attr, "value", ["table"]).select("table", "instance", _r("share"))
+
+
+@query("alert_hold")
+def alert_hold(spark, sf_dir):
+    """Breach runs (value > 60) per (job, table, name) held for at least six hours."""
+    hist = FX.metric_history(spark, sf_dir)
+    a = H.alert_hold(hist, F.col("value") > 60, 6 * 3600, ["job", "table", "name"])
+    return a.select("job", "table", "name", "start", "end", "n", _r("held_seconds"))
+
+
+@query("alert_absent")
+def alert_absent(spark, sf_dir):
+    """D12 absent(): series seen on 2024-01-29 with no row on 2024-01-30."""
+    hist = FX.metric_history(spark, sf_dir)
+    keys = ["job", "table", "instance", "name"]
+    expected = S.slice_day(hist, "ts", "2024-01-29")
+    present = S.slice_day(hist, "ts", "2024-01-30")
+    return H.absent(expected, present, keys)
+
+
+@query("metric_rate")
+def metric_rate(spark, sf_dir):
+    """D12 rate(): change per second between consecutive rows of each (job, table, name)."""
+    hist = FX.metric_history(spark, sf_dir)
+    r = H.rate(hist, ["job", "table", "name"])
+    return r.select("job", "table", "name", "ts", F.round(F.col("rate"), 9).alias("rate"))
+
+
+@query("exposition_text")
+def exposition_text(spark, sf_dir):
+    """K5: latest value per series as labelled text lines with escaped label values."""
+    hist = FX.metric_history(spark, sf_dir)
+    last = H.latest(hist).withColumn("table", F.concat(F.col("table"), F.lit('"\\')))
+    return H.exposition(last, F.concat(F.lit("dq."), F.col("job")), ["table", "entity", "instance", "name"])
+
+
+# ------------------------------------------------------------------ ingestion / conformance
+
+from ..functions import conform as CF  # noqa: E402
+from ..functions import json as JS  # noqa: E402
+from ..functions import text as TX  # noqa: E402
+from ..sources import commits as CM  # noqa: E402
+from ..sources import csv as CSV  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+CONFORM_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_quantity", T.DoubleType()),
+    T.StructField("tags", T.ArrayType(T.StringType())), T.StructField("l_missing", T.IntegerType())])
+
+
+@query("conform_cast")
+def conform_cast(spark, sf_dir):
+    """P1 + P2 + P3 + P6 + P21: text columns cast to a target schema with try_cast (bad text ->
+    NULL), bracketed lists parsed, absent fields as typed NULLs, extra columns kept."""
+    li = read_table(spark, sf_dir, "lineitem")
+    text = li.select(
+        F.col("l_orderkey").cast("string").alias("l_orderkey"),
+        F.when(F.col("l_linenumber") == 7, F.lit("bad")).otherwise(F.col("l_quantity").cast("string"))
+        .alias("l_quantity"),
+        F.concat(F.lit("["), F.col("l_returnflag"), F.lit(","), F.col("l_linestatus"), F.lit("]")).alias("tags"),
+        F.col("l_linenumber").cast("string").alias("extra"))
+    out = CF.stamp_processing_time(CF.conform_to_schema(text, CONFORM_SCHEMA), NOW)
+    return out.select("l_orderkey", "l_quantity", "tags", F.size("tags").alias("n_tags"), "l_missing", "extra",
+                      F.col("processing_time").cast("timestamp_ntz").alias("processing_time"))
+
+
+@query("csv_round_trip")
+def csv_round_trip(spark, sf_dir):
+    """S3 + S4 + S6 + S9 + P5 + K1: lineitem written as a text CSV drop with a JSON schema
+    document, read back as strings, conformed, appended to a lake path, reloaded."""
+    from ..sinks import append_table, scratch_path
+    li = read_table(spark, sf_dir, "lineitem")
+    base = scratch_path(spark, "ingest")
+    li.write.option("header", True).csv(f"{base}/drop/lineitem_20240101_0000-0100.csv")
+    spark.createDataFrame([(li.schema.json(),)], "value string").coalesce(1).write.text(f"{base}/schema")
+    raw = CSV.read_csv_text(spark, f"{base}/drop/*.csv")
+    if CSV.is_empty(raw):
+        return raw
+    schema = CSV.load_schema(spark, f"{base}/schema")
+    conformed = CF.drop_bookkeeping(CF.conform_to_schema(raw, schema))
+    append_table(conformed, f"{base}/lake/lineitem")
+    back = spark.read.parquet(f"{base}/lake/lineitem")
+    return back.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+                       "l_shipdate")
+
+
+@query("parse_json_props")
+def parse_json_props(spark, sf_dir):
+    """P4 + T1: JSON text -> struct -> columns."""
+    return JS.parse_json_columns(FX.events(spark, sf_dir), "props", "k INT", keep=["event_id"])
+
+
+@query("flatten_json")
+def flatten_json(spark, sf_dir):
+    """P24 + P9: numeric leaves of a nested document as sanitised names (booleans and
+    non-numeric text dropped)."""
+    ev = FX.events(spark, sf_dir)
+    doc = F.concat(F.lit('{"a": {"b": '), F.col("props"), F.lit('}, "s": [{"n": '), F.col("user_id").cast("string"),
+                   F.lit('}, '), (F.col("event_id") % 10).cast("string"), F.lit('], "t": true, "label": "'),
+                   F.col("event_type"), F.lit('"}'))
+    return JS.flatten_json(ev.select("event_id", doc.alias("doc")), "doc", keep=["event_id"])
+
+
+@query("table_from_path")
+def table_from_path(spark, sf_dir):
+    """Table name from a time-sliced drop path."""
+    ev = FX.events(spark, sf_dir)
+    path = F.concat(F.lit("/data/in/"), F.col("event_type"), F.lit("_"), F.date_format("ts", "yyyyMMdd"),
+                    F.lit("_0000-0100.csv"))
+    return ev.select("event_id", TX.table_from_path(path).alias("tbl"))
+
+
+@query("format_ts")
+def format_ts(spark, sf_dir):
+    """P10: formatted times, plain and shown in the display zone."""
+    ev = FX.events(spark, sf_dir)
+    return ev.select("event_id", TX.format_ts(F.col("ts")).alias("ts_str"),
+                     TX.format_ts(F.col("ts"), TX.DISPLAY_ZONE).alias("ts_local"))
+
+
+@query("write_stats")
+def write_stats(spark, sf_dir):
+    """A20 + A21: write statistics per partition (lineitem rows read as file write stats,
+    partitioned by return flag) and commit totals."""
+    li = read_table(spark, sf_dir, "lineitem")
+    stats = li.select(F.col("l_returnflag").alias("partition_path"),
+                      F.col("l_orderkey").cast("string").alias("file_path"),
+                      F.col("l_linenumber").cast("long").alias("num_inserts"),
+                      F.col("l_quantity").cast("long").alias("num_writes"),
+                      F.when(F.col("l_linestatus") == "F", 1).otherwise(0).cast("long").alias("num_deletes"),
+                      F.col("l_extendedprice").cast("long").alias("file_size"))
+    out = CM.write_stat_metrics(stats).unionByName(CM.commit_summary_metrics(stats, "insert"))
+    return out.select("type", "column", "metric", "value", "value_str")
+
+
+@query("metric_tables")
+def metric_tables(spark, sf_dir):
+    """K2 + K3 + U1: day-slice metrics stamped with run context, appended twice to a
+    date-partitioned metric table, read back."""
+    from ..sinks import append_metrics, scratch_path
+    path = scratch_path(spark, "metrics")
+    df = S.slice_day(FX.events_with_holes(spark, sf_dir), "ts", DAY)
+    m = M.with_context(M.profile_metrics(df, approx_distinct=False), ts=NOW, table="events",
+                       slice_start=f"{DAY} 00:00:00")
+    for _ in range(2):
+        append_metrics(m, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("entity", "instance", "name").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 6).alias("value"),
+        F.first("timestamp_str").alias("timestamp_str"))
