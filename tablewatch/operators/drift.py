@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -187,7 +187,7 @@ def attribution(pipeline_model, scored: DataFrame, features: list[str], vec_inpu
     nodes) are shipped once as a broadcast."""
     spark = scored.sparkSession
     gbt = pipeline_model.stages[-1]
-    indexers = {s.getInputCol(): s for s in pipeline_model.stages if isinstance(s, StringIndexer)}
+    indexers = {s.getInputCol(): s for s in pipeline_model.stages if isinstance(s, StringIndexerModel)}
     trees, weights = model_trees(gbt, spark)
     bc = spark.sparkContext.broadcast((trees, weights))
     nfeat = len(features)

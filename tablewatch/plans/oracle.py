@@ -569,3 +569,39 @@ def _metric_tables_sql():
 
 
 ORACLE["metric_tables"] = _metric_tables_sql()
+
+
+# ------------------------------------------------------------------ drift / streaming
+
+ORACLE["auc_exact"] = """
+WITH s AS (SELECT value AS score, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label FROM events),
+r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS mid FROM s),
+a AS (SELECT (sum(mid) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1)
+              * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+             / (CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) * count(*) FILTER (WHERE label = 0)) AS auc FROM r)
+SELECT 'roc_auc' AS metric, round(auc, 6) AS value, CASE WHEN auc >= 0.6 THEN 'drift' ELSE 'ok' END AS verdict FROM a
+"""
+
+ORACLE["stratified_split"] = """
+WITH c AS (SELECT CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label, count(*) AS n FROM events GROUP BY 1)
+SELECT label, TRUE AS is_test, CAST(floor(n * 0.2 + 0.5) AS BIGINT) AS n FROM c
+UNION ALL
+SELECT label, FALSE AS is_test, CAST(n - floor(n * 0.2 + 0.5) AS BIGINT) AS n FROM c
+"""
+
+
+def _stream_profile_sql():
+    parts = ["SELECT 'Dataset' AS entity, '*' AS instance, 'Size' AS name, CAST(count(*) AS DOUBLE) AS value "
+             "FROM events"]
+    for c, kind in EVENTS_COLS:
+        if kind == "num":
+            parts += [f"SELECT 'Column', '{c}', 'Minimum', min(CAST({c} AS DOUBLE)) FROM events",
+                      f"SELECT 'Column', '{c}', 'Maximum', max(CAST({c} AS DOUBLE)) FROM events",
+                      f"SELECT 'Column', '{c}', 'Sum', sum(CAST({c} AS DOUBLE)) FROM events"]
+        elif kind == "str":
+            parts += [f"SELECT 'Column', '{c}', 'MinLength', CAST(min(length({c})) AS DOUBLE) FROM events",
+                      f"SELECT 'Column', '{c}', 'MaxLength', CAST(max(length({c})) AS DOUBLE) FROM events"]
+    return "SELECT entity, instance, name, round(value, 4) AS value FROM (" + "\nUNION ALL\n".join(parts) + ") s"
+
+
+ORACLE["stream_profile"] = _stream_profile_sql()

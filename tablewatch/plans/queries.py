@@ -544,3 +544,111 @@ def metric_tables(spark, sf_dir):
     return back.groupBy("entity", "instance", "name").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 6).alias("value"),
         F.first("timestamp_str").alias("timestamp_str"))
+
+
+# ------------------------------------------------------------------ drift
+
+from ..operators import drift as DR  # noqa: E402
+from ..operators import sampling as SM  # noqa: E402
+
+DRIFT_AT = "2024-01-30 05:00:00"     # hour 04 of every day of the month; label 1 on 2024-01-30
+
+
+def _purchase_scored(spark, sf_dir) -> DataFrame:
+    ev = FX.events(spark, sf_dir)
+    return ev.select(F.col("value").alias("score"),
+                     F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("label"))
+
+
+@query("auc_exact")
+def auc_exact(spark, sf_dir):
+    """A24 + M4 + M6: exact rank-sum AUC (ties averaged) of value as a score for
+    'purchase', with the drift verdict."""
+    auc = DR.auc_exact(_purchase_scored(spark, sf_dir))
+    return auc.select("metric", _r(), H.drift_verdict(F.col("value")).alias("verdict"))
+
+
+@query("stratified_split")
+def stratified_split(spark, sf_dir):
+    """Exact per-label test counts (floor(0.2 n + 0.5)) from a seeded hash split."""
+    ev = FX.events(spark, sf_dir).withColumn(
+        "label", F.when(F.col("event_type") == "purchase", 1).otherwise(0))
+    split = SM.stratified_split(ev, "label", 0.2, 42, key_cols=["event_id"])
+    return split.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sample_by_label")
+def sample_by_label(spark, sf_dir):
+    """Seeded Bernoulli sample with the same fraction per label (rows-only check)."""
+    df = S.slice_same_hour_labelled(FX.events(spark, sf_dir), "ts", DRIFT_AT, 29)
+    return SM.sample_by_label(df, "label", 0.5, 42)
+
+
+def _drift(spark, sf_dir):
+    df = S.slice_same_hour_labelled(FX.events(spark, sf_dir), "ts", DRIFT_AT, 29)
+    return DR.detect_drift(df, "events", exclude=("label", "ts", "event_id"), max_iter=10, max_depth=4)
+
+
+@query("drift_gbt")
+def drift_gbt(spark, sf_dir):
+    """M1-M6: same hour over 30 days, GBT target-day classifier, exact AUC + attributions
+    (rows-only check: scores are model-dependent)."""
+    return _drift(spark, sf_dir).metrics
+
+
+@query("attribution_mean_abs")
+def attribution_mean_abs(spark, sf_dir):
+    """A25 + M5: mean absolute per-feature contribution to the model margin."""
+    return _drift(spark, sf_dir).metrics.where(F.col("type") == DR.ATTRIBUTION)
+
+
+# ------------------------------------------------------------------ streaming
+
+from ..streaming import listener as SL  # noqa: E402
+from ..streaming import monitor as SMON  # noqa: E402
+
+
+def _events_as_json_drop(spark, sf_dir, files: int = 4) -> tuple[str, object]:
+    from ..sinks import scratch_path
+    base = scratch_path(spark, "stream")
+    ev = FX.events(spark, sf_dir)
+    ev.select(F.to_json(F.struct(*ev.columns)).alias("value")) \
+        .repartition(files, "event_id").write.text(f"{base}/in")
+    return base, ev.schema
+
+
+@query("stream_profile")
+def stream_profile(spark, sf_dir):
+    """T1-T4 + S5 + E3: events as a JSON stream, metrics per micro-batch (idempotent on
+    batch id, checkpointed), combined over batches; equals the batch metrics."""
+    base, schema = _events_as_json_drop(spark, sf_dir)
+    stream = SMON.read_json_stream(spark, f"{base}/in", schema, max_files_per_trigger=1)
+    q = SMON.start_monitor(stream, f"{base}/ckpt", f"{base}/metrics", available_now=True,
+                           analyzers=lambda b: M.default_analyzers(b, approx_distinct=False))
+    q.awaitTermination()
+    m = spark.read.parquet(f"{base}/metrics")
+    return SMON.combine_batches(m).select("entity", "instance", "name", F.round("value", 4).alias("value"))
+
+
+@query("stream_progress")
+def stream_progress(spark, sf_dir):
+    """T5-T7 + E4: progress documents captured by a listener, flattened to numeric
+    series with sanitised names (rows-only check: timings vary)."""
+    import time
+    base, schema = _events_as_json_drop(spark, sf_dir)
+    rec = SL.ProgressRecorder()
+    spark.streams.addListener(rec)
+    try:
+        stream = SMON.read_json_stream(spark, f"{base}/in", schema, max_files_per_trigger=1)
+        q = SMON.start_monitor(stream, f"{base}/ckpt", f"{base}/metrics", available_now=True,
+                               query_name="progress_probe",
+                               analyzers=lambda b: [M.Size()])
+        q.awaitTermination()
+        expected = (q.lastProgress or {}).get("batchId", -1) + 1
+        deadline = time.time() + 30
+        while len(rec.progress) < expected and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(rec)
+    progress, _events = rec.drain()
+    return SL.progress_metrics(SL.progress_frame(spark, progress))
