@@ -81,9 +81,12 @@ def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] =
     out = df.select(*cols, F.col(label).cast("double").alias("label"))
     categorical = []
     if cat_candidates:
-        nd = out.agg(*[F.approx_count_distinct(c).alias(c) for c in cat_candidates]).first().asDict()
+        # one aggregate row: distinct counts and the row count (MLlib caps maxBins at the
+        # number of training rows, so a category set must also be small next to the slice)
+        nd = out.agg(F.count(F.lit(1)).alias("__n"),
+                     *[F.approx_count_distinct(c).alias(c) for c in cat_candidates]).first().asDict()
         for c in cat_candidates:
-            if nd[c] <= max_categories:
+            if nd[c] <= max_categories and 2 * nd[c] <= nd["__n"]:
                 categorical.append(c)
             else:
                 out = out.withColumn(c, F.pmod(F.xxhash64(F.col(c)), F.lit(HASH_BUCKETS)).cast("double"))

@@ -21,9 +21,12 @@ WRITE_STATS_SCHEMA = ("partition_path string, file_path string, num_inserts long
 
 
 def file_write_stats(spark: SparkSession, path: str, fmt: str = "parquet",
-                     partition_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Per data file: partition path, file, rows written, size (inserts only: append writes)."""
+                     partition_cols: tuple[str, ...] = (), where=None) -> DataFrame:
+    """Per data file: partition path, file, rows written, size (inserts only: append writes).
+    ``where`` selects the files of one commit, e.g. ``processing_time = <run time>``."""
     df = spark.read.format(fmt).load(path)
+    if where is not None:
+        df = df.where(where)
     part = (F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_cols])
             if partition_cols else F.lit(""))
     return (df.select(part.alias("partition_path"), F.col("_metadata.file_path").alias("file_path"),
