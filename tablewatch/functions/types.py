@@ -12,18 +12,25 @@ BOOLEAN_PATTERN = r"^(true|false)$"
 UNKNOWN, FRACTIONAL, INTEGRAL, BOOLEAN, STRING = "Unknown", "Fractional", "Integral", "Boolean", "String"
 
 
+# Every non-string pattern above starts with one of these characters, so a value whose
+# first character is not among them is String without running any regex.
+_LEADING = ["+", "-", ".", " ", "t", "f"] + [str(d) for d in range(10)]
+
+
 def value_class(c: Column) -> Column:
     """Class of one text value: Integral, Fractional, Boolean, String; NULL stays NULL."""
     return (F.when(c.isNull(), F.lit(None).cast("string"))
+            .when(~F.substring(c, 1, 1).isin(_LEADING), F.lit(STRING))
             .when(c.rlike(INTEGRAL_PATTERN), F.lit(INTEGRAL))
             .when(c.rlike(FRACTIONAL_PATTERN), F.lit(FRACTIONAL))
             .when(c.rlike(BOOLEAN_PATTERN), F.lit(BOOLEAN))
             .otherwise(F.lit(STRING)))
 
 
-def class_counts(c: Column, prefix: str) -> list[Column]:
-    """Four aggregate expressions counting the classes of ``c`` (as text)."""
-    cls = value_class(c.cast("string"))
+def class_counts(c: Column, prefix: str, cls: Column | None = None) -> list[Column]:
+    """Four aggregate expressions counting the classes of ``c`` (as text); pass a
+    precomputed class column as ``cls`` to classify each value only once."""
+    cls = value_class(c.cast("string")) if cls is None else cls
     return [F.sum(F.when(cls == name, 1).otherwise(0)).cast("long").alias(f"{prefix}{name}")
             for name in (INTEGRAL, FRACTIONAL, BOOLEAN, STRING)]
 

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import local_frame
+
 METRIC_SCHEMA = "entity string, instance string, name string, value double"
 
 # Entity labels of metric rows (fixed values).
@@ -249,8 +251,7 @@ def grouping_metrics(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
         return df.sparkSession.createDataFrame([], METRIC_SCHEMA)
     columns = sorted({a.column for a in grouped})
     summary = frequency_summary(df, columns)
-    wanted = df.sparkSession.createDataFrame(
-        [(a.column, a.name) for a in grouped], "column string, name string")
+    wanted = local_frame(df.sparkSession, [(a.column, a.name) for a in grouped], "column string, name string")
     value = (F.when(F.col("name") == "Entropy", F.col("entropy"))
              .when(F.col("name") == "Uniqueness", F.try_divide(F.col("singles").cast("double"), F.col("n"))))
     # ``wanted`` holds one row per requested analyzer: bounded by the schema width.
@@ -263,10 +264,11 @@ def grouping_metrics(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
 def run_analyzers(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
     """Every analyzer over ``df``; one scan aggregate + (if needed) one grouping pass."""
     analyzers = list(dict.fromkeys(analyzers))  # dedupe, keep order
-    out = scan_metrics(df, analyzers)
-    if any(a.grouping for a in analyzers):
-        out = out.unionByName(grouping_metrics(df, analyzers))
-    return out
+    has_scan = any(not a.grouping for a in analyzers)
+    has_grouping = any(a.grouping for a in analyzers)
+    if has_scan and has_grouping:
+        return scan_metrics(df, analyzers).unionByName(grouping_metrics(df, analyzers))
+    return grouping_metrics(df, analyzers) if has_grouping else scan_metrics(df, analyzers)
 
 
 # ----------------------------------------------------------------- dispatch

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions import types as TY
 from ..functions.text import DISPLAY_ZONE, format_ts
+from ..session import local_frame
 from .metrics import is_numeric, is_string, value_frequencies
 
 # Fixed value: a column gets a histogram when its approximate distinct count is at most this.
@@ -58,11 +59,13 @@ def _stats(c, prefix):
             F.stddev_pop(c).alias(f"{prefix}std"), F.sum(c).alias(f"{prefix}sum")]
 
 
-def profile_columns(df: DataFrame, histogram_threshold: int = HISTOGRAM_THRESHOLD,
-                    columns: list[str] | None = None) -> ColumnProfiles:
-    """Per-column profile of ``df``."""
-    spark = df.sparkSession
-    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+def profile_aggregate(df: DataFrame, fields) -> DataFrame:
+    """Pass 1 as a lazy one-row aggregate (see :func:`profile_columns`)."""
+    # text values are classified once per row in a projection below the aggregate;
+    # only values classified as numbers are cast (a failed cast is the slow path)
+    cls_cols = {f.name: f"__cls{i}" for i, f in enumerate(fields) if is_string(f.dataType)}
+    src = df.select(*[F.col(f"`{f.name}`") for f in fields],
+                    *[TY.value_class(F.col(f"`{n}`")).alias(a) for n, a in cls_cols.items()])
     exprs = [F.count(F.lit(1)).alias("n")]
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
@@ -71,10 +74,19 @@ def profile_columns(df: DataFrame, histogram_threshold: int = HISTOGRAM_THRESHOL
         if is_numeric(f.dataType):
             exprs += _stats(c.cast("double"), p)
         elif is_string(f.dataType):
+            cls = F.col(cls_cols[f.name])
             exprs += [F.min(F.length(c)).alias(p + "minlen"), F.max(F.length(c)).alias(p + "maxlen")]
-            exprs += TY.class_counts(c, p)
-            exprs += _stats(c.try_cast("double"), p)
-    agg = df.agg(*exprs).first().asDict()   # one row: a few numbers per column
+            exprs += TY.class_counts(c, p, cls)
+            exprs += _stats(F.when(cls.isin(TY.INTEGRAL, TY.FRACTIONAL), c.try_cast("double")), p)
+    return src.agg(*exprs)
+
+
+def profile_columns(df: DataFrame, histogram_threshold: int = HISTOGRAM_THRESHOLD,
+                    columns: list[str] | None = None) -> ColumnProfiles:
+    """Per-column profile of ``df``."""
+    spark = df.sparkSession
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    agg = profile_aggregate(df, fields).first().asDict()   # one row: a few numbers per column
     n = int(agg["n"])
     rows = []
     for i, f in enumerate(fields):
@@ -104,7 +116,7 @@ def profile_columns(df: DataFrame, histogram_threshold: int = HISTOGRAM_THRESHOL
             "max_length": _f(agg.get(p + "maxlen")) if kind == "string" else None,
             "has_histogram": bool(n and ad is not None and ad <= histogram_threshold),
         })
-    frame = spark.createDataFrame(rows, PROFILE_SCHEMA)
+    frame = local_frame(spark, rows, PROFILE_SCHEMA)
     hist_cols = [r["column"] for r in rows if r["has_histogram"]]
     if hist_cols:
         freq = value_frequencies(df, hist_cols)
@@ -162,8 +174,8 @@ def profile_rows(profiles: ColumnProfiles, profiling_ts, data_ts, zone: str = DI
              .otherwise(F.array(*base)))
     per_col = fr.select("column", "data_type", F.explode(items).alias("m")).select(
         "column", "data_type", "m.metric", "m.value")
-    size = fr.sparkSession.createDataFrame(
-        [("", "", "Size", float(profiles.n_rows))], "column string, data_type string, metric string, value double")
+    size = local_frame(fr.sparkSession, [("", "", "Size", float(profiles.n_rows))],
+                       "column string, data_type string, metric string, value double")
     rows = per_col.unionByName(size)
     return rows.select(
         F.lit(profiling_ts).cast("timestamp").alias("profilingTimestamp"),

@@ -117,25 +117,28 @@ def _categorical(profiles: ColumnProfiles, rules) -> list[DataFrame]:
         sq = F.array_join(F.transform(col, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", ")
         return dq, sq
 
-    out = []
+    # R4 and R5 come out of ONE pass over the histogram rows: each column yields an
+    # array of (at most two) conditional rule structs, inlined and filtered.
+    cols = [c for c in SUGGESTION_SCHEMA.fieldNames()]
+    items = []
     if "categorical" in rules:
         dq, sq = lists(F.col("all_values"))
-        sel = per_col.where(F.col("singles_ratio") <= CATEGORICAL_MAX_SINGLES)
-        out.append(sel.select(*_row(
+        row = _row(
             "categorical",
             F.concat(F.lit("ContainedInConstraint("), F.col("column"), F.lit(")")),
             F.lit("Compliance: 1"),
             F.concat(F.lit("'"), F.col("column"), F.lit("' has value range "), sq),
             F.concat(F.lit('.isContainedIn("'), F.col("column"), F.lit('", ['), dq, F.lit("])")),
-            "is_contained_in", values=F.col("all_values"))))
+            "is_contained_in", values=F.col("all_values"))
+        items.append(F.when(F.col("singles_ratio") <= CATEGORICAL_MAX_SINGLES, F.struct(*row)))
     if "fractional_categorical" in rules:
         dq, sq = lists(F.col("top_values"))
         p = F.col("top_cnt") / F.col("n_rows")
         target = binomial_lower_bound(p, F.col("n_rows"))
-        sel = per_col.where((F.col("singles_ratio") <= FRACTIONAL_MAX_SINGLES)
-                            & (F.col("top_cnt") >= F.lit(FRACTIONAL_COVERAGE) * F.col("n_rows"))
-                            & (F.size("top_values") < F.col("bins")))
-        out.append(sel.select(*_row(
+        cond = ((F.col("singles_ratio") <= FRACTIONAL_MAX_SINGLES)
+                & (F.col("top_cnt") >= F.lit(FRACTIONAL_COVERAGE) * F.col("n_rows"))
+                & (F.size("top_values") < F.col("bins")))
+        row = _row(
             "fractional_categorical",
             F.concat(F.lit("ContainedInConstraint("), F.col("column"), F.lit(")")),
             F.concat(F.lit("Compliance: "), f4(p)),
@@ -144,8 +147,12 @@ def _categorical(profiles: ColumnProfiles, rules) -> list[DataFrame]:
             F.concat(F.lit('.isContainedIn("'), F.col("column"), F.lit('", ['), dq,
                      F.lit("], lambda x: x >= "), f2(target), F.lit(', hint="It should be above '),
                      f2(target), F.lit('!")')),
-            "is_contained_in", values=F.col("top_values"), threshold=target)))
-    return out
+            "is_contained_in", values=F.col("top_values"), threshold=target)
+        items.append(F.when(cond, F.struct(*row)))
+    if not items:
+        return []
+    out = per_col.select(F.inline(F.filter(F.array(*items), lambda x: x.isNotNull()))).select(*cols)
+    return [out]
 
 
 def suggest_constraints(profiles: ColumnProfiles, rules=DEFAULT_RULES) -> DataFrame:

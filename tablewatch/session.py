@@ -20,6 +20,7 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -51,3 +52,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="tablewatch-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def local_frame(spark: SparkSession, rows, schema):
+    """A small frame built from driver-side values (bounded metadata: profile rows,
+    analyzer lists) as literals in the plan: one partition, no RDD of Python rows."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = []
+    for r in rows:
+        vals = [r[f.name] for f in schema.fields] if isinstance(r, dict) else list(r)
+        structs.append(F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(vals, schema.fields)]))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
