@@ -84,7 +84,7 @@ def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] =
         # one aggregate row: distinct counts and the row count (MLlib caps maxBins at the
         # number of training rows, so a category set must also be small next to the slice)
         nd = out.agg(F.count(F.lit(1)).alias("__n"),
-                     *[F.approx_count_distinct(c).alias(c) for c in cat_candidates]).first().asDict()
+                     *[F.approx_count_distinct(c).alias(c) for c in cat_candidates]).collect()[0].asDict()
         for c in cat_candidates:
             if nd[c] <= max_categories and 2 * nd[c] <= nd["__n"]:
                 categorical.append(c)

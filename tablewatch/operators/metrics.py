@@ -39,6 +39,16 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def q(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def lit_sql(v: str) -> str:
+    """A Python string as an SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Analyzer:
     """Base class; subclasses set ``name`` and build one aggregate expression."""
@@ -54,9 +64,13 @@ class Analyzer:
     def instance(self) -> str:
         return getattr(self, "column", "*")
 
-    def agg(self) -> Column:  # pragma: no cover - abstract
+    def sql(self) -> str:  # pragma: no cover - abstract
+        """The aggregate as SQL text (plans are built with one call for all analyzers)."""
         raise NotImplementedError
 
+    def agg(self) -> Column:
+        return F.expr(self.sql())
+
 
 @dataclass(frozen=True)
 class Size(Analyzer):
@@ -66,16 +80,16 @@ class Size(Analyzer):
     def instance(self) -> str:
         return "*"
 
-    def agg(self) -> Column:
-        return F.count(F.lit(1)).cast("double")
+    def sql(self) -> str:
+        return "CAST(count(1) AS DOUBLE)"
 
 
 @dataclass(frozen=True)
 class Completeness(Analyzer):
     column: str
 
-    def agg(self) -> Column:
-        return _ratio(F.count(F.col(self.column)), F.count(F.lit(1)))
+    def sql(self) -> str:
+        return f"try_divide(CAST(count({q(self.column)}) AS DOUBLE), CAST(count(1) AS DOUBLE))"
 
 
 @dataclass(frozen=True)
@@ -83,8 +97,8 @@ class NullCount(Analyzer):
     """Rows where the column is NULL."""
     column: str
 
-    def agg(self) -> Column:
-        return F.when(F.count(F.lit(1)) > 0, (F.count(F.lit(1)) - F.count(F.col(self.column))).cast("double"))
+    def sql(self) -> str:
+        return f"CASE WHEN count(1) > 0 THEN CAST(count(1) - count({q(self.column)}) AS DOUBLE) END"
 
 
 @dataclass(frozen=True)
@@ -92,42 +106,42 @@ class ApproxCountDistinct(Analyzer):
     column: str
     rsd: float = 0.05
 
-    def agg(self) -> Column:
-        return F.when(F.count(F.lit(1)) > 0,
-                      F.approx_count_distinct(F.col(self.column), self.rsd).cast("double"))
+    def sql(self) -> str:
+        return (f"CASE WHEN count(1) > 0 THEN CAST(approx_count_distinct({q(self.column)}, {float(self.rsd)}) "
+                f"AS DOUBLE) END")
 
 
 @dataclass(frozen=True)
 class Minimum(Analyzer):
     column: str
 
-    def agg(self) -> Column:
-        return F.min(F.col(self.column).cast("double"))
+    def sql(self) -> str:
+        return f"min(CAST({q(self.column)} AS DOUBLE))"
 
 
 @dataclass(frozen=True)
 class Maximum(Analyzer):
     column: str
 
-    def agg(self) -> Column:
-        return F.max(F.col(self.column).cast("double"))
+    def sql(self) -> str:
+        return f"max(CAST({q(self.column)} AS DOUBLE))"
 
 
 @dataclass(frozen=True)
 class Mean(Analyzer):
     column: str
 
-    def agg(self) -> Column:
-        return F.avg(F.col(self.column).cast("double"))
+    def sql(self) -> str:
+        return f"avg(CAST({q(self.column)} AS DOUBLE))"
 
 
 @dataclass(frozen=True)
 class Sum(Analyzer):
     column: str
 
-    def agg(self) -> Column:
+    def sql(self) -> str:
         # summed as double: an ANSI long overflow must not fail a quality job
-        return F.sum(F.col(self.column).cast("double"))
+        return f"sum(CAST({q(self.column)} AS DOUBLE))"
 
 
 @dataclass(frozen=True)
@@ -135,24 +149,24 @@ class StandardDeviation(Analyzer):
     """Population standard deviation."""
     column: str
 
-    def agg(self) -> Column:
-        return F.stddev_pop(F.col(self.column).cast("double"))
+    def sql(self) -> str:
+        return f"stddev_pop(CAST({q(self.column)} AS DOUBLE))"
 
 
 @dataclass(frozen=True)
 class MinLength(Analyzer):
     column: str
 
-    def agg(self) -> Column:
-        return F.min(F.length(F.col(self.column))).cast("double")
+    def sql(self) -> str:
+        return f"CAST(min(length({q(self.column)})) AS DOUBLE)"
 
 
 @dataclass(frozen=True)
 class MaxLength(Analyzer):
     column: str
 
-    def agg(self) -> Column:
-        return F.max(F.length(F.col(self.column))).cast("double")
+    def sql(self) -> str:
+        return f"CAST(max(length({q(self.column)})) AS DOUBLE)"
 
 
 @dataclass(frozen=True)
@@ -166,8 +180,8 @@ class Correlation(Analyzer):
     def instance(self) -> str:
         return f"{self.first},{self.second}"
 
-    def agg(self) -> Column:
-        return F.corr(F.col(self.first).cast("double"), F.col(self.second).cast("double"))
+    def sql(self) -> str:
+        return f"corr(CAST({q(self.first)} AS DOUBLE), CAST({q(self.second)} AS DOUBLE))"
 
 
 @dataclass(frozen=True)
@@ -180,9 +194,9 @@ class Compliance(Analyzer):
     def instance(self) -> str:
         return self.rule
 
-    def agg(self) -> Column:
-        hit = F.coalesce(F.expr(self.predicate), F.lit(False)).cast("int")
-        return _ratio(F.sum(hit), F.count(F.lit(1)))
+    def sql(self) -> str:
+        return (f"try_divide(CAST(sum(CAST(coalesce(({self.predicate}), false) AS INT)) AS DOUBLE), "
+                f"CAST(count(1) AS DOUBLE))")
 
 
 @dataclass(frozen=True)
@@ -203,38 +217,72 @@ class Uniqueness(Analyzer):
 
 def _long_rows(one_row: DataFrame, specs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Unpivot a one-row aggregate (columns named by ``specs[i][3]``) into metric rows."""
-    structs = [
-        F.struct(F.lit(entity).alias("entity"), F.lit(instance).alias("instance"),
-                 F.lit(name).alias("name"), F.col(alias).cast("double").alias("value"))
-        for entity, instance, name, alias in specs
-    ]
-    return one_row.select(F.inline(F.array(*structs))).where(F.col("value").isNotNull())
+    structs = ", ".join(
+        f"named_struct('entity', {lit_sql(e)}, 'instance', {lit_sql(i)}, 'name', {lit_sql(n)}, "
+        f"'value', CAST({q(a)} AS DOUBLE))" for e, i, n, a in specs)
+    return one_row.selectExpr(f"inline(array({structs}))").where("value IS NOT NULL")
 
 
 def scan_metrics(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
-    """All scan analyzers in one aggregate over ``df`` -> metric rows."""
+    """All scan analyzers in one aggregate over ``df`` -> metric rows.  The
+    aggregate is submitted as SQL text in one call (a global aggregate via
+    ``selectExpr``), whatever the number of analyzers."""
     scan = [a for a in analyzers if not a.grouping]
     if not scan:
         return df.sparkSession.createDataFrame([], METRIC_SCHEMA)
-    exprs = [a.agg().alias(f"_m{i}") for i, a in enumerate(scan)]
-    one_row = df.agg(*exprs)
+    one_row = df.selectExpr(*[f"{a.sql()} AS _m{i}" for i, a in enumerate(scan)])
     return _long_rows(one_row, [(a.entity, a.instance, a.name, f"_m{i}") for i, a in enumerate(scan)])
 
 
+# Grouping metrics unpivot values into typed slots (no per-value text conversion);
+# text is rendered only for the distinct values that come out of the aggregation.
+_SLOTS = (("_vl", "bigint"), ("_vd", "double"), ("_vs", "string"), ("_vn", "timestamp_ntz"), ("_vt", "timestamp"))
+
+
+def _slot(dtype: T.DataType) -> str:
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "_vl"
+    if isinstance(dtype, T.DoubleType):
+        return "_vd"
+    if isinstance(dtype, T.TimestampNTZType):
+        return "_vn"
+    if isinstance(dtype, T.TimestampType):
+        return "_vt"
+    return "_vs"
+
+
+def _typed_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, _vl, _vd, _vs, _vn, _vt, cnt)``: one Expand + one partial/final aggregation."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    stack = []
+    for c in columns:
+        slot = _slot(types[c])
+        vals = []
+        for name, t in _SLOTS:
+            if name == slot:
+                vals.append(f"CAST({q(c)} AS {t})")
+            else:
+                vals.append(f"CAST(NULL AS {t})")
+        stack.append(f"{lit_sql(c)}, " + ", ".join(vals))
+    names = ", ".join(["column"] + [n for n, _ in _SLOTS])
+    long = df.selectExpr(f"stack({len(columns)}, {', '.join(stack)}) AS ({names})")
+    present = " OR ".join(f"{n} IS NOT NULL" for n, _ in _SLOTS)
+    return long.where(present).groupBy("column", *[n for n, _ in _SLOTS]).agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value, cnt)`` for the non-null values of ``columns``, in one shuffle.
 
-    Values are compared as text so that columns of different types share one
-    unpivot.  Partial aggregation runs before the exchange.
-    """
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    Values are grouped in their own type and rendered as text after the
+    aggregation, so only distinct values are converted."""
+    counts = _typed_counts(df, columns)
+    text = "coalesce(" + ", ".join(f"CAST({n} AS STRING)" for n, _ in _SLOTS) + ")"
+    return counts.selectExpr("column", f"{text} AS value", "cnt")
 
 
 def frequency_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: non-null rows, distinct values, values seen once, entropy."""
-    freq = value_frequencies(df, columns)
+    freq = _typed_counts(df, columns)
     cnt = F.col("cnt").cast("double")
     return (freq.groupBy("column")
             .agg(F.sum(cnt).alias("n"),

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions import types as TY
 from ..functions.text import DISPLAY_ZONE, format_ts
 from ..session import local_frame
-from .metrics import is_numeric, is_string, value_frequencies
+from .metrics import is_numeric, is_string, lit_sql, q, value_frequencies
 
 # Fixed value: a column gets a histogram when its approximate distinct count is at most this.
 HISTOGRAM_THRESHOLD = 120
@@ -59,26 +59,43 @@ def _stats(c, prefix):
             F.stddev_pop(c).alias(f"{prefix}std"), F.sum(c).alias(f"{prefix}sum")]
 
 
+def _class_sql(c: str) -> str:
+    """SQL twin of :func:`functions.types.value_class` (same prefilter and patterns)."""
+    lead = ", ".join(lit_sql(x) for x in TY._LEADING)
+    return (f"CASE WHEN {c} IS NULL THEN CAST(NULL AS STRING) "
+            f"WHEN NOT substring({c}, 1, 1) IN ({lead}) THEN 'String' "
+            f"WHEN {c} RLIKE {lit_sql(TY.INTEGRAL_PATTERN)} THEN 'Integral' "
+            f"WHEN {c} RLIKE {lit_sql(TY.FRACTIONAL_PATTERN)} THEN 'Fractional' "
+            f"WHEN {c} RLIKE {lit_sql(TY.BOOLEAN_PATTERN)} THEN 'Boolean' ELSE 'String' END")
+
+
+def _stats_sql(v: str, p: str) -> list[str]:
+    return [f"min({v}) AS {p}min", f"max({v}) AS {p}max", f"avg({v}) AS {p}mean",
+            f"stddev_pop({v}) AS {p}std", f"sum({v}) AS {p}sum"]
+
+
 def profile_aggregate(df: DataFrame, fields) -> DataFrame:
-    """Pass 1 as a lazy one-row aggregate (see :func:`profile_columns`)."""
+    """Pass 1 as a lazy one-row aggregate (see :func:`profile_columns`), built as SQL
+    text in two calls whatever the width of the table."""
     # text values are classified once per row in a projection below the aggregate;
     # only values classified as numbers are cast (a failed cast is the slow path)
     cls_cols = {f.name: f"__cls{i}" for i, f in enumerate(fields) if is_string(f.dataType)}
-    src = df.select(*[F.col(f"`{f.name}`") for f in fields],
-                    *[TY.value_class(F.col(f"`{n}`")).alias(a) for n, a in cls_cols.items()])
-    exprs = [F.count(F.lit(1)).alias("n")]
+    src = df.selectExpr(*[q(f.name) for f in fields],
+                        *[f"{_class_sql(q(n))} AS {a}" for n, a in cls_cols.items()])
+    exprs = ["count(1) AS n"]
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
+        c = q(f.name)
         p = f"c{i}_"
-        exprs += [F.count(c).alias(p + "nn"), F.approx_count_distinct(c).alias(p + "ad")]
+        exprs += [f"count({c}) AS {p}nn", f"approx_count_distinct({c}) AS {p}ad"]
         if is_numeric(f.dataType):
-            exprs += _stats(c.cast("double"), p)
+            exprs += _stats_sql(f"CAST({c} AS DOUBLE)", p)
         elif is_string(f.dataType):
-            cls = F.col(cls_cols[f.name])
-            exprs += [F.min(F.length(c)).alias(p + "minlen"), F.max(F.length(c)).alias(p + "maxlen")]
-            exprs += TY.class_counts(c, p, cls)
-            exprs += _stats(F.when(cls.isin(TY.INTEGRAL, TY.FRACTIONAL), c.try_cast("double")), p)
-    return src.agg(*exprs)
+            k = cls_cols[f.name]
+            exprs += [f"min(length({c})) AS {p}minlen", f"max(length({c})) AS {p}maxlen"]
+            exprs += [f"CAST(sum(CASE WHEN {k} = '{name}' THEN 1 ELSE 0 END) AS BIGINT) AS {p}{name}"
+                      for name in (TY.INTEGRAL, TY.FRACTIONAL, TY.BOOLEAN, TY.STRING)]
+            exprs += _stats_sql(f"CASE WHEN {k} IN ('Integral', 'Fractional') THEN try_cast({c} AS DOUBLE) END", p)
+    return src.selectExpr(*exprs)
 
 
 def profile_columns(df: DataFrame, histogram_threshold: int = HISTOGRAM_THRESHOLD,
@@ -86,7 +103,7 @@ def profile_columns(df: DataFrame, histogram_threshold: int = HISTOGRAM_THRESHOL
     """Per-column profile of ``df``."""
     spark = df.sparkSession
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    agg = profile_aggregate(df, fields).first().asDict()   # one row: a few numbers per column
+    agg = profile_aggregate(df, fields).collect()[0].asDict()   # one row: a few numbers per column
     n = int(agg["n"])
     rows = []
     for i, f in enumerate(fields):

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import types as TY
-from ..functions.stats import binomial_lower_bound
+from ..functions.stats import Z_95, binomial_lower_bound  # noqa: F401
+from .metrics import lit_sql
 from .profile import ColumnProfiles
 
 SUGGESTION_FIELDS = ["constraint_name", "column_name", "current_value", "description",
@@ -68,138 +69,144 @@ def f2(c: Column) -> Column:
     return F.format_string("%.2f", c.cast("double"))
 
 
-def _row(rule: str, constraint_name: Column, current_value: Column, description: Column,
-         code: Column, kind: str, values: Column | None = None, threshold: Column | None = None,
-         dtype: Column | None = None) -> list[Column]:
+# Rule rows are rendered as SQL text and submitted with one ``selectExpr`` per rule.
+
+def _f4(x: str) -> str:
+    return f"format_string('%.4f', CAST({x} AS DOUBLE))"
+
+
+def _f2(x: str) -> str:
+    return f"format_string('%.2f', CAST({x} AS DOUBLE))"
+
+
+def _cat(*parts: str) -> str:
+    return "concat(" + ", ".join(parts) + ")"
+
+
+def _lower_sql(p: str, n: str) -> str:
+    """SQL twin of :func:`functions.stats.binomial_lower_bound`."""
+    return (f"(floor(100.0 * (CAST({p} AS DOUBLE) - {Z_95} * sqrt(CAST({p} AS DOUBLE) * (1.0 - CAST({p} AS DOUBLE)) "
+            f"/ CAST({n} AS DOUBLE)))) / 100.0)")
+
+
+def _row_sql(rule: str, constraint_name: str, current_value: str, description: str, code: str, kind: str,
+             values: str | None = None, threshold: str | None = None, dtype: str | None = None) -> list[str]:
     name, text = RULE_TEXT[rule]
-    return [constraint_name.alias("constraint_name"), F.col("column").alias("column_name"),
-            current_value.alias("current_value"), description.alias("description"),
-            F.lit(name).alias("suggesting_rule"), F.lit(text).alias("rule_description"),
-            code.alias("code_for_constraint"), F.lit(kind).alias("kind"),
-            (values if values is not None else F.lit(None).cast("array<string>")).alias("values"),
-            (threshold if threshold is not None else F.lit(1.0)).cast("double").alias("threshold"),
-            (dtype if dtype is not None else F.lit(None).cast("string")).alias("dtype")]
+    return [f"{constraint_name} AS constraint_name", "column AS column_name",
+            f"{current_value} AS current_value", f"{description} AS description",
+            f"{lit_sql(name)} AS suggesting_rule", f"{lit_sql(text)} AS rule_description",
+            f"{code} AS code_for_constraint", f"{lit_sql(kind)} AS kind",
+            f"{values or 'CAST(NULL AS ARRAY<STRING>)'} AS values",
+            f"CAST({threshold or '1.0'} AS DOUBLE) AS threshold",
+            f"{dtype or 'CAST(NULL AS STRING)'} AS dtype"]
 
 
-def _q(c: Column) -> Column:
-    return F.concat(F.lit('"'), c, F.lit('"'))
+_Q = lit_sql("'")
+_DQ = lit_sql('"')
 
 
-def _escape_dq(c: Column) -> Column:
-    return F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+def _dq_list(arr: str) -> str:
+    esc = f"replace(replace(v, {lit_sql(chr(92))}, {lit_sql(chr(92) * 2)}), {_DQ}, {lit_sql(chr(92) + chr(34))})"
+    return f"array_join(transform({arr}, v -> concat({_DQ}, {esc}, {_DQ})), ', ')"
+
+
+def _sq_list(arr: str) -> str:
+    return f"array_join(transform({arr}, v -> concat({_Q}, v, {_Q})), ', ')"
 
 
 def _categorical(profiles: ColumnProfiles, rules) -> list[DataFrame]:
     fr = profiles.frame.where((F.col("data_type") == TY.STRING) & F.col("has_histogram"))
     hist = profiles.histograms.join(F.broadcast(fr.select("column", "n_rows")), "column")
     # a column's histogram holds at most ~HISTOGRAM_THRESHOLD values, so this window is bounded
-    order = Window.partitionBy("column").orderBy(F.col("cnt").desc(), F.col("value").asc())
-    ranked = hist.withColumn("cum_before", F.coalesce(
-        F.sum("cnt").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranked = ranked.withColumn("in_top", F.col("cum_before") < F.lit(FRACTIONAL_COVERAGE) * F.col("n_rows"))
+    ranked = hist.selectExpr(
+        "*", "coalesce(sum(cnt) OVER (PARTITION BY column ORDER BY cnt DESC, value ASC "
+             "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_before")
+    ranked = ranked.selectExpr("*", f"cum_before < {FRACTIONAL_COVERAGE} * n_rows AS in_top")
     per_col = ranked.groupBy("column").agg(
-        F.count(F.lit(1)).alias("bins"),
-        F.sum(F.when(F.col("cnt") == 1, 1).otherwise(0)).alias("singles"),
-        F.first("n_rows").alias("n_rows"),
-        F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("k"), F.col("value").alias("v")))).alias("all"),
-        F.sort_array(F.collect_list(F.when(F.col("in_top"), F.struct((-F.col("cnt")).alias("k"),
-                                                                     F.col("value").alias("v"))))).alias("top"),
-        F.sum(F.when(F.col("in_top"), F.col("cnt")).otherwise(0)).alias("top_cnt"),
-    )
-    per_col = per_col.withColumns({
-        "all_values": F.transform("all", lambda s: s["v"]),
-        "top_values": F.transform("top", lambda s: s["v"]),
-        "singles_ratio": F.col("singles") / F.col("bins"),
-    })
-
-    def lists(col):
-        dq = F.array_join(F.transform(col, lambda v: _q(_escape_dq(v))), ", ")
-        sq = F.array_join(F.transform(col, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", ")
-        return dq, sq
-
+        F.expr("count(1)").alias("bins"),
+        F.expr("sum(CASE WHEN cnt = 1 THEN 1 ELSE 0 END)").alias("singles"),
+        F.expr("first(n_rows)").alias("n_rows"),
+        F.expr("sort_array(collect_list(named_struct('k', -cnt, 'v', value)))").alias("all"),
+        F.expr("sort_array(collect_list(CASE WHEN in_top THEN named_struct('k', -cnt, 'v', value) END))")
+        .alias("top"),
+        F.expr("sum(CASE WHEN in_top THEN cnt ELSE 0 END)").alias("top_cnt"))
+    per_col = per_col.selectExpr("*", "transform(all, s -> s.v) AS all_values",
+                                 "transform(top, s -> s.v) AS top_values",
+                                 "singles / bins AS singles_ratio")
     # R4 and R5 come out of ONE pass over the histogram rows: each column yields an
     # array of (at most two) conditional rule structs, inlined and filtered.
-    cols = [c for c in SUGGESTION_SCHEMA.fieldNames()]
     items = []
+    name = _cat(lit_sql("ContainedInConstraint("), "column", lit_sql(")"))
     if "categorical" in rules:
-        dq, sq = lists(F.col("all_values"))
-        row = _row(
-            "categorical",
-            F.concat(F.lit("ContainedInConstraint("), F.col("column"), F.lit(")")),
-            F.lit("Compliance: 1"),
-            F.concat(F.lit("'"), F.col("column"), F.lit("' has value range "), sq),
-            F.concat(F.lit('.isContainedIn("'), F.col("column"), F.lit('", ['), dq, F.lit("])")),
-            "is_contained_in", values=F.col("all_values"))
-        items.append(F.when(F.col("singles_ratio") <= CATEGORICAL_MAX_SINGLES, F.struct(*row)))
+        row = _row_sql(
+            "categorical", name, lit_sql("Compliance: 1"),
+            _cat(_Q, "column", lit_sql("' has value range "), _sq_list("all_values")),
+            _cat(lit_sql('.isContainedIn("'), "column", lit_sql('", ['), _dq_list("all_values"), lit_sql("])")),
+            "is_contained_in", values="all_values")
+        items.append((f"singles_ratio <= {CATEGORICAL_MAX_SINGLES}", row))
     if "fractional_categorical" in rules:
-        dq, sq = lists(F.col("top_values"))
-        p = F.col("top_cnt") / F.col("n_rows")
-        target = binomial_lower_bound(p, F.col("n_rows"))
-        cond = ((F.col("singles_ratio") <= FRACTIONAL_MAX_SINGLES)
-                & (F.col("top_cnt") >= F.lit(FRACTIONAL_COVERAGE) * F.col("n_rows"))
-                & (F.size("top_values") < F.col("bins")))
-        row = _row(
-            "fractional_categorical",
-            F.concat(F.lit("ContainedInConstraint("), F.col("column"), F.lit(")")),
-            F.concat(F.lit("Compliance: "), f4(p)),
-            F.concat(F.lit("'"), F.col("column"), F.lit("' has value range "), sq,
-                     F.lit(" for at least "), f2(target), F.lit(" of values")),
-            F.concat(F.lit('.isContainedIn("'), F.col("column"), F.lit('", ['), dq,
-                     F.lit("], lambda x: x >= "), f2(target), F.lit(', hint="It should be above '),
-                     f2(target), F.lit('!")')),
-            "is_contained_in", values=F.col("top_values"), threshold=target)
-        items.append(F.when(cond, F.struct(*row)))
+        p = "(top_cnt / n_rows)"
+        target = _lower_sql(p, "n_rows")
+        cond = (f"singles_ratio <= {FRACTIONAL_MAX_SINGLES} AND top_cnt >= {FRACTIONAL_COVERAGE} * n_rows "
+                f"AND size(top_values) < bins")
+        row = _row_sql(
+            "fractional_categorical", name, _cat(lit_sql("Compliance: "), _f4(p)),
+            _cat(_Q, "column", lit_sql("' has value range "), _sq_list("top_values"), lit_sql(" for at least "),
+                 _f2(target), lit_sql(" of values")),
+            _cat(lit_sql('.isContainedIn("'), "column", lit_sql('", ['), _dq_list("top_values"),
+                 lit_sql("], lambda x: x >= "), _f2(target), lit_sql(', hint="It should be above '), _f2(target),
+                 lit_sql('!")')),
+            "is_contained_in", values="top_values", threshold=target)
+        items.append((cond, row))
     if not items:
         return []
-    out = per_col.select(F.inline(F.filter(F.array(*items), lambda x: x.isNotNull()))).select(*cols)
-    return [out]
+    structs = ", ".join(
+        f"CASE WHEN {cond} THEN named_struct("
+        + ", ".join(f"'{e.rsplit(' AS ', 1)[1]}', {e.rsplit(' AS ', 1)[0]}" for e in row) + ") END"
+        for cond, row in items)
+    out = per_col.selectExpr(f"inline(filter(array({structs}), x -> x IS NOT NULL))")
+    return [out.select(*SUGGESTION_SCHEMA.fieldNames())]
 
 
 def suggest_constraints(profiles: ColumnProfiles, rules=DEFAULT_RULES) -> DataFrame:
     """All suggestions as rows (SUGGESTION_SCHEMA)."""
     fr = profiles.frame
-    col = F.col("column")
+    completeness_name = _cat(lit_sql("CompletenessConstraint(Completeness("), "column", lit_sql("))"))
     parts: list[DataFrame] = []
     if "complete" in rules:
-        parts.append(fr.where(F.col("completeness") == 1.0).select(*_row(
-            "complete", F.concat(F.lit("CompletenessConstraint(Completeness("), col, F.lit("))")),
-            F.concat(F.lit("Completeness: "), f4(F.col("completeness"))),
-            F.concat(F.lit("'"), col, F.lit("' is not null")),
-            F.concat(F.lit('.isComplete("'), col, F.lit('")')), "is_complete")))
+        parts.append(fr.where("completeness = 1.0").selectExpr(*_row_sql(
+            "complete", completeness_name, _cat(lit_sql("Completeness: "), _f4("completeness")),
+            _cat(_Q, "column", lit_sql("' is not null")),
+            _cat(lit_sql('.isComplete("'), "column", lit_sql('")')), "is_complete")))
     if "retain_completeness" in rules:
-        target = binomial_lower_bound(F.col("completeness"), F.col("n_rows"))
-        parts.append(fr.where((F.col("completeness") > MIN_COMPLETENESS) & (F.col("completeness") < 1.0))
-                     .select(*_row(
-                         "retain_completeness",
-                         F.concat(F.lit("CompletenessConstraint(Completeness("), col, F.lit("))")),
-                         F.concat(F.lit("Completeness: "), f4(F.col("completeness"))),
-                         F.concat(F.lit("'"), col, F.lit("' has completeness of at least "), f2(target)),
-                         F.concat(F.lit('.hasCompleteness("'), col, F.lit('", lambda x: x >= '), f2(target),
-                                  F.lit(', hint="It should be above '), f2(target), F.lit('!")')),
-                         "has_completeness", threshold=target)))
+        target = _lower_sql("completeness", "n_rows")
+        parts.append(fr.where(f"completeness > {MIN_COMPLETENESS} AND completeness < 1.0").selectExpr(*_row_sql(
+            "retain_completeness", completeness_name, _cat(lit_sql("Completeness: "), _f4("completeness")),
+            _cat(_Q, "column", lit_sql("' has completeness of at least "), _f2(target)),
+            _cat(lit_sql('.hasCompleteness("'), "column", lit_sql('", lambda x: x >= '), _f2(target),
+                 lit_sql(', hint="It should be above '), _f2(target), lit_sql('!")')),
+            "has_completeness", threshold=target)))
     if "retain_type" in rules:
-        parts.append(fr.where(F.col("is_inferred")
-                              & F.col("data_type").isin(TY.INTEGRAL, TY.FRACTIONAL, TY.BOOLEAN)).select(*_row(
-            "retain_type", F.concat(F.lit("DataTypeConstraint("), col, F.lit(","), F.col("data_type"), F.lit(")")),
-            F.concat(F.lit("DataType: "), F.col("data_type")),
-            F.concat(F.lit("'"), col, F.lit("' has type "), F.col("data_type")),
-            F.concat(F.lit('.hasDataType("'), col, F.lit('", ConstrainableDataTypes.'), F.col("data_type"),
-                     F.lit(")")),
-            "has_data_type", dtype=F.col("data_type"))))
+        parts.append(fr.where("is_inferred AND data_type IN ('Integral', 'Fractional', 'Boolean')").selectExpr(
+            *_row_sql("retain_type", _cat(lit_sql("DataTypeConstraint("), "column", lit_sql(","), "data_type",
+                                          lit_sql(")")),
+                      _cat(lit_sql("DataType: "), "data_type"),
+                      _cat(_Q, "column", lit_sql("' has type "), "data_type"),
+                      _cat(lit_sql('.hasDataType("'), "column", lit_sql('", ConstrainableDataTypes.'), "data_type",
+                           lit_sql(")")),
+                      "has_data_type", dtype="data_type")))
     parts += _categorical(profiles, rules)
     if "non_negative" in rules:
-        parts.append(fr.where((F.col("profile_kind") == "numeric") & (F.col("minimum") >= 0)).select(*_row(
-            "non_negative", F.concat(F.lit("NonNegativeConstraint("), col, F.lit(")")),
-            F.concat(F.lit("Minimum: "), f4(F.col("minimum"))),
-            F.concat(F.lit("'"), col, F.lit("' has no negative values")),
-            F.concat(F.lit('.isNonNegative("'), col, F.lit('")')), "is_non_negative")))
+        parts.append(fr.where("profile_kind = 'numeric' AND minimum >= 0").selectExpr(*_row_sql(
+            "non_negative", _cat(lit_sql("NonNegativeConstraint("), "column", lit_sql(")")),
+            _cat(lit_sql("Minimum: "), _f4("minimum")), _cat(_Q, "column", lit_sql("' has no negative values")),
+            _cat(lit_sql('.isNonNegative("'), "column", lit_sql('")')), "is_non_negative")))
     if "unique" in rules:
-        ratio = F.col("approx_distinct") / F.col("n_rows")
-        parts.append(fr.where((F.col("completeness") == 1.0) & (F.abs(1 - ratio) <= UNIQUE_TOLERANCE)).select(*_row(
-            "unique", F.concat(F.lit("UniquenessConstraint("), col, F.lit(")")),
-            F.concat(F.lit("ApproxDistinctness: "), f4(ratio)),
-            F.concat(F.lit("'"), col, F.lit("' is unique")),
-            F.concat(F.lit('.isUnique("'), col, F.lit('")')), "is_unique")))
+        ratio = "(approx_distinct / n_rows)"
+        parts.append(fr.where(f"completeness = 1.0 AND abs(1 - {ratio}) <= {UNIQUE_TOLERANCE}").selectExpr(*_row_sql(
+            "unique", _cat(lit_sql("UniquenessConstraint("), "column", lit_sql(")")),
+            _cat(lit_sql("ApproxDistinctness: "), _f4(ratio)), _cat(_Q, "column", lit_sql("' is unique")),
+            _cat(lit_sql('.isUnique("'), "column", lit_sql('")')), "is_unique")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

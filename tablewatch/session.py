@@ -21,6 +21,7 @@ _DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -54,10 +55,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def _sql_literal(v, dtype) -> str:
+    import datetime as _dt
+    import math
+    t = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(v, bool):
+        return f"CAST({'true' if v else 'false'} AS {t})"
+    if isinstance(v, float) and (math.isnan(v) or math.isinf(v)):
+        return f"CAST('{v}' AS {t})"
+    if isinstance(v, (int, float)):
+        return f"CAST({v!r} AS {t})"
+    if isinstance(v, (_dt.datetime, _dt.date)):
+        return f"CAST('{v.isoformat(sep=' ') if isinstance(v, _dt.datetime) else v.isoformat()}' AS {t})"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {t})"
+
+
 def local_frame(spark: SparkSession, rows, schema):
     """A small frame built from driver-side values (bounded metadata: profile rows,
-    analyzer lists) as literals in the plan: one partition, no RDD of Python rows."""
-    from pyspark.sql import functions as F
+    analyzer lists) as literals in the plan: one partition, no RDD of Python rows,
+    one call to build whatever the number of cells."""
     from pyspark.sql import types as T
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
@@ -66,5 +85,6 @@ def local_frame(spark: SparkSession, rows, schema):
     structs = []
     for r in rows:
         vals = [r[f.name] for f in schema.fields] if isinstance(r, dict) else list(r)
-        structs.append(F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(vals, schema.fields)]))
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+        parts = ", ".join(f"'{f.name}', {_sql_literal(v, f.dataType)}" for v, f in zip(vals, schema.fields))
+        structs.append(f"named_struct({parts})")
+    return spark.range(0, 1, 1, 1).selectExpr(f"inline(array({', '.join(structs)}))")
