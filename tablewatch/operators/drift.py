@@ -60,9 +60,9 @@ class FeatureFrame:
 
 def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] = DEFAULT_EXCLUDE,
                   max_categories: int = MAX_CATEGORIES) -> FeatureFrame:
-    """M1 (P21-P23): numeric columns as doubles, arrays as their size, timestamps as
-    epoch seconds, text as a category index (low cardinality) or a hashed code;
-    other types dropped."""
+    """M1 (P21-P23): numeric columns as doubles, arrays and maps as their size,
+    datetimes as formatted text, text as a category index (low cardinality) or a
+    hashed code; other types dropped."""
     excluded = set(exclude) | {label}
     cols, cat_candidates = [], []
     for f in df.schema.fields:
@@ -74,7 +74,9 @@ def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] =
         elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
             cols.append(F.size(c).cast("double").alias(f.name))
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            cols.append(F.unix_timestamp(c.cast("timestamp")).cast("double").alias(f.name))
+            # Zone dropped, formatted as text, then treated like any text column
+            cols.append(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(f.name))
+            cat_candidates.append(f.name)
         elif is_string(f.dataType):
             cols.append(c.alias(f.name))
             cat_candidates.append(f.name)

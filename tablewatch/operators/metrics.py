@@ -374,3 +374,19 @@ def with_context(metrics: DataFrame, *, ts, table: str, path: str | None = None,
            .withColumn("path", F.lit(path).cast("string"))
            .withColumn("slice_start", F.lit(slice_start).cast("timestamp")))
     return out
+
+
+HISTORY_FIELDS = ["ts", "table", "slice_start", "entity", "instance", "data_type", "metric", "value", "value_str"]
+
+
+def as_history_rows(metrics: DataFrame, source: DataFrame, *, ts, table: str, slice_start=None) -> DataFrame:
+    """Metric rows in the unified history layout
+    ``ts, table, slice_start, entity, instance, data_type, metric, value, value_str``;
+    ``data_type`` is the source column's type (NULL for dataset / multi-column rows)."""
+    types = local_frame(metrics.sparkSession, [(f.name, f.dataType.simpleString()) for f in source.schema.fields],
+                        "instance string, data_type string")
+    out = metrics.join(F.broadcast(types), "instance", "left")   # one row per source column
+    return out.select(F.lit(ts).cast("timestamp").alias("ts"), F.lit(table).alias("table"),
+                      F.lit(slice_start).cast("timestamp").alias("slice_start"), "entity", "instance",
+                      F.when(F.col("entity") == COLUMN, F.col("data_type")).alias("data_type"),
+                      F.col("name").alias("metric"), "value", F.lit(None).cast("string").alias("value_str"))

@@ -38,7 +38,7 @@ def profiling_job(df: DataFrame, table: str, ts_col: str, at, metrics_path: str
     """Hourly profiling: metrics of the hour before ``at``; appended to the history if a path is given."""
     sl = S.slice_previous_hour(df, ts_col, at)
     lo, _ = S.previous_hour_bounds(at)
-    m = M.with_entity_type(M.with_context(M.profile_metrics(sl), ts=at, table=table, slice_start=lo))
+    m = M.as_history_rows(M.profile_metrics(sl), sl, ts=at, table=table, slice_start=lo)
     if metrics_path:
         append_metrics(m, metrics_path)
     return m
@@ -113,12 +113,15 @@ def ingest_job(spark: SparkSession, csv_path: str, schema_path: str, lake_path:
     return out
 
 
-def daily_profile_job(df: DataFrame, ts_col: str, day, profiling_ts, out_dir: str | None = None) -> DataFrame:
-    """One-day slice -> column profile rows; with ``out_dir`` also the profile and the
-    suggestions as JSON documents (K4)."""
+def daily_profile_job(df: DataFrame, ts_col: str, day, profiling_ts, out_dir: str | None = None,
+                      profile_path: str | None = None) -> DataFrame:
+    """One-day slice -> column profile rows, appended to ``profile_path`` (K3); with
+    ``out_dir`` also the profile and the suggestions as JSON documents (K4)."""
     sl = S.slice_day(df, ts_col, day)
     prof = PR.profile_columns(sl)
     rows = PR.profile_rows(prof, profiling_ts, f"{day} 00:00:00")
+    if profile_path:
+        rows.write.mode("append").parquet(profile_path)
     if out_dir:
         write_json_documents(prof.frame, f"{out_dir}/profiling_{day}")
         write_json_documents(SG.suggest_constraints(prof), f"{out_dir}/suggestions_{day}")

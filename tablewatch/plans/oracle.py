@@ -605,3 +605,6 @@ def _stream_profile_sql():
 
 
 ORACLE["stream_profile"] = _stream_profile_sql()
+
+ORACLE["history_distinct"] = (f"SELECT \"table\", instance, round(arg_max(value, ts), 6) AS value FROM {HIST} h "
+                              f"WHERE name = 'ApproxCountDistinct' GROUP BY \"table\", instance")

@@ -652,3 +652,10 @@ def stream_progress(spark, sf_dir):
         spark.streams.removeListener(rec)
     progress, _events = rec.drain()
     return SL.progress_metrics(SL.progress_frame(spark, progress))
+
+
+@query("history_distinct")
+def history_distinct(spark, sf_dir):
+    """Latest approximate distinct count per column of each table."""
+    hist = H.select_series(FX.metric_history(spark, sf_dir), name="ApproxCountDistinct")
+    return H.latest(hist, ["table", "instance"]).select("table", "instance", _r())

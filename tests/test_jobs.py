@@ -32,7 +32,7 @@ def test_profiling_job_appends_history(spark):
     J.profiling_job(ev, "events", "ts", "2024-01-02 05:00:00", path)
     h = spark.read.parquet(path)
     assert h.select("slice_start").distinct().count() == 2
-    assert h.where("name = 'Size'").count() == 2
+    assert h.where("metric = 'Size'").count() == 2
 
 
 def test_drift_job_rows(spark):
@@ -56,3 +56,12 @@ def test_ingest_job(spark):
     daily = J.daily_profile_job(li, "l_shipdate", "1995-03-15", "2024-02-01 00:00:00", f"{base}/docs")
     assert daily.where(F.col("metric") == "Size").count() == 1
     assert spark.read.text(f"{base}/docs/suggestions_1995-03-15").count() > 0
+
+
+def test_history_rows_unified_layout(spark):
+    from tablewatch.operators import metrics as M
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    rows = J.profiling_job(ev, "events", "ts", "2024-01-02 04:00:00")
+    assert rows.columns == M.HISTORY_FIELDS
+    got = {(r.instance, r.metric): r.data_type for r in rows.collect()}
+    assert got[("value", "Mean")] == "double" and got[("*", "Size")] is None

@@ -53,3 +53,12 @@ def test_profile_rows_nan_and_size(spark):
     assert by[("t", "completeness")] == 0.0 and ("t", "mean") not in by
     assert by[("n", "stdDev")] == 0.0
     assert rows[0].profilingTimestamp_Formatted == "2024-01-01 07:00:00"
+
+
+def test_unique_rule_extended_set(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(300)], "k int, g int")
+    s = {(r.suggesting_rule, r.column_name) for r in SG.suggest(df, SG.EXTENDED_RULES).collect()}
+    assert ("UniqueIfApproximatelyUniqueRule()", "k") in s
+    assert ("UniqueIfApproximatelyUniqueRule()", "g") not in s
+    assert not any(r == "UniqueIfApproximatelyUniqueRule()" for r, _ in
+                   {(r.suggesting_rule, r.column_name) for r in SG.suggest(df).collect()})
