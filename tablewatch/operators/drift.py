@@ -28,7 +28,7 @@ from .ranking import running_sums
 from .sampling import stratified_split
 
 # Metric row types / names, default exclusions.
-ML_METRIC, ATTRIBUTION = "ML_Metric", "Attribution"
+ML_METRIC, ATTRIBUTION = "ML_Metric", "SHAP"
 DEFAULT_EXCLUDE = ("label", "date_hour")
 # A text column with more distinct values than this is hashed instead of indexed,
 # so the category vocabulary the driver holds is bounded.
@@ -137,7 +137,7 @@ def detect_drift(labelled: DataFrame, table: str, label: str = "label", exclude:
     attr = attribution(model, scored if attribution_sample is None
                        else scored.sample(attribution_sample, seed), ff.features, vec_inputs)
     attr_rows = attr.select(F.lit(table).alias("table"), F.lit(ATTRIBUTION).alias("type"),
-                            F.col("feature").alias("instance"), F.lit("contribution_mean_abs").alias("metric"),
+                            F.col("feature").alias("instance"), F.lit("shap_mean_abs").alias("metric"),
                             F.col("mean_abs").alias("value"), F.lit(None).cast("string").alias("verdict"))
     return DriftResult(auc_rows.unionByName(attr_rows), scored, gbt_model, ff.features)
 
@@ -184,12 +184,100 @@ def model_trees(gbt_model, spark) -> tuple[list[dict], list[float]]:
     return trees, weights
 
 
+# ---- path-dependent TreeSHAP (Lundberg, Erion & Lee 2018, Algorithm 2), vectorised over rows.
+# The recursion runs over the tree's nodes once per Arrow batch; feature index and zero
+# fraction of a path element are shared by all rows, the one fraction (does the row follow
+# this branch) and the path weights are per-row vectors.
+
+def _extend(d, z, o, w, pz, po, pi):
+    l = len(d)
+    n = po.shape[0]
+    d, z, o = d + [pi], z + [pz], o + [po]
+    w = [x.copy() for x in w] + [np.ones(n) if l == 0 else np.zeros(n)]
+    for i in range(l - 1, -1, -1):
+        w[i + 1] = w[i + 1] + po * w[i] * (i + 1) / (l + 1)
+        w[i] = pz * w[i] * (l - i) / (l + 1)
+    return d, z, o, w
+
+
+def _unwound_sum(z, o, w, k):
+    ud = len(w) - 1
+    ok, zk = o[k], z[k]
+    nz = ok != 0
+    safe_o = np.where(nz, ok, 1.0)
+    nxt = w[ud].copy()
+    total = np.zeros_like(nxt)
+    for i in range(ud - 1, -1, -1):
+        tmp = nxt * (ud + 1) / ((i + 1) * safe_o)
+        zero_part = (w[i] / zk) / ((ud - i) / (ud + 1)) if zk != 0 else np.zeros_like(nxt)
+        total += np.where(nz, tmp, zero_part)
+        nxt = np.where(nz, w[i] - tmp * zk * ((ud - i) / (ud + 1)), nxt)
+    return total
+
+
+def _unwind(d, z, o, w, k):
+    ud = len(w) - 1
+    ok, zk = o[k], z[k]
+    nz = ok != 0
+    safe_o = np.where(nz, ok, 1.0)
+    w = [x.copy() for x in w]
+    nxt = w[ud].copy()
+    for i in range(ud - 1, -1, -1):
+        tmp = w[i]
+        with_one = nxt * (ud + 1) / ((i + 1) * safe_o)
+        with_zero = (w[i] * (ud + 1)) / (zk * (ud - i)) if zk != 0 else np.zeros_like(nxt)
+        w[i] = np.where(nz, with_one, with_zero)
+        nxt = np.where(nz, tmp - w[i] * zk * (ud - i) / (ud + 1), nxt)
+    d = d[:k] + d[k + 1:]
+    z = z[:k] + z[k + 1:]
+    o = o[:k] + o[k + 1:]
+    return d, z, o, w[:ud]
+
+
+def tree_shap(tree: dict, X: np.ndarray, phi: np.ndarray, scale: float = 1.0) -> None:
+    """Add ``scale`` x the exact SHAP values of one tree for the rows of ``X`` to ``phi``."""
+    n = X.shape[0]
+    feat, thr, cats = tree["feature"], tree["threshold"], tree["cats"]
+    left, right, value, cover = tree["left"], tree["right"], tree["value"], tree["cover"]
+
+    def recurse(node, d, z, o, w, pz, po, pi):
+        d, z, o, w = _extend(d, z, o, w, pz, po, pi)
+        if feat[node] < 0:
+            for i in range(1, len(d)):
+                wi = _unwound_sum(z, o, w, i)
+                phi[:, d[i]] += scale * wi * (o[i] - z[i]) * value[node]
+            return
+        f = int(feat[node])
+        x = X[:, f]
+        if cats[node] is not None:
+            go_left = np.isin(x, list(cats[node]))
+        else:
+            go_left = x <= thr[node]          # Spark trees: NaN goes right
+        iz, io = 1.0, np.ones(n)
+        for k in range(1, len(d)):
+            if d[k] == f:
+                iz, io = z[k], o[k]
+                d, z, o, w = _unwind(d, z, o, w, k)
+                break
+        lc, rc = int(left[node]), int(right[node])
+        recurse(lc, d, z, o, w, iz * cover[lc] / cover[node], io * go_left, f)
+        recurse(rc, d, z, o, w, iz * cover[rc] / cover[node], io * (~go_left), f)
+
+    recurse(0, [], [], [], [], 1.0, np.ones(n), -1)
+
+
+def expected_value(tree: dict) -> float:
+    """Cover-weighted mean of the leaf values (the base value of TreeSHAP)."""
+    leaves = tree["feature"] < 0
+    return float((tree["value"][leaves] * tree["cover"][leaves]).sum() / tree["cover"][leaves].sum())
+
+
 def attribution(pipeline_model, scored: DataFrame, features: list[str], vec_inputs: list[str]) -> DataFrame:
-    """Mean absolute per-feature contribution to the margin over the scored
-    rows.  Each tree's contribution of a row is split along its decision path
-    (child value - parent value goes to the split feature), walked level by level
-    for a whole Arrow batch at once.  Trees (bounded by maxIter x 2^maxDepth
-    nodes) are shipped once as a broadcast."""
+    """Mean absolute SHAP value per feature (exact path-dependent TreeSHAP of
+    the GBT margin) over the scored rows.  Arrow batches are processed in
+    ``mapInPandas``; each batch is reduced to one row per feature before it leaves
+    Python.  Trees (bounded by maxIter x 2^(maxDepth+1) nodes) are shipped once as
+    a broadcast."""
     spark = scored.sparkSession
     gbt = pipeline_model.stages[-1]
     indexers = {s.getInputCol(): s for s in pipeline_model.stages if isinstance(s, StringIndexerModel)}
@@ -209,23 +297,7 @@ def attribution(pipeline_model, scored: DataFrame, features: list[str], vec_inpu
             n = len(X)
             phi = np.zeros((n, nfeat))
             for tr, w in zip(trees_, weights_):
-                node = np.zeros(n, dtype=np.int64)
-                active = tr["feature"][node] >= 0
-                while active.any():
-                    idx = np.nonzero(active)[0]
-                    nd = node[idx]
-                    f = tr["feature"][nd]
-                    x = X[idx, f]
-                    # Spark trees send a value left when value <= threshold (NaN goes right)
-                    go_left = x <= tr["threshold"][nd]
-                    cat_nodes = [u for u in np.unique(nd) if tr["cats"][u] is not None]
-                    for u in cat_nodes:   # loop over tree nodes, not rows
-                        m = nd == u
-                        go_left[m] = np.isin(x[m], list(tr["cats"][u]))
-                    child = np.where(go_left, tr["left"][nd], tr["right"][nd])
-                    np.add.at(phi, (idx, f), w * (tr["value"][child] - tr["value"][nd]))
-                    node[idx] = child
-                    active = tr["feature"][node] >= 0
+                tree_shap(tr, X, phi, w)
             # one row per feature per batch: the batch is summed before it leaves Python
             yield pd.DataFrame({"feature_idx": np.arange(nfeat, dtype=np.int64),
                                 "sum_abs": np.abs(phi).sum(axis=0), "n": np.full(nfeat, n, dtype=np.int64)})

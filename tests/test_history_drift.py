@@ -71,3 +71,77 @@ def test_drift_detects_shifted_column(spark):
     assert m[("ML_Metric", None)] > 0.95
     attr = {k[1]: v for k, v in m.items() if k[0] == DR.ATTRIBUTION}
     assert max(attr, key=attr.get) == "shifted"
+
+
+def _random_tree(rng, depth, nfeat):
+    feat, thr, cats, left, right, value, cover = [], [], [], [], [], [], []
+
+    def build(d, cnt):
+        i = len(feat)
+        feat.append(-1); thr.append(0.0); cats.append(None); left.append(-1); right.append(-1)
+        value.append(float(rng.normal())); cover.append(float(cnt))
+        if d < depth and cnt >= 2:
+            f = int(rng.integers(0, nfeat))
+            feat[i] = f
+            if f == nfeat - 1:
+                cats[i] = {0.0, 2.0}
+            else:
+                thr[i] = float(rng.normal())
+            c = int(rng.integers(1, cnt))
+            left[i] = build(d + 1, c)
+            right[i] = build(d + 1, cnt - c)
+        return i
+    build(0, 100)
+    return {"feature": np.array(feat), "threshold": np.array(thr), "cats": cats, "left": np.array(left),
+            "right": np.array(right), "value": np.array(value), "cover": np.array(cover)}
+
+
+def test_tree_shap_matches_brute_force():
+    import itertools
+    import math
+    rng = np.random.default_rng(11)
+    nfeat = 4
+    tree = _random_tree(rng, 4, nfeat)
+
+    def cond_exp(x, S, node=0):
+        f = tree["feature"][node]
+        if f < 0:
+            return tree["value"][node]
+        l, r = tree["left"][node], tree["right"][node]
+        if f in S:
+            go = (x[f] in tree["cats"][node]) if tree["cats"][node] is not None else x[f] <= tree["threshold"][node]
+            return cond_exp(x, S, l if go else r)
+        return (tree["cover"][l] * cond_exp(x, S, l) + tree["cover"][r] * cond_exp(x, S, r)) / tree["cover"][node]
+
+    X = np.column_stack([rng.normal(size=(6, nfeat - 1)), rng.integers(0, 3, 6).astype(float)])
+    phi = np.zeros((6, nfeat))
+    DR.tree_shap(tree, X, phi)
+    for row, x in enumerate(X):
+        for i in range(nfeat):
+            others = [j for j in range(nfeat) if j != i]
+            want = 0.0
+            for r in range(nfeat):
+                for S in itertools.combinations(others, r):
+                    wgt = math.factorial(len(S)) * math.factorial(nfeat - len(S) - 1) / math.factorial(nfeat)
+                    want += wgt * (cond_exp(x, set(S) | {i}) - cond_exp(x, set(S)))
+            assert abs(phi[row, i] - want) < 1e-9
+
+
+def test_shap_additivity_on_spark_gbt(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    rng = np.random.default_rng(5)
+    rows = [(float(a), float(b), int(a + b > 0.3)) for a, b in rng.normal(size=(400, 2))]
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.createDataFrame(rows, "a double, b double, label int"))
+    model = GBTClassifier(maxIter=4, maxDepth=3, seed=1).fit(df)
+    trees, weights = DR.model_trees(model, spark)
+    pdf = model.transform(df).select("a", "b", vector_to_array("rawPrediction")[1].alias("m")).toPandas()
+    X = pdf[["a", "b"]].to_numpy()
+    phi = np.zeros((len(X), 2))
+    base = 0.0
+    for t, w in zip(trees, weights):
+        DR.tree_shap(t, X, phi, w)
+        base += w * DR.expected_value(t)
+    assert np.allclose(phi.sum(axis=1) + base, pdf["m"].to_numpy(), atol=1e-9)
