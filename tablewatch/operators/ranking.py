@@ -89,15 +89,30 @@ def _local_running(keys: list[str], values: list[str], outs: list[str]):
     return run
 
 
+# Inputs with a row count known to be at most this many rows take an ordinary window
+# (one task holds at most this many rows); larger or unknown inputs take the
+# distributed path.  Override with the session conf ``tablewatch.ranking.localRows``.
+LOCAL_ROWS = 1_000_000
+
+
 def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[str, Column],
-                 partition_by: Sequence[str] = (), num_ranges: int | None = None) -> DataFrame:
+                 partition_by: Sequence[str] = (), num_ranges: int | None = None,
+                 known_rows: int | None = None) -> DataFrame:
     """Inclusive running sums of ``values`` (name -> numeric Column) over ``order_by``
     within each ``partition_by`` group.  Returns ``df`` plus one double column per value.
 
     Ties in ``order_by`` are summed in an arbitrary but fixed order; add a
-    tie-break column when ties must be resolved by a rule.
+    tie-break column when ties must be resolved by a rule.  ``known_rows`` (an
+    exact count the caller already has) enables the bounded window path.
     """
     spark = df.sparkSession
+    limit = int(spark.conf.get("tablewatch.ranking.localRows", str(LOCAL_ROWS)))
+    if known_rows is not None and known_rows <= limit:
+        order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
+        w = (Window.partitionBy(*[F.col(k) for k in partition_by]) if partition_by else Window.partitionBy())
+        w = w.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({o: F.sum(F.coalesce(c.cast("double"), F.lit(0.0))).over(w)
+                               for o, c in values.items()})
     ensure_checkpoint_dir(spark)
     P = int(num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = list(partition_by)
@@ -140,8 +155,9 @@ def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[s
 
 
 def global_row_number(df: DataFrame, order_by: Sequence[Column | str], name: str = "rn",
-                      partition_by: Sequence[str] = (), num_ranges: int | None = None) -> DataFrame:
+                      partition_by: Sequence[str] = (), num_ranges: int | None = None,
+                      known_rows: int | None = None) -> DataFrame:
     """Exact ``row_number()`` over ``order_by`` (within ``partition_by``), skew-safe.
     Rows tied on every order key get distinct numbers in an arbitrary order."""
-    out = running_sums(df, order_by, {name: F.lit(1)}, partition_by, num_ranges)
+    out = running_sums(df, order_by, {name: F.lit(1)}, partition_by, num_ranges, known_rows)
     return out.withColumn(name, F.col(name).cast("long"))

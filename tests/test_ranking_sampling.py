@@ -39,3 +39,14 @@ def test_stratified_split_single_class(spark):
     df = spark.range(10).withColumn("label", F.lit(0))
     s = stratified_split(df, "label", 0.2, 1, ["id"])
     assert s.where("is_test").count() == 2
+
+
+def test_window_path_equals_distributed_path(spark):
+    random.seed(3)
+    rows = [(i, random.choice(["a", "b", None]), random.randint(0, 5), random.choice([1.0, None, 2.5]))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k string, o int, v double")
+    dist = running_sums(df, [F.col("o").asc(), "id"], {"c": F.col("v")}, ["k"], num_ranges=4)
+    local = running_sums(df, [F.col("o").asc(), "id"], {"c": F.col("v")}, ["k"], known_rows=300)
+    j = dist.select("id", F.col("c").alias("a")).join(local.select("id", F.col("c").alias("b")), "id")
+    assert j.where(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0
