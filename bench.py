@@ -1,7 +1,7 @@
 """Benchmark the headline queries and print ONE JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_RUNS (timed runs per query, default 3; the median is reported).
+     BENCH_RUNS (timed runs per query, default 5; the median is reported).
 
 Each run forces the full plan with the ``noop`` sink (no collect to the driver).
 """
@@ -24,7 +24,7 @@ HEADLINE = ["profile_lineitem", "profile_events_hour", "entropy_columns", "sugge
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     from tablewatch.plans.queries import QUERIES
     from tablewatch.session import local_session
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="tablewatch-bench")

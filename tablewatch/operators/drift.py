@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import local_frame
 from .history import drift_verdict
 from .metrics import is_numeric, is_string
 from .ranking import running_sums
@@ -29,6 +30,7 @@ from .sampling import stratified_split
 
 # Metric row types / names, default exclusions.
 ML_METRIC, ATTRIBUTION = "ML_Metric", "SHAP"
+INSUFFICIENT = "insufficient_data"
 DEFAULT_EXCLUDE = ("label", "date_hour")
 # A text column with more distinct values than this is hashed instead of indexed,
 # so the category vocabulary the driver holds is bounded.
@@ -110,6 +112,15 @@ def detect_drift(labelled: DataFrame, table: str, label: str = "label", exclude:
     """M2-M6: fit GBT on the train split (test rows drive early stopping), score the
     test split, exact AUC, per-feature attribution rows."""
     spark = labelled.sparkSession
+    # one tiny aggregate (at most two rows): a slice without both classes cannot be split
+    # or fitted, so it yields an AUC row with status insufficient_data instead
+    classes = {int(r[0]): int(r[1]) for r in labelled.groupBy(F.col(label).cast("int")).count().collect()
+               if r[0] is not None}
+    if classes.get(0, 0) < 2 or classes.get(1, 0) < 2:
+        rows = local_frame(spark, [(table, ML_METRIC, None, "roc_auc", None, INSUFFICIENT)],
+                           "table string, type string, instance string, metric string, value double, "
+                           "verdict string")
+        return DriftResult(rows, spark.createDataFrame([], "score double, label double"), None, [])
     ff = feature_frame(labelled, label, exclude)
     split = stratified_split(ff.frame, "label", test_fraction, seed).withColumn("is_test", F.col("is_test"))
     stages = []

@@ -22,8 +22,20 @@ from .slices import _as_datetime, _bound
 SERIES = ["job", "table", "entity", "instance", "name"]
 
 
-def latest(history: DataFrame, keys: Sequence[str] = SERIES, ts: str = "ts", value: str = "value") -> DataFrame:
-    """Last value per series (ties on ts broken by the larger value)."""
+def normalize(history: DataFrame) -> DataFrame:
+    """Accept the unified history layout (``metric`` column) as well as gauge-style
+    rows (``name`` column)."""
+    if "name" not in history.columns and "metric" in history.columns:
+        return history.withColumnRenamed("metric", "name")
+    return history
+
+
+def latest(history: DataFrame, keys: Sequence[str] | None = None, ts: str = "ts",
+           value: str = "value") -> DataFrame:
+    """Last value per series (ties on ts broken by the larger value); default series
+    keys are the label columns of :data:`SERIES` present in ``history``."""
+    history = normalize(history)
+    keys = [k for k in SERIES if k in history.columns] if keys is None else list(keys)
     last = F.max_by(F.struct(F.col(ts).alias("ts"), F.col(value).alias("value")),
                     F.struct(F.col(ts), F.col(value)))
     return history.groupBy(*keys).agg(last.alias("_l")).select(*keys, "_l.ts", "_l.value")
@@ -62,6 +74,7 @@ def select_series(history: DataFrame, **labels) -> DataFrame:
 
 def null_percent(history: DataFrame, keys: Sequence[str] = ("table", "instance")) -> DataFrame:
     """D6 + P25: latest ``1 - Completeness`` per column."""
+    history = normalize(history)
     comp = latest(history.where(F.col("name") == "Completeness"), keys)
     return comp.select(*keys, (F.lit(1.0) - F.col("value")).alias("null_pct"))
 
@@ -75,7 +88,7 @@ def column_counts(history: DataFrame) -> DataFrame:
     """D3 + A22: columns, numeric columns and string columns per table, witnessed by
     Completeness, Maximum and MaxLength rows."""
     inst = F.col("instance")
-    return history.groupBy("table").agg(
+    return normalize(history).groupBy("table").agg(
         F.count_distinct(F.when(F.col("name") == "Completeness", inst)).alias("n_columns"),
         F.count_distinct(F.when(F.col("name") == "Maximum", inst)).alias("n_numeric"),
         F.count_distinct(F.when(F.col("name") == "MaxLength", inst)).alias("n_string"))
@@ -83,6 +96,7 @@ def column_counts(history: DataFrame) -> DataFrame:
 
 def wide(history: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ("table", "instance")) -> DataFrame:
     """Latest value of each metric as its own column (pivot with a fixed value list)."""
+    history = normalize(history)
     last = latest(history.where(F.col("name").isin(list(metrics))), [*keys, "name"])
     return last.groupBy(*keys).pivot("name", list(metrics)).agg(F.first("value"))
 

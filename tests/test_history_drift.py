@@ -145,3 +145,19 @@ def test_shap_additivity_on_spark_gbt(spark):
         DR.tree_shap(t, X, phi, w)
         base += w * DR.expected_value(t)
     assert np.allclose(phi.sum(axis=1) + base, pdf["m"].to_numpy(), atol=1e-9)
+
+
+def test_drift_single_class_is_insufficient(spark):
+    df = spark.createDataFrame([(0, float(i)) for i in range(50)], "label int, x double")
+    rows = DR.detect_drift(df, "t", max_iter=2, max_depth=2).metrics.collect()
+    assert len(rows) == 1 and rows[0].verdict == DR.INSUFFICIENT and rows[0].value is None
+
+
+def test_history_functions_accept_unified_layout(spark):
+    from tablewatch.plans import jobs as J
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = J.profiling_job(ev, "events", "ts", "2024-01-02 04:00:00").unionByName(
+        J.profiling_job(ev, "events", "ts", "2024-01-02 05:00:00"))
+    last = {(r.instance, r.name): r.ts.hour for r in H.latest(rows).collect()}
+    assert last[("*", "Size")] == 5
+    assert H.null_percent(rows).count() == len(ev.columns)

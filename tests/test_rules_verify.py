@@ -60,3 +60,22 @@ def test_verify_kinds(spark):
     assert abs(got["dt"].value - 2 / 3) < 1e-12
     assert got["cp"].constraint_status == "Success" and got["cp"].status_value == 1
     assert got["u"].check_status == "Warning"
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["low", "high", None]), st.integers(0, 4)), min_size=1, max_size=25),
+       st.sampled_from([0.5, 0.8, 1.0]))
+def test_activation_share_property(spark, rules, ratio):
+    rows = [(f"r{i:03d}", "c", "x", lvl, f) for i, (lvl, f) in enumerate(rules)]
+    df = spark.createDataFrame(rows, "constraint_name string, column_name string, code_for_constraint string, "
+                                     "level string, frequency int")
+    got = RL.activate_rules(df, ratio).collect()
+    non_high = [r for r in got if r.level != "high"]
+    assert all(r.active == 1 for r in got if r.level == "high")
+    assert sum(r.active for r in non_high) == int(len(non_high) * ratio)
+    if non_high:
+        cut = min((r.frequency for r in non_high if r.active), default=None)
+        assert all(r.frequency <= cut for r in non_high if not r.active) if cut is not None else True
