@@ -117,15 +117,13 @@ def verify(df: DataFrame, rules: Sequence[Rule], check: str = "tablewatch_check"
 
 
 def _attach(row: DataFrame, piv: DataFrame, cols, uniq) -> DataFrame:
-    """Put the uniqueness values (one small pivoted row) next to the aggregate row.
-
-    Both sides have exactly one row; they are joined on a constant key, which
-    Spark plans as a broadcast of a one-row table."""
-    left = row.withColumn("_k", F.lit(1))
-    right = piv.withColumn("_k", F.lit(1))
-    joined = left.join(F.broadcast(right), "_k", "left")
-    return joined.withColumns({f"_v{i}": F.when(F.col("_n") > 0, F.col(f"`{r.column_name}`"))
-                               for i, r in uniq})
+    """Put the uniqueness values (one small pivoted row) next to the aggregate row
+    without a join: both one-row frames are unioned and collapsed with ``max``."""
+    piv = piv.select(*[F.col(f"`{c}`").alias(f"_u_{i}") for i, c in enumerate(cols)])
+    both = row.unionByName(piv, allowMissingColumns=True)
+    one = both.agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in both.columns])
+    return one.withColumns({f"_v{i}": F.when(F.col("_n") > 0, F.col(f"_u_{cols.index(r.column_name)}"))
+                            for i, r in uniq})
 
 
 def rules_from_frame(rules_df: DataFrame) -> list[Rule]:
