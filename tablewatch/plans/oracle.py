@@ -608,3 +608,17 @@ ORACLE["stream_profile"] = _stream_profile_sql()
 
 ORACLE["history_distinct"] = (f"SELECT \"table\", instance, round(arg_max(value, ts), 6) AS value FROM {HIST} h "
                               f"WHERE name = 'ApproxCountDistinct' GROUP BY \"table\", instance")
+
+
+def _job_profiling_sql():
+    types = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+             "value": "double", "props": "string"}
+    base = _profile_sql(f"{HOUR} s", EVENTS_COLS)
+    dt = "CASE instance " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in types.items()) + " END"
+    return (f"SELECT TIMESTAMP '2024-01-02 04:00:00' AS ts, 'events' AS \"table\", "
+            f"TIMESTAMP '2024-01-02 03:00:00' AS slice_start, entity, instance, "
+            f"CASE WHEN entity = 'Column' THEN {dt} END AS data_type, name AS metric, value, "
+            f"CAST(NULL AS VARCHAR) AS value_str FROM ({base}) q")
+
+
+ORACLE["job_profiling"] = _job_profiling_sql()

@@ -659,3 +659,57 @@ def history_distinct(spark, sf_dir):
     """Latest approximate distinct count per column of each table."""
     hist = H.select_series(FX.metric_history(spark, sf_dir), name="ApproxCountDistinct")
     return H.latest(hist, ["table", "instance"]).select("table", "instance", _r())
+
+
+# ------------------------------------------------------------------ end-to-end jobs
+
+from . import jobs as JB  # noqa: E402
+
+
+@query("job_profiling")
+def job_profiling(spark, sf_dir):
+    """The hourly profiling program: previous-hour slice of events -> schema-driven
+    metrics in the unified history layout (ts, table, slice_start, entity, instance,
+    data_type, metric, value, value_str).  The HLL estimates are left out of the
+    compared rows because no other engine reproduces them; ``approx_distinct_bound``
+    checks them against exact counts."""
+    rows = JB.profiling_job(FX.events_with_holes(spark, sf_dir), "events", "ts", "2024-01-02 04:00:00")
+    return (rows.where(F.col("metric") != "ApproxCountDistinct")
+            .withColumns({"ts": F.col("ts").cast("timestamp_ntz"),
+                          "slice_start": F.col("slice_start").cast("timestamp_ntz"),
+                          "value": F.round("value", 6)}))
+
+
+@query("job_quality_loop")
+def job_quality_loop(spark, sf_dir):
+    """Suggestion program (2 trailing days, merge, activation, publish) followed by the
+    verification program on the next hour (rows-only check: catalog tables)."""
+    from ..sinks import scratch_path
+    import uuid
+    db = f"tw_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'rules-db')}'")
+    ev = FX.events_with_holes(spark, sf_dir)
+    JB.suggestion_job(spark, ev, "events", "ts", "2024-01-10 05:00:00", 2, database=db)
+    return JB.verification_job(spark, ev, "events", "ts", "2024-01-10 05:00:00", database=db)
+
+
+@query("job_ingest")
+def job_ingest(spark, sf_dir):
+    """Ingestion program: lineitem as a CSV drop + schema document -> conformed append
+    (partitioned by return flag) -> data metrics + write statistics (rows-only check:
+    file sizes depend on the writer)."""
+    from ..sinks import scratch_path
+    li = read_table(spark, sf_dir, "lineitem")
+    base = scratch_path(spark, "ingest-job")
+    li.write.option("header", True).csv(f"{base}/drop/lineitem_20240101_0000-0100.csv")
+    spark.createDataFrame([(li.schema.json(),)], "value string").coalesce(1).write.text(f"{base}/schema")
+    return JB.ingest_job(spark, f"{base}/drop/lineitem_20240101_0000-0100.csv", f"{base}/schema",
+                         f"{base}/lake", NOW, metrics_path=f"{base}/metrics", partition_by=("l_returnflag",))
+
+
+@query("job_drift")
+def job_drift(spark, sf_dir):
+    """Drift program: hour 04 of the 29 days before 2024-01-30 and of that day, target
+    day labelled (rows-only check)."""
+    return JB.drift_job(FX.events(spark, sf_dir), "events", "ts", DRIFT_AT, read_days=29,
+                        exclude=("event_id",), max_iter=10, max_depth=4)
