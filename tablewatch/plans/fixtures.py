@@ -66,25 +66,28 @@ FROM events
 # ------------------------------------------------------------------ rules from part
 
 def part_rules(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Rule rows derived from ``part``: ``new`` (p_size <= 30) are fresh suggestions,
-    ``old`` (p_size >= 20) the existing rule table, ``ranked`` the whole table with
-    frequency = p_size.  column_name is NULL on every 5th part key."""
+    """Rule rows derived from the whole ``part`` table: ``new`` are fresh suggestions,
+    ``old`` the existing rule table (its code differs for p_size > 30, so those parts
+    give one new-only and one old-only rule, the rest match), ``ranked`` the whole
+    table with frequency = p_size.  column_name is NULL on every 5th part key."""
     p = read_table(spark, sf_dir, "part")
     name = F.concat(F.lit("rule_"), F.col("p_partkey").cast("string"))
     colname = F.when(F.col("p_partkey") % 5 == 0, F.lit(None)).otherwise(F.col("p_type"))
     code = F.concat(F.lit('.isComplete("'), F.col("p_name"), F.lit('")'))
+    old_code = F.when(F.col("p_size") > 30, F.concat(F.lit('.isUnique("'), F.col("p_name"), F.lit('")'))) \
+        .otherwise(code)
     if kind == "new":
-        return p.where(F.col("p_size") <= 30).select(
+        return p.select(
             name.alias("constraint_name"), colname.alias("column_name"),
             F.concat(F.lit("Size: "), F.col("p_size").cast("string")).alias("current_value"),
             F.col("p_name").alias("description"),
             F.concat(F.lit("R"), (F.col("p_size") % 6).cast("string")).alias("suggesting_rule"),
             F.col("p_brand").alias("rule_description"), code.alias("code_for_constraint"))
     if kind == "old":
-        return p.where(F.col("p_size") >= 20).select(
+        return p.select(
             name.alias("constraint_name"), colname.alias("column_name"), F.lit("old").alias("current_value"),
             F.concat(F.lit("old "), F.col("p_name")).alias("description"), F.lit("old").alias("suggesting_rule"),
-            F.lit("old").alias("rule_description"), code.alias("code_for_constraint"),
+            F.lit("old").alias("rule_description"), old_code.alias("code_for_constraint"),
             F.when(F.col("p_size") % 7 == 0, F.lit("high")).otherwise(F.lit("low")).alias("level"),
             (F.col("p_size") % 5 + 1).cast("int").alias("frequency"), (F.col("p_size") % 2).cast("int").alias("active"),
             F.lit("2024-01-01 00:00:00").cast("timestamp").alias("created_at"),
@@ -104,17 +107,18 @@ SELECT 'rule_' || CAST(p_partkey AS VARCHAR) AS constraint_name,
        'Size: ' || CAST(p_size AS VARCHAR) AS current_value, p_name AS description,
        'R' || CAST(p_size % 6 AS VARCHAR) AS suggesting_rule, p_brand AS rule_description,
        '.isComplete("' || p_name || '")' AS code_for_constraint
-FROM part WHERE p_size <= 30
+FROM part
 """
 PART_OLD_SQL = """
 SELECT 'rule_' || CAST(p_partkey AS VARCHAR) AS constraint_name,
        CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_type END AS column_name,
        'old' AS current_value, 'old ' || p_name AS description, 'old' AS suggesting_rule, 'old' AS rule_description,
-       '.isComplete("' || p_name || '")' AS code_for_constraint,
+       CASE WHEN p_size > 30 THEN '.isUnique("' || p_name || '")' ELSE '.isComplete("' || p_name || '")' END
+         AS code_for_constraint,
        CASE WHEN p_size % 7 = 0 THEN 'high' ELSE 'low' END AS level,
        CAST(p_size % 5 + 1 AS INTEGER) AS frequency, CAST(p_size % 2 AS INTEGER) AS active,
        TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-15 00:00:00' AS updated_at
-FROM part WHERE p_size >= 20
+FROM part
 """
 PART_RANKED_SQL = """
 SELECT 'rule_' || CAST(p_partkey AS VARCHAR) AS constraint_name, p_type AS column_name,
