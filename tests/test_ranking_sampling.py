@@ -50,3 +50,15 @@ def test_window_path_equals_distributed_path(spark):
     local = running_sums(df, [F.col("o").asc(), "id"], {"c": F.col("v")}, ["k"], known_rows=300)
     j = dist.select("id", F.col("c").alias("a")).join(local.select("id", F.col("c").alias("b")), "id")
     assert j.where(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0
+
+
+def test_hot_key_is_spread_over_ranges(spark):
+    n = 120_000
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                               .otherwise((F.col("id") % 100).cast("string")).alias("k"),
+                               (F.col("id") * 7919 % 101).alias("o"))
+    out = running_sums(df, [F.col("o").asc(), "id"], {"c": F.lit(1)}, ["k"], num_ranges=8)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) <= 2 * n / 8            # the key holding a third of the rows is not one task
+    hot = out.where("k = 'hot'").agg(F.max("c").alias("m"), F.count("*").alias("cnt")).collect()[0]
+    assert hot.m == hot.cnt == n // 3
