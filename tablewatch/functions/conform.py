@@ -43,6 +43,9 @@ def conform_to_schema(df: DataFrame, target: T.StructType) -> DataFrame:
 
 def stamp_processing_time(df: DataFrame, ts, name: str = "processing_time") -> DataFrame:
     """Constant run timestamp (passed in, so runs are repeatable)."""
+    import datetime as _dt
+    if isinstance(ts, _dt.datetime):       # as text: keeps its wall clock under any session zone
+        ts = ts.isoformat(sep=" ")
     return df.withColumn(name, F.lit(ts).cast("timestamp"))
 
 

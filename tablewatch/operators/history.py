@@ -143,7 +143,7 @@ def alert_hold(history: DataFrame, breach: Column, hold_seconds: float, series:
                ts: str = "ts") -> DataFrame:
     """Alerts firing: a breach run lasting at least ``hold_seconds``."""
     isl = breach_islands(history, breach, series, ts)
-    dur = (F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(F.col("start").cast("timestamp"))) / 1e6
+    dur = F.expr("timestampdiff(MICROSECOND, `start`, `end`)") / 1e6
     return isl.where(dur >= hold_seconds).withColumn("held_seconds", dur)
 
 
@@ -159,7 +159,7 @@ def rate(history: DataFrame, series: Sequence[str] = SERIES, ts: str = "ts", val
     prev = ranked.select(*series, (F.col("_rn") + 1).alias("_rn"), F.col(ts).alias("_pts"),
                          F.col(value).alias("_pv"))
     j = ranked.join(prev, [*series, "_rn"])
-    secs = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_pts").cast("timestamp"))) / 1e6
+    secs = F.expr(f"timestampdiff(MICROSECOND, `_pts`, `{ts}`)") / 1e6
     return j.select(*series, ts, value, F.try_divide(F.col(value) - F.col("_pv"), secs).alias("rate"))
 
 

@@ -365,14 +365,23 @@ def with_entity_type(metrics: DataFrame) -> DataFrame:
         .when(F.col("entity") == COLUMN, COLUMN).otherwise("unknown"))
 
 
+def ts_lit(v) -> Column:
+    """A run time as a timestamp literal.  Python datetimes go in as text, so the
+    value keeps its wall clock under any session time zone."""
+    import datetime as _dt
+    if isinstance(v, _dt.datetime):
+        v = v.isoformat(sep=" ")
+    return F.lit(v).cast("timestamp")
+
+
 def with_context(metrics: DataFrame, *, ts, table: str, path: str | None = None,
                  slice_start=None) -> DataFrame:
     """Stamp run time, table and (optionally) source path and slice start."""
     out = (metrics
-           .withColumn("ts", F.lit(ts).cast("timestamp"))
+           .withColumn("ts", ts_lit(ts))
            .withColumn("table", F.lit(table))
            .withColumn("path", F.lit(path).cast("string"))
-           .withColumn("slice_start", F.lit(slice_start).cast("timestamp")))
+           .withColumn("slice_start", ts_lit(slice_start)))
     return out
 
 
@@ -386,7 +395,7 @@ def as_history_rows(metrics: DataFrame, source: DataFrame, *, ts, table: str, sl
     types = local_frame(metrics.sparkSession, [(f.name, f.dataType.simpleString()) for f in source.schema.fields],
                         "instance string, data_type string")
     out = metrics.join(F.broadcast(types), "instance", "left")   # one row per source column
-    return out.select(F.lit(ts).cast("timestamp").alias("ts"), F.lit(table).alias("table"),
-                      F.lit(slice_start).cast("timestamp").alias("slice_start"), "entity", "instance",
+    return out.select(ts_lit(ts).alias("ts"), F.lit(table).alias("table"),
+                      ts_lit(slice_start).alias("slice_start"), "entity", "instance",
                       F.when(F.col("entity") == COLUMN, F.col("data_type")).alias("data_type"),
                       F.col("name").alias("metric"), "value", F.lit(None).cast("string").alias("value_str"))

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions import types as TY
 from ..functions.text import DISPLAY_ZONE, format_ts
 from ..session import local_frame
-from .metrics import is_numeric, is_string, lit_sql, q, value_frequencies
+from .metrics import is_numeric, is_string, lit_sql, q, ts_lit, value_frequencies
 
 # Fixed value: a column gets a histogram when its approximate distinct count is at most this.
 HISTOGRAM_THRESHOLD = 120
@@ -195,10 +195,10 @@ def profile_rows(profiles: ColumnProfiles, profiling_ts, data_ts, zone: str = DI
                        "column string, data_type string, metric string, value double")
     rows = per_col.unionByName(size)
     return rows.select(
-        F.lit(profiling_ts).cast("timestamp").alias("profilingTimestamp"),
-        F.lit(data_ts).cast("timestamp").alias("dataTimestamp"),
-        format_ts(F.lit(profiling_ts).cast("timestamp"), zone).alias("profilingTimestamp_Formatted"),
-        format_ts(F.lit(data_ts).cast("timestamp"), zone).alias("dataTimestamp_Formatted"),
+        ts_lit(profiling_ts).alias("profilingTimestamp"),
+        ts_lit(data_ts).alias("dataTimestamp"),
+        format_ts(ts_lit(profiling_ts), zone).alias("profilingTimestamp_Formatted"),
+        format_ts(ts_lit(data_ts), zone).alias("dataTimestamp_Formatted"),
         "column", "data_type", "metric", "value")
 
 

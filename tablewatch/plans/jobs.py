@@ -24,6 +24,7 @@ from ..functions.conform import conform_to_schema, drop_bookkeeping, stamp_proce
 from ..functions.text import table_from_path
 from ..operators import drift as DR
 from ..operators import metrics as M
+from ..operators.metrics import ts_lit
 from ..operators import profile as PR
 from ..operators import rules as RL
 from ..operators import slices as S
@@ -73,7 +74,7 @@ def verification_job(spark: SparkSession, df: DataFrame, table: str, ts_col: str
     _, activated = RL.table_names(table, database)
     rules = V.rules_from_frame(V.read_active_rules(spark.table(activated)))
     res = V.verify(S.slice_previous_hour(df, ts_col, at), rules, check=check)
-    return res.withColumn("table", F.lit(table)).withColumn("ts", F.lit(at).cast("timestamp"))
+    return res.withColumn("table", F.lit(table)).withColumn("ts", ts_lit(at))
 
 
 def drift_job(df: DataFrame, table: str, ts_col: str, at, read_days: int = 3, sample_fraction: float = 1.0,
@@ -98,7 +99,7 @@ def ingest_job(spark: SparkSession, csv_path: str, schema_path: str, lake_path:
     conformed = stamp_processing_time(drop_bookkeeping(conform_to_schema(raw, CSV.load_schema(spark, schema_path))),
                                       ts)
     append_table(conformed, lake_path, partition_by=partition_by)
-    this_commit = F.col("processing_time") == F.lit(ts).cast("timestamp")
+    this_commit = F.col("processing_time") == ts_lit(ts)
     written = spark.read.parquet(lake_path).where(this_commit)
     data_metrics = M.with_entity_type(M.profile_metrics(written)).select(
         F.col("type"), F.col("instance").alias("column"), F.col("name").alias("metric"), "value",
@@ -106,7 +107,7 @@ def ingest_job(spark: SparkSession, csv_path: str, schema_path: str, lake_path:
     stats = CM.file_write_stats(spark, lake_path, partition_cols=partition_by, where=this_commit)
     commit = CM.write_stat_metrics(stats).unionByName(CM.commit_summary_metrics(stats))
     out = (data_metrics.unionByName(commit)
-           .withColumn("ts", F.lit(ts).cast("timestamp")).withColumn("path", F.lit(csv_path))
+           .withColumn("ts", ts_lit(ts)).withColumn("path", F.lit(csv_path))
            .withColumn("table", table_from_path(F.lit(csv_path))))
     if metrics_path:
         append_metrics(out, metrics_path)
