@@ -10,13 +10,16 @@ exact stratified split X2) use this primitive instead:
 2. ``sortWithinPartitions`` + ``mapInPandas`` walk each range once, keeping a
    running sum per segment (a run of equal partition keys) with a carry
    across Arrow batches, so memory is one batch;
-3. the result is checkpointed to the shared checkpoint folder, so the range
+3. the same pass appends, per range, at most two summary rows (first and last
+   segment: keys and totals);
+4. the result is checkpointed to the shared checkpoint folder, so the range
    id of every row is fixed even if an executor is lost later;
-4. the first and last segment of every range (at most 2P rows) give the
-   offset each range must add to its first segment; the offsets (P rows, a
-   size bound known up front) are broadcast back.
+5. the summary rows (at most 2P) give the offset each range must add to its
+   first segment; the offsets (P rows, a size bound known up front) are
+   broadcast back.
 
-Cost: one range shuffle, one pass through Arrow, one checkpoint write.
+Cost: one range shuffle, one pass through Arrow, one checkpoint write and two
+reads of it.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-_PID, _SEG, _RN = "_rs_pid", "_rs_seg", "_rs_rn"
+_PID, _SEG, _RN, _KIND = "_rs_pid", "_rs_seg", "_rs_rn", "_rs_kind"
 
 
 def _same(a, b) -> bool:
@@ -40,12 +43,17 @@ def _same(a, b) -> bool:
     return a == b
 
 
-def _local_running(keys: list[str], values: list[str], outs: list[str]):
+def _local_running(keys: list[str], values: list[str], outs: list[str], columns: list[str]):
+    """Per range: running sums per segment with a carry across batches, then at most
+    two summary rows (kind 1: first segment, 2: last segment, 3: both) holding the
+    segment keys and totals, so offsets need no second pass over the data."""
     def run(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         carry = np.zeros(len(values), dtype="float64")
         carry_key = None
+        first_key = None
+        first_tot = np.zeros(len(values), dtype="float64")
         seg_base = 0
         rn_base = 0
         for pdf in batches:
@@ -59,9 +67,10 @@ def _local_running(keys: list[str], values: list[str], outs: list[str]):
                     prev = col.shift()
                     diff = (col != prev) & ~(col.isna() & prev.isna())
                     change |= diff.to_numpy(dtype=bool)
-                first_key = tuple(None if pd.isna(x) else x for x in pdf[keys].iloc[0].tolist())
-                first_continues = carry_key is not None and all(
-                    _same(x, y) for x, y in zip(carry_key, first_key))
+                head = tuple(None if pd.isna(x) else x for x in pdf[keys].iloc[0].tolist())
+                if first_key is None:
+                    first_key = head
+                first_continues = carry_key is not None and all(_same(x, y) for x, y in zip(carry_key, head))
                 change[0] = (not first_continues) and rn_base > 0
                 seg_local = np.cumsum(change)
                 seg = seg_base + seg_local
@@ -70,7 +79,9 @@ def _local_running(keys: list[str], values: list[str], outs: list[str]):
                 seg_local = np.zeros(n, dtype=np.int64)
                 seg = np.zeros(n, dtype=np.int64)
                 first_continues = True
+                first_key = ()
             out = pdf.copy()
+            in_first = seg == 0
             for j, (v, o) in enumerate(zip(values, outs)):
                 x = pdf[v].astype("float64").fillna(0.0).to_numpy()
                 grp = pd.Series(x).groupby(seg_local).cumsum().to_numpy()
@@ -78,14 +89,32 @@ def _local_running(keys: list[str], values: list[str], outs: list[str]):
                 if first_continues or not keys:
                     grp = np.where(seg_local == 0, grp + carry[j], grp)
                 out[o] = grp
-                last_seg_mask = seg_local == seg_local[-1]
-                carry[j] = grp[last_seg_mask][-1]
+                carry[j] = grp[-1]
+                if in_first.any():
+                    first_tot[j] = grp[in_first][-1]
             out[_PID] = pid
             out[_SEG] = seg.astype("int64")
             out[_RN] = np.arange(rn_base, rn_base + n, dtype="int64")
+            out[_KIND] = 0
             seg_base = int(seg[-1])
             rn_base += n
             yield out
+        if rn_base == 0:
+            return
+        rows = []
+        if seg_base == 0:
+            rows.append((3, 0, first_key, carry))
+        else:
+            rows.append((1, 0, first_key, first_tot))
+            rows.append((2, seg_base, carry_key if keys else (), carry))
+        recs = []
+        for kind, seg_id, key, tot in rows:
+            rec = {c: None for c in columns}
+            rec.update(dict(zip(keys, key)))
+            rec.update({o: float(t) for o, t in zip(outs, tot)})
+            rec.update({_PID: pid, _SEG: seg_id, _RN: -1, _KIND: kind})
+            recs.append(rec)
+        yield pd.DataFrame.from_records(recs, columns=[*columns, *outs, _PID, _SEG, _RN, _KIND])
     return run
 
 
@@ -122,35 +151,30 @@ def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[s
     sort_exprs = [F.col(k).asc_nulls_first() for k in keys] + order_cols
     base = df.withColumns(tmp_values)
     ranged = base.repartitionByRange(P, *sort_exprs).sortWithinPartitions(*sort_exprs)
-    schema = T.StructType(base.schema.fields
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in base.schema.fields]
                           + [T.StructField(o, T.DoubleType()) for o in outs]
                           + [T.StructField(_PID, T.IntegerType()), T.StructField(_SEG, T.LongType()),
-                             T.StructField(_RN, T.LongType())])
-    local = ranged.mapInPandas(_local_running(keys, list(tmp_values), outs), schema).checkpoint(eager=True)
-
-    # boundary segments: first (seg == min) and last (seg == max) of each range
-    per_range = local.groupBy(_PID).agg(F.min(_SEG).alias("_first"), F.max(_SEG).alias("_last"))
-    edges = (local.join(F.broadcast(per_range), _PID)
-             .where((F.col(_SEG) == F.col("_first")) | (F.col(_SEG) == F.col("_last")))
-             .groupBy(_PID, _SEG, *keys)
-             .agg(*[F.max_by(F.col(o), F.col(_RN)).alias(o) for o in outs],
-                  F.first("_first").alias("_first"), F.first("_last").alias("_last")))
-    # at most 2P rows: ranges' first segments receive the totals of the same key in earlier ranges
-    firsts = edges.where(F.col(_SEG) == F.col("_first")).select(
-        _PID, *keys, F.lit(0).alias("_mark"), *[F.lit(0.0).alias(o) for o in outs])
-    lasts = edges.where(F.col(_SEG) == F.col("_last")).select(
-        _PID, *keys, F.lit(1).alias("_mark"), *[F.col(o) for o in outs])
+                             T.StructField(_RN, T.LongType()), T.StructField(_KIND, T.IntegerType())])
+    walk = _local_running(keys, list(tmp_values), outs, base.columns)
+    local = ranged.mapInPandas(walk, schema).checkpoint(eager=True)
+
+    # at most 2P summary rows: each range's first segment receives the totals of the same
+    # key in earlier ranges (those are necessarily the last segments of those ranges)
+    summ = local.where(F.col(_KIND) > 0)
+    firsts = summ.where(F.col(_KIND).isin(1, 3)).select(
+        _PID, *keys, F.lit(0).alias("_mark"), F.col(_SEG).alias("_first"), *[F.lit(0.0).alias(o) for o in outs])
+    lasts = summ.where(F.col(_KIND).isin(2, 3)).select(
+        _PID, *keys, F.lit(1).alias("_mark"), F.lit(None).cast("long").alias("_first"), *[F.col(o) for o in outs])
     w = (Window.partitionBy(*[F.col(k) for k in keys]) if keys else Window.partitionBy(F.lit(0)))\
         .orderBy(_PID, "_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = (firsts.unionByName(lasts)
-               .select(_PID, "_mark", *[F.sum(o).over(w).alias(f"_off_{o}") for o in outs])
+               .select(_PID, "_mark", "_first", *[F.sum(o).over(w).alias(f"_off_{o}") for o in outs])
                .where(F.col("_mark") == 0).drop("_mark"))
-    offsets = offsets.join(F.broadcast(per_range.select(_PID, "_first")), _PID)
-    out = local.join(F.broadcast(offsets), _PID, "left")
+    out = local.where(F.col(_KIND) == 0).join(F.broadcast(offsets), _PID, "left")
     adjusted = {o: F.col(o) + F.when(F.col(_SEG) == F.col("_first"), F.col(f"_off_{o}")).otherwise(0.0)
                 for o in outs}
     out = out.withColumns(adjusted)
-    drop = [_PID, _SEG, _RN, "_first", *tmp_values, *[f"_off_{o}" for o in outs]]
+    drop = [_PID, _SEG, _RN, _KIND, "_first", *tmp_values, *[f"_off_{o}" for o in outs]]
     return out.drop(*drop)
 
 

@@ -62,3 +62,19 @@ def test_hot_key_is_spread_over_ranges(spark):
     assert max(sizes) <= 2 * n / 8            # the key holding a third of the rows is not one task
     hot = out.where("k = 'hot'").agg(F.max("c").alias("m"), F.count("*").alias("cnt")).collect()[0]
     assert hot.m == hot.cnt == n // 3
+
+
+def test_running_sums_across_small_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        random.seed(9)
+        rows = [(i, random.choice(["a", "a", "a", "b", None]), random.randint(0, 30), random.random())
+                for i in range(2000)]
+        df = spark.createDataFrame(rows, "id long, k string, o int, v double")
+        got = running_sums(df, [F.col("o").asc(), "id"], {"cv": F.col("v")}, ["k"], num_ranges=5)
+        w = Window.partitionBy("k").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)
+        ref = df.select("id", F.sum("v").over(w).alias("rv"))
+        assert got.count() == 2000
+        assert got.join(ref, "id").where(F.abs(F.col("cv") - F.col("rv")) > 1e-9).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
