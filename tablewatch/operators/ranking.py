@@ -161,13 +161,17 @@ def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[s
     # at most 2P summary rows: each range's first segment receives the totals of the same
     # key in earlier ranges (those are necessarily the last segments of those ranges)
     summ = local.where(F.col(_KIND) > 0)
-    firsts = summ.where(F.col(_KIND).isin(1, 3)).select(
-        _PID, *keys, F.lit(0).alias("_mark"), F.col(_SEG).alias("_first"), *[F.lit(0.0).alias(o) for o in outs])
-    lasts = summ.where(F.col(_KIND).isin(2, 3)).select(
-        _PID, *keys, F.lit(1).alias("_mark"), F.lit(None).cast("long").alias("_first"), *[F.col(o) for o in outs])
+    # each summary row plays the "first segment" role, the "last segment" role or both
+    first_role = F.struct(F.lit(0).alias("_mark"), F.col(_SEG).alias("_first"),
+                          *[F.lit(0.0).alias(o) for o in outs])
+    last_role = F.struct(F.lit(1).alias("_mark"), F.lit(None).cast("long").alias("_first"),
+                         *[F.col(o).alias(o) for o in outs])
+    roles = F.filter(F.array(F.when(F.col(_KIND).isin(1, 3), first_role),
+                             F.when(F.col(_KIND).isin(2, 3), last_role)), lambda x: x.isNotNull())
+    edges = summ.select(_PID, *keys, F.inline(roles))
     w = (Window.partitionBy(*[F.col(k) for k in keys]) if keys else Window.partitionBy(F.lit(0)))\
         .orderBy(_PID, "_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = (firsts.unionByName(lasts)
+    offsets = (edges
                .select(_PID, "_mark", "_first", *[F.sum(o).over(w).alias(f"_off_{o}") for o in outs])
                .where(F.col("_mark") == 0).drop("_mark"))
     out = local.where(F.col(_KIND) == 0).join(F.broadcast(offsets), _PID, "left")

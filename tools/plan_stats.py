@@ -22,6 +22,7 @@ from tablewatch.session import local_session  # noqa: E402
 
 def plan_counts(df) -> dict:
     plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]          # AQE prints the final plan first
     return {
         "scans": len(re.findall(r"FileScan parquet", plan)),
         "checkpoint_reads": len(re.findall(r"Scan ExistingRDD|LogicalRDD", plan)),
