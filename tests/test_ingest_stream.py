@@ -90,3 +90,17 @@ def test_stream_batches_sum_and_restart_adds_nothing(spark):
     assert len(progress) >= 3 and any(e[0] == "started" for e in events)
     flat = SL.progress_metrics(SL.progress_frame(spark, progress))
     assert flat.where("instance = 'numInputRows'").agg(F.sum("value")).first()[0] == ev.count()
+
+
+def test_stream_data_append_is_replay_safe(spark):
+    base = scratch_path(spark, "t-stream-data")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.select(F.to_json(F.struct(*ev.columns)).alias("value")).repartition(2).write.text(f"{base}/in")
+    s = SMON.read_json_stream(spark, f"{base}/in", ev.schema, max_files_per_trigger=1)
+    run = SMON.batch_metrics_fn(f"{base}/m", lambda b: [M.Size()], data_path=f"{base}/data")
+    batch = spark.read.schema(ev.schema).json(f"{base}/in")
+    run(batch, 0)
+    run(batch, 0)                                   # the same batch replayed
+    assert spark.read.parquet(f"{base}/data").count() == ev.count()
+    assert spark.read.parquet(f"{base}/m").where("name = 'Size'").count() == 1
+    del s
