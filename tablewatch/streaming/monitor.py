@@ -20,6 +20,44 @@ from ..operators import metrics as M
 from ..sinks import replace_batch
 
 
+# The smart-home event stream's schema, correlation pairs and compliance
+# rules (rule name, SQL predicate) measured on every micro-batch.
+SMART_HOME_SCHEMA = (
+    "timestamp timestamp, home_id int, device_id string, device_type string, room string, status string, "
+    "power_watt double, user_present int, activity string, indoor_temp double, outdoor_temp double, "
+    "humidity double, light_level double, day_of_week int, hour_of_day int, price_kWh int")
+SMART_HOME_CORRELATIONS = [("indoor_temp", "outdoor_temp"), ("indoor_temp", "humidity"), ("outdoor_temp", "humidity")]
+SMART_HOME_RULES = [
+    ("valid_status", "status IN ('on', 'off')"),
+    ("power_watt_positive", "power_watt >= 0"),
+    ("indoor_temp_range", "indoor_temp >= -10 AND indoor_temp <= 50"),
+    ("outdoor_temp_range", "outdoor_temp >= -30 AND outdoor_temp <= 60"),
+    ("humidity_percentage", "humidity >= 0 AND humidity <= 50"),
+    ("day_of_week_range", "day_of_week >= 0 AND day_of_week <= 6"),
+    ("hour_of_day_range", "hour_of_day >= 0 AND hour_of_day <= 23"),
+    ("device_type_not_null", "device_type IS NOT NULL AND device_type != ''"),
+    ("activity_valid", "activity IS NOT NULL AND length(activity) > 0"),
+    ("price_kWh_positive", "price_kWh >= 0"),
+]
+
+
+def stream_analyzers(batch: DataFrame, correlations=(), rules=()) -> list:
+    """The per-micro-batch metric set: Size; per column Completeness,
+    ApproxCountDistinct and Entropy; numeric Minimum, Maximum, Mean, Sum,
+    StandardDeviation; text MaxLength, MinLength; plus correlations of the given
+    pairs and compliance of the given rules whose columns exist in the batch."""
+    cols = set(batch.columns)
+    out = M.default_analyzers(batch, std_dev=True, entropy=True)
+    out += [M.Correlation(a, b) for a, b in correlations if a in cols and b in cols]
+    out += [M.Compliance(n, p) for n, p in rules]
+    return out
+
+
+def smart_home_analyzers(batch: DataFrame) -> list:
+    """The metric set of the smart-home event stream."""
+    return stream_analyzers(batch, SMART_HOME_CORRELATIONS, SMART_HOME_RULES)
+
+
 def read_json_stream(spark: SparkSession, path: str, schema: T.StructType | str,
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """S5 (file form): JSON text lines from a folder, parsed with a fixed schema."""
@@ -50,7 +88,7 @@ def batch_metrics_fn(metrics_path: str, analyzers: Callable[[DataFrame], list] |
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            chosen = analyzers(batch) if analyzers else M.default_analyzers(batch, std_dev=True)
+            chosen = analyzers(batch) if analyzers else stream_analyzers(batch)
             m = M.run_analyzers(batch, chosen).withColumn("table", F.lit(table))
             replace_batch(m, metrics_path, batch_id)
             if data_path:

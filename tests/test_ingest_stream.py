@@ -104,3 +104,20 @@ def test_stream_data_append_is_replay_safe(spark):
     assert spark.read.parquet(f"{base}/data").count() == ev.count()
     assert spark.read.parquet(f"{base}/m").where("name = 'Size'").count() == 1
     del s
+
+
+def test_smart_home_batch_metrics(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 1, 0, i), 1, f"d{i}", "lamp" if i % 2 else "", "kitchen",
+             "on" if i % 3 else "broken", float(i * 10 - 5), 1, "cook" if i else None, 20.0 + i, 5.0 - i,
+             30.0 + 10 * i, 100.0, i + 2, i, 3) for i in range(6)]
+    batch = spark.createDataFrame(rows, SMON.SMART_HOME_SCHEMA)
+    got = {(r.instance, r.name): r.value for r in M.run_analyzers(batch, SMON.smart_home_analyzers(batch)).collect()}
+    assert got[("valid_status", "Compliance")] == 4 / 6
+    assert got[("power_watt_positive", "Compliance")] == 5 / 6
+    assert got[("humidity_percentage", "Compliance")] == 3 / 6
+    assert got[("day_of_week_range", "Compliance")] == 5 / 6
+    assert got[("device_type_not_null", "Compliance")] == 3 / 6
+    assert got[("activity_valid", "Compliance")] == 5 / 6
+    assert abs(got[("indoor_temp,outdoor_temp", "Correlation")] + 1.0) < 1e-12
+    assert abs(got[("room", "Entropy")]) < 1e-12 and ("power_watt", "StandardDeviation") in got
