@@ -207,6 +207,8 @@ def suggest_constraints(profiles: ColumnProfiles, rules=DEFAULT_RULES) -> DataFr
             "unique", _cat(lit_sql("UniquenessConstraint("), "column", lit_sql(")")),
             _cat(lit_sql("ApproxDistinctness: "), _f4(ratio)), _cat(_Q, "column", lit_sql("' is unique")),
             _cat(lit_sql('.isUnique("'), "column", lit_sql('")')), "is_unique")))
+    if not parts:
+        return fr.sparkSession.createDataFrame([], SUGGESTION_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -40,6 +40,11 @@ def write_json_documents(df: DataFrame, path: str, mode: str = "overwrite") -> N
     df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")).write.mode(mode).text(path)
 
 
+def write_exposition(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K5: the labelled text exposition (one ``name{labels} value`` line per row) as text files."""
+    lines.select("line").write.mode(mode).text(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder inside the shared checkpoint folder (never a machine-local temp dir)."""
     import uuid

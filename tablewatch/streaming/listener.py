@@ -47,6 +47,11 @@ class ProgressRecorder(StreamingQueryListener):
         return p, e
 
 
+def events_frame(spark: SparkSession, events: list[tuple[str, str, str]]) -> DataFrame:
+    """Recorded start / terminate events as rows (event, query id, query name)."""
+    return spark.createDataFrame(events, "event string, query_id string, query_name string")
+
+
 def progress_frame(spark: SparkSession, progress_json: list[str]) -> DataFrame:
     """Recorded progress documents as rows (one per micro-batch)."""
     return spark.createDataFrame([(i, j) for i, j in enumerate(progress_json)], "seq long, json string")

@@ -161,3 +161,12 @@ def test_history_functions_accept_unified_layout(spark):
     last = {(r.instance, r.name): r.ts.hour for r in H.latest(rows).collect()}
     assert last[("*", "Size")] == 5
     assert H.null_percent(rows).count() == len(ev.columns)
+
+
+def test_exposition_written_as_text(spark):
+    from tablewatch.sinks import scratch_path, write_exposition
+    df = spark.createDataFrame([("t1", 0.25), ("t2", 1.0)], "table string, value double")
+    path = scratch_path(spark, "expo")
+    write_exposition(H.exposition(df, F.lit("dq"), ["table"]), path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ['dq{table="t1"} 0.250000',
+                                                                      'dq{table="t2"} 1.000000']

@@ -88,6 +88,7 @@ def test_stream_batches_sum_and_restart_adds_nothing(spark):
     spark.streams.removeListener(rec)
     progress, events = rec.drain()
     assert len(progress) >= 3 and any(e[0] == "started" for e in events)
+    assert SL.events_frame(spark, events).where("event = 'terminated'").count() >= 1
     flat = SL.progress_metrics(SL.progress_frame(spark, progress))
     assert flat.where("instance = 'numInputRows'").agg(F.sum("value")).first()[0] == ev.count()
 

@@ -62,3 +62,8 @@ def test_unique_rule_extended_set(spark):
     assert ("UniqueIfApproximatelyUniqueRule()", "g") not in s
     assert not any(r == "UniqueIfApproximatelyUniqueRule()" for r, _ in
                    {(r.suggesting_rule, r.column_name) for r in SG.suggest(df).collect()})
+
+
+def test_no_rules_selected_gives_empty_frame(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    assert SG.suggest(df, rules=()).count() == 0
