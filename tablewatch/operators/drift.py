@@ -293,7 +293,12 @@ def attribution(pipeline_model, scored: DataFrame, features: list[str], vec_inpu
     gbt = pipeline_model.stages[-1]
     indexers = {s.getInputCol(): s for s in pipeline_model.stages if isinstance(s, StringIndexerModel)}
     trees, weights = model_trees(gbt, spark)
-    bc = spark.sparkContext.broadcast((trees, weights))
+    try:
+        bc = spark.sparkContext.broadcast((trees, weights))
+    except Exception:                      # remote session: ship the (bounded) trees with the function
+        class _Local:
+            value = (trees, weights)
+        bc = _Local()
     nfeat = len(features)
     # index text features the same way the model saw them
     frame = scored

@@ -44,11 +44,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the session and never overridden.  Only when it is unset (local tests) a
     scratch folder is made.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:                      # a remote (Connect) session: the server owns the folder
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="tablewatch-ckpt-")
     sc.setCheckpointDir(conf_dir)
