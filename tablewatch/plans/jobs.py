@@ -82,6 +82,8 @@ def drift_job(df: DataFrame, table: str, ts_col: str, at, read_days: int = 3, sa
               max_depth: int = 10) -> DataFrame:
     """Same hour on the previous ``read_days`` days and the run day, target day labelled 1."""
     from ..operators.sampling import sample_by_label
+    if isinstance(exclude, str):           # "a, b" as given in a job configuration
+        exclude = tuple(x.strip() for x in exclude.split(",") if x.strip())
     sl = S.slice_same_hour_labelled(df, ts_col, at, read_days)
     sl = sample_by_label(sl, "label", sample_fraction, seed)
     res = DR.detect_drift(sl, table, exclude=("label", ts_col, *DR.DEFAULT_EXCLUDE, *exclude),

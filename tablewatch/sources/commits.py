@@ -24,7 +24,12 @@ def file_write_stats(spark: SparkSession, path: str, fmt: str = "parquet",
                      partition_cols: tuple[str, ...] = (), where=None) -> DataFrame:
     """Per data file: partition path, file, rows written, size (inserts only: append writes).
     ``where`` selects the files of one commit, e.g. ``processing_time = <run time>``."""
-    df = spark.read.format(fmt).load(path)
+    try:
+        df = spark.read.format(fmt).load(path)
+    except Exception as e:                 # nothing written yet: no commit, no statistics
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return spark.createDataFrame([], WRITE_STATS_SCHEMA)
+        raise
     if where is not None:
         df = df.where(where)
     part = (F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_cols])

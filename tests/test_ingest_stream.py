@@ -122,3 +122,8 @@ def test_smart_home_batch_metrics(spark):
     assert got[("activity_valid", "Compliance")] == 5 / 6
     assert abs(got[("indoor_temp,outdoor_temp", "Correlation")] + 1.0) < 1e-12
     assert abs(got[("room", "Entropy")]) < 1e-12 and ("power_watt", "StandardDeviation") in got
+
+
+def test_write_stats_of_missing_table_are_empty(spark):
+    stats = CM.file_write_stats(spark, scratch_path(spark, "never-written"))
+    assert stats.count() == 0 and CM.write_stat_metrics(stats).count() == 0
