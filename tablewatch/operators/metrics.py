@@ -35,8 +35,6 @@ COLUMN = "Column"
 MULTICOLUMN = "Multicolumn"
 
 
-def _ratio(num: Column, den: Column) -> Column:
-    return F.try_divide(num.cast("double"), den.cast("double"))
 
 
 def q(name: str) -> str:

@@ -11,12 +11,12 @@ dispatches on; the code text is never evaluated.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import types as TY
-from ..functions.stats import Z_95, binomial_lower_bound  # noqa: F401
+from ..functions.stats import Z_95
 from .metrics import lit_sql
 from .profile import ColumnProfiles
 
