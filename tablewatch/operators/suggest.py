@@ -117,22 +117,22 @@ def _sq_list(arr: str) -> str:
 def _categorical(profiles: ColumnProfiles, rules) -> list[DataFrame]:
     fr = profiles.frame.where((F.col("data_type") == TY.STRING) & F.col("has_histogram"))
     hist = profiles.histograms.join(F.broadcast(fr.select("column", "n_rows")), "column")
-    # a column's histogram holds at most ~HISTOGRAM_THRESHOLD values, so this window is bounded
-    ranked = hist.selectExpr(
-        "*", "coalesce(sum(cnt) OVER (PARTITION BY column ORDER BY cnt DESC, value ASC "
-             "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_before")
-    ranked = ranked.selectExpr("*", f"cum_before < {FRACTIONAL_COVERAGE} * n_rows AS in_top")
-    per_col = ranked.groupBy("column").agg(
+    # one group per column (at most ~HISTOGRAM_THRESHOLD values): the values are collected
+    # sorted (most frequent first, ties by value) and the running coverage is computed on
+    # that bounded array, so no window / extra shuffle is needed
+    per_col = hist.groupBy("column").agg(
         F.expr("count(1)").alias("bins"),
         F.expr("sum(CASE WHEN cnt = 1 THEN 1 ELSE 0 END)").alias("singles"),
         F.expr("first(n_rows)").alias("n_rows"),
-        F.expr("sort_array(collect_list(named_struct('k', -cnt, 'v', value)))").alias("all"),
-        F.expr("sort_array(collect_list(CASE WHEN in_top THEN named_struct('k', -cnt, 'v', value) END))")
-        .alias("top"),
-        F.expr("sum(CASE WHEN in_top THEN cnt ELSE 0 END)").alias("top_cnt"))
-    per_col = per_col.selectExpr("*", "transform(all, s -> s.v) AS all_values",
-                                 "transform(top, s -> s.v) AS top_values",
-                                 "singles / bins AS singles_ratio")
+        F.expr("sort_array(collect_list(named_struct('k', -cnt, 'v', value)))").alias("all"))
+    per_col = per_col.selectExpr(
+        "*", "transform(all, s -> s.v) AS all_values",
+        f"filter(transform(all, (s, i) -> named_struct('v', s.v, 'c', -s.k, 'before', "
+        f"aggregate(slice(all, 1, i), 0L, (acc, y) -> acc - y.k))), "
+        f"e -> e.before < {FRACTIONAL_COVERAGE} * n_rows) AS top",
+        "singles / bins AS singles_ratio")
+    per_col = per_col.selectExpr("*", "transform(top, e -> e.v) AS top_values",
+                                 "aggregate(top, 0L, (acc, e) -> acc + e.c) AS top_cnt")
     # R4 and R5 come out of ONE pass over the histogram rows: each column yields an
     # array of (at most two) conditional rule structs, inlined and filtered.
     items = []
