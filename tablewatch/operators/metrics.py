@@ -2,14 +2,14 @@
 
 Every analyzer is either
 
-* a *scan* analyzer: one aggregate expression.  All scan analyzers of a run
-  are put in a single ``df.agg(...)`` so the table is read once and Spark
-  plans a partial (map-side) + final HashAggregate; or
+* a *scan* analyzer: one aggregate expression (rendered as SQL text).  All
+  scan analyzers of a run go into a single global aggregate, so the table is
+  read once and Spark plans a partial (map-side) + final HashAggregate; or
 * a *grouping* analyzer (Entropy, Uniqueness): it needs value frequencies.
-  All such columns are unpivoted to ``(column, value)`` and counted with ONE
-  ``groupBy``; map-side partial aggregation collapses a hot value to one row
-  per task before the shuffle, so a value holding a third of the rows costs
-  nothing extra.
+  All such columns are unpivoted with one ``stack`` into typed value slots
+  (no per-value text conversion) and counted with ONE ``groupBy``; map-side
+  partial aggregation collapses a hot value to one row per task before the
+  shuffle, so a value holding a third of the rows costs nothing extra.
 
 The result is a long metric table ``entity, instance, name, value`` with one
 row per metric.  A metric that cannot be computed (min of an all-null
