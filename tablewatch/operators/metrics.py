@@ -250,7 +250,7 @@ def _slot(dtype: T.DataType) -> str:
 
 
 def _typed_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, _vl, _vd, _vs, _vn, _vt, cnt)``: one Expand + one partial/final aggregation."""
+    """``(column, _vl, _vd, _vs, _vn, _vt, cnt)``: one stack + one partial/final aggregation."""
     types = {f.name: f.dataType for f in df.schema.fields}
     stack = []
     for c in columns:
