@@ -29,16 +29,19 @@ def main() -> None:
     from tablewatch.session import local_session
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="tablewatch-bench")
     lineitem_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
-    times = {}
+    times, errors = {}, {}
     for name in HEADLINE:
         fn = QUERIES[name]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()   # warm-up
-        samples = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 4)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()   # warm-up
+            samples = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 4)
+        except Exception as e:          # report, keep measuring the others
+            errors[name] = str(e).splitlines()[0][:200]
     total = round(sum(times.values()), 4)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -53,6 +56,8 @@ def main() -> None:
         "profile_lineitem_rows_per_sec": round(lineitem_rows / times["profile_lineitem"], 1)
         if times.get("profile_lineitem") else None,
     }
+    if errors:
+        out["errors"] = errors
     spark.stop()
     print(json.dumps(out))
 
