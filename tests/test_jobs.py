@@ -65,3 +65,17 @@ def test_history_rows_unified_layout(spark):
     assert rows.columns == M.HISTORY_FIELDS
     got = {(r.instance, r.metric): r.data_type for r in rows.collect()}
     assert got[("value", "Mean")] == "double" and got[("*", "Size")] is None
+
+
+def test_cli_profile_suggest_verify(spark):
+    from tablewatch.plans import cli
+    out = scratch_path(spark, "cli")
+    db = f"twc_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'cli-db')}'")
+    src = ["--path", f"{SF}/events.parquet", "--name", "events", "--ts-col", "ts"]
+    cli.main(["profile", *src, "--at", "2024-01-02 04:00:00", "--out", f"{out}/metrics"], spark)
+    assert spark.read.parquet(f"{out}/metrics").where("metric = 'Size'").count() == 1
+    act = cli.main(["suggest", *src, "--at", "2024-01-10 05:00:00", "--database", db], spark)
+    assert act.count() > 0
+    cli.main(["verify", *src, "--at", "2024-01-10 05:00:00", "--database", db, "--out", f"{out}/checks"], spark)
+    assert spark.read.parquet(f"{out}/checks").count() == act.where("active = 1").count()
