@@ -1,7 +1,8 @@
 """Command-line front end for the jobs, for use with ``spark-submit``.
 
-    spark-submit -m tablewatch.plans.cli profile --table db.t --ts-col date_hour \\
-        --at "2024-01-02 04:00:00" --out s3://.../metrics
+    spark-submit tablewatch/plans/cli.py profile --table db.t --ts-col date_hour \\
+        --at "2024-01-02 04:00:00" --out hdfs:///quality/metrics
+    python -m tablewatch.plans.cli suggest --path /data/t --ts-col ts --at "2024-01-10 05:00:00"
 
 Sub-commands: ``profile``, ``suggest``, ``verify``, ``drift``, ``ingest``,
 ``daily-profile``.  The input table is a catalog name (``--table``) or a path
