@@ -15,12 +15,16 @@ are the caller's.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+if __package__ in (None, ""):          # run as a file (spark-submit): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from ..sources.tables import read_catalog, read_path
-from . import jobs as J
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+
+from tablewatch.plans import jobs as J  # noqa: E402
+from tablewatch.sources.tables import read_catalog, read_path  # noqa: E402
 
 
 def _source(spark: SparkSession, a) -> DataFrame:
