@@ -82,3 +82,29 @@ def test_completeness_properties(spark, values):
         c = m[("Column", "x", "Completeness")]
         assert 0.0 <= c <= 1.0
         assert m[("Column", "x", "NullCount")] + round(c * size) == size
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.floats(-1e3, 1e3, allow_nan=False)),
+                          st.one_of(st.none(), st.sampled_from(["a", "bb", "", "c'd", "e\\\\f"]))),
+                min_size=1, max_size=40))
+def test_metrics_match_pandas(spark, rows):
+    import numpy as np
+    import pandas as pd
+    df = spark.createDataFrame(rows, "x double, s string")
+    m = metric_map(M.profile_metrics(df, approx_distinct=False, std_dev=True, entropy=True))
+    pdf = pd.DataFrame(rows, columns=["x", "s"])
+    x = pdf["x"].dropna()
+    assert m[("Column", "x", "Completeness")] == len(x) / len(pdf)
+    if len(x):
+        assert abs(m[("Column", "x", "Mean")] - x.mean()) < 1e-9
+        assert abs(m[("Column", "x", "Sum")] - x.sum()) < 1e-6
+        assert abs(m[("Column", "x", "StandardDeviation")] - x.std(ddof=0)) < 1e-6
+        assert m[("Column", "x", "Minimum")] == x.min() and m[("Column", "x", "Maximum")] == x.max()
+    else:
+        assert ("Column", "x", "Mean") not in m
+    s = pdf["s"].dropna()
+    if len(s):
+        assert m[("Column", "s", "MaxLength")] == s.str.len().max()
+        p = s.value_counts(normalize=True).to_numpy()
+        assert abs(m[("Column", "s", "Entropy")] - float(-(p * np.log(p)).sum())) < 1e-9
