@@ -183,7 +183,7 @@ def _lower(p, n):
     return f"(floor(100.0 * ({p} - 1.96 * sqrt({p} * (1.0 - {p}) / {n}))) / 100.0)"
 
 
-def _suggest_sql(src: str, tbl: str, cols) -> str:
+def _suggest_sql(src: str, tbl: str, cols, with_values: bool = False) -> str:
     """cols: (name, kind) with kind in int / frac / str / other."""
     prof = []
     hist = []
@@ -221,6 +221,7 @@ def _suggest_sql(src: str, tbl: str, cols) -> str:
     r2 = _lower("completeness", "n_rows")
     p5 = "(CAST(top_cnt AS DOUBLE) / n_rows)"
     r5 = _lower(p5, "n_rows")
+    extra = ", vals, dt, CAST(threshold AS DOUBLE) AS raw_threshold" if with_values else ""
     return f"""
 WITH prof AS (
 {prof_sql}
@@ -237,13 +238,16 @@ SELECT col, count(*) AS bins, sum(CASE WHEN cnt = 1 THEN 1 ELSE 0 END) AS single
        string_agg({sq}, ', ' ORDER BY cnt DESC, value ASC) AS all_sq,
        string_agg({dq}, ', ' ORDER BY cnt DESC, value ASC) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_dq,
        string_agg({sq}, ', ' ORDER BY cnt DESC, value ASC) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_sq,
+       list(value ORDER BY cnt DESC, value ASC) AS all_vals,
+       list(value ORDER BY cnt DESC, value ASC) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_vals,
        sum(cnt) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_cnt,
        count(*) FILTER (WHERE cum_before < 0.9 * n_rows) AS top_size
 FROM ranked GROUP BY col
 ), s AS (
 SELECT 'CompletenessConstraint(Completeness(' || col || '))' AS constraint_name, col AS column_name,
        'Completeness: ' || printf('%.4f', completeness) AS current_value, '''' || col || ''' is not null' AS description,
-       {t('complete')}, '.isComplete("' || col || '")' AS code_for_constraint, 'is_complete' AS kind, 1.0 AS threshold
+       {t('complete')}, '.isComplete("' || col || '")' AS code_for_constraint, 'is_complete' AS kind, 1.0 AS threshold,
+       CAST(NULL AS VARCHAR[]) AS vals, CAST(NULL AS VARCHAR) AS dt
 FROM prof WHERE completeness = 1.0
 UNION ALL
 SELECT 'CompletenessConstraint(Completeness(' || col || '))', col,
@@ -251,32 +255,32 @@ SELECT 'CompletenessConstraint(Completeness(' || col || '))', col,
        '''' || col || ''' has completeness of at least ' || printf('%.2f', {r2}),
        {t('retain_completeness')},
        '.hasCompleteness("' || col || '", lambda x: x >= ' || printf('%.2f', {r2}) || ', hint="It should be above '
-         || printf('%.2f', {r2}) || '!")', 'has_completeness', {r2}
+         || printf('%.2f', {r2}) || '!")', 'has_completeness', {r2}, CAST(NULL AS VARCHAR[]), NULL
 FROM prof WHERE completeness > 0.2 AND completeness < 1.0
 UNION ALL
 SELECT 'DataTypeConstraint(' || col || ',' || data_type || ')', col, 'DataType: ' || data_type,
        '''' || col || ''' has type ' || data_type, {t('retain_type')},
-       '.hasDataType("' || col || '", ConstrainableDataTypes.' || data_type || ')', 'has_data_type', 1.0
+       '.hasDataType("' || col || '", ConstrainableDataTypes.' || data_type || ')', 'has_data_type', 1.0, CAST(NULL AS VARCHAR[]), data_type
 FROM prof WHERE is_inferred AND data_type IN ('Integral', 'Fractional', 'Boolean')
 UNION ALL
 SELECT 'ContainedInConstraint(' || col || ')', col, 'Compliance: 1', '''' || col || ''' has value range ' || all_sq,
-       {t('categorical')}, '.isContainedIn("' || col || '", [' || all_dq || '])', 'is_contained_in', 1.0
+       {t('categorical')}, '.isContainedIn("' || col || '", [' || all_dq || '])', 'is_contained_in', 1.0, all_vals, NULL
 FROM cat WHERE CAST(singles AS DOUBLE) / bins <= 0.1
 UNION ALL
 SELECT 'ContainedInConstraint(' || col || ')', col, 'Compliance: ' || printf('%.4f', {p5}),
        '''' || col || ''' has value range ' || top_sq || ' for at least ' || printf('%.2f', {r5}) || ' of values',
        {t('fractional_categorical')},
        '.isContainedIn("' || col || '", [' || top_dq || '], lambda x: x >= ' || printf('%.2f', {r5})
-         || ', hint="It should be above ' || printf('%.2f', {r5}) || '!")', 'is_contained_in', {r5}
+         || ', hint="It should be above ' || printf('%.2f', {r5}) || '!")', 'is_contained_in', {r5}, top_vals, NULL
 FROM cat WHERE CAST(singles AS DOUBLE) / bins <= 0.4 AND top_cnt >= 0.9 * n_rows AND top_size < bins
 UNION ALL
 SELECT 'NonNegativeConstraint(' || col || ')', col, 'Minimum: ' || printf('%.4f', minimum),
        '''' || col || ''' has no negative values', {t('non_negative')}, '.isNonNegative("' || col || '")',
-       'is_non_negative', 1.0
+       'is_non_negative', 1.0, CAST(NULL AS VARCHAR[]), NULL
 FROM prof WHERE profile_kind = 'numeric' AND minimum >= 0
 )
 SELECT '{tbl}' AS tbl, constraint_name, column_name, current_value, description, suggesting_rule,
-       rule_description, code_for_constraint, kind, round(CAST(threshold AS DOUBLE), 6) AS threshold FROM s
+       rule_description, code_for_constraint, kind, round(CAST(threshold AS DOUBLE), 6) AS threshold{extra} FROM s
 """
 
 
@@ -622,3 +626,46 @@ def _job_profiling_sql():
 
 
 ORACLE["job_profiling"] = _job_profiling_sql()
+
+
+def _quality_loop_sql():
+    trail = (f"(SELECT * FROM {HOLES} h WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' "
+             f"AND ts < TIMESTAMP '2024-01-10 00:00:00')")
+    hour = (f"(SELECT * FROM {HOLES} h WHERE ts >= TIMESTAMP '2024-01-10 04:00:00' "
+            f"AND ts < TIMESTAMP '2024-01-10 05:00:00')")
+    texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c, _ in EVENTS_COLS)
+    names = ", ".join(c for c, _ in EVENTS_COLS)
+    cls = _class("l.val")
+    return f"""
+WITH sugg AS (SELECT * FROM ({_suggest_sql(trail + " t", "events", _EVENTS_S, with_values=True)}) x),
+ranked AS (SELECT *, row_number() OVER (ORDER BY constraint_name ASC NULLS FIRST, column_name ASC NULLS FIRST,
+                                                 code_for_constraint ASC NULLS FIRST) AS rn,
+                  count(*) OVER () AS total FROM sugg),
+active AS (SELECT * FROM ranked WHERE rn <= floor(total * 0.8)),
+long AS (SELECT col, val FROM (SELECT {texts} FROM {hour} h) UNPIVOT INCLUDE NULLS (val FOR col IN ({names}))),
+res AS (
+  SELECT a.constraint_name AS cons, a.raw_threshold AS thr, count(*) AS n,
+         CASE a.kind
+           WHEN 'is_complete' THEN CAST(count(l.val) AS DOUBLE) / count(*)
+           WHEN 'has_completeness' THEN CAST(count(l.val) AS DOUBLE) / count(*)
+           WHEN 'is_contained_in' THEN avg(CASE WHEN l.val IS NULL OR list_contains(a.vals, l.val) THEN 1.0 ELSE 0.0 END)
+           WHEN 'is_non_negative' THEN avg(CASE WHEN coalesce(TRY_CAST(l.val AS DOUBLE), 0.0) >= 0 THEN 1.0 ELSE 0.0 END)
+           WHEN 'has_data_type' THEN CAST(sum(CASE WHEN ({cls}) = a.dt OR (a.dt = 'Fractional' AND ({cls}) = 'Integral')
+                                                  THEN 1 ELSE 0 END) AS DOUBLE) / count(l.val)
+         END AS v
+  FROM active a JOIN long l ON l.col = a.column_name
+  GROUP BY a.constraint_name, a.column_name, a.code_for_constraint, a.kind, a.raw_threshold, a.vals, a.dt)
+SELECT 'tablewatch_verification' AS "check", 'Warning' AS check_level,
+       CASE WHEN bool_and(coalesce(v >= thr, FALSE)) OVER () THEN 'Success' ELSE 'Warning' END AS check_status,
+       cons AS "constraint",
+       CASE WHEN coalesce(v >= thr, FALSE) THEN 'Success' ELSE 'Failure' END AS constraint_status,
+       CASE WHEN n = 0 THEN 'no rows' WHEN coalesce(v >= thr, FALSE) THEN ''
+            ELSE 'Value: ' || coalesce(printf('%.4f', v), 'NULL') || ' does not meet the constraint requirement!'
+       END AS constraint_message,
+       round(v, 6) AS value, CASE WHEN coalesce(v >= thr, FALSE) THEN 1 ELSE 0 END AS status_value,
+       'events' AS "table", TIMESTAMP '2024-01-10 05:00:00' AS ts
+FROM res
+"""
+
+
+ORACLE["job_quality_loop"] = _quality_loop_sql()

@@ -683,14 +683,15 @@ def job_profiling(spark, sf_dir):
 @query("job_quality_loop")
 def job_quality_loop(spark, sf_dir):
     """Suggestion program (2 trailing days, merge, activation, publish) followed by the
-    verification program on the next hour (rows-only check: catalog tables)."""
+    verification program on the next hour: the whole suggest -> activate -> verify loop."""
     from ..sinks import scratch_path
     import uuid
     db = f"tw_{uuid.uuid4().hex[:10]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'rules-db')}'")
     ev = FX.events_with_holes(spark, sf_dir)
     JB.suggestion_job(spark, ev, "events", "ts", "2024-01-10 05:00:00", 2, database=db)
-    return JB.verification_job(spark, ev, "events", "ts", "2024-01-10 05:00:00", database=db)
+    res = JB.verification_job(spark, ev, "events", "ts", "2024-01-10 05:00:00", database=db)
+    return res.withColumns({"value": F.round("value", 6), "ts": F.col("ts").cast("timestamp_ntz")})
 
 
 @query("job_ingest")
