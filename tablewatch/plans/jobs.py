@@ -62,8 +62,8 @@ def suggestion_job(spark: SparkSession, df: DataFrame, table: str, ts_col: str,
     RL.save_suggestions(spark, sugg, suggested)
     RL.create_rule_table(spark, activated)
     merged = RL.merge_rules(RL.new_rules(spark.table(suggested), at), spark.table(activated), at)
-    RL.swap_publish(spark, merged, activated)
-    act = RL.activate_rules(spark.table(activated), top_low_ratio, now=at)
+    # merge and activation are published together: one tmp write, one swap
+    act = RL.activate_rules(merged, top_low_ratio, now=at)
     RL.swap_publish(spark, act, activated)
     return SuggestionRun(spark.table(suggested), spark.table(activated))
 
