@@ -78,3 +78,19 @@ def test_running_sums_across_small_arrow_batches(spark):
         assert got.join(ref, "id").where(F.abs(F.col("cv") - F.col("rv")) > 1e-9).count() == 0
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_running_sums_carries_complex_columns(spark):
+    import datetime as dt
+    from decimal import Decimal
+    rows = [(i, "k" if i % 2 else None, [f"v{i}", "x"], {"a": i}, dt.datetime(2024, 1, 1, 0, i % 60),
+             Decimal(f"{i}.25"), i % 7) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k string, arr array<string>, mp map<string,int>, "
+                                     "ts timestamp_ntz, d decimal(10,2), o int")
+    got = running_sums(df, [F.col("o").desc(), "id"], {"c": F.lit(1)}, ["k"], num_ranges=5)
+    assert got.count() == 300
+    r = got.where("id = 17").first()
+    assert r.arr == ["v17", "x"] and r.mp == {"a": 17} and str(r.d) == "17.25"
+    w = Window.partitionBy("k").orderBy(F.col("o").desc(), "id").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("id", F.count("*").over(w).alias("rc"))
+    assert got.join(ref, "id").where(F.col("c") != F.col("rc")).count() == 0
