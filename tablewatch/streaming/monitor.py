@@ -10,6 +10,7 @@ location is always required, so a restart resumes where it stopped.
 
 from __future__ import annotations
 
+import datetime
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,7 +90,11 @@ def batch_metrics_fn(metrics_path: str, analyzers: Callable[[DataFrame], list] |
         batch.persist()
         try:
             chosen = analyzers(batch) if analyzers else stream_analyzers(batch)
-            m = M.run_analyzers(batch, chosen).withColumn("table", F.lit(table))
+            # the batch's processing time makes the rows queryable with the history operators
+            # (latest value, freshness, alerts); a replayed batch rewrites its own rows
+            batch_ts = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+            m = (M.run_analyzers(batch, chosen).withColumn("table", F.lit(table))
+                 .withColumn("ts", F.lit(batch_ts.isoformat(sep=" ")).cast("timestamp_ntz")))
             replace_batch(m, metrics_path, batch_id)
             if data_path:
                 replace_batch(batch, data_path, batch_id)      # T4, replay-safe

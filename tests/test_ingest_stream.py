@@ -127,3 +127,16 @@ def test_smart_home_batch_metrics(spark):
 def test_write_stats_of_missing_table_are_empty(spark):
     stats = CM.file_write_stats(spark, scratch_path(spark, "never-written"))
     assert stats.count() == 0 and CM.write_stat_metrics(stats).count() == 0
+
+
+def test_stream_metrics_are_history_rows(spark):
+    from tablewatch.operators import history as H
+    base = scratch_path(spark, "t-stream-hist")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.select(F.to_json(F.struct(*ev.columns)).alias("value")).repartition(2).write.text(f"{base}/in")
+    s = SMON.read_json_stream(spark, f"{base}/in", ev.schema, max_files_per_trigger=1)
+    SMON.start_monitor(s, f"{base}/ckpt", f"{base}/m", available_now=True,
+                       analyzers=lambda b: [M.Size(), M.Maximum("value")]).awaitTermination()
+    rows = spark.read.parquet(f"{base}/m")
+    last = H.latest(rows, ["table", "entity", "instance", "name"]).collect()
+    assert {r.name for r in last} == {"Size", "Maximum"} and all(r.ts is not None for r in last)
