@@ -82,8 +82,12 @@ def verify(df: DataFrame, rules: Sequence[Rule], check: str = "tablewatch_check"
         return spark.createDataFrame(
             [], "check string, check_level string, check_status string, constraint string, "
                 "constraint_status string, constraint_message string, value double, status_value int")
-    scan = [(i, r) for i, r in enumerate(rules) if r.kind != "is_unique"]
-    uniq = [(i, r) for i, r in enumerate(rules) if r.kind == "is_unique"]
+    # a rule whose column is gone (schema drift since the suggestion) fails with a
+    # message instead of failing the whole verification
+    present = set(df.columns)
+    missing = {i for i, r in enumerate(rules) if r.column_name is not None and r.column_name not in present}
+    scan = [(i, r) for i, r in enumerate(rules) if r.kind != "is_unique" and i not in missing]
+    uniq = [(i, r) for i, r in enumerate(rules) if r.kind == "is_unique" and i not in missing]
     exprs = [F.count(F.lit(1)).alias("_n")] + [_rule_value(r).alias(f"_v{i}") for i, r in scan]
     row = df.agg(*exprs)
     if uniq:
@@ -96,6 +100,14 @@ def verify(df: DataFrame, rules: Sequence[Rule], check: str = "tablewatch_check"
     passes = []
     structs = []
     for i, r in enumerate(rules):
+        if i in missing:
+            passes.append(F.lit(False))
+            structs.append(F.struct(F.lit(r.constraint_name).alias("constraint"),
+                                    F.lit(FAILURE).alias("constraint_status"),
+                                    F.lit(f"Input data does not include column {r.column_name}!")
+                                    .alias("constraint_message"),
+                                    F.lit(None).cast("double").alias("value")))
+            continue
         v = F.col(f"_v{i}")
         ok = F.coalesce(v >= F.lit(float(r.threshold if r.threshold is not None else 1.0)), F.lit(False))
         passes.append(ok)

@@ -79,3 +79,13 @@ def test_activation_share_property(spark, rules, ratio):
     if non_high:
         cut = min((r.frequency for r in non_high if r.active), default=None)
         assert all(r.frequency <= cut for r in non_high if not r.active) if cut is not None else True
+
+
+def test_verify_rule_on_missing_column_fails_cleanly(spark):
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    res = {r.constraint: r for r in V.verify(df, [V.Rule("ok", "a", "is_complete"),
+                                                   V.Rule("gone", "b", "is_complete"),
+                                                   V.Rule("gone_u", "c", "is_unique")]).collect()}
+    assert res["ok"].constraint_status == "Success"
+    assert res["gone"].constraint_status == "Failure" and "column b" in res["gone"].constraint_message
+    assert res["gone_u"].value is None and res["ok"].check_status == "Warning"
