@@ -67,3 +67,15 @@ def test_unique_rule_extended_set(spark):
 def test_no_rules_selected_gives_empty_frame(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert SG.suggest(df, rules=()).count() == 0
+
+
+def test_odd_column_names_end_to_end(spark):
+    from tablewatch.operators import metrics as M
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x")], "`a.b c` int, `it's` string")
+    m = {(r.instance, r.name): r.value for r in
+         M.run_analyzers(df, M.default_analyzers(df, entropy=True)).collect()}
+    assert m[("a.b c", "Sum")] == 6.0 and ("it's", "Entropy") in m
+    sugg = SG.suggest(df)
+    assert sugg.where(F.col("column_name") == "it's").count() > 0
+    res = V.verify(df, V.rules_from_frame(sugg)).collect()
+    assert res and all(r.constraint_status == "Success" for r in res if r.constraint.startswith("Completeness"))
