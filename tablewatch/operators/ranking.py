@@ -132,7 +132,8 @@ def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[s
 
     Ties in ``order_by`` are summed in an arbitrary but fixed order; add a
     tie-break column when ties must be resolved by a rule.  ``known_rows`` (an
-    exact count the caller already has) enables the bounded window path.
+    upper bound on the row count that the caller already has) enables the
+    bounded window path when it is at most ``LOCAL_ROWS``.
     """
     spark = df.sparkSession
     limit = int(spark.conf.get("tablewatch.ranking.localRows", str(LOCAL_ROWS)))

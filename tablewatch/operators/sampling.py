@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import local_frame
 from .ranking import global_row_number
 
 # 2**10 hash buckets per label: the per-(label, bucket) count table stays small
 # (labels x 1024 rows) whatever the data size.
 _BUCKET_SHIFT = 54
+_BELOW_ALL = -(1 << 20)          # a cut bucket below every bucket: no test rows
 
 
 def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42,
@@ -27,29 +31,43 @@ def stratified_split(df: DataFrame, label: str = "label", test_fraction: float =
     """Exactly ``floor(n_label * test_fraction + 0.5)`` test rows per label, chosen by
     a seeded hash of ``key_cols`` (default: all columns).
 
-    Rows are bucketed by the top bits of the hash; per (label, bucket) counts
-    (small) locate the one bucket per label where the cut falls; only the rows
-    of that bucket are ranked, with the skew-safe row number.  No group is
-    ever collected into one task.
+    Rows are bucketed by the top bits of the hash; the per (label, bucket)
+    counts (at most labels x 1024 numbers) locate the one bucket per label
+    where the cut falls; only the rows of that bucket are ranked (their count is
+    known, so the rank takes the bounded window up to ``ranking.LOCAL_ROWS``
+    rows and the skew-safe distributed row number beyond).
     """
     keys = list(key_cols or [c for c in df.columns if c != label])
     h = F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed))
     hashed = df.withColumn("_h", h).withColumn("_bkt", F.shiftright(F.col("_h"), _BUCKET_SHIFT))
-    counts = hashed.groupBy(label, "_bkt").agg(F.count(F.lit(1)).alias("_c"))
-    # bounded: at most (number of labels) x 1024 rows
-    w = Window.partitionBy(label).orderBy("_bkt")
-    plan = (counts
-            .withColumn("_incl", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-            .withColumn("_n", F.sum("_c").over(Window.partitionBy(label)))
-            .withColumn("_k", F.floor(F.col("_n") * F.lit(float(test_fraction)) + F.lit(0.5)))
-            .withColumn("_before", F.col("_incl") - F.col("_c"))
-            .withColumn("_state", F.when(F.col("_incl") <= F.col("_k"), F.lit("test"))
-                        .when(F.col("_before") >= F.col("_k"), F.lit("train")).otherwise(F.lit("cut")))
-            .withColumn("_need", F.col("_k") - F.col("_before"))
-            .select(label, "_bkt", "_state", "_need"))
-    tagged = hashed.join(F.broadcast(plan), [label, "_bkt"])
-    decided = tagged.where(F.col("_state") != "cut").withColumn(out, F.col("_state") == "test")
-    cut = tagged.where(F.col("_state") == "cut")
-    ranked = global_row_number(cut, [F.col("_h").asc()], "_r", partition_by=[label, "_bkt"])
+    # per (label, bucket) counts: at most (number of labels) x 1024 rows, read on the driver
+    counts = hashed.groupBy(label, "_bkt").agg(F.count(F.lit(1)).alias("_c")).collect()
+    by_label: dict = {}
+    for r in counts:
+        by_label.setdefault(r[label], []).append((int(r["_bkt"]), int(r["_c"])))
+    # one row per label: buckets below the cut bucket are test, above it train; in the
+    # cut bucket the first ``need`` rows by hash are test
+    plan_rows, cut_rows = [], 0
+    for lab, buckets in by_label.items():
+        buckets.sort()
+        n = sum(c for _, c in buckets)
+        k = int(math.floor(n * test_fraction + 0.5))
+        before, cut_bkt, need = 0, _BELOW_ALL, 0
+        for b, c in buckets:
+            if k == 0:
+                break
+            if before + c >= k:
+                cut_bkt, need = b, k - before
+                cut_rows += c
+                break
+            before += c
+        plan_rows.append((lab, cut_bkt, need))
+    lab_type = df.schema[label].dataType.simpleString()
+    plan = local_frame(df.sparkSession, plan_rows, f"`{label}` {lab_type}, _cut long, _need long")
+    tagged = hashed.join(F.broadcast(plan), [label])     # one row per label: bounded
+    bkt, cut = F.col("_bkt"), F.col("_cut")
+    decided = tagged.where(bkt != cut).withColumn(out, bkt < cut)
+    in_cut = tagged.where(bkt == cut)
+    ranked = global_row_number(in_cut, [F.col("_h").asc()], "_r", partition_by=[label], known_rows=cut_rows)
     cut_done = ranked.withColumn(out, F.col("_r") <= F.col("_need")).drop("_r")
-    return decided.unionByName(cut_done).drop("_h", "_bkt", "_state", "_need")
+    return decided.unionByName(cut_done).drop("_h", "_bkt", "_cut", "_need")
