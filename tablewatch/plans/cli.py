@@ -5,7 +5,7 @@
     python -m tablewatch.plans.cli suggest --path /data/t --ts-col ts --at "2024-01-10 05:00:00"
 
 Sub-commands: ``profile``, ``suggest``, ``verify``, ``drift``, ``ingest``,
-``daily-profile``.  The input table is a catalog name (``--table``) or a path
+``stream``, ``daily-profile``.  The input table is a catalog name (``--table``) or a path
 (``--path`` with ``--format``).  Results are appended to ``--out`` as Parquet;
 rule tables live in ``--database``.  The session comes from ``spark-submit``
 (``getOrCreate``), so cluster settings, including ``spark.checkpoint.dir``,
@@ -89,6 +89,18 @@ def build_parser() -> argparse.ArgumentParser:
     sp.add_argument("--partition-by", default="")
     sp.add_argument("--out", help="metric table path (appended)")
 
+    sp = sub.add_parser("stream", help="per-micro-batch metrics of a JSON event stream")
+    sp.add_argument("--json-dir", help="folder of JSON text files (file source)")
+    sp.add_argument("--kafka-servers")
+    sp.add_argument("--topic")
+    sp.add_argument("--schema-ddl", required=True, help="event schema, e.g. 'ts timestamp, v double'")
+    sp.add_argument("--checkpoint", required=True)
+    sp.add_argument("--out", required=True, help="metric rows path")
+    sp.add_argument("--data-out", help="append the events themselves here")
+    sp.add_argument("--progress-out", help="flattened progress rows (with --available-now)")
+    sp.add_argument("--trigger", default="2 seconds")
+    sp.add_argument("--available-now", action="store_true")
+
     sp = sub.add_parser("daily-profile", help="one-day profile rows + JSON documents")
     table_args(sp, ts=False)
     sp.add_argument("--ts-col", required=True)
@@ -117,6 +129,13 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
     elif a.cmd == "ingest":
         parts = tuple(x.strip() for x in a.partition_by.split(",") if x.strip())
         out = J.ingest_job(spark, a.csv, a.schema, a.lake, a.ts, a.out, parts)
+    elif a.cmd == "stream":
+        query = J.stream_job(spark, a.schema_ddl, a.checkpoint, a.out, json_dir=a.json_dir,
+                             kafka_servers=a.kafka_servers, topic=a.topic, data_path=a.data_out,
+                             processing_time=a.trigger, available_now=a.available_now,
+                             progress_path=a.progress_out)
+        query.awaitTermination()
+        out = spark.read.parquet(a.out)
     else:
         out = J.daily_profile_job(_source(spark, a), a.ts_col, a.day, a.profiling_ts, a.out_dir, a.profile_path)
     return out

@@ -129,3 +129,35 @@ def daily_profile_job(df: DataFrame, ts_col: str, day, profiling_ts, out_dir: st
         write_json_documents(prof.frame, f"{out_dir}/profiling_{day}")
         write_json_documents(SG.suggest_constraints(prof), f"{out_dir}/suggestions_{day}")
     return rows
+
+
+def stream_job(spark: SparkSession, schema, checkpoint: str, metrics_path: str, *, json_dir: str | None = None,
+               kafka_servers: str | None = None, topic: str | None = None, data_path: str | None = None,
+               table: str = "stream", query_name: str = "quality_monitor", processing_time: str = "2 seconds",
+               available_now: bool = False, max_files_per_trigger: int | None = None,
+               progress_path: str | None = None):
+    """The streaming monitor: JSON events from a folder or a Kafka topic -> per-micro-batch
+    metrics (entropy, correlations and compliance rules included; the smart-home
+    rule set when the schema has its columns) -> metric rows keyed by batch id,
+    optionally the events themselves.  With ``progress_path`` the progress of every
+    micro-batch is recorded and, after the query stops, flattened to numeric rows."""
+    from ..streaming import listener as SL
+    from ..streaming import monitor as SMON
+    if kafka_servers:
+        stream = SMON.read_kafka_stream(spark, kafka_servers, topic, schema)
+    else:
+        stream = SMON.read_json_stream(spark, json_dir, schema, max_files_per_trigger)
+    recorder = None
+    if progress_path:
+        recorder = SL.ProgressRecorder()
+        spark.streams.addListener(recorder)
+    query = SMON.start_monitor(stream, checkpoint, metrics_path, query_name=query_name,
+                               analyzers=SMON.smart_home_analyzers, data_path=data_path, table=table,
+                               processing_time=processing_time, available_now=available_now)
+    if recorder is not None and available_now:
+        query.awaitTermination()
+        spark.streams.removeListener(recorder)
+        progress, _ = recorder.drain()
+        if progress:
+            SL.progress_metrics(SL.progress_frame(spark, progress)).write.mode("append").parquet(progress_path)
+    return query

@@ -50,10 +50,19 @@ def stream_analyzers(batch: DataFrame, correlations=(), rules=()) -> list:
     cols = set(batch.columns)
     out = M.default_analyzers(batch, std_dev=True, entropy=True)
     out += [M.Correlation(a, b) for a, b in correlations if a in cols and b in cols]
-    out += [M.Compliance(n, p) for n, p in rules]
+    out += [M.Compliance(n, p) for n, p in rules if _resolves(batch, p)]
     return out
 
 
+def _resolves(batch: DataFrame, predicate: str) -> bool:
+    """Does the predicate analyse against the batch's columns?  (Analysis only, no job.)"""
+    try:
+        batch.select(F.expr(predicate)).schema
+        return True
+    except Exception:
+        return False
+
+
 def smart_home_analyzers(batch: DataFrame) -> list:
     """The metric set of the smart-home event stream."""
     return stream_analyzers(batch, SMART_HOME_CORRELATIONS, SMART_HOME_RULES)

@@ -79,3 +79,19 @@ def test_cli_profile_suggest_verify(spark):
     assert act.count() > 0
     cli.main(["verify", *src, "--at", "2024-01-10 05:00:00", "--database", db, "--out", f"{out}/checks"], spark)
     assert spark.read.parquet(f"{out}/checks").count() == act.where("active = 1").count()
+
+
+def test_cli_stream_available_now(spark):
+    from pyspark.sql import functions as F
+    from tablewatch.plans import cli
+    base = scratch_path(spark, "cli-stream")
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev.select(F.to_json(F.struct(*ev.columns)).alias("value")).repartition(2).write.text(f"{base}/in")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ev.schema.fields)
+    out = cli.main(["stream", "--json-dir", f"{base}/in", "--schema-ddl", ddl, "--checkpoint", f"{base}/ckpt",
+                    "--out", f"{base}/m", "--data-out", f"{base}/data", "--progress-out", f"{base}/progress",
+                    "--available-now"], spark)
+    assert out.where("name = 'Size'").agg(F.sum("value")).collect()[0][0] == ev.count()
+    assert out.where("name = 'Entropy'").count() > 0
+    assert spark.read.parquet(f"{base}/data").count() == ev.count()
+    assert spark.read.parquet(f"{base}/progress").where("instance = 'numInputRows'").count() >= 1
