@@ -155,7 +155,12 @@ def stream_job(spark: SparkSession, schema, checkpoint: str, metrics_path: str,
                                analyzers=SMON.smart_home_analyzers, data_path=data_path, table=table,
                                processing_time=processing_time, available_now=available_now)
     if recorder is not None and available_now:
+        import time
         query.awaitTermination()
+        expected = (query.lastProgress or {}).get("batchId", -1) + 1
+        deadline = time.time() + 30            # listener events arrive asynchronously
+        while len(recorder.progress) < expected and time.time() < deadline:
+            time.sleep(0.2)
         spark.streams.removeListener(recorder)
         progress, _ = recorder.drain()
         if progress:
