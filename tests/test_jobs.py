@@ -95,3 +95,23 @@ def test_cli_stream_available_now(spark):
     assert out.where("name = 'Entropy'").count() > 0
     assert spark.read.parquet(f"{base}/data").count() == ev.count()
     assert spark.read.parquet(f"{base}/progress").where("instance = 'numInputRows'").count() >= 1
+
+
+def test_cli_ingest_daily_profile_drift(spark):
+    from tablewatch.plans import cli
+    base = scratch_path(spark, "cli-more")
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    li.write.option("header", True).csv(f"{base}/drop/lineitem_20240101_0000-0100.csv")
+    spark.createDataFrame([(li.schema.json(),)], "v string").coalesce(1).write.text(f"{base}/schema")
+    ing = cli.main(["ingest", "--csv", f"{base}/drop/lineitem_20240101_0000-0100.csv", "--schema", f"{base}/schema",
+                    "--lake", f"{base}/lake", "--ts", "2024-02-01 00:00:00", "--out", f"{base}/metrics"], spark)
+    assert ing.where("metric = 'Size'").first().value == li.count()
+    rows = cli.main(["daily-profile", "--path", f"{SF}/lineitem.parquet", "--ts-col", "l_shipdate",
+                     "--day", "1995-03-15", "--profiling-ts", "2024-02-01 00:00:00",
+                     "--profile-path", f"{base}/profiles"], spark)
+    assert spark.read.parquet(f"{base}/profiles").count() == rows.count() > 0
+    drift = cli.main(["drift", "--path", f"{SF}/events.parquet", "--name", "events", "--ts-col", "ts",
+                      "--at", "2024-01-30 05:00:00", "--read-days", "29", "--n-estimators", "3", "--max-depth", "3",
+                      "--exclude-cols", "event_id", "--out", f"{base}/drift"], spark)
+    assert spark.read.parquet(f"{base}/drift").where("type = 'ML_Metric'").count() == 1
+    assert drift.count() >= 1
