@@ -61,22 +61,25 @@ DEFAULT_RULES = ("complete", "retain_completeness", "retain_type", "categorical"
 EXTENDED_RULES = DEFAULT_RULES + ("unique",)
 
 
+# Numbers in rule texts are rounded arithmetically (half up, IEEE double) before
+# formatting, so the text does not depend on how an engine formats an exact tie.
+
 def f4(c: Column) -> Column:
-    return F.format_string("%.4f", c.cast("double"))
+    return F.format_string("%.4f", F.floor(c.cast("double") * 10000 + 0.5) / 10000)
 
 
 def f2(c: Column) -> Column:
-    return F.format_string("%.2f", c.cast("double"))
+    return F.format_string("%.2f", F.floor(c.cast("double") * 100 + 0.5) / 100)
 
 
 # Rule rows are rendered as SQL text and submitted with one ``selectExpr`` per rule.
 
 def _f4(x: str) -> str:
-    return f"format_string('%.4f', CAST({x} AS DOUBLE))"
+    return f"format_string('%.4f', floor(CAST({x} AS DOUBLE) * 10000 + 0.5) / 10000)"
 
 
 def _f2(x: str) -> str:
-    return f"format_string('%.2f', CAST({x} AS DOUBLE))"
+    return f"format_string('%.2f', floor(CAST({x} AS DOUBLE) * 100 + 0.5) / 100)"
 
 
 def _cat(*parts: str) -> str:

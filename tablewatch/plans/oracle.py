@@ -245,17 +245,17 @@ SELECT col, count(*) AS bins, sum(CASE WHEN cnt = 1 THEN 1 ELSE 0 END) AS single
 FROM ranked GROUP BY col
 ), s AS (
 SELECT 'CompletenessConstraint(Completeness(' || col || '))' AS constraint_name, col AS column_name,
-       'Completeness: ' || printf('%.4f', completeness) AS current_value, '''' || col || ''' is not null' AS description,
+       'Completeness: ' || printf('%.4f', floor((completeness) * 10000 + 0.5) / 10000) AS current_value, '''' || col || ''' is not null' AS description,
        {t('complete')}, '.isComplete("' || col || '")' AS code_for_constraint, 'is_complete' AS kind, 1.0 AS threshold,
        CAST(NULL AS VARCHAR[]) AS vals, CAST(NULL AS VARCHAR) AS dt
 FROM prof WHERE completeness = 1.0
 UNION ALL
 SELECT 'CompletenessConstraint(Completeness(' || col || '))', col,
-       'Completeness: ' || printf('%.4f', completeness),
-       '''' || col || ''' has completeness of at least ' || printf('%.2f', {r2}),
+       'Completeness: ' || printf('%.4f', floor((completeness) * 10000 + 0.5) / 10000),
+       '''' || col || ''' has completeness of at least ' || printf('%.2f', floor(({r2}) * 100 + 0.5) / 100),
        {t('retain_completeness')},
-       '.hasCompleteness("' || col || '", lambda x: x >= ' || printf('%.2f', {r2}) || ', hint="It should be above '
-         || printf('%.2f', {r2}) || '!")', 'has_completeness', {r2}, CAST(NULL AS VARCHAR[]), NULL
+       '.hasCompleteness("' || col || '", lambda x: x >= ' || printf('%.2f', floor(({r2}) * 100 + 0.5) / 100) || ', hint="It should be above '
+         || printf('%.2f', floor(({r2}) * 100 + 0.5) / 100) || '!")', 'has_completeness', {r2}, CAST(NULL AS VARCHAR[]), NULL
 FROM prof WHERE completeness > 0.2 AND completeness < 1.0
 UNION ALL
 SELECT 'DataTypeConstraint(' || col || ',' || data_type || ')', col, 'DataType: ' || data_type,
@@ -267,14 +267,14 @@ SELECT 'ContainedInConstraint(' || col || ')', col, 'Compliance: 1', '''' || col
        {t('categorical')}, '.isContainedIn("' || col || '", [' || all_dq || '])', 'is_contained_in', 1.0, all_vals, NULL
 FROM cat WHERE CAST(singles AS DOUBLE) / bins <= 0.1
 UNION ALL
-SELECT 'ContainedInConstraint(' || col || ')', col, 'Compliance: ' || printf('%.4f', {p5}),
-       '''' || col || ''' has value range ' || top_sq || ' for at least ' || printf('%.2f', {r5}) || ' of values',
+SELECT 'ContainedInConstraint(' || col || ')', col, 'Compliance: ' || printf('%.4f', floor(({p5}) * 10000 + 0.5) / 10000),
+       '''' || col || ''' has value range ' || top_sq || ' for at least ' || printf('%.2f', floor(({r5}) * 100 + 0.5) / 100) || ' of values',
        {t('fractional_categorical')},
-       '.isContainedIn("' || col || '", [' || top_dq || '], lambda x: x >= ' || printf('%.2f', {r5})
-         || ', hint="It should be above ' || printf('%.2f', {r5}) || '!")', 'is_contained_in', {r5}, top_vals, NULL
+       '.isContainedIn("' || col || '", [' || top_dq || '], lambda x: x >= ' || printf('%.2f', floor(({r5}) * 100 + 0.5) / 100)
+         || ', hint="It should be above ' || printf('%.2f', floor(({r5}) * 100 + 0.5) / 100) || '!")', 'is_contained_in', {r5}, top_vals, NULL
 FROM cat WHERE CAST(singles AS DOUBLE) / bins <= 0.4 AND top_cnt >= 0.9 * n_rows AND top_size < bins
 UNION ALL
-SELECT 'NonNegativeConstraint(' || col || ')', col, 'Minimum: ' || printf('%.4f', minimum),
+SELECT 'NonNegativeConstraint(' || col || ')', col, 'Minimum: ' || printf('%.4f', floor((minimum) * 10000 + 0.5) / 10000),
        '''' || col || ''' has no negative values', {t('non_negative')}, '.isNonNegative("' || col || '")',
        'is_non_negative', 1.0, CAST(NULL AS VARCHAR[]), NULL
 FROM prof WHERE profile_kind = 'numeric' AND minimum >= 0
@@ -337,7 +337,7 @@ def _verify_sql(check, src, rules, cols=("check", "check_level", "check_status",
         "constraint": "cons AS \"constraint\"",
         "constraint_status": f"CASE WHEN {ok} THEN 'Success' ELSE 'Failure' END AS constraint_status",
         "constraint_message": f"CASE WHEN n = 0 THEN 'no rows' WHEN {ok} THEN '' ELSE 'Value: ' || "
-                              f"coalesce(printf('%.4f', v), 'NULL') || ' does not meet the constraint requirement!' "
+                              f"coalesce(printf('%.4f', floor((v) * 10000 + 0.5) / 10000), 'NULL') || ' does not meet the constraint requirement!' "
                               f"END AS constraint_message",
         "value": "round(v, 6) AS value",
         "status_value": f"CASE WHEN {ok} THEN 1 ELSE 0 END AS status_value",
@@ -660,7 +660,7 @@ SELECT 'tablewatch_verification' AS "check", 'Warning' AS check_level,
        cons AS "constraint",
        CASE WHEN coalesce(v >= thr, FALSE) THEN 'Success' ELSE 'Failure' END AS constraint_status,
        CASE WHEN n = 0 THEN 'no rows' WHEN coalesce(v >= thr, FALSE) THEN ''
-            ELSE 'Value: ' || coalesce(printf('%.4f', v), 'NULL') || ' does not meet the constraint requirement!'
+            ELSE 'Value: ' || coalesce(printf('%.4f', floor((v) * 10000 + 0.5) / 10000), 'NULL') || ' does not meet the constraint requirement!'
        END AS constraint_message,
        round(v, 6) AS value, CASE WHEN coalesce(v >= thr, FALSE) THEN 1 ELSE 0 END AS status_value,
        'events' AS "table", TIMESTAMP '2024-01-10 05:00:00' AS ts
