@@ -2,7 +2,6 @@ import math
 from decimal import Decimal
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from conftest import metric_map
 from tablewatch.operators import metrics as M
