@@ -48,17 +48,25 @@ def time_range(history: DataFrame, now, hours: float, ts: str = "ts") -> DataFra
     return history.where((c > _bound(history, ts, now - timedelta(hours=hours))) & (c <= _bound(history, ts, now)))
 
 
+def _push_keys(df: DataFrame, keys) -> list[str]:
+    if keys is not None:
+        return list(keys)
+    return ["job"] if "job" in df.columns else ["table"]
+
+
 def fresh(history: DataFrame, pushes: DataFrame, now, max_age_hours: float,
-          keys: Sequence[str] = ("job",), ts: str = "ts") -> DataFrame:
-    """Keep rows whose push group (default: job) pushed within ``max_age_hours`` of ``now``."""
+          keys: Sequence[str] | None = None, ts: str = "ts") -> DataFrame:
+    """Keep rows whose push group (default: job, or table when rows carry no job)
+    pushed within ``max_age_hours`` of ``now``."""
+    keys = _push_keys(history, keys)
     now = _as_datetime(now)
     recent = pushes.where(F.col(ts) >= _bound(pushes, ts, now - timedelta(hours=max_age_hours))).select(*keys)
     return history.join(recent, list(keys), "left_semi")
 
 
-def push_times(history: DataFrame, keys: Sequence[str] = ("job",), ts: str = "ts") -> DataFrame:
-    """Last push time per group."""
-    return history.groupBy(*keys).agg(F.max(ts).alias(ts))
+def push_times(history: DataFrame, keys: Sequence[str] | None = None, ts: str = "ts") -> DataFrame:
+    """Last push time per group (default: job, or table when rows carry no job)."""
+    return history.groupBy(*_push_keys(history, keys)).agg(F.max(ts).alias(ts))
 
 
 def select_series(history: DataFrame, **labels) -> DataFrame:

@@ -170,3 +170,13 @@ def test_exposition_written_as_text(spark):
     write_exposition(H.exposition(df, F.lit("dq"), ["table"]), path)
     assert sorted(r.value for r in spark.read.text(path).collect()) == ['dq{table="t1"} 0.250000',
                                                                       'dq{table="t2"} 1.000000']
+
+
+def test_freshness_on_unified_rows(spark):
+    from tablewatch.plans import jobs as J
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = J.profiling_job(ev, "events", "ts", "2024-01-02 04:00:00")
+    pushes = H.push_times(rows)
+    assert pushes.columns == ["table", "ts"]
+    assert H.fresh(rows, pushes, "2024-01-02 05:00:00", 2).count() == rows.count()
+    assert H.fresh(rows, pushes, "2024-01-03 05:00:00", 2).count() == 0
