@@ -134,12 +134,18 @@ def drift_verdict(metric: Column, threshold: float = 0.6) -> Column:
     return F.when(metric >= threshold, F.lit("drift")).otherwise(F.lit("ok"))
 
 
-def breach_islands(history: DataFrame, breach: Column, series: Sequence[str] = SERIES,
+def _series(history: DataFrame, series) -> list[str]:
+    return [k for k in SERIES if k in history.columns] if series is None else list(series)
+
+
+def breach_islands(history: DataFrame, breach: Column, series: Sequence[str] | None = None,
                    ts: str = "ts") -> DataFrame:
     """Runs of consecutive breaching rows per series (gaps-and-islands).
 
     rank of the row in its series minus rank among the series' breaching rows is
     constant along a run; both ranks are skew-safe running counts."""
+    history = normalize(history)
+    series = _series(history, series)
     flagged = history.withColumn("_b", breach.cast("int"))
     ranked = running_sums(flagged, [F.col(ts).asc()], {"_rn": F.lit(1), "_rb": F.col("_b")}, list(series))
     runs = ranked.where(F.col("_b") == 1).withColumn("_island", F.col("_rn") - F.col("_rb"))
@@ -147,7 +153,7 @@ def breach_islands(history: DataFrame, breach: Column, series: Sequence[str] = S
         F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n")).drop("_island")
 
 
-def alert_hold(history: DataFrame, breach: Column, hold_seconds: float, series: Sequence[str] = SERIES,
+def alert_hold(history: DataFrame, breach: Column, hold_seconds: float, series: Sequence[str] | None = None,
                ts: str = "ts") -> DataFrame:
     """Alerts firing: a breach run lasting at least ``hold_seconds``."""
     isl = breach_islands(history, breach, series, ts)
@@ -155,14 +161,19 @@ def alert_hold(history: DataFrame, breach: Column, hold_seconds: float, series:
     return isl.where(dur >= hold_seconds).withColumn("held_seconds", dur)
 
 
-def absent(expected: DataFrame, present: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
+def absent(expected: DataFrame, present: DataFrame, series: Sequence[str] | None = None) -> DataFrame:
     """D12 ``absent``: expected series with no row in ``present``."""
+    expected, present = normalize(expected), normalize(present)
+    series = _series(expected, series)
     return expected.select(*series).distinct().join(present.select(*series), list(series), "left_anti")
 
 
-def rate(history: DataFrame, series: Sequence[str] = SERIES, ts: str = "ts", value: str = "value") -> DataFrame:
+def rate(history: DataFrame, series: Sequence[str] | None = None, ts: str = "ts",
+         value: str = "value") -> DataFrame:
     """D12 ``rate``: change per second between consecutive rows of a series.  The
     previous row comes from an equi-join on (series, rank - 1), never a window."""
+    history = normalize(history)
+    series = _series(history, series)
     ranked = global_row_number(history.select(*series, ts, value), [F.col(ts).asc()], "_rn", list(series))
     prev = ranked.select(*series, (F.col("_rn") + 1).alias("_rn"), F.col(ts).alias("_pts"),
                          F.col(value).alias("_pv"))

@@ -180,3 +180,13 @@ def test_freshness_on_unified_rows(spark):
     assert pushes.columns == ["table", "ts"]
     assert H.fresh(rows, pushes, "2024-01-02 05:00:00", 2).count() == rows.count()
     assert H.fresh(rows, pushes, "2024-01-03 05:00:00", 2).count() == 0
+
+
+def test_alerts_and_rate_on_unified_rows(spark):
+    from tablewatch.plans import jobs as J
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = J.profiling_job(ev, "events", "ts", "2024-01-02 04:00:00").unionByName(
+        J.profiling_job(ev, "events", "ts", "2024-01-02 06:00:00"))
+    assert H.alert_hold(rows, F.col("value") >= 0, 3600).where("name = 'Size'").count() == 1
+    assert H.rate(rows).where("name = 'Size'").count() == 1
+    assert H.absent(rows, rows.where("metric != 'Size'")).count() == 1
