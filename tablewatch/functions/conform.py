@@ -22,8 +22,9 @@ def parse_bracket_list(c: Column) -> Column:
 
 def conform_to_schema(df: DataFrame, target: T.StructType) -> DataFrame:
     """One projection.  Present fields are cast with ``try_cast`` (bad text -> NULL),
-    array-of-string fields are parsed from bracketed text, absent fields become typed
-    NULLs; source columns outside the schema are kept after the target fields."""
+    array-of-string fields are parsed from bracketed text, other nested fields
+    from JSON text, absent fields become typed NULLs; source columns outside the
+    schema are kept after the target fields."""
     present = set(df.columns)
     cols: list[Column] = []
     for field in target.fields:
@@ -31,6 +32,9 @@ def conform_to_schema(df: DataFrame, target: T.StructType) -> DataFrame:
             src = F.col(f"`{field.name}`")
             if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
                 cols.append(parse_bracket_list(src.cast("string")).alias(field.name))
+            elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+                # other nested types cannot come from a cast; their text is read as JSON
+                cols.append(F.from_json(src.cast("string"), field.dataType).alias(field.name))
             elif isinstance(field.dataType, T.StringType):
                 cols.append(src.cast("string").alias(field.name))
             else:

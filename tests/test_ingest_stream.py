@@ -140,3 +140,13 @@ def test_stream_metrics_are_history_rows(spark):
     rows = spark.read.parquet(f"{base}/m")
     last = H.latest(rows, ["table", "entity", "instance", "name"]).collect()
     assert {r.name for r in last} == {"Size", "Maximum"} and all(r.ts is not None for r in last)
+
+
+def test_conform_nested_types_from_json_text(spark):
+    df = spark.createDataFrame([('{"a": 1}', '[1, 2]', '{"k": "v"}', "oops")], "s string, arr string, m string, bad string")
+    schema = T.StructType([T.StructField("s", T.StructType([T.StructField("a", T.IntegerType())])),
+                           T.StructField("arr", T.ArrayType(T.IntegerType())),
+                           T.StructField("m", T.MapType(T.StringType(), T.StringType())),
+                           T.StructField("bad", T.StructType([T.StructField("a", T.IntegerType())]))])
+    r = conform_to_schema(df, schema).first()
+    assert r.s.a == 1 and r.arr == [1, 2] and r.m == {"k": "v"} and (r.bad is None or r.bad.a is None)
