@@ -16,6 +16,8 @@ from .ranking import global_row_number
 # (labels x 1024 rows) whatever the data size.
 _BUCKET_SHIFT = 54
 _BELOW_ALL = -(1 << 20)          # a cut bucket below every bucket: no test rows
+# the (label, bucket) counts read on the driver are capped: 4,096 labels x 1,024 buckets
+MAX_PLAN_ROWS = 4096 * 1024
 
 
 def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42,
@@ -41,7 +43,11 @@ def stratified_split(df: DataFrame, label: str = "label", test_fraction: float =
     h = F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed))
     hashed = df.withColumn("_h", h).withColumn("_bkt", F.shiftright(F.col("_h"), _BUCKET_SHIFT))
     # per (label, bucket) counts: at most (number of labels) x 1024 rows, read on the driver
-    counts = hashed.groupBy(label, "_bkt").agg(F.count(F.lit(1)).alias("_c")).collect()
+    counts = (hashed.groupBy(label, "_bkt").agg(F.count(F.lit(1)).alias("_c"))
+              .limit(MAX_PLAN_ROWS + 1).collect())
+    if len(counts) > MAX_PLAN_ROWS:
+        raise ValueError(f"stratified split over more than {MAX_PLAN_ROWS // 1024} labels: "
+                         f"the label column looks like a key, not a class")
     by_label: dict = {}
     for r in counts:
         by_label.setdefault(r[label], []).append((int(r["_bkt"]), int(r["_c"])))

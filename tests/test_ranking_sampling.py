@@ -94,3 +94,15 @@ def test_running_sums_carries_complex_columns(spark):
     w = Window.partitionBy("k").orderBy(F.col("o").desc(), "id").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.select("id", F.count("*").over(w).alias("rc"))
     assert got.join(ref, "id").where(F.col("c") != F.col("rc")).count() == 0
+
+
+def test_stratified_split_refuses_key_like_labels(spark):
+    import pytest
+    from tablewatch.operators import sampling
+    old = sampling.MAX_PLAN_ROWS
+    sampling.MAX_PLAN_ROWS = 10
+    try:
+        with pytest.raises(ValueError):
+            stratified_split(spark.range(100).withColumn("label", F.col("id")), "label", 0.2, 1, ["id"])
+    finally:
+        sampling.MAX_PLAN_ROWS = old
