@@ -23,6 +23,9 @@ from .suggest import f4
 CHECK_LEVEL = "Warning"
 SUCCESS, FAILURE = "Success", "Failure"
 NO_ROWS_MESSAGE = "no rows"
+# every rule becomes one expression of a single aggregate; the rule list read on the
+# driver is capped
+MAX_RULES = 20_000
 
 RESULT_FIELDS = ["check", "check_level", "check_status", "constraint", "constraint_status",
                  "constraint_message", "value"]
@@ -144,7 +147,10 @@ def rules_from_frame(rules_df: DataFrame) -> list[Rule]:
     cols = [c for c in wanted if c in rules_df.columns]
     if "predicate" in rules_df.columns:
         cols.append("predicate")
-    return [Rule.from_row(r) for r in rules_df.select(*cols).collect()]
+    rows = rules_df.select(*cols).limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} active rules: verify them in several checks")
+    return [Rule.from_row(r) for r in rows]
 
 
 def read_active_rules(rules_df: DataFrame) -> DataFrame:
