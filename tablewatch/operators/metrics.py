@@ -221,13 +221,23 @@ def _long_rows(one_row: DataFrame, specs: Sequence[tuple[str, str, str, str]]) -
     return one_row.selectExpr(f"inline(array({structs}))").where("value IS NOT NULL")
 
 
-def scan_metrics(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
+def scan_metrics(df: DataFrame, analyzers: Sequence[Analyzer], separate_sketches: bool = False) -> DataFrame:
     """All scan analyzers in one aggregate over ``df`` -> metric rows.  The
     aggregate is submitted as SQL text in one call (a global aggregate via
-    ``selectExpr``), whatever the number of analyzers."""
+    ``selectExpr``), whatever the number of analyzers.
+
+    ``approx_count_distinct`` is an imperative aggregate: with it in the same
+    aggregate, Spark runs the whole aggregate without whole-stage codegen.
+    ``separate_sketches=True`` computes the HLL sketches in a second aggregate
+    instead (two scans of ``df``, the main one code-generated); the default
+    keeps one scan."""
     scan = [a for a in analyzers if not a.grouping]
     if not scan:
         return df.sparkSession.createDataFrame([], METRIC_SCHEMA)
+    sketches = [a for a in scan if isinstance(a, ApproxCountDistinct)]
+    if separate_sketches and sketches and len(sketches) < len(scan):
+        rest = [a for a in scan if not isinstance(a, ApproxCountDistinct)]
+        return scan_metrics(df, rest).unionByName(scan_metrics(df, sketches))
     one_row = df.selectExpr(*[f"{a.sql()} AS _m{i}" for i, a in enumerate(scan)])
     return _long_rows(one_row, [(a.entity, a.instance, a.name, f"_m{i}") for i, a in enumerate(scan)])
 
@@ -307,14 +317,14 @@ def grouping_metrics(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
             .where(F.col("value").isNotNull()))
 
 
-def run_analyzers(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
+def run_analyzers(df: DataFrame, analyzers: Sequence[Analyzer], separate_sketches: bool = False) -> DataFrame:
     """Every analyzer over ``df``; one scan aggregate + (if needed) one grouping pass."""
     analyzers = list(dict.fromkeys(analyzers))  # dedupe, keep order
     has_scan = any(not a.grouping for a in analyzers)
     has_grouping = any(a.grouping for a in analyzers)
     if has_scan and has_grouping:
-        return scan_metrics(df, analyzers).unionByName(grouping_metrics(df, analyzers))
-    return grouping_metrics(df, analyzers) if has_grouping else scan_metrics(df, analyzers)
+        return scan_metrics(df, analyzers, separate_sketches).unionByName(grouping_metrics(df, analyzers))
+    return grouping_metrics(df, analyzers) if has_grouping else scan_metrics(df, analyzers, separate_sketches)
 
 
 # ----------------------------------------------------------------- dispatch

@@ -107,3 +107,13 @@ def test_metrics_match_pandas(spark, rows):
         assert m[("Column", "s", "MaxLength")] == s.str.len().max()
         p = s.value_counts(normalize=True).to_numpy()
         assert abs(m[("Column", "s", "Entropy")] - float(-(p * np.log(p)).sum())) < 1e-9
+
+
+def test_separate_sketches_same_metrics(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    an = M.default_analyzers(df)
+    a = metric_map(M.run_analyzers(df, an))
+    b = metric_map(M.run_analyzers(df, an, separate_sketches=True))
+    assert a == b
+    plan = M.scan_metrics(df, an, separate_sketches=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
