@@ -361,9 +361,9 @@ def default_analyzers(df: DataFrame, *, approx_distinct: bool = True, std_dev: b
     return out
 
 
-def profile_metrics(df: DataFrame, **kw) -> DataFrame:
+def profile_metrics(df: DataFrame, separate_sketches: bool = False, **kw) -> DataFrame:
     """A14 + A15 + A16: the schema-driven metric set as long rows."""
-    return run_analyzers(df, default_analyzers(df, **kw))
+    return run_analyzers(df, default_analyzers(df, **kw), separate_sketches)
 
 
 def with_entity_type(metrics: DataFrame) -> DataFrame:

@@ -58,6 +58,8 @@ def build_parser() -> argparse.ArgumentParser:
     sp = sub.add_parser("profile", help="metrics of the hour before --at")
     table_args(sp)
     sp.add_argument("--out", help="metric history path (appended)")
+    sp.add_argument("--separate-sketches", action="store_true",
+                    help="distinct-count sketches in their own aggregate (second scan)")
 
     sp = sub.add_parser("suggest", help="suggest on trailing days, merge, activate, publish")
     table_args(sp)
@@ -115,7 +117,7 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
     a = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"tablewatch-{a.cmd}").getOrCreate()
     if a.cmd == "profile":
-        out = J.profiling_job(_source(spark, a), _name(a), a.ts_col, a.at, a.out)
+        out = J.profiling_job(_source(spark, a), _name(a), a.ts_col, a.at, a.out, a.separate_sketches)
     elif a.cmd == "suggest":
         out = J.suggestion_job(spark, _source(spark, a), _name(a), a.ts_col, a.at, a.read_days,
                                a.top_low_ratio, a.database).activated

@@ -35,11 +35,12 @@ from ..sources import commits as CM
 from ..sources import csv as CSV
 
 
-def profiling_job(df: DataFrame, table: str, ts_col: str, at, metrics_path: str | None = None) -> DataFrame:
+def profiling_job(df: DataFrame, table: str, ts_col: str, at, metrics_path: str | None = None,
+                  separate_sketches: bool = False) -> DataFrame:
     """Hourly profiling: metrics of the hour before ``at``; appended to the history if a path is given."""
     sl = S.slice_previous_hour(df, ts_col, at)
     lo, _ = S.previous_hour_bounds(at)
-    m = M.as_history_rows(M.profile_metrics(sl), sl, ts=at, table=table, slice_start=lo)
+    m = M.as_history_rows(M.profile_metrics(sl, separate_sketches), sl, ts=at, table=table, slice_start=lo)
     if metrics_path:
         append_metrics(m, metrics_path)
     return m
