@@ -307,13 +307,17 @@ def grouping_metrics(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
         return df.sparkSession.createDataFrame([], METRIC_SCHEMA)
     columns = sorted({a.column for a in grouped})
     summary = frequency_summary(df, columns)
-    wanted = local_frame(df.sparkSession, [(a.column, a.name) for a in grouped], "column string, name string")
-    value = (F.when(F.col("name") == "Entropy", F.col("entropy"))
-             .when(F.col("name") == "Uniqueness", F.try_divide(F.col("singles").cast("double"), F.col("n"))))
-    # ``wanted`` holds one row per requested analyzer: bounded by the schema width.
-    return (summary.join(F.broadcast(wanted), "column")
+    # both grouping metrics per column, then only the requested (column, metric) pairs,
+    # selected with literals (no join)
+    both = summary.select(
+        "column", F.inline(F.array(
+            F.struct(F.lit("Entropy").alias("name"), F.col("entropy").alias("value")),
+            F.struct(F.lit("Uniqueness").alias("name"),
+                     F.try_divide(F.col("singles").cast("double"), F.col("n")).alias("value")))))
+    wanted = [f"{a.column}\u0000{a.name}" for a in grouped]
+    return (both.where(F.concat(F.col("column"), F.lit("\u0000"), F.col("name")).isin(wanted))
             .select(F.lit(COLUMN).alias("entity"), F.col("column").alias("instance"),
-                    F.col("name"), value.cast("double").alias("value"))
+                    F.col("name"), F.col("value").cast("double").alias("value"))
             .where(F.col("value").isNotNull()))
 
 

@@ -118,8 +118,13 @@ def _sq_list(arr: str) -> str:
 
 
 def _categorical(profiles: ColumnProfiles, rules) -> list[DataFrame]:
-    fr = profiles.frame.where((F.col("data_type") == TY.STRING) & F.col("has_histogram"))
-    hist = profiles.histograms.join(F.broadcast(fr.select("column", "n_rows")), "column")
+    # the qualifying columns and the row count are known from pass 1 (driver-side
+    # profile rows), so they enter the plan as literals instead of a join
+    cat_cols = [r["column"] for r in profiles.rows if r["data_type"] == TY.STRING and r["has_histogram"]]
+    if not cat_cols:
+        return []
+    hist = (profiles.histograms.where(F.col("column").isin(cat_cols))
+            .withColumn("n_rows", F.lit(int(profiles.n_rows)).cast("long")))
     # one group per column (at most ~HISTOGRAM_THRESHOLD values): the values are collected
     # sorted (most frequent first, ties by value) and the running coverage is computed on
     # that bounded array, so no window / extra shuffle is needed
