@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import local_frame
 
 METRIC_SCHEMA = "entity string, instance string, name string, value double"
 
@@ -404,9 +403,10 @@ def as_history_rows(metrics: DataFrame, source: DataFrame, *, ts, table: str, sl
     """Metric rows in the unified history layout
     ``ts, table, slice_start, entity, instance, data_type, metric, value, value_str``;
     ``data_type`` is the source column's type (NULL for dataset / multi-column rows)."""
-    types = local_frame(metrics.sparkSession, [(f.name, f.dataType.simpleString()) for f in source.schema.fields],
-                        "instance string, data_type string")
-    out = metrics.join(F.broadcast(types), "instance", "left")   # one row per source column
+    # column -> type as a literal map (schema width), looked up per row: no join
+    pairs = [x for f in source.schema.fields for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))]
+    type_of = F.try_element_at(F.create_map(*pairs), F.col("instance")) if pairs else F.lit(None)
+    out = metrics.withColumn("data_type", type_of.cast("string"))
     return out.select(ts_lit(ts).alias("ts"), F.lit(table).alias("table"),
                       ts_lit(slice_start).alias("slice_start"), "entity", "instance",
                       F.when(F.col("entity") == COLUMN, F.col("data_type")).alias("data_type"),
