@@ -115,3 +115,12 @@ def test_cli_ingest_daily_profile_drift(spark):
                       "--exclude-cols", "event_id", "--out", f"{base}/drift"], spark)
     assert spark.read.parquet(f"{base}/drift").where("type = 'ML_Metric'").count() == 1
     assert drift.count() >= 1
+
+
+def test_jobs_on_an_empty_hour(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    rows = J.profiling_job(ev, "events", "ts", "2030-01-01 04:00:00").collect()
+    assert [(r.metric, r.value) for r in rows] == [("Size", 0.0)]
+    from tablewatch.operators import verify as V
+    res = V.verify(ev.where("ts > '2030-01-01'"), [V.Rule("c", "value", "is_complete")]).collect()
+    assert res[0].constraint_message == "no rows" and res[0].check_status == "Warning"
