@@ -5,10 +5,11 @@ list produces.  It starts as one state with an arc per base symbol; every merge
 (a, b) -> c, in order, adds a gadget: the target of the a-arcs is copied without its
 b-arc, the a-arcs lead to the copy, and wherever an a-arc leaves, a c-arc now leaves
 too and leads to where b led.  Copies share all arcs but the one they lose, so a
-state is stored as its parent, the lost arc and the step; arcs in use are tabulated.
+gadget is stored as what it takes over, the lost arc and the step; arcs in use are tabulated.
 A word is encoded by running its spelling through a table of token spellings and the
-automaton at once: every prefix of a word has exactly one accepted path, so one
-token and one state per position are enough.  Decoding emits the arc labels.
+automaton at once, long tokens first: every prefix of a word has exactly one accepted
+path, so a position that leads nowhere is never entered again.  Decoding emits the
+arc labels.
 
 Words are cut as the tokenizer file says (NFC, white space dropped, lower case, one
 pattern).  Each distinct word is encoded once per Python worker and kept.
@@ -26,6 +27,8 @@ from pyspark.sql import DataFrame
 from tablewatch.llm.common import pick, slices, worker_state
 
 CACHE_WORDS = 300_000           # words kept per Python worker; beyond it the cache starts anew
+ARCS = 2_000_000                # tabulated arcs; beyond it the table starts anew
+LATIN = "\u0250"                # letters below are the same in every Unicode version
 _NEVER = 1 << 60
 # Fixed values of the tokenizer's format: white space of Unicode and the word pattern.
 _SPACE = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
@@ -46,24 +49,22 @@ class MergeAutomaton:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
         self.suffix = suffix
+        self.size = 1 + max(vocab.values())
         self.label = {i: t for t, i in vocab.items()}
-        self.parent, self.lost, self.step = [-1], [-1], [-1]          # state 0: all base arcs
-        self.goes: dict[int, int] = {}                                # token -> target state of its arcs
-        self.made: dict[int, tuple[int, int]] = {}                    # merged token -> (left part, step)
+        self.lost: dict[int, int] = {}                       # a * size + b: step at which the target of a-arcs lost its b-arc
+        self.leads: dict[int, tuple[int, int]] = {}          # c: its arcs lead to where those of b led before that step
+        self.beside: dict[int, tuple[int, int]] = {}         # c: its arcs leave where those of a did up to that step
         for k, (left, right) in enumerate(merges):
             a, b, c = vocab[left], vocab[right], vocab[left + right]
-            if c in self.made:
+            if c in self.leads:
                 raise ValueError(f"token {left + right!r} has two merges")
-            q, s = self.goes.get(a, 0), self.goes.get(b, 0)
-            self.parent.append(q)
-            self.lost.append(b)
-            self.step.append(k)
-            self.goes[a] = len(self.parent) - 1
-            self.goes[c] = s
-            self.made[c] = (a, k)
-        self._cuts: dict[int, dict[int, int]] = {}
-        self._arcs: dict[int, dict[int, bool]] = {}
-        self.spell: list[dict] = [{}]                                 # trie of spellings; "" holds the token
+            self.lost[a * self.size + b] = k
+            self.leads[c] = (b, k)
+            self.beside[c] = (a, k)
+        self.states: dict[int, list[tuple[int, int]]] = {}
+        self.origins: dict[int, list[tuple[int, int]]] = {}
+        self.arcs: dict[int, bool] = {}
+        self.spell: list[dict] = [{}]                        # trie of spellings; "" holds the token
         for t, i in vocab.items():
             node = self.spell[0]
             for ch in self._symbols(t):
@@ -79,31 +80,36 @@ class MergeAutomaton:
             return [*body[:-1], body[-1] + self.suffix]
         return list(token)
 
-    def _lost_arcs(self, state: int) -> dict[int, int]:
-        """Arcs lost on the way to a state, with the step of the loss."""
-        cuts = self._cuts.get(state)
-        if cuts is None:
-            cuts, at = {}, state
-            while at > 0:
-                cuts.setdefault(self.lost[at], self.step[at])
-                at = self.parent[at]
-            self._cuts[state] = cuts
-        return cuts
-
-    def has_arc(self, state: int, token: int) -> bool:
-        """Whether a ``token`` arc leaves ``state``: it was there when its merge was compiled and was not lost."""
-        table = self._arcs.setdefault(state, {})
-        known = table.get(token)
+    @staticmethod
+    def _line(token: int, by: dict[int, tuple[int, int]]) -> list[tuple[int, int]]:
+        """The token, what it was taken over from, and so on, each with the step until which its gadgets count."""
+        out = [(token, _NEVER)]
+        while token in by:
+            token, step = by[token]
+            out.append((token, min(step, out[-1][1])))
+        return out
+
+    def has_arc(self, last: int, token: int) -> bool:
+        """Whether a ``token`` arc leaves the target of the ``last`` arcs.
+
+        That state is the copy made by the last gadget of ``last``, of a copy of ..., of the state
+        where the right part of ``last`` led when ``last`` came up; the arc came up with its own left
+        part's arc.  So it is missing if any of these states lost any of these arcs in time.
+        """
+        key = last * self.size + token
+        known = self.arcs.get(key)
         if known is None:
-            cuts, at, until, known = self._lost_arcs(state), token, _NEVER, True
-            while True:
-                if cuts.get(at, _NEVER) <= until and at in cuts:
-                    known = False
-                    break
-                if at not in self.made:
-                    break
-                at, until = self.made[at]
-            table[token] = known
+            states = self.states.get(last) or self.states.setdefault(last, self._line(last, self.leads))
+            origins = self.origins.get(token) or self.origins.setdefault(token, self._line(token, self.beside))
+            known, step_of, size = True, self.lost.get, self.size
+            for x, before in states:
+                for c, until in origins:
+                    step = step_of(x * size + c)
+                    if step is not None and step < before and step <= until:
+                        known = False
+            if len(self.arcs) > ARCS:
+                self.arcs.clear()
+            self.arcs[key] = known
         return known
 
     def encode(self, word: str) -> list[int]:
@@ -112,31 +118,36 @@ class MergeAutomaton:
         symbols = [*word[:-1], word[-1] + self.suffix]
         symbols = [s for s in symbols if "" in known.get(s, ())]
         n = len(symbols)
-        if not n:
-            return []
-        whole = known
-        for s in symbols:
-            whole = whole.get(s)
-            if whole is None:
-                break
-        back: list[tuple[int, int] | None] = [None] * (n + 1)
-        for i in range(n):
-            if i and back[i] is None:
-                continue
-            state = self.goes.get(back[i][1], 0) if i else 0
-            node = known
-            for j in range(i, n):
-                node = node.get(symbols[j])
-                if node is None:
+        path, begins, dead = [], [0], set()
+        choices = [self._tokens_from(symbols, 0)] if n else []
+        while choices:
+            last = path[-1] if path else None
+            while choices[-1]:                      # the longest first
+                stop, token = choices[-1].pop()
+                if stop not in dead and (last is None or self.has_arc(last, token)):
+                    path.append(token)
+                    if stop == n:
+                        return path
+                    begins.append(stop)
+                    choices.append(self._tokens_from(symbols, stop))
                     break
-                token = node.get("")
-                if token is not None and back[j + 1] is None and self.has_arc(state, token):
-                    back[j + 1] = (i, token)
-        out, at = [], n
-        while at:
-            at, token = back[at]
-            out.append(token)
-        return out[::-1]
+            else:                                   # a prefix has one accepted path: no other way leads on from here
+                dead.add(begins.pop())
+                choices.pop()
+                if path:
+                    path.pop()
+        return []
+
+    def _tokens_from(self, symbols: list[str], at: int) -> list[tuple[int, int]]:
+        """(end, token) of the tokens spelled from a position on, by length."""
+        out, node = [], self.spell[0]
+        for j in range(at, len(symbols)):
+            node = node.get(symbols[j])
+            if node is None:
+                break
+            if "" in node:
+                out.append((j + 1, node[""]))
+        return out
 
 
 class Encoder:
@@ -144,6 +155,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -153,6 +166,7 @@ class Encoder:
         self.letters = byte_letters()
         self.words = regex.compile(_WORDS)
         self.cut_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
+        self.known: dict[str, list[int]] = {}
         self.ids: dict[str, bytes] = {}
         self.labels: dict[str, bytes] = {}
 
@@ -160,10 +174,19 @@ class Encoder:
         # The tokenizer lower-cases letter by letter; Python's lower() looks at the neighbours of a capital sigma.
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
+    def cut(self, text: str) -> list[str]:
+        """Words in the byte alphabet; letters that younger Unicode versions may class anew are left to the library."""
+        if max(text) < LATIN:
+            return ["".join(map(self.letters.__getitem__, w.encode())) for w in self.words.findall(self.normalized(text))]
+        return [w for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(text))]
+
     def piece(self, text: str) -> list[int]:
         out = []
-        for word in self.words.findall(self.normalized(text)):
-            out += self.automaton.encode("".join(map(self.letters.__getitem__, word.encode())))
+        for word in self.cut(text):
+            ids = self.known.get(word)
+            if ids is None:
+                ids = self.known[word] = self.automaton.encode(word)
+            out += ids
         return out
 
     def keep(self, key: str, ids: list[int]) -> None:
@@ -188,6 +211,7 @@ class Encoder:
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
             self.labels.clear()
+            self.known.clear()
         for part in set(parts).difference(self.ids):
             self.keep(part, self.piece(part))
         ids.extend(map(self.ids.__getitem__, parts))

@@ -12,6 +12,7 @@ shape, bin and offset.  No task sees more than its own pieces.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -20,9 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tablewatch.llm.bpe import byte_letters
 from tablewatch.llm.common import cut, pick, slices, worker_state
 
 CACHE_WORDS = 300_000           # words kept per Python worker; beyond it the cache starts anew
+LATIN = "\u0250"                # letters below are the same in every Unicode version
+# Fixed value: the pattern of byte-level tokenizer files.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 # ------------------------------------------------------------------- tokenizing
@@ -32,39 +37,53 @@ class Tokens:
 
     A match of the tokenizer's pattern never goes on past a space that has a visible
     character behind it, so a text is cut there and each distinct part encoded once.
-    Texts where a space meets other white space, and texts with a special token, are
-    encoded whole.
+    Parts of Latin letters are merged by rank, which the file's ids are; other parts, texts
+    where a space meets other white space, and texts with a special token go through
+    the tokenizer itself.
     """
 
     def __init__(self, path: str):
+        import json
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}              # what follows a space -> ids, the space included
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, raw = model["vocab"], {c: b for b, c in byte_letters().items()}
+        steps = [vocab["".join(m if not isinstance(m, str) else m.split(" "))] for m in model["merges"]]
+        self.merge = None
+        if steps == sorted(steps) and len(vocab) == 256 + len(steps):
+            ranks = {bytes(map(raw.__getitem__, t)): i for t, i in vocab.items()}
+            self.merge = tiktoken.Encoding("parts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _part(self, part: str) -> bytes:
+        if self.merge is not None and max(part) < LATIN:
+            ids = self.merge(part)
+            return struct.pack(f"<{len(ids)}I", *ids)
+        return self._ids([part])[0]
+
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
         if any(s in text for s in self.special):
             return self._ids([text])[0]
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
         first, *parts = text.split(" ")
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list(set(parts).difference(self.known))
-        if new:
-            if any(not p or p[0].isspace() for p in new):
-                return self._ids([text])[0]
-            self.known.update(zip(new, self._ids([" " + p for p in new])))
-        head = self._ids([first])[0] if first else b""
-        return head + b"".join(map(self.known.__getitem__, parts))
+        new = set(parts).difference(self.parts)
+        if any(not p or p[0].isspace() for p in new):
+            return self._ids([text])[0]
+        for p in new:
+            self.parts[p] = self._part(" " + p)
+        return (self._part(first) if first else b"") + b"".join(map(self.parts.__getitem__, parts))
 
 
 def tokens(path: str) -> Tokens:
