@@ -59,16 +59,20 @@ def ends(text: bytes) -> np.ndarray:
     return at if len(at) and at[-1] == len(raw) else np.append(at, len(raw))
 
 
+def own(text: str):
+    """32 bits of a text's digest: tells apart texts that share an id."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).cast("int")
+
+
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, k, start, stop, words, digest, again) per chunk; offsets in bytes; th is the text's own digest."""
+    """(id, th, start, size, words, digest, again) per chunk; offsets in bytes, th as of ``own``."""
     def run(batches):
         import pyarrow as pa
         import xxhash
-        names = ["id", "th", "k", "start", "stop", "words", "digest", "again"]
         digest = xxhash.xxh3_64_intdigest
         for b in slices(batches):
-            where, cols = [], [[] for _ in names[1:]]
-            for row, text in enumerate(b.column(1).to_pylist()):
+            cols = [[] for _ in range(6)]
+            for row, text in enumerate(b.column(2).to_pylist()):
                 stops = ends(text)
                 n = len(stops)
                 starts = np.concatenate([[0], stops[:-1]]) if n else stops
@@ -76,41 +80,39 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 marks = np.array([digest(p) for p in parts], np.uint64).view(np.int64)
                 again = np.ones(n, bool)
                 again[np.unique(marks, return_index=True)[1]] = False
-                own = np.array([digest(text)], np.uint64).view(np.int64)
-                where.append(np.full(n, row))
-                for c, v in zip(cols, (np.full(n, own), np.arange(n), starts, stops,
-                                       np.array([len(p.split()) for p in parts], np.int64), marks, again)):
+                for c, v in zip(cols, (np.full(n, row), starts, stops - starts, [len(p.split()) for p in parts], marks, again)):
                     c.append(v)
-            rows = np.concatenate(where)
+            rows, *rest = (np.concatenate(c) for c in cols)
+            rows = pa.array(rows.astype(np.int64))
+            kinds = (np.int32, np.int32, np.int32, np.int64, bool)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(rows)), *(pa.array(np.concatenate(c).astype(bool if n == "again" else np.int64))
-                                                    for c, n in zip(cols, names[1:]))], names)
-    src = pick(docs, id=id_col, text=text_col).select("id", text_bytes().alias("text"))
+                [b.column(0).take(rows), b.column(1).take(rows), *(pa.array(v.astype(k)) for v, k in zip(rest, kinds))],
+                ["id", "th", "start", "size", "words", "digest", "again"])
+    src = pick(docs, id=id_col, text=text_col).select("id", own("text").alias("th"), text_bytes().alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, th long, k long, start long, stop long, words long, digest long, again boolean")
+    return src.mapInArrow(run, f"id {kind}, th int, start int, size int, words int, digest long, again boolean")
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """Repeated chunks with the smallest id that has them (``source``)."""
-    first = found.where("not again").groupBy("digest").agg(F.min("id").alias("source"), F.max("id").alias("last"),
-                                                          F.count("*").alias("n"))
-    several = first.where("n > 1").select("digest", "source")
-    far = found.join(several, "digest").where("source < id or (id is null and source is not null) or again")
-    near = found.where("again").join(several, "digest", "left_anti").withColumn("source", F.col("id"))
-    return far.select(*found.columns, "source").unionByName(near)
+    """Repeated chunks with the smallest id that has them (``source``).
+
+    The smallest ids are already dealt by digest, so the join moves the chunks once.
+    """
+    first = found.groupBy("digest").agg(F.min("id").alias("source"))
+    return found.join(first, "digest").where("again or source < id or (id is null and source is not null)")
 
 
 def runs(marked: DataFrame) -> DataFrame:
-    """(id, th, start, stop, words, chunks, sources) of the runs to remove."""
+    """(id, th, start, stop, words, sources) of the runs to remove."""
     # rows that share id and text give the same chunks: one of each is enough
-    one = marked.groupBy("id", "th", "k").agg(*[F.first(c).alias(c) for c in ("start", "stop", "words", "source")])
-    order = W.partitionBy("id", "th").orderBy("k")
-    island = one.withColumn("run", F.col("k") - F.row_number().over(order))
+    one = marked.groupBy("id", "th", "start").agg(*[F.first(c).alias(c) for c in ("size", "words", "source")])
+    order = W.partitionBy("id", "th").orderBy("start")
+    fresh = F.coalesce(F.lag(F.col("start") + F.col("size")).over(order) != F.col("start"), F.lit(True))
+    island = one.withColumn("fresh", fresh.cast("int")).withColumn("run", F.sum("fresh").over(order))
     solid = F.sum(F.when(F.col("words") >= SOLID, F.col("words")).otherwise(0))
     return island.groupBy("id", "th", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"),
-        F.count("*").alias("chunks"), solid.alias("solid"), F.array_sort(F.collect_set("source")).alias("sources")) \
-        .where(F.col("solid") >= MIN_WORDS)
+        F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("stop"), F.sum("words").alias("words"),
+        solid.alias("solid"), F.array_sort(F.collect_set("source")).alias("sources")).where(F.col("solid") >= MIN_WORDS)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,16 +129,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"), F.sum("words").alias("n_removed_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources")) \
         .select(F.col("id").alias("_id"), F.col("th").alias("_th"), "spans", "n_removed_words", "sources")
-    src = pick(docs, id=id_col, text=text_col)
-
-    def own(batches):
-        import pyarrow as pa
-        import xxhash
-        for b in slices(batches):
-            marks = np.array([xxhash.xxh3_64_intdigest((t or "").encode()) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks.view(np.int64))], ["id", "text", "th"])
-    kind = src.schema["id"].dataType.simpleString()
-    keyed = src.mapInArrow(own, f"id {kind}, text string, th long")
+    keyed = pick(docs, id=id_col, text=text_col).withColumn("th", own("text"))
+    kind = keyed.schema["id"].dataType.simpleString()
     both = keyed.join(per.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
     raw = F.col("text").cast("binary")
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["stop"]))
