@@ -61,7 +61,7 @@ def ends(text: bytes) -> np.ndarray:
 
 def own(text: str):
     """32 bits of a text's digest: tells apart texts that share an id."""
-    return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).cast("int")
+    return F.hash(F.coalesce(F.col(text), F.lit("")))
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
