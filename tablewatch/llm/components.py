@@ -1,11 +1,12 @@
 """Connected components of an edge table, by contraction.
 
-Every round points each node at the smallest node of its closed neighbourhood and
-replaces the edges by the edges between those targets; loops and doubles vanish.
-A component's smallest node always points at itself, so every chain of targets
-ends there.  A round is one aggregate with map-side combine (hubs arrive as one
-row per task) and two equi-joins whose skewed partitions Spark can split; nothing
-is collected but the number of edges left.
+Every round orders the nodes anew by a hash, points each at the first node of its
+closed neighbourhood and replaces the edges by the edges between those targets; loops
+and doubles vanish.  The order is random, so that about half of the nodes are left
+whatever their numbers (a chain of rising ids, too).  At the end each node's chain of
+targets is followed, and the smallest node of each group names it.  A round is one
+aggregate with map-side combine (hubs arrive as one row per task) and two equi-joins
+whose skewed partitions Spark can split; nothing is collected.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """
     edges = cut(edges.select("a", "b").where("a <> b").distinct())
     hops = []
-    for _ in range(max_rounds):
+    for turn in range(max_rounds):
         if edges.isEmpty():
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        to = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
-                 .select("node", F.least("node", "near").alias("to")))
+        def place(node, seed=turn):
+            return F.xxhash64(F.lit(seed), node)
+        near = both.groupBy(F.col("a").alias("node")).agg(F.min_by("b", place(F.col("b"))).alias("near"))
+        to = cut(near.select("node", F.when(place(F.col("near")) < place(F.col("node")), F.col("near")).otherwise(F.col("node")).alias("to")))
         hops.append(to)
         left, right = to.select(F.col("node").alias("a"), F.col("to").alias("ta")), \
             to.select(F.col("node").alias("b"), F.col("to").alias("tb"))
@@ -43,4 +46,5 @@ def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     for to in reversed(hops[:-1]):
         nxt = found.select(F.col("node").alias("to"), "component")
         found = cut(to.join(nxt, "to", "left").select("node", F.coalesce("component", "to").alias("component")))
-    return found
+    names = found.groupBy("component").agg(F.min("node").alias("least"))
+    return cut(found.join(names, "component").select("node", F.col("least").alias("component")))

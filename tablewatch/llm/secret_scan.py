@@ -22,7 +22,7 @@ from tablewatch.llm.common import pick
 
 SAMPLE = 4000                   # texts the chains are trained on, about
 MIN_RUN = 20                    # characters of a candidate run at least
-THRESHOLD = 1_200               # thousandths of a nat for each pair of characters
+THRESHOLD = 800                 # thousandths of a nat for each pair of characters
 CLASSES = 63                    # a-z, A-Z, 0-9, anything else
 
 # What counts as a secret by its look.  Kind -> (pattern, pattern of a match that stays).
@@ -97,8 +97,7 @@ def samples(docs: DataFrame, texts: int = SAMPLE) -> DataFrame:
         F.lit(True).alias("random"), F.regexp_extract("s.hit", r"[A-Za-z0-9+/_.=-]+$", 0).alias("token"))
     digest = F.sha2(F.col("text").cast("binary"), 256)
     made = base.select(F.lit(True).alias("random"), F.explode(F.array(
-        digest, F.base64(F.unhex(digest)), F.translate(F.base64(F.unhex(digest)), "+/=", "-_"),
-        F.upper(digest))).alias("token"))
+        F.base64(F.unhex(digest)), F.translate(F.base64(F.unhex(digest)), "+/=", "-_"))).alias("token"))
     words = base.where(F.size("base") == 0).select(F.lit(False).alias("random"), F.explode(
         F.regexp_extract_all("text", _lit(r"[A-Za-z][A-Za-z_-]{5,}"), F.lit(0))).alias("token"))
     return found.unionByName(made).unionByName(words)
