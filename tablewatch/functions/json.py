@@ -8,7 +8,16 @@ from pyspark.sql import types as T
 
 from .text import sanitize_key
 
-MAX_DEPTH = 8
+
+def json_depth(df: DataFrame, text_col: str) -> int:
+    """Deepest nesting of any document: brackets outside of string literals, counted in one pass."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    bare = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\\\]|\\\\.)*+"', ""), r"[^\[\]{}]", "")
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    step = F.aggregate(F.split(bare, ""), zero, lambda a, c: F.struct(
+        (a["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)).alias("now"),
+        F.greatest(a["most"], a["now"] + F.when(c.isin("{", "["), 1).otherwise(0)).alias("most")), lambda a: a["most"])
+    return df.select(F.max(step)).first()[0] or 0
 
 
 def parse_json_columns(df: DataFrame, text_col: str, schema: T.StructType | str,
@@ -24,7 +33,7 @@ def _numeric_leaf(v: Column) -> Column:
 
 
 def flatten_json(df: DataFrame, text_col: str, keep: list[str] | None = None,
-                 max_depth: int = MAX_DEPTH, sanitize: bool = True) -> DataFrame:
+                 max_depth: int | None = None, sanitize: bool = True) -> DataFrame:
     """Every numeric leaf of a JSON document as ``(*keep, name, value)``.
 
     Object members extend the name with ``.key`` (no dot at the root), array
@@ -32,8 +41,10 @@ def flatten_json(df: DataFrame, text_col: str, keep: list[str] | None = None,
     Each level is one lateral ``variant_explode_outer``: a scalar (or empty
     container) explodes to a row with NULL ``pos``, which marks it as a leaf.
     With ``sanitize`` the name has every character outside ``[a-zA-Z0-9_]``
-    replaced by ``_`` (P9).
+    replaced by ``_`` (P9).  The number of levels is that of the deepest document
+    (``json_depth``) unless ``max_depth`` gives it.
     """
+    levels = json_depth(df, text_col) + 1 if max_depth is None else max_depth
     spark = df.sparkSession
     keep = list(keep or [])
     # One linear chain, one scan: finished leaves ride along (their explode input
@@ -41,7 +52,7 @@ def flatten_json(df: DataFrame, text_col: str, keep: list[str] | None = None,
     nodes = df.select(*keep, F.lit("").alias("_path"),
                       F.try_parse_json(F.col(text_col).cast("string")).alias("_v"),
                       F.lit(False).alias("_done"))
-    for _ in range(max_depth):
+    for _ in range(levels):
         pending = F.when(~F.col("_done"), F.col("_v")).outer()
         ex = nodes.lateralJoin(spark.tvf.variant_explode_outer(pending), how="left")
         child = F.col("pos").isNotNull()

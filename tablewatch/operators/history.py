@@ -61,7 +61,16 @@ def fresh(history: DataFrame, pushes: DataFrame, now, max_age_hours: float,
     keys = _push_keys(history, keys)
     now = _as_datetime(now)
     recent = pushes.where(F.col(ts) >= _bound(pushes, ts, now - timedelta(hours=max_age_hours))).select(*keys)
-    return history.join(recent, list(keys), "left_semi")
+    return history.join(*_null_safe(history, recent, keys), "left_semi")
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``right`` with its keys renamed, and the condition that they equal those of ``left`` (NULL equals NULL)."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(renamed[f"_r_{k}"])
+    return renamed, cond
 
 
 def push_times(history: DataFrame, keys: Sequence[str] | None = None, ts: str = "ts") -> DataFrame:
@@ -126,7 +135,9 @@ def share_of_total(df: DataFrame, value: str = "value", group: Sequence[str] = (
     """O3: ``value / sum(value)`` within each group; the group totals (one row per
     group) are joined back on the group key instead of a window over the group."""
     totals = df.groupBy(*group).agg(F.sum(value).alias("_total"))
-    return df.join(totals, list(group)).withColumn(out, F.col(value) / F.col("_total")).drop("_total")
+    right, same = _null_safe(df, totals, group)
+    return df.join(right, same).withColumn(out, F.col(value) / F.col("_total")) \
+        .drop("_total", *[f"_r_{k}" for k in group])
 
 
 def drift_verdict(metric: Column, threshold: float = 0.6) -> Column:
@@ -165,7 +176,8 @@ def absent(expected: DataFrame, present: DataFrame, series: Sequence[str] | None
     """D12 ``absent``: expected series with no row in ``present``."""
     expected, present = normalize(expected), normalize(present)
     series = _series(expected, series)
-    return expected.select(*series).distinct().join(present.select(*series), list(series), "left_anti")
+    wanted = expected.select(*series).distinct()
+    return wanted.join(*_null_safe(wanted, present.select(*series), series), "left_anti")
 
 
 def rate(history: DataFrame, series: Sequence[str] | None = None, ts: str = "ts",
@@ -177,7 +189,7 @@ def rate(history: DataFrame, series: Sequence[str] | None = None, ts: str = "ts"
     ranked = global_row_number(history.select(*series, ts, value), [F.col(ts).asc()], "_rn", list(series))
     prev = ranked.select(*series, (F.col("_rn") + 1).alias("_rn"), F.col(ts).alias("_pts"),
                          F.col(value).alias("_pv"))
-    j = ranked.join(prev, [*series, "_rn"])
+    j = ranked.join(*_null_safe(ranked, prev, [*series, "_rn"]))
     secs = F.expr(f"timestampdiff(MICROSECOND, `_pts`, `{ts}`)") / 1e6
     return j.select(*series, ts, value, F.try_divide(F.col(value) - F.col("_pv"), secs).alias("rate"))
 
@@ -199,5 +211,6 @@ def exposition(metrics: DataFrame, metric_name: Column, labels: Sequence[str], v
         parts.append(F.concat(F.lit(("," if i else "") + f'{l}="'), F.coalesce(_esc(F.col(l)), F.lit("")),
                               F.lit('"')))
     line = F.concat(sanitize_key(metric_name), F.lit("{"), *parts, F.lit("} "),
-                    F.format_string(value_format, F.col(value).cast("double")))
+                    F.coalesce(F.when(F.col(value).isNotNull(), F.format_string(value_format, F.col(value).cast("double"))),
+                               F.lit("NaN")))
     return metrics.select(line.alias("line"))

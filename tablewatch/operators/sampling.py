@@ -20,12 +20,16 @@ _BELOW_ALL = -(1 << 20)          # a cut bucket below every bucket: no test rows
 MAX_PLAN_ROWS = 4096 * 1024
 
 
-def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42,
-                    labels: Sequence = (0, 1)) -> DataFrame:
-    """The same Bernoulli fraction for every label, seeded; no-op when fraction >= 1."""
+def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42) -> DataFrame:
+    """The same fraction of every label (NULL too); no-op when fraction >= 1.
+
+    A row is drawn by a seeded hash of all its columns, so the sample depends neither on
+    the partitioning nor on the order of rows; equal rows are drawn together.
+    """
     if fraction >= 1.0:
         return df
-    return df.sampleBy(label, {v: fraction for v in labels}, seed)
+    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 30))
+    return df.where(place < int(fraction * (1 << 30)))
 
 
 def stratified_split(df: DataFrame, label: str = "label", test_fraction: float = 0.2, seed: int = 42,
@@ -70,7 +74,8 @@ def stratified_split(df: DataFrame, label: str = "label", test_fraction: float =
         plan_rows.append((lab, cut_bkt, need))
     lab_type = df.schema[label].dataType.simpleString()
     plan = local_frame(df.sparkSession, plan_rows, f"`{label}` {lab_type}, _cut long, _need long")
-    tagged = hashed.join(F.broadcast(plan), [label])     # one row per label: bounded
+    plan = plan.withColumnRenamed(label, "_label")
+    tagged = hashed.join(F.broadcast(plan), F.col(f"`{label}`").eqNullSafe(F.col("_label"))).drop("_label")   # one row per label
     bkt, cut = F.col("_bkt"), F.col("_cut")
     decided = tagged.where(bkt != cut).withColumn(out, bkt < cut)
     in_cut = tagged.where(bkt == cut)

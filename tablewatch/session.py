@@ -42,7 +42,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder; it is read from
     the session and never overridden.  Only when it is unset (local tests) a
-    scratch folder is made.
+    scratch folder is made; on any other master an unset folder is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tablewatch-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -190,3 +190,18 @@ def test_alerts_and_rate_on_unified_rows(spark):
     assert H.alert_hold(rows, F.col("value") >= 0, 3600).where("name = 'Size'").count() == 1
     assert H.rate(rows).where("name = 'Size'").count() == 1
     assert H.absent(rows, rows.where("metric != 'Size'")).count() == 1
+
+
+def test_series_with_null_labels(spark):
+    import datetime as dt
+    from tablewatch.operators import history as HI
+    from tablewatch.operators import sampling as SA
+    t = [dt.datetime(2024, 1, 1, h) for h in range(3)]
+    rows = [("j", "t", "model", None, "roc_auc", t[0], 1.0), ("j", "t", "model", None, "roc_auc", t[1], 3.0)]
+    h = spark.createDataFrame(rows, "job string, table string, entity string, instance string, name string, ts timestamp, value double")
+    assert HI.absent(h, h).count() == 0
+    assert [r.rate for r in HI.rate(h).collect()] == [2.0 / 3600]
+    assert HI.share_of_total(h, "value", ["instance"]).count() == 2
+    assert "NaN" in HI.exposition(h.withColumn("value", h.value * None), h.name, ["instance"]).first().line
+    split = SA.stratified_split(spark.range(100).selectExpr("id", "if(id < 20, null, 1) as label"))
+    assert split.count() == 100 and split.where("is_test").count() == 20

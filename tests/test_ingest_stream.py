@@ -150,3 +150,13 @@ def test_conform_nested_types_from_json_text(spark):
                            T.StructField("bad", T.StructType([T.StructField("a", T.IntegerType())]))])
     r = conform_to_schema(df, schema).first()
     assert r.s.a == 1 and r.arr == [1, 2] and r.m == {"k": "v"} and (r.bad is None or r.bad.a is None)
+
+
+def test_flatten_json_has_no_depth_limit(spark):
+    deep = "1.5"
+    for i in range(14):
+        deep = '{"k%d": %s}' % (i, deep) if i % 3 else "[%s, 2]" % deep
+    df = spark.createDataFrame([(1, deep), (2, '{"a": "}}]]{{{\\" [", "b": {"c": 3}}'), (3, None), (4, "not json {")], "id int, j string")
+    got = flatten_json(df, "j", ["id"])
+    assert sorted(r.value for r in got.where("id = 1").collect()) == [1.5] + [2.0] * 5
+    assert [(r.name, r.value) for r in got.where("id = 2").collect()] == [("b_c", 3.0)]
