@@ -95,9 +95,8 @@ def samples(docs: DataFrame, texts: int = SAMPLE) -> DataFrame:
     base = _drawn(docs, texts).select(t.alias("text"), base_spans(t).alias("base"))
     found = base.select(F.explode("base").alias("s")).select(
         F.lit(True).alias("random"), F.regexp_extract("s.hit", r"[A-Za-z0-9+/_.=-]+$", 0).alias("token"))
-    digest = F.sha2(F.col("text").cast("binary"), 256)
-    made = base.select(F.lit(True).alias("random"), F.explode(F.array(
-        F.base64(F.unhex(digest)), F.translate(F.base64(F.unhex(digest)), "+/=", "-_"))).alias("token"))
+    made = base.select(F.lit(True).alias("random"), F.explode(F.array(*[
+        F.base64(F.unhex(F.sha2(F.concat(F.lit(salt), "text").cast("binary"), 256))) for salt in "abcd"])).alias("token"))
     words = base.where(F.size("base") == 0).select(F.lit(False).alias("random"), F.explode(
         F.regexp_extract_all("text", _lit(r"[A-Za-z][A-Za-z_-]{5,}"), F.lit(0))).alias("token"))
     return found.unionByName(made).unionByName(words)
