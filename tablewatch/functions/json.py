@@ -12,7 +12,7 @@ from .text import sanitize_key
 def json_depth(df: DataFrame, text_col: str) -> int:
     """Deepest nesting of any document: brackets outside of string literals, counted in one pass."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    bare = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\\\]|\\\\.)*+"', ""), r"[^\[\]{}]", "")
+    bare = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]", "")
     zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
     step = F.aggregate(F.split(bare, ""), zero, lambda a, c: F.struct(
         (a["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)).alias("now"),
