@@ -9,7 +9,6 @@ walks the (broadcast) trees over Arrow batches in ``mapInPandas``.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -17,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,14 +32,11 @@ from .sampling import stratified_split
 ML_METRIC, ATTRIBUTION = "ML_Metric", "SHAP"
 INSUFFICIENT = "insufficient_data"
 DEFAULT_EXCLUDE = ("label", "date_hour")
-# A text column with more distinct values than this is hashed instead of indexed,
-# so the category vocabulary the driver holds is bounded.
-MAX_CATEGORIES = 64
-HASH_BUCKETS = 1024
+# Text becomes the number of its hash below this; two texts of a column share one by mere chance of 1 in 2^50.
+CODES = 1 << 50
 
 
-def auc_exact(scored: DataFrame, score: str = "score", label: str = "label",
-              max_rows: int | None = None) -> DataFrame:
+def auc_exact(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Rank-sum ROC AUC with ties averaged, exact, one row ``(metric, value)``.
 
     Rows are first aggregated per distinct score (partial aggregation), then a
@@ -49,9 +45,7 @@ def auc_exact(scored: DataFrame, score: str = "score", label: str = "label",
     per = scored.groupBy(F.col(score).alias("_s")).agg(
         F.sum(F.col(label).cast("double")).alias("_pos"),
         F.sum((F.lit(1) - F.col(label)).cast("double")).alias("_neg"))
-    # ``max_rows`` (an upper bound on the scored rows, hence on distinct scores) lets a
-    # small input take the bounded window path of the running sum
-    cum = running_sums(per, [F.col("_s").asc()], {"_cneg": F.col("_neg")}, known_rows=max_rows)
+    cum = running_sums(per, [F.col("_s").asc()], {"_cneg": F.col("_neg")})
     wins = F.col("_pos") * (F.col("_cneg") - F.col("_neg") + F.lit(0.5) * F.col("_neg"))
     return cum.agg(F.try_divide(F.sum(wins), F.sum("_pos") * F.sum("_neg")).alias("value")) \
         .select(F.lit("roc_auc").alias("metric"), "value")
@@ -61,14 +55,12 @@ def auc_exact(scored: DataFrame, score: str = "score", label: str = "label",
 class FeatureFrame:
     frame: DataFrame
     features: list[str]          # names in vector order
-    categorical: list[str]
 
 
-def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] = DEFAULT_EXCLUDE,
-                  max_categories: int = MAX_CATEGORIES) -> FeatureFrame:
+def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] = DEFAULT_EXCLUDE) -> FeatureFrame:
     """M1 (P21-P23): numeric columns as doubles, arrays and maps as their size,
-    datetimes as formatted text, text as a category index (low cardinality) or a
-    hashed code; other types dropped."""
+    datetimes as formatted text, text as the number of its hash (a NULL has one, too);
+    other types dropped."""
     excluded = set(exclude) | {label}
     cols, cat_candidates = [], []
     for f in df.schema.fields:
@@ -88,18 +80,10 @@ def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] =
             cat_candidates.append(f.name)
     out = df.select(*cols, F.col(label).cast("double").alias("label"))
     categorical = []
-    if cat_candidates:
-        # one aggregate row: distinct counts and the row count (MLlib caps maxBins at the
-        # number of training rows, so a category set must also be small next to the slice)
-        nd = out.agg(F.count(F.lit(1)).alias("__n"),
-                     *[F.approx_count_distinct(c).alias(c) for c in cat_candidates]).collect()[0].asDict()
-        for c in cat_candidates:
-            if nd[c] <= max_categories and 2 * nd[c] <= nd["__n"]:
-                categorical.append(c)
-            else:
-                out = out.withColumn(c, F.pmod(F.xxhash64(F.col(c)), F.lit(HASH_BUCKETS)).cast("double"))
+    for c in cat_candidates:
+        out = out.withColumn(c, F.pmod(F.xxhash64(F.col(c)), F.lit(CODES)).cast("double"))
     features = [c for c in out.columns if c != "label"]
-    return FeatureFrame(out, features, categorical)
+    return FeatureFrame(out, features)
 
 
 @dataclass
@@ -127,31 +111,20 @@ def detect_drift(labelled: DataFrame, table: str, label: str = "label", exclude:
         return DriftResult(rows, spark.createDataFrame([], "score double, label double"), None, [])
     ff = feature_frame(labelled, label, exclude)
     split = stratified_split(ff.frame, "label", test_fraction, seed).withColumn("is_test", F.col("is_test"))
-    stages = []
-    vec_inputs = []
-    for c in ff.features:
-        if c in ff.categorical:
-            stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-            vec_inputs.append(f"{c}__idx")
-        else:
-            vec_inputs.append(c)
-    stages.append(VectorAssembler(inputCols=vec_inputs, outputCol="features", handleInvalid="keep"))
     gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=max_iter, maxDepth=max_depth,
-                        seed=seed, validationIndicatorCol="is_test", validationTol=validation_tol,
-                        maxBins=max(32, MAX_CATEGORIES + 2))
-    stages.append(gbt)
+                        seed=seed, validationIndicatorCol="is_test", validationTol=validation_tol, maxBins=66)
+    stages = [VectorAssembler(inputCols=ff.features, outputCol="features", handleInvalid="keep"), gbt]
     model = Pipeline(stages=stages).fit(split)
     test = split.where(F.col("is_test"))
     scored = model.transform(test).select(
         *ff.features, "label", vector_to_array("probability")[1].alias("score"))
-    n_test = sum(int(math.floor(c * test_fraction + 0.5)) for c in classes.values())
-    auc = auc_exact(scored, "score", "label", max_rows=n_test)
+    auc = auc_exact(scored, "score", "label")
     auc_rows = auc.select(F.lit(table).alias("table"), F.lit(ML_METRIC).alias("type"),
                           F.lit(None).cast("string").alias("instance"), "metric", "value",
                           drift_verdict(F.col("value")).alias("verdict"))
     gbt_model = model.stages[-1]
     attr = attribution(model, scored if attribution_sample is None
-                       else scored.sample(attribution_sample, seed), ff.features, vec_inputs)
+                       else scored.sample(attribution_sample, seed), ff.features, ff.features)
     attr_rows = attr.select(F.lit(table).alias("table"), F.lit(ATTRIBUTION).alias("type"),
                             F.col("feature").alias("instance"), F.lit("shap_mean_abs").alias("metric"),
                             F.col("mean_abs").alias("value"), F.lit(None).cast("string").alias("verdict"))

@@ -6,7 +6,8 @@ operators that need an exact global order (activation cut C5, exact AUC A24,
 exact stratified split X2) use this primitive instead:
 
 1. ``repartitionByRange`` on (partition keys, order keys) spreads the rows
-   over P ordered ranges; equal keys may span several ranges;
+   over P ordered ranges; a random last key lets rows that are tied on all
+   of them span several ranges;
 2. ``sortWithinPartitions`` + ``mapInPandas`` walk each range once, keeping a
    running sum per segment (a run of equal partition keys) with a carry
    across Arrow batches, so memory is one batch;
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-_PID, _SEG, _RN, _KIND = "_rs_pid", "_rs_seg", "_rs_rn", "_rs_kind"
+_PID, _SEG, _RN, _KIND, _TIE = "_rs_pid", "_rs_seg", "_rs_rn", "_rs_kind", "_rs_tie"
 
 
 def _same(a, b) -> bool:
@@ -118,31 +119,15 @@ def _local_running(keys: list[str], values: list[str], outs: list[str], columns:
     return run
 
 
-# Inputs with a row count known to be at most this many rows take an ordinary window
-# (one task holds at most this many rows); larger or unknown inputs take the
-# distributed path.  Override with the session conf ``tablewatch.ranking.localRows``.
-LOCAL_ROWS = 1_000_000
-
-
 def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[str, Column],
-                 partition_by: Sequence[str] = (), num_ranges: int | None = None,
-                 known_rows: int | None = None) -> DataFrame:
+                 partition_by: Sequence[str] = (), num_ranges: int | None = None) -> DataFrame:
     """Inclusive running sums of ``values`` (name -> numeric Column) over ``order_by``
     within each ``partition_by`` group.  Returns ``df`` plus one double column per value.
 
-    Ties in ``order_by`` are summed in an arbitrary but fixed order; add a
-    tie-break column when ties must be resolved by a rule.  ``known_rows`` (an
-    upper bound on the row count that the caller already has) enables the
-    bounded window path when it is at most ``LOCAL_ROWS``.
+    Ties in ``order_by`` are summed in an arbitrary order that the checkpoint fixes; add a
+    tie-break column when ties must be resolved by a rule.
     """
     spark = df.sparkSession
-    limit = int(spark.conf.get("tablewatch.ranking.localRows", str(LOCAL_ROWS)))
-    if known_rows is not None and known_rows <= limit:
-        order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-        w = (Window.partitionBy(*[F.col(k) for k in partition_by]) if partition_by else Window.partitionBy())
-        w = w.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({o: F.sum(F.coalesce(c.cast("double"), F.lit(0.0))).over(w)
-                               for o, c in values.items()})
     ensure_checkpoint_dir(spark)
     P = int(num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = list(partition_by)
@@ -151,7 +136,10 @@ def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[s
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     sort_exprs = [F.col(k).asc_nulls_first() for k in keys] + order_cols
     base = df.withColumns(tmp_values)
-    ranged = base.repartitionByRange(P, *sort_exprs).sortWithinPartitions(*sort_exprs)
+    # rows equal on every key are told apart by a random last one, so ranges can split them
+    sort_exprs.append(F.col(_TIE).asc())
+    ranged = base.withColumn(_TIE, F.rand(17)).repartitionByRange(P, *sort_exprs) \
+        .sortWithinPartitions(*sort_exprs).drop(_TIE)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in base.schema.fields]
                           + [T.StructField(o, T.DoubleType()) for o in outs]
                           + [T.StructField(_PID, T.IntegerType()), T.StructField(_SEG, T.LongType()),
@@ -184,9 +172,8 @@ def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[s
 
 
 def global_row_number(df: DataFrame, order_by: Sequence[Column | str], name: str = "rn",
-                      partition_by: Sequence[str] = (), num_ranges: int | None = None,
-                      known_rows: int | None = None) -> DataFrame:
+                      partition_by: Sequence[str] = (), num_ranges: int | None = None) -> DataFrame:
     """Exact ``row_number()`` over ``order_by`` (within ``partition_by``), skew-safe.
     Rows tied on every order key get distinct numbers in an arbitrary order."""
-    out = running_sums(df, order_by, {name: F.lit(1)}, partition_by, num_ranges, known_rows)
+    out = running_sums(df, order_by, {name: F.lit(1)}, partition_by, num_ranges)
     return out.withColumn(name, F.col(name).cast("long"))

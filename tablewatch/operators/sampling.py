@@ -4,20 +4,13 @@ from __future__ import annotations
 
 from typing import Sequence
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import local_frame
 from .ranking import global_row_number
 
-# 2**10 hash buckets per label: the per-(label, bucket) count table stays small
-# (labels x 1024 rows) whatever the data size.
+# 2**10 hash buckets per label
 _BUCKET_SHIFT = 54
-_BELOW_ALL = -(1 << 20)          # a cut bucket below every bucket: no test rows
-# the (label, bucket) counts read on the driver are capped: 4,096 labels x 1,024 buckets
-MAX_PLAN_ROWS = 4096 * 1024
 
 
 def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42) -> DataFrame:
@@ -37,48 +30,21 @@ def stratified_split(df: DataFrame, label: str = "label", test_fraction: float =
     """Exactly ``floor(n_label * test_fraction + 0.5)`` test rows per label, chosen by
     a seeded hash of ``key_cols`` (default: all columns).
 
-    Rows are bucketed by the top bits of the hash; the per (label, bucket)
-    counts (at most labels x 1024 numbers) locate the one bucket per label
-    where the cut falls; only the rows of that bucket are ranked (their count is
-    known, so the rank takes the bounded window up to ``ranking.LOCAL_ROWS``
-    rows and the skew-safe distributed row number beyond).
+    Rows are bucketed by the top bits of the hash.  Running counts over each label's
+    buckets (at most 1024) tell which of them are test or train as a whole; rows of the
+    one bucket where the cut falls are ranked by hash.
     """
     keys = list(key_cols or [c for c in df.columns if c != label])
     h = F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed))
     hashed = df.withColumn("_h", h).withColumn("_bkt", F.shiftright(F.col("_h"), _BUCKET_SHIFT))
-    # per (label, bucket) counts: at most (number of labels) x 1024 rows, read on the driver
-    counts = (hashed.groupBy(label, "_bkt").agg(F.count(F.lit(1)).alias("_c"))
-              .limit(MAX_PLAN_ROWS + 1).collect())
-    if len(counts) > MAX_PLAN_ROWS:
-        raise ValueError(f"stratified split over more than {MAX_PLAN_ROWS // 1024} labels: "
-                         f"the label column looks like a key, not a class")
-    by_label: dict = {}
-    for r in counts:
-        by_label.setdefault(r[label], []).append((int(r["_bkt"]), int(r["_c"])))
-    # one row per label: buckets below the cut bucket are test, above it train; in the
-    # cut bucket the first ``need`` rows by hash are test
-    plan_rows, cut_rows = [], 0
-    for lab, buckets in by_label.items():
-        buckets.sort()
-        n = sum(c for _, c in buckets)
-        k = int(math.floor(n * test_fraction + 0.5))
-        before, cut_bkt, need = 0, _BELOW_ALL, 0
-        for b, c in buckets:
-            if k == 0:
-                break
-            if before + c >= k:
-                cut_bkt, need = b, k - before
-                cut_rows += c
-                break
-            before += c
-        plan_rows.append((lab, cut_bkt, need))
-    lab_type = df.schema[label].dataType.simpleString()
-    plan = local_frame(df.sparkSession, plan_rows, f"`{label}` {lab_type}, _cut long, _need long")
-    plan = plan.withColumnRenamed(label, "_label")
-    tagged = hashed.join(F.broadcast(plan), F.col(f"`{label}`").eqNullSafe(F.col("_label"))).drop("_label")   # one row per label
-    bkt, cut = F.col("_bkt"), F.col("_cut")
-    decided = tagged.where(bkt != cut).withColumn(out, bkt < cut)
-    in_cut = tagged.where(bkt == cut)
-    ranked = global_row_number(in_cut, [F.col("_h").asc()], "_r", partition_by=[label], known_rows=cut_rows)
-    cut_done = ranked.withColumn(out, F.col("_r") <= F.col("_need")).drop("_r")
-    return decided.unionByName(cut_done).drop("_h", "_bkt", "_cut", "_need")
+    counts = hashed.groupBy(F.col(f"`{label}`").alias("_label"), F.col("_bkt").alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+    of_label = Window.partitionBy("_label")
+    before = F.sum("_c").over(of_label.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    quota = F.floor(F.sum("_c").over(of_label) * F.lit(float(test_fraction)) + 0.5)
+    plan = counts.withColumn("_need", F.greatest(quota - F.coalesce(before, F.lit(0)), F.lit(0)))
+    tagged = hashed.join(plan, F.col(f"`{label}`").eqNullSafe(F.col("_label")) & (F.col("_bkt") == F.col("_b")))
+    whole = (F.col("_need") == 0) | (F.col("_need") >= F.col("_c"))
+    decided = tagged.where(whole).withColumn(out, F.col("_need") > 0)
+    ranked = global_row_number(tagged.where(~whole), [F.col("_h").asc()], "_r", partition_by=[label])
+    in_cut = ranked.withColumn(out, F.col("_r") <= F.col("_need")).drop("_r")
+    return decided.unionByName(in_cut).drop("_h", "_bkt", "_label", "_b", "_c", "_need")
