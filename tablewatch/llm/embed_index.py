@@ -113,6 +113,14 @@ def _matrix(column) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
 
 
+def _padded(column, width: int) -> np.ndarray:
+    """Rows of an Arrow list column, filled up with zeros."""
+    sizes = np.diff(column.offsets.to_numpy())
+    rows = np.zeros((len(column), width))
+    rows[np.arange(width)[None, :] < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return rows
+
+
 def _pointers(hit: np.ndarray) -> np.ndarray:
     """Labels of the components of a queries x stored hit matrix; queries first, then stored."""
     q, m = hit.shape
@@ -216,12 +224,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float =
         return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.col("id").isNotNull().alias("kept"))
     share = min(1.0, SAMPLE / total)
-    drawn = stock.where(F.pmod(F.xxhash64(F.lit(3), "k"), F.lit(1 << 30)) < int(share * (1 << 30))).select("v").collect()
-    drawn = drawn or stock.select("v").limit(1).collect()
+    drawn = stock.where(F.pmod(F.xxhash64(F.lit(3), "k"), F.lit(1 << 30)) < int(share * (1 << 30))).select("v").toArrow()
+    drawn = (drawn if drawn.num_rows else stock.select("v").limit(1).toArrow()).column("v").combine_chunks()
     wide = width + width % 2
-    sample = np.zeros((len(drawn), wide))
-    for i, r in enumerate(drawn):
-        sample[i, :len(r["v"])] = r["v"]
+    sample = _padded(drawn, wide)
     top = np.abs(sample).max(1, keepdims=True)
     grid = Grid(sample / top, wide, max(8, round((total / PER_CELL) ** 0.5)), threshold, recall)
 
@@ -230,10 +236,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float =
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 x = b.slice(at, 2048)
-                raw = x.column("v").to_pylist()
-                unit = np.zeros((len(raw), wide))
-                for i, r in enumerate(raw):
-                    unit[i, :len(r)] = r
+                unit = _padded(x.column("v"), wide)
                 unit /= np.abs(unit).max(1, keepdims=True)
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
                 home, cells = grid.walks(unit)
