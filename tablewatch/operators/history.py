@@ -103,9 +103,9 @@ def max_null_percent(history: DataFrame) -> DataFrame:
 
 def column_counts(history: DataFrame) -> DataFrame:
     """D3 + A22: columns, numeric columns and string columns per table, witnessed by
-    Completeness, Maximum and MaxLength rows."""
+    Completeness, Maximum and MaxLength rows of columns."""
     inst = F.col("instance")
-    return normalize(history).groupBy("table").agg(
+    return normalize(history).where(F.col("entity") == "Column").groupBy("table").agg(
         F.count_distinct(F.when(F.col("name") == "Completeness", inst)).alias("n_columns"),
         F.count_distinct(F.when(F.col("name") == "Maximum", inst)).alias("n_numeric"),
         F.count_distinct(F.when(F.col("name") == "MaxLength", inst)).alias("n_string"))
@@ -154,11 +154,12 @@ def breach_islands(history: DataFrame, breach: Column, series: Sequence[str] | N
     """Runs of consecutive breaching rows per series (gaps-and-islands).
 
     rank of the row in its series minus rank among the series' breaching rows is
-    constant along a run; both ranks are skew-safe running counts."""
+    constant along a run; both ranks are skew-safe running counts.  Rows of one time are
+    taken by rising value."""
     history = normalize(history)
     series = _series(history, series)
     flagged = history.withColumn("_b", breach.cast("int"))
-    ranked = running_sums(flagged, [F.col(ts).asc()], {"_rn": F.lit(1), "_rb": F.col("_b")}, list(series))
+    ranked = running_sums(flagged, [F.col(ts).asc(), F.col("value").asc()], {"_rn": F.lit(1), "_rb": F.col("_b")}, list(series))
     runs = ranked.where(F.col("_b") == 1).withColumn("_island", F.col("_rn") - F.col("_rb"))
     return runs.groupBy(*series, "_island").agg(
         F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n")).drop("_island")
@@ -186,7 +187,7 @@ def rate(history: DataFrame, series: Sequence[str] | None = None, ts: str = "ts"
     previous row comes from an equi-join on (series, rank - 1), never a window."""
     history = normalize(history)
     series = _series(history, series)
-    ranked = global_row_number(history.select(*series, ts, value), [F.col(ts).asc()], "_rn", list(series))
+    ranked = global_row_number(history.select(*series, ts, value), [F.col(ts).asc(), F.col(value).asc()], "_rn", list(series))
     prev = ranked.select(*series, (F.col("_rn") + 1).alias("_rn"), F.col(ts).alias("_pts"),
                          F.col(value).alias("_pv"))
     j = ranked.join(*_null_safe(ranked, prev, [*series, "_rn"]))

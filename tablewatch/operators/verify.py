@@ -1,10 +1,11 @@
 """Verification of structured rules against a slice.
 
 Rules are compiled (V1) into aggregate expressions: every scan-type rule
-lands in ONE ``agg`` over the slice; uniqueness rules share one grouping
-pass.  The check status (V10) is computed inside the same aggregate row, so
-the result needs no window or join.  Only the rule list (bounded by the
-number of active rules, not by data) is read on the driver to build the plan.
+lands in ONE ``agg`` over the slice (one per :data:`RULES_A_PASS` rules of a longer
+list); uniqueness rules share one grouping pass.  The check status (V10) is computed
+from the same one-row aggregates, so the result needs no window.  Only the rule list
+(as long as the active rule table, whatever the data) is read on the driver to build
+the plan.
 """
 
 from __future__ import annotations
@@ -23,9 +24,8 @@ from .suggest import f4
 CHECK_LEVEL = "Warning"
 SUCCESS, FAILURE = "Success", "Failure"
 NO_ROWS_MESSAGE = "no rows"
-# every rule becomes one expression of a single aggregate; the rule list read on the
-# driver is capped
-MAX_RULES = 20_000
+# rules compiled into one aggregate; longer lists take several aggregates
+RULES_A_PASS = 1_000
 
 RESULT_FIELDS = ["check", "check_level", "check_status", "constraint", "constraint_status",
                  "constraint_message", "value"]
@@ -65,8 +65,7 @@ def _rule_value(rule: Rule) -> Column:
         return F.try_divide(F.sum(ok.cast("int")).cast("double"), n.cast("double"))
     if k == "has_data_type":
         cls = TY.value_class(c.cast("string"))
-        wanted = {TY.FRACTIONAL: [TY.INTEGRAL, TY.FRACTIONAL], "Numeric": [TY.INTEGRAL, TY.FRACTIONAL]}\
-            .get(rule.dtype, [rule.dtype])
+        wanted = {"Numeric": [TY.INTEGRAL, TY.FRACTIONAL]}.get(rule.dtype, [rule.dtype])
         hit = F.sum(F.when(cls.isin(wanted), 1).otherwise(0)).cast("double")
         return F.when(n > 0, F.try_divide(hit, F.count(c).cast("double")))
     if k == "satisfies":
@@ -85,6 +84,20 @@ def verify(df: DataFrame, rules: Sequence[Rule], check: str = "tablewatch_check"
         return spark.createDataFrame(
             [], "check string, check_level string, check_status string, constraint string, "
                 "constraint_status string, constraint_message string, value double, status_value int")
+    parts = [_results(df, rules[at:at + RULES_A_PASS]) for at in range(0, len(rules), RULES_A_PASS)]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    every = rows.agg(F.flatten(F.collect_list("results")).alias("results"))
+    fine = F.forall("results", lambda r: r["constraint_status"] == SUCCESS)
+    out = every.select(F.when(fine, F.lit(SUCCESS)).otherwise(F.lit(level)).alias("check_status"), F.inline("results"))
+    return out.select(F.lit(check).alias("check"), F.lit(level).alias("check_level"), "check_status",
+                      "constraint", "constraint_status", "constraint_message", "value",
+                      F.when(F.col("constraint_status") == FAILURE, 0).otherwise(1).alias("status_value"))
+
+
+def _results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row: ``results``, the array of (constraint, constraint_status, constraint_message, value) of some rules."""
     # a rule whose column is gone (schema drift since the suggestion) fails with a
     # message instead of failing the whole verification
     present = set(df.columns)
@@ -100,11 +113,9 @@ def verify(df: DataFrame, rules: Sequence[Rule], check: str = "tablewatch_check"
         # one row per distinct uniqueness column: pivot it onto the aggregate row
         piv = summ.groupBy().pivot("column", cols).agg(F.first("u"))
         row = _attach(row, piv, cols, uniq)
-    passes = []
     structs = []
     for i, r in enumerate(rules):
         if i in missing:
-            passes.append(F.lit(False))
             structs.append(F.struct(F.lit(r.constraint_name).alias("constraint"),
                                     F.lit(FAILURE).alias("constraint_status"),
                                     F.lit(f"Input data does not include column {r.column_name}!")
@@ -113,7 +124,6 @@ def verify(df: DataFrame, rules: Sequence[Rule], check: str = "tablewatch_check"
             continue
         v = F.col(f"_v{i}")
         ok = F.coalesce(v >= F.lit(float(r.threshold if r.threshold is not None else 1.0)), F.lit(False))
-        passes.append(ok)
         msg = (F.when(F.col("_n") == 0, F.lit(NO_ROWS_MESSAGE))
                .when(ok, F.lit(""))
                .otherwise(F.concat(F.lit("Value: "), F.coalesce(f4(v), F.lit("NULL")),
@@ -121,14 +131,7 @@ def verify(df: DataFrame, rules: Sequence[Rule], check: str = "tablewatch_check"
         structs.append(F.struct(F.lit(r.constraint_name).alias("constraint"),
                                 F.when(ok, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("constraint_status"),
                                 msg.alias("constraint_message"), v.cast("double").alias("value")))
-    all_ok = passes[0]
-    for p in passes[1:]:
-        all_ok = all_ok & p
-    out = row.select(F.when(all_ok, F.lit(SUCCESS)).otherwise(F.lit(level)).alias("check_status"),
-                     F.inline(F.array(*structs)))
-    return out.select(F.lit(check).alias("check"), F.lit(level).alias("check_level"), "check_status",
-                      "constraint", "constraint_status", "constraint_message", "value",
-                      F.when(F.col("constraint_status") == FAILURE, 0).otherwise(1).alias("status_value"))
+    return row.select(F.array(*structs).alias("results"))
 
 
 def _attach(row: DataFrame, piv: DataFrame, cols, uniq) -> DataFrame:
@@ -142,14 +145,12 @@ def _attach(row: DataFrame, piv: DataFrame, cols, uniq) -> DataFrame:
 
 
 def rules_from_frame(rules_df: DataFrame) -> list[Rule]:
-    """V1 input: the (bounded) active rule rows, read on the driver to build the plan."""
+    """V1 input: the active rule rows, read on the driver to build the plan."""
     wanted = ["constraint_name", "column_name", "kind", "values", "threshold", "dtype"]
     cols = [c for c in wanted if c in rules_df.columns]
     if "predicate" in rules_df.columns:
         cols.append("predicate")
-    rows = rules_df.select(*cols).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} active rules: verify them in several checks")
+    rows = rules_df.select(*cols).collect()
     return [Rule.from_row(r) for r in rows]
 
 

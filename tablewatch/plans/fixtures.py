@@ -133,16 +133,22 @@ FROM part
 
 def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events read as pushed metric rows: job from user_id, table from event_type,
-    metric name from event_id, value from value (Completeness scaled into [0, 1])."""
+    metric name from event_id, value from value (Completeness scaled into [0, 1]).  A
+    third of the table-level rows have a NULL instance, as the drift rows do, and job_2
+    pushes nothing from 2024-01-20 on."""
     ev = events(spark, sf_dir)
+    ev = ev.where((F.col("user_id") % 3 != 2) | (F.col("ts") < F.lit("2024-01-20 00:00:00").cast(ev.schema["ts"].dataType)))
     k = F.col("event_id") % 5
-    name = (F.when(k == 0, "Completeness").when(k == 1, "Maximum").when(k == 2, "MaxLength")
+    other = F.col("user_id") % 7
+    name = (F.when(k == 0, "Completeness")
+            .when(k == 1, F.when(other == 0, "Minimum").when(other == 1, "Mean").when(other == 2, "Sum").otherwise("Maximum"))
+            .when(k == 2, F.when(other == 0, "MinLength").otherwise("MaxLength"))
             .when(k == 3, "ApproxCountDistinct").otherwise("Size"))
     return ev.select(
         F.concat(F.lit("job_"), (F.col("user_id") % 3).cast("string")).alias("job"),
         F.col("event_type").alias("table"),
         F.when(k == 4, F.lit("Dataset")).otherwise(F.lit("Column")).alias("entity"),
-        F.when(k == 4, F.lit("*")).otherwise(F.concat(F.lit("col_"), (F.col("user_id") % 10).cast("string")))
+        F.when((k == 4) & (F.col("event_id") % 3 == 0), F.lit(None)).when(k == 4, F.lit("*")).otherwise(F.concat(F.lit("col_"), (F.col("user_id") % 10).cast("string")))
         .alias("instance"),
         name.alias("name"), "ts",
         F.when(k == 0, F.col("value") / 500).otherwise(F.col("value")).alias("value"))
@@ -151,12 +157,15 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 METRIC_HISTORY_SQL = """
 SELECT 'job_' || CAST(user_id % 3 AS VARCHAR) AS job, event_type AS "table",
        CASE WHEN event_id % 5 = 4 THEN 'Dataset' ELSE 'Column' END AS entity,
-       CASE WHEN event_id % 5 = 4 THEN '*' ELSE 'col_' || CAST(user_id % 10 AS VARCHAR) END AS instance,
-       CASE event_id % 5 WHEN 0 THEN 'Completeness' WHEN 1 THEN 'Maximum' WHEN 2 THEN 'MaxLength'
+       CASE WHEN event_id % 5 = 4 AND event_id % 3 = 0 THEN NULL WHEN event_id % 5 = 4 THEN '*' ELSE 'col_' || CAST(user_id % 10 AS VARCHAR) END AS instance,
+       CASE event_id % 5 WHEN 0 THEN 'Completeness'
+                         WHEN 1 THEN CASE user_id % 7 WHEN 0 THEN 'Minimum' WHEN 1 THEN 'Mean' WHEN 2 THEN 'Sum' ELSE 'Maximum' END
+                         WHEN 2 THEN CASE user_id % 7 WHEN 0 THEN 'MinLength' ELSE 'MaxLength' END
                          WHEN 3 THEN 'ApproxCountDistinct' ELSE 'Size' END AS name,
        ts,
        CASE WHEN event_id % 5 = 0 THEN value / 500 ELSE value END AS value
 FROM events
+WHERE user_id % 3 <> 2 OR ts < TIMESTAMP '2024-01-20 00:00:00'
 """
 
 

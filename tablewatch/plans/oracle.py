@@ -312,8 +312,7 @@ def _rule_value_sql(rule, src):
     if k == "satisfies":
         return f"avg(CASE WHEN ({rule.predicate}) THEN 1.0 ELSE 0.0 END)"
     if k == "has_data_type":
-        want = {"Fractional": "('Integral', 'Fractional')", "Numeric": "('Integral', 'Fractional')"}.get(
-            rule.dtype, f"('{rule.dtype}')")
+        want = {"Numeric": "('Integral', 'Fractional')"}.get(rule.dtype, f"('{rule.dtype}')")
         return (f"CAST(sum(CASE WHEN ({_class(f'CAST({c} AS VARCHAR)')}) IN {want} THEN 1 ELSE 0 END) AS DOUBLE) "
                 f"/ count({c})")
     if k == "is_unique":
@@ -357,6 +356,8 @@ def _verify_oracles():
     ORACLE["verify_datatype"] = _verify_sql("text_types", f"{TEXTS} t", [
         Rule("user_text_integral", "user_text", "has_data_type", dtype="Integral"),
         Rule("price_text_fractional", "price_text", "has_data_type", dtype="Fractional"),
+        Rule("user_text_fractional", "user_text", "has_data_type", dtype="Fractional"),
+        Rule("user_text_numeric", "user_text", "has_data_type", dtype="Numeric"),
         Rule("flag_text_boolean", "flag_text", "has_data_type", dtype="Boolean"),
         Rule("mixed_text_integral", "mixed_text", "has_data_type", dtype="Integral"),
         Rule("props_text_integral", "props_text", "has_data_type", dtype="Integral")], short)
@@ -427,6 +428,8 @@ FROM n FULL OUTER JOIN o ON {_ON}
 # ------------------------------------------------------------------ metric history
 
 HIST = f"(\n{METRIC_HISTORY_SQL}\n)"
+_FRESH = (f"(SELECT * FROM {HIST} x WHERE job IN (SELECT job FROM {HIST} y GROUP BY job "
+          f"HAVING max(ts) >= TIMESTAMP '2024-01-30 00:00:00'))")
 _SER = 'job, "table", entity, instance, name'
 
 ORACLE["history_latest"] = (f"SELECT {_SER}, max(ts) AS ts, round(arg_max(value, ts), 6) AS value "
@@ -443,23 +446,23 @@ SELECT job, "table", round(arg_max(value, ts), 6) AS value FROM s GROUP BY job,
 """
 
 ORACLE["history_null_pct"] = (f"SELECT \"table\", instance, round(1.0 - arg_max(value, ts), 6) AS null_pct "
-                              f"FROM {HIST} h WHERE name = 'Completeness' GROUP BY \"table\", instance")
+                              f"FROM {_FRESH} h WHERE name = 'Completeness' GROUP BY \"table\", instance")
 ORACLE["history_max_null"] = (f"SELECT \"table\", round(max(null_pct), 6) AS max_null_pct FROM ("
                               f"SELECT \"table\", instance, 1.0 - arg_max(value, ts) AS null_pct "
-                              f"FROM {HIST} h WHERE name = 'Completeness' GROUP BY \"table\", instance) x "
+                              f"FROM {_FRESH} h WHERE name = 'Completeness' GROUP BY \"table\", instance) x "
                               f"GROUP BY \"table\"")
 ORACLE["history_column_counts"] = f"""
 SELECT "table",
        count(DISTINCT CASE WHEN name = 'Completeness' THEN instance END) AS n_columns,
        count(DISTINCT CASE WHEN name = 'Maximum' THEN instance END) AS n_numeric,
        count(DISTINCT CASE WHEN name = 'MaxLength' THEN instance END) AS n_string
-FROM {HIST} h GROUP BY "table"
+FROM {_FRESH} h WHERE entity = 'Column' GROUP BY "table"
 """
-_WIDE = ["Completeness", "Maximum", "MaxLength", "ApproxCountDistinct"]
+_WIDE = ["Completeness", "Maximum", "MaxLength", "ApproxCountDistinct", "MinLength", "Minimum", "Mean", "Sum"]
 ORACLE["history_wide"] = (
     "SELECT \"table\", instance, "
     + ", ".join(f"round(max(CASE WHEN name = '{m}' THEN v END), 6) AS {m}" for m in _WIDE)
-    + f" FROM (SELECT \"table\", instance, name, arg_max(value, ts) AS v FROM {HIST} h "
+    + f" FROM (SELECT \"table\", instance, name, arg_max(value, ts) AS v FROM {_FRESH} h "
     + "WHERE name IN (" + ", ".join(f"'{m}'" for m in _WIDE) + ") GROUP BY \"table\", instance, name) x "
     + "GROUP BY \"table\", instance")
 ORACLE["history_tables"] = f"SELECT DISTINCT \"table\" FROM {HIST} h"
@@ -476,14 +479,14 @@ SELECT "table", instance, round(value / sum(value) OVER (PARTITION BY "table"),
 
 ORACLE["alert_hold"] = f"""
 WITH r AS (
-  SELECT job, "table", name, ts, value > 60 AS b,
-         row_number() OVER (PARTITION BY job, "table", name ORDER BY ts) AS rn,
-         sum(CASE WHEN value > 60 THEN 1 ELSE 0 END) OVER (PARTITION BY job, "table", name ORDER BY ts
+  SELECT {_SER}, ts, value > 60 AS b,
+         row_number() OVER (PARTITION BY {_SER} ORDER BY ts, value) AS rn,
+         sum(CASE WHEN value > 60 THEN 1 ELSE 0 END) OVER (PARTITION BY {_SER} ORDER BY ts, value
                                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rb
   FROM {HIST} h),
-i AS (SELECT job, "table", name, min(ts) AS start, max(ts) AS "end", count(*) AS n
-      FROM r WHERE b GROUP BY job, "table", name, rn - rb)
-SELECT job, "table", name, start, "end", n, round((epoch_us("end") - epoch_us(start)) / 1e6, 6) AS held_seconds
+i AS (SELECT {_SER}, min(ts) AS start, max(ts) AS "end", count(*) AS n
+      FROM r WHERE b GROUP BY {_SER}, rn - rb)
+SELECT {_SER}, start, "end", n, round((epoch_us("end") - epoch_us(start)) / 1e6, 6) AS held_seconds
 FROM i WHERE (epoch_us("end") - epoch_us(start)) / 1e6 >= 21600
 """
 
@@ -496,16 +499,16 @@ WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00
 """
 
 ORACLE["metric_rate"] = f"""
-SELECT job, "table", name, ts, round(rate, 9) AS rate FROM (
-  SELECT job, "table", name, ts, lag(ts) OVER w AS pts,
+SELECT {_SER}, ts, round(rate, 9) AS rate FROM (
+  SELECT {_SER}, ts, lag(ts) OVER w AS pts,
          (value - lag(value) OVER w) / nullif((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1e6, 0) AS rate
-  FROM {HIST} h WINDOW w AS (PARTITION BY job, "table", name ORDER BY ts)) x
+  FROM {HIST} h WINDOW w AS (PARTITION BY {_SER} ORDER BY ts, value)) x
 WHERE pts IS NOT NULL
 """
 
 
 def _esc(c):
-    return f"replace(replace(replace({c}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n')"
+    return f"replace(replace(replace(coalesce({c}, ''), '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n')"
 
 
 ORACLE["exposition_text"] = f"""
@@ -528,8 +531,7 @@ SELECT l_orderkey,
        TIMESTAMP '2024-02-01 00:00:00' AS processing_time
 FROM lineitem
 """
-ORACLE["csv_round_trip"] = ("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_shipdate "
-                            "FROM lineitem")
+ORACLE["csv_round_trip"] = "SELECT * FROM lineitem"
 ORACLE["parse_json_props"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
 ORACLE["flatten_json"] = """
 SELECT event_id, 'a_b_k' AS name, CAST(json_extract(props, '$.k') AS DOUBLE) AS value FROM events
@@ -610,7 +612,7 @@ def _stream_profile_sql():
 
 ORACLE["stream_profile"] = _stream_profile_sql()
 
-ORACLE["history_distinct"] = (f"SELECT \"table\", instance, round(arg_max(value, ts), 6) AS value FROM {HIST} h "
+ORACLE["history_distinct"] = (f"SELECT \"table\", instance, round(arg_max(value, ts), 6) AS value FROM {_FRESH} h "
                               f"WHERE name = 'ApproxCountDistinct' GROUP BY \"table\", instance")
 
 
@@ -650,8 +652,7 @@ res AS (
            WHEN 'has_completeness' THEN CAST(count(l.val) AS DOUBLE) / count(*)
            WHEN 'is_contained_in' THEN avg(CASE WHEN l.val IS NULL OR list_contains(a.vals, l.val) THEN 1.0 ELSE 0.0 END)
            WHEN 'is_non_negative' THEN avg(CASE WHEN coalesce(TRY_CAST(l.val AS DOUBLE), 0.0) >= 0 THEN 1.0 ELSE 0.0 END)
-           WHEN 'has_data_type' THEN CAST(sum(CASE WHEN ({cls}) = a.dt OR (a.dt = 'Fractional' AND ({cls}) = 'Integral')
-                                                  THEN 1 ELSE 0 END) AS DOUBLE) / count(l.val)
+           WHEN 'has_data_type' THEN CAST(sum(CASE WHEN ({cls}) = a.dt THEN 1 ELSE 0 END) AS DOUBLE) / count(l.val)
          END AS v
   FROM active a JOIN long l ON l.col = a.column_name
   GROUP BY a.constraint_name, a.column_name, a.code_for_constraint, a.kind, a.raw_threshold, a.vals, a.dt)

@@ -250,9 +250,11 @@ def verify_unique(spark, sf_dir):
 
 @query("verify_datatype")
 def verify_datatype(spark, sf_dir):
-    """V6: share of non-null text values of a type (Fractional also accepts integral text)."""
+    """V6: share of non-null text values of a type (Numeric takes integral and fractional text)."""
     rules = [V.Rule("user_text_integral", "user_text", "has_data_type", dtype="Integral"),
              V.Rule("price_text_fractional", "price_text", "has_data_type", dtype="Fractional"),
+             V.Rule("user_text_fractional", "user_text", "has_data_type", dtype="Fractional"),
+             V.Rule("user_text_numeric", "user_text", "has_data_type", dtype="Numeric"),
              V.Rule("flag_text_boolean", "flag_text", "has_data_type", dtype="Boolean"),
              V.Rule("mixed_text_integral", "mixed_text", "has_data_type", dtype="Integral"),
              V.Rule("props_text_integral", "props_text", "has_data_type", dtype="Integral")]
@@ -348,30 +350,37 @@ def history_fresh(spark, sf_dir):
     return H.latest(fresh, ["job", "table"]).select("job", "table", _r())
 
 
+def _panel(spark, sf_dir) -> DataFrame:
+    """The history of the jobs that pushed in the last 12 hours, as every panel reads it."""
+    hist = FX.metric_history(spark, sf_dir)
+    return H.fresh(hist, H.push_times(hist), HIST_NOW, 12)
+
+
 @query("history_null_pct")
 def history_null_pct(spark, sf_dir):
     """D6 + P25: latest null share per column."""
-    return H.null_percent(FX.metric_history(spark, sf_dir)).select("table", "instance", _r("null_pct"))
+    return H.null_percent(_panel(spark, sf_dir)).select("table", "instance", _r("null_pct"))
 
 
 @query("history_max_null")
 def history_max_null(spark, sf_dir):
     """D4 + A23: worst null share per table."""
-    return H.max_null_percent(FX.metric_history(spark, sf_dir)).select("table", _r("max_null_pct"))
+    return H.max_null_percent(_panel(spark, sf_dir)).select("table", _r("max_null_pct"))
 
 
 @query("history_column_counts")
 def history_column_counts(spark, sf_dir):
     """D3 + A22: column / numeric / string column counts per table."""
-    return H.column_counts(FX.metric_history(spark, sf_dir))
+    return H.column_counts(_panel(spark, sf_dir))
+
+
+WIDE_METRICS = ["Completeness", "Maximum", "MaxLength", "ApproxCountDistinct", "MinLength", "Minimum", "Mean", "Sum"]
 
 
 @query("history_wide")
 def history_wide(spark, sf_dir):
-    """Latest Completeness / Maximum / MaxLength / ApproxCountDistinct side by side."""
-    w = H.wide(FX.metric_history(spark, sf_dir), ["Completeness", "Maximum", "MaxLength", "ApproxCountDistinct"])
-    return w.select("table", "instance", *[_r(c) for c in ["Completeness", "Maximum", "MaxLength",
-                                                            "ApproxCountDistinct"]])
+    """The latest value of every column metric side by side."""
+    return H.wide(_panel(spark, sf_dir), WIDE_METRICS).select("table", "instance", *[_r(c) for c in WIDE_METRICS])
 
 
 @query("history_tables")
@@ -398,10 +407,10 @@ def attribution_share(spark, sf_dir):
 
 @query("alert_hold")
 def alert_hold(spark, sf_dir):
-    """Breach runs (value > 60) per (job, table, name) held for at least six hours."""
+    """Breach runs (value > 60) of a series held for at least six hours."""
     hist = FX.metric_history(spark, sf_dir)
-    a = H.alert_hold(hist, F.col("value") > 60, 6 * 3600, ["job", "table", "name"])
-    return a.select("job", "table", "name", "start", "end", "n", _r("held_seconds"))
+    a = H.alert_hold(hist, F.col("value") > 60, 6 * 3600)
+    return a.select(*H.SERIES, "start", "end", "n", _r("held_seconds"))
 
 
 @query("alert_absent")
@@ -416,10 +425,10 @@ def alert_absent(spark, sf_dir):
 
 @query("metric_rate")
 def metric_rate(spark, sf_dir):
-    """D12 rate(): change per second between consecutive rows of each (job, table, name)."""
+    """D12 rate(): change per second between consecutive rows of a series."""
     hist = FX.metric_history(spark, sf_dir)
-    r = H.rate(hist, ["job", "table", "name"])
-    return r.select("job", "table", "name", "ts", F.round(F.col("rate"), 9).alias("rate"))
+    r = H.rate(hist)
+    return r.select(*H.SERIES, "ts", F.round(F.col("rate"), 9).alias("rate"))
 
 
 @query("exposition_text")
@@ -476,8 +485,7 @@ def csv_round_trip(spark, sf_dir):
     conformed = CF.drop_bookkeeping(CF.conform_to_schema(raw, schema))
     append_table(conformed, f"{base}/lake/lineitem")
     back = spark.read.parquet(f"{base}/lake/lineitem")
-    return back.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
-                       "l_shipdate")
+    return back.select(*li.columns)
 
 
 @query("parse_json_props")
@@ -657,7 +665,7 @@ def stream_progress(spark, sf_dir):
 @query("history_distinct")
 def history_distinct(spark, sf_dir):
     """Latest approximate distinct count per column of each table."""
-    hist = H.select_series(FX.metric_history(spark, sf_dir), name="ApproxCountDistinct")
+    hist = H.select_series(_panel(spark, sf_dir), name="ApproxCountDistinct")
     return H.latest(hist, ["table", "instance"]).select("table", "instance", _r())
 
 

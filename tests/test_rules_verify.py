@@ -89,3 +89,14 @@ def test_verify_rule_on_missing_column_fails_cleanly(spark):
     assert res["ok"].constraint_status == "Success"
     assert res["gone"].constraint_status == "Failure" and "column b" in res["gone"].constraint_message
     assert res["gone_u"].value is None and res["ok"].check_status == "Warning"
+
+
+def test_verify_long_rule_list_takes_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(V, "RULES_A_PASS", 2)
+    df = spark.createDataFrame([(1, "a"), (2, None)], "n int, s string")
+    rules = [V.Rule(f"c{i}", "n", "is_complete") for i in range(3)] + [V.Rule("u", "n", "is_unique"),
+                                                                        V.Rule("s", "s", "is_complete")]
+    got = {r.constraint: r for r in V.verify(df, rules).collect()}
+    assert len(got) == 5 and all(r.check_status == "Warning" for r in got.values())
+    assert [got[c].constraint_status for c in ("c0", "c1", "c2", "u", "s")] == ["Success"] * 4 + ["Failure"]
+    assert all(r.check_status == "Success" for r in V.verify(df, rules[:4]).collect())
