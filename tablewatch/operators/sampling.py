@@ -13,16 +13,19 @@ from .ranking import global_row_number
 _BUCKET_SHIFT = 54
 
 
-def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42) -> DataFrame:
+def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42,
+                    key_cols: Sequence[str] | None = None) -> DataFrame:
     """The same fraction of every label (NULL too); no-op when fraction >= 1.
 
-    A row is drawn by a seeded hash of all its columns, so the sample depends neither on
-    the partitioning nor on the order of rows; equal rows are drawn together.
+    A row is drawn by a seeded digest of ``key_cols`` (default: all columns), so the sample
+    depends neither on the partitioning nor on the order of rows; rows of equal keys are
+    drawn together.
     """
     if fraction >= 1.0:
         return df
-    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 30))
-    return df.where(place < int(fraction * (1 << 30)))
+    keys = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key_cols or df.columns]
+    place = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *keys).cast("binary")), 1, 8)
+    return df.where(place < f"{int(fraction * (1 << 32)):08x}")
 
 
 def stratified_split(df: DataFrame, label: str = "label", test_fraction: float = 0.2, seed: int = 42,

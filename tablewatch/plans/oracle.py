@@ -588,6 +588,11 @@ a AS (SELECT (sum(mid) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label =
 SELECT 'roc_auc' AS metric, round(auc, 6) AS value, CASE WHEN auc >= 0.6 THEN 'drift' ELSE 'ok' END AS verdict FROM a
 """
 
+ORACLE["sample_by_label"] = (
+    "SELECT *, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-30' THEN 1 ELSE 0 END AS label FROM events "
+    "WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' AND hour(ts) = 4 "
+    "AND substr(md5('42|' || CAST(event_id AS VARCHAR)), 1, 8) < '80000000'")
+
 ORACLE["stratified_split"] = """
 WITH c AS (SELECT CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label, count(*) AS n FROM events GROUP BY 1)
 SELECT label, TRUE AS is_test, CAST(floor(n * 0.2 + 0.5) AS BIGINT) AS n FROM c

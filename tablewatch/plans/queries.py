@@ -587,9 +587,9 @@ def stratified_split(spark, sf_dir):
 
 @query("sample_by_label")
 def sample_by_label(spark, sf_dir):
-    """Seeded Bernoulli sample with the same fraction per label (rows-only check)."""
+    """Seeded Bernoulli sample with the same fraction per label, drawn by a digest of the event id."""
     df = S.slice_same_hour_labelled(FX.events(spark, sf_dir), "ts", DRIFT_AT, 29)
-    return SM.sample_by_label(df, "label", 0.5, 42)
+    return SM.sample_by_label(df, "label", 0.5, 42, key_cols=["event_id"])
 
 
 def _drift(spark, sf_dir):
