@@ -193,6 +193,21 @@ def test_no_long_passage_is_left_twice(spark):
     assert left == 0
 
 
+def test_every_passage_of_fifty_words_is_found(spark):
+    rng = np.random.default_rng(3)
+    made = [[f"w{i:x}" for i in rng.integers(0, 4000, 50)] for _ in range(300)]
+    rows = [(k + len(made) * j, " ".join([f"{j}a{k}x{i}" for i in range(30)] + m + [f"{j}b{k}x{i}" for i in range(30)]))
+            for k, m in enumerate(made) for j in (0, 1)]
+    got = {r["id"]: r for r in chunk_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k in range(len(made)):
+        r = got[k + len(made)]
+        assert k in r["sources"] and r["n_removed_words"] >= 50 - 2 * (chunk_dedup.WINDOW - 1) and not got[k]["repeats"]
+        assert len(r["text"].split()) == 110 - r["n_removed_words"]
+    # an overlapping repeat is none: the first copy stays whole
+    one = {r["id"]: r["text"] for r in chunk_dedup.deduplicate(spark.createDataFrame([(1, "ab " * 13), (2, "cd " * 24)], "doc_id long, text string")).collect()}
+    assert one == {1: "ab " * 13, 2: "cd " * 12}
+
+
 # ------------------------------------------------------------------------ WARC
 
 def test_warc_round_trip(spark):
