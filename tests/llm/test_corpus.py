@@ -241,6 +241,21 @@ def test_lines(spark, odd):
     assert line_dedup.deduplicate(odd.limit(0)).count() == 0
 
 
+def test_no_three_lines_are_left_twice(spark):
+    rng = np.random.default_rng(5)
+    docs = [(i, [f"line {x}" for x in rng.integers(0, 12, rng.integers(1, 25))]) for i in range(200)]
+    docs += [(1000, "a b x y z".split()), (1001, "p a b c q".split()), (1002, "r a b c s".split())]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate(
+        spark.createDataFrame([(i, "\n".join(t)) for i, t in docs], "doc_id long, text string")).collect()}
+    seen, later = {}, set()
+    for i, t in docs:
+        for k in range(len(t) - 2):
+            if seen.setdefault(tuple(t[k:k + 3]), (i, k)) != (i, k):
+                later |= {(i, k), (i, k + 1), (i, k + 2)}
+    for i, t in docs:
+        assert got[i] == "\n".join(x for k, x in enumerate(t) if (i, k) not in later)
+
+
 # ---------------------------------------------------------------------- quality
 
 def test_quality_on_odd_rows_and_policies(spark, odd):
