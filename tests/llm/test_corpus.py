@@ -256,6 +256,16 @@ def test_no_three_lines_are_left_twice(spark):
         assert got[i] == "\n".join(x for k, x in enumerate(t) if (i, k) not in later)
 
 
+def test_fifty_words_in_two_lines_or_between_tabs(spark):
+    pair = [" ".join(f"{a}{k}x{i}" for i in range(n)) for k in range(60) for a, n in (("f", 25), ("s", 30))]
+    tabs, few = "\t".join(f"t{i}" for i in range(60)), "  ".join(f"u{i}" for i in range(49))
+    rows = [(k + 60 * j, f"{j} before {k}\n{pair[2 * k]}\n{pair[2 * k + 1]}\n{j} after {k}") for k in range(60) for j in (0, 1)]
+    rows += [(200, "one\n" + tabs), (201, "two\n" + tabs), (202, "three\n" + few), (203, "four\n" + few)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k + 60] == f"1 before {k}\n1 after {k}" and got[k] == rows[2 * k][1] for k in range(60))
+    assert got[200] == "one\n" + tabs and got[201] == "two" and got[203] == "four\n" + few
+
+
 # ---------------------------------------------------------------------- quality
 
 def test_quality_on_odd_rows_and_policies(spark, odd):
