@@ -65,12 +65,21 @@ def train(docs: DataFrame, texts: int = SAMPLE, text_col: str = "text", lang_col
     return langs, np.log(table / table.sum(1, keepdims=True)) if langs else table
 
 
+def declared(html: str) -> str | None:
+    """Language of the first html tag that names one, wherever it stands; comments, scripts and styles hold no tags."""
+    import re
+    for m in re.finditer(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<html\b([^>]*)", html, re.I | re.S):
+        head = re.search(r"\blang\s*+=\s*+[\"']?+\s*+([A-Za-z]{2,3})(?![A-Za-z])", m.group(2) or "", re.I)
+        if head:
+            return head.group(1).lower()
+    return None
+
+
 def visible(html: str) -> tuple[str | None, str]:
     """(declared language, visible text) of a page."""
     import re
-    head = re.search(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})(?![A-Za-z])", html[:4096], re.I)
     text = re.sub(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", " ", html, flags=re.I | re.S)
-    return (head.group(1).lower() if head else None), text
+    return declared(html), text
 
 
 def posterior(found: np.ndarray, table: np.ndarray) -> np.ndarray:

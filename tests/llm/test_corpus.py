@@ -349,6 +349,14 @@ def test_language_on_odd_pages(spark):
     assert language.identify(pages, docs.limit(0)).where("lang is null").count() == len(rows)
 
 
+def test_declaration_after_a_long_lead(spark):
+    leads = ["", "<!-- " + "licence " * 2000 + "<html lang=xx> -->\n", " \n" * 5000, "<script>var a = '<html lang=xx>';</script>" * 200]
+    pages = spark.createDataFrame([(i, "http://h.example.de/", x + '<html class=a lang="de"><p>x</p>') for i, x in enumerate(leads)],
+                                  "page_id long, url string, html string")
+    assert {r["declared"] for r in language.identify(pages, table(spark, "documents")).collect()} == {"de"}
+    assert language.declared("<html " * 50000 + "<!-- " * 50000) is None and language.declared("<html lang=" + " " * 200000 + "!>") is None
+
+
 # -------------------------------------------------------------------------- BPE
 
 def test_bpe(spark, odd):
