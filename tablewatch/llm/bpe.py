@@ -5,7 +5,8 @@ list produces.  It starts as one state with an arc per base symbol; every merge
 (a, b) -> c, in order, adds a gadget: the target of the a-arcs is copied without its
 b-arc, the a-arcs lead to the copy, and wherever an a-arc leaves, a c-arc now leaves
 too and leads to where b led.  Copies share all arcs but the one they lose, so a
-gadget is stored as what it takes over, the lost arc and the step; arcs in use are tabulated.
+gadget is stored as what it takes over, the lost arc and the step; no states or
+transitions are built, an arc is derived when it is first asked for and then tabulated.
 A word is encoded by running its spelling through a table of token spellings and the
 automaton at once, long tokens first: every prefix of a word has exactly one accepted
 path, so a position that leads nowhere is never entered again.  Decoding emits the
@@ -136,6 +137,8 @@ class MergeAutomaton:
                 choices.pop()
                 if path:
                     path.pop()
+        if n:
+            raise ValueError(f"no accepted path for word {word!r}")
         return []
 
     def _tokens_from(self, symbols: list[str], at: int) -> list[tuple[int, int]]:

@@ -397,6 +397,14 @@ def test_automaton_on_self_overlapping_merges():
             assert [auto.label[t] for t in auto.encode(word)] == by_rank(word)
 
 
+def test_a_word_without_a_path_is_an_error():
+    automaton = bpe.MergeAutomaton({"a": 0, "b": 1, "ab": 2}, [("a", "b")])
+    assert automaton.encode("abb") == [2, 1] and automaton.encode("z") == []
+    automaton.has_arc = lambda last, token: False
+    with pytest.raises(ValueError):
+        automaton.encode("abb")
+
+
 # ---------------------------------------------------------------------- SimHash
 
 def brute_fingerprint(text):
