@@ -1,7 +1,8 @@
 """DuckDB SQL for the queries that SQL can express.
 
 The others are held against brute force in tests/llm: op2 (a trained model), op3
-(gear hash), op7 and op9 (tokenizers), op8 (a trained model), op10 (XXH64), pipeline.
+(gear hash), op7 and op9 (tokenizers), op8 (a trained model), op10 (XXH64), op13 (a
+trained model), pipeline.
 """
 
 from __future__ import annotations
@@ -91,3 +92,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
        (failed & {quality.FULL.mask}) = 0 AS kept, failed AS failed_rules, '{quality.FULL.name}/{quality.FULL.version}' AS policy
 FROM f
 """
+
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+ORACLE["op11_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+size AS (SELECT r, doc_id, len(ts)::BIGINT AS n FROM d WHERE len(ts) > 0),
+world AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM size),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+w AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, world GROUP BY t, docs),
+items AS (SELECT row_number() OVER () AS i, item_id, list_distinct({_TERMS}) AS ts FROM benchmark),
+q AS (SELECT i, item_id, unnest(ts) AS t FROM items),
+s AS (SELECT q.item_id, q.i, size.doc_id, size.r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))))::BIGINT AS score
+      FROM q JOIN w USING (t) JOIN tf USING (t) JOIN size USING (r), world
+      GROUP BY q.item_id, q.i, size.doc_id, size.r),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+# two rounds; a codebook is a row per entry (p, k, list of components), members are parts of vectors
+_ASSIGN = """(SELECT m.vec_id, m.p, m.x, min(row(list_sum(list_transform(range(1, len(m.x) + 1), lambda j: (m.x[j] - c.x[j]) * (m.x[j] - c.x[j])))::BIGINT, c.k)) AS near
+    FROM m JOIN {book} c ON c.p = m.p GROUP BY m.vec_id, m.p, m.x)"""
+_UPDATE = """(SELECT c.p, c.k, coalesce(u.x, c.x) AS x FROM {book} c LEFT JOIN (
+    SELECT p, k, list(floor(s / n)::BIGINT ORDER BY j) AS x FROM (
+        SELECT p, k, j, sum(v)::DOUBLE AS s, count(*) AS n FROM (
+            SELECT p, struct_extract_at(near, 2) AS k, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM {a}) GROUP BY p, k, j)
+    GROUP BY p, k) u ON u.p = c.p AND u.k = c.k)"""
+ORACLE["op12_vector_codes"] = f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+m AS MATERIALIZED (SELECT vec_id, p, x[p * (len(x) // 16) + 1:(p + 1) * (len(x) // 16)] AS x FROM v, range(16) g(p)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM v QUALIFY k < 64),
+b0 AS MATERIALIZED (SELECT m.p, f.k, m.x FROM m JOIN first f USING (vec_id)),
+a0 AS MATERIALIZED {_ASSIGN.format(book='b0')},
+b1 AS MATERIALIZED {_UPDATE.format(book='b0', a='a0')},
+a1 AS MATERIALIZED {_ASSIGN.format(book='b1')},
+b2 AS MATERIALIZED {_UPDATE.format(book='b1', a='a1')},
+a2 AS MATERIALIZED {_ASSIGN.format(book='b2')},
+code AS (SELECT vec_id, string_agg(printf('%02x', struct_extract_at(near, 2)), '' ORDER BY p) AS code, sum(struct_extract_at(near, 1))::BIGINT AS error
+         FROM a2 GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, k)) AS h FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, books.h AS codebooks_sha256
+FROM code JOIN v USING (vec_id), books
+"""

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm import bpe, chunk_dedup, embed_index, language, line_dedup, packing, quality, secret_scan, simhash, warc
+from tablewatch.llm import (bpe, chunk_dedup, embed_index, language, lexical_search, line_dedup, packing, pii, quality, secret_scan, simhash,
+                            vector_codes, warc)
 from tablewatch.llm.common import read
 
 
@@ -66,6 +67,27 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")) \
+        .withColumnsRenamed({"item": "item_id", "id": "doc_id"})
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(read(spark, sf_dir, "embeddings"))
+    return codes.select(F.col("id").alias("vec_id"), "code", "error", "label_error",
+                        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.train(docs))
+    base = secret_scan.joined(F.col("base"))
+    return found.select(
+        F.col("id").alias("doc_id"), *[secret_scan.counted("base", k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -73,4 +95,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_secret_scans, op3_substring_dedup, op4_warc_revisits, op5_line_dedup, op6_quality_rules,
-    op7_best_fit_packing, op8_language_id, op9_bpe_encode_decode, op10_simhash_near_dedup, pipeline)}
+    op7_best_fit_packing, op8_language_id, op9_bpe_encode_decode, op10_simhash_near_dedup, op11_lexical_search,
+    op12_vector_codes, op13_pii, pipeline)}
