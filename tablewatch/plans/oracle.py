@@ -617,6 +617,30 @@ def _stream_profile_sql():
 
 ORACLE["stream_profile"] = _stream_profile_sql()
 
+
+def _stream_quality_sql():
+    """The batch metrics of all rows, from the table and not from a stream."""
+    from .queries import STREAM_PAIRS
+    src = f"{HOLES} h"
+    parts = [_m("Dataset", "*", "Size", "count(*)", src)]
+    for c, kind in EVENTS_COLS:
+        parts.append(_m("Column", c, "Completeness", f"CAST(count({c}) AS DOUBLE) / count(*)", src))
+        parts.append(_m("Column", c, "ApproxCountDistinct within bound", "max(1)", src))
+        parts.append(f"SELECT 'Column' AS entity, '{c}' AS instance, 'Entropy' AS name, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS value "
+                     f"FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM {src} WHERE {c} IS NOT NULL GROUP BY {c}) f")
+        if kind == "num":
+            parts += [_m("Column", c, name, f"{fn}(CAST({c} AS DOUBLE))", src) for name, fn in (
+                ("Minimum", "min"), ("Maximum", "max"), ("Mean", "avg"), ("Sum", "sum"), ("StandardDeviation", "stddev_pop"))]
+        elif kind == "str":
+            parts += [_m("Column", c, "MaxLength", f"max(length({c}))", src), _m("Column", c, "MinLength", f"min(length({c}))", src)]
+    parts += [_m("Multicolumn", f"{a},{b}", "Correlation", f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))", src) for a, b in STREAM_PAIRS]
+    parts += [_m("Column", n, "Compliance", f"avg(CASE WHEN ({p}) THEN 1.0 ELSE 0.0 END)", src) for n, p in EVENT_RULES]
+    body = "\nUNION ALL\n".join(parts)
+    return f"SELECT entity, instance, name, round(value, 6) AS value FROM (\n{body}\n) m"
+
+
+ORACLE["stream_quality"] = _stream_quality_sql()
+
 ORACLE["history_distinct"] = (f"SELECT \"table\", instance, round(arg_max(value, ts), 6) AS value FROM {_FRESH} h "
                               f"WHERE name = 'ApproxCountDistinct' GROUP BY \"table\", instance")
 

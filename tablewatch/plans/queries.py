@@ -616,10 +616,10 @@ from ..streaming import listener as SL  # noqa: E402
 from ..streaming import monitor as SMON  # noqa: E402
 
 
-def _events_as_json_drop(spark, sf_dir, files: int = 4) -> tuple[str, object]:
+def _events_as_json_drop(spark, sf_dir, files: int = 4, events=None) -> tuple[str, object]:
     from ..sinks import scratch_path
     base = scratch_path(spark, "stream")
-    ev = FX.events(spark, sf_dir)
+    ev = FX.events(spark, sf_dir) if events is None else events
     ev.select(F.to_json(F.struct(*ev.columns)).alias("value")) \
         .repartition(files, "event_id").write.text(f"{base}/in")
     return base, ev.schema
@@ -638,6 +638,30 @@ def stream_profile(spark, sf_dir):
     return SMON.combine_batches(m).select("entity", "instance", "name", F.round("value", 4).alias("value"))
 
 
+STREAM_PAIRS = [("user_id", "value"), ("event_id", "value")]
+
+
+@query("stream_quality")
+def stream_quality(spark, sf_dir):
+    """The whole metric set of a stream from the mergeable states of its micro-batches, equal to
+    the batch metrics of all its rows; the distinct counts as whether they lie within three standard
+    errors of the exact ones, which the value counts of the same states give."""
+    base, _ = _events_as_json_drop(spark, sf_dir, events=FX.events_with_holes(spark, sf_dir))
+    ev = FX.events_with_holes(spark, sf_dir)
+    stream = SMON.read_json_stream(spark, f"{base}/in", ev.schema, max_files_per_trigger=1)
+    chosen = SMON.stream_analyzers(ev, STREAM_PAIRS, EVENT_RULES)
+    q = SMON.start_monitor(stream, f"{base}/ckpt", None, available_now=True, analyzers=lambda b: chosen, states_path=f"{base}/states")
+    q.awaitTermination()
+    states = spark.read.parquet(f"{base}/states")
+    rows = SMON.whole_stream(states, chosen)
+    exact = states.where("kind = 'value'").groupBy(F.col("instance").alias("of")).agg(F.count_distinct("item").alias("d"))
+    within = F.abs(F.col("value") - F.col("d")) <= F.greatest(F.lit(3 * 1.04 / 64) * F.col("d"), F.lit(1.0))
+    sketched = rows.where("name = 'ApproxCountDistinct'").join(exact, F.col("instance") == F.col("of")) \
+        .select("entity", "instance", F.lit("ApproxCountDistinct within bound").alias("name"), within.cast("double").alias("value"))
+    out = rows.where("name <> 'ApproxCountDistinct'").unionByName(sketched)
+    return out.select("entity", "instance", "name", F.round("value", 6).alias("value"))
+
+
 @query("stream_progress")
 def stream_progress(spark, sf_dir):
     """T5-T7 + E4: progress documents captured by a listener, flattened to numeric

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import metrics as M
+from ..operators import states as ST
 from ..sinks import replace_batch
 
 
@@ -91,9 +92,11 @@ def parse_stream(raw: DataFrame, schema: T.StructType | str) -> DataFrame:
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
 
 
-def batch_metrics_fn(metrics_path: str, analyzers: Callable[[DataFrame], list] | None = None,
-                     data_path: str | None = None, table: str = "stream") -> Callable[[DataFrame, int], None]:
-    """T2 body: metrics of one micro-batch, idempotent on ``batch_id``."""
+def batch_metrics_fn(metrics_path: str | None, analyzers: Callable[[DataFrame], list] | None = None,
+                     data_path: str | None = None, table: str = "stream",
+                     states_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """T2 body: metrics of one micro-batch and, with ``states_path``, the mergeable states they
+    come from; both idempotent on ``batch_id``."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -102,9 +105,13 @@ def batch_metrics_fn(metrics_path: str, analyzers: Callable[[DataFrame], list] |
             # the batch's processing time makes the rows queryable with the history operators
             # (latest value, freshness, alerts); a replayed batch rewrites its own rows
             batch_ts = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
-            m = (M.run_analyzers(batch, chosen).withColumn("table", F.lit(table))
-                 .withColumn("ts", F.lit(batch_ts.isoformat(sep=" ")).cast("timestamp_ntz")))
-            replace_batch(m, metrics_path, batch_id)
+            def stamped(rows):
+                return rows.withColumn("table", F.lit(table)) \
+                    .withColumn("ts", F.lit(batch_ts.isoformat(sep=" ")).cast("timestamp_ntz"))
+            if metrics_path:
+                replace_batch(stamped(M.run_analyzers(batch, chosen)), metrics_path, batch_id)
+            if states_path:
+                replace_batch(stamped(ST.metric_states(batch, chosen)), states_path, batch_id)
             if data_path:
                 replace_batch(batch, data_path, batch_id)      # T4, replay-safe
         finally:
@@ -112,20 +119,26 @@ def batch_metrics_fn(metrics_path: str, analyzers: Callable[[DataFrame], list] |
     return run
 
 
-def start_monitor(stream: DataFrame, checkpoint: str, metrics_path: str, *, query_name: str = "quality_monitor",
+def start_monitor(stream: DataFrame, checkpoint: str, metrics_path: str | None, *, query_name: str = "quality_monitor",
                   analyzers=None, data_path: str | None = None, table: str = "stream",
-                  processing_time: str | None = "2 seconds", available_now: bool = False):
+                  processing_time: str | None = "2 seconds", available_now: bool = False, states_path: str | None = None):
     """T2 + T3 + T7: start the monitoring query (processing-time trigger, or
     ``availableNow`` to drain what is there and stop)."""
     w = (stream.writeStream.queryName(query_name).option("checkpointLocation", checkpoint)
-         .foreachBatch(batch_metrics_fn(metrics_path, analyzers, data_path, table)))
+         .foreachBatch(batch_metrics_fn(metrics_path, analyzers, data_path, table, states_path)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
 
+def whole_stream(states: DataFrame, analyzers: list) -> DataFrame:
+    """Metric rows over all batches (whatever part of the states is given: an hour, a day, everything)."""
+    return ST.finish(states, analyzers)
+
+
 def combine_batches(metrics: DataFrame) -> DataFrame:
     """Whole-stream values of the additive / extremal metrics from per-batch rows:
-    Size and Sum add, Minimum / MinLength take the min, Maximum / MaxLength the max."""
+    Size and Sum add, Minimum / MinLength take the min, Maximum / MaxLength the max.
+    Every other metric needs the states of :func:`whole_stream`."""
     v = F.col("value")
     n = F.col("name")
     return (metrics.where(n.isin("Size", "Sum", "Minimum", "Maximum", "MinLength", "MaxLength"))
