@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .ranking import global_row_number
-
-# 2**10 hash buckets per label
-_BUCKET_SHIFT = 54
+from .selection import GROUPS_SENT, group_cuts, inside_cut
 
 
 def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42,
@@ -29,25 +28,26 @@ def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0,
 
 
 def stratified_split(df: DataFrame, label: str = "label", test_fraction: float = 0.2, seed: int = 42,
-                     key_cols: Sequence[str] | None = None, out: str = "is_test") -> DataFrame:
-    """Exactly ``floor(n_label * test_fraction + 0.5)`` test rows per label, chosen by
-    a seeded hash of ``key_cols`` (default: all columns).
+                     key_cols: Sequence[str] | None = None, out: str = "is_test", place: Column | None = None) -> DataFrame:
+    """Exactly ``floor(n_label * test_fraction + 0.5)`` test rows per label (NULL is one), those with the smallest
+    seeded hashes of ``key_cols`` (default: all columns but the label), or the smallest values of ``place``, a long
+    without NULLs, where one is given.
 
-    Rows are bucketed by the top bits of the hash.  Running counts over each label's
-    buckets (at most 1024) tell which of them are test or train as a whole; rows of the
-    one bucket where the cut falls are ranked by hash.
+    The cut of each label is found by counting (:mod:`selection`) and then compared with each row's hash: one row per
+    label is sent to the tasks, the table is not moved.  Rows of one hash that a cut divides are ranked by all their columns.
     """
     keys = list(key_cols or [c for c in df.columns if c != label])
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed))
-    hashed = df.withColumn("_h", h).withColumn("_bkt", F.shiftright(F.col("_h"), _BUCKET_SHIFT))
-    counts = hashed.groupBy(F.col(f"`{label}`").alias("_label"), F.col("_bkt").alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
-    of_label = Window.partitionBy("_label")
-    before = F.sum("_c").over(of_label.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
-    quota = F.floor(F.sum("_c").over(of_label) * F.lit(float(test_fraction)) + 0.5)
-    plan = counts.withColumn("_need", F.greatest(quota - F.coalesce(before, F.lit(0)), F.lit(0)))
-    tagged = hashed.join(plan, F.col(f"`{label}`").eqNullSafe(F.col("_label")) & (F.col("_bkt") == F.col("_b")))
-    whole = (F.col("_need") == 0) | (F.col("_need") >= F.col("_c"))
-    decided = tagged.where(whole).withColumn(out, F.col("_need") > 0)
-    ranked = global_row_number(tagged.where(~whole), [F.col("_h").asc()], "_r", partition_by=[label])
-    in_cut = ranked.withColumn(out, F.col("_r") <= F.col("_need")).drop("_r")
-    return decided.unionByName(in_cut).drop("_h", "_bkt", "_label", "_b", "_c", "_need")
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed)) if place is None else place
+    hashed = df.withColumn("_h", h)
+    ensure_checkpoint_dir(df.sparkSession)
+    plan = group_cuts(hashed, label, "_h", lambda n: F.floor(n * F.lit(float(test_fraction)) + 0.5)).checkpoint()
+    groups, divided = plan.agg(F.count("*"), F.count_if(F.col("_need3") < F.col("_c3"))).first()
+    few = F.broadcast(plan) if groups <= GROUPS_SENT else plan
+    tagged = hashed.join(few, F.col(f"`{label}`").eqNullSafe(F.col("_g")), "left").withColumn(out, inside_cut("_h"))
+    spare = ["_g", "_h", *[c for c in plan.columns if c != "_g"]]
+    if not divided:
+        return tagged.drop(*spare)
+    whole = tagged.where(F.col(out).isNotNull())
+    order = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed + 1)).asc()]
+    ranked = global_row_number(tagged.where(F.col(out).isNull()), order, "_r", partition_by=[label])
+    return whole.unionByName(ranked.withColumn(out, F.col("_r") <= F.col("_need3")).drop("_r")).drop(*spare)

@@ -101,6 +101,33 @@ def part_rules(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         F.col("p_size").cast("int").alias("frequency"))
 
 
+def order_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule per order: kind and column from the order key, threshold, type and values from the customer."""
+    o = read_table(spark, sf_dir, "orders")
+    def pick(names, by):
+        return F.element_at(F.array(*[F.lit(x) for x in names]), (by % len(names) + 1).cast("int"))
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    pool = F.array(*[F.lit(x) for x in ("click", "view", "purchase", "signup", "error")], (customer % 100).cast("string"), (customer * 7 % 100).cast("string"))
+    return o.select(
+        F.concat(F.lit("rule_"), key.cast("string")).alias("constraint_name"),
+        pick(["event_id", "ts", "user_id", "event_type", "value", "props", "gone"], key).alias("column_name"),
+        pick(["is_complete", "has_completeness", "is_non_negative", "has_data_type", "is_contained_in", "is_unique"], customer).alias("kind"),
+        F.filter(pool, lambda x, i: customer % F.pow(F.lit(2.0), i + 1) >= F.pow(F.lit(2.0), i)).alias("values"),
+        (customer % 101 / 100).alias("threshold"),
+        pick(["Integral", "Fractional", "Boolean", "String", "Numeric"], key + customer).alias("dtype"))
+
+
+ORDER_RULES_SQL = """
+SELECT 'rule_' || CAST(o_orderkey AS VARCHAR) AS constraint_name,
+       (['event_id', 'ts', 'user_id', 'event_type', 'value', 'props', 'gone'])[o_orderkey % 7 + 1] AS column_name,
+       (['is_complete', 'has_completeness', 'is_non_negative', 'has_data_type', 'is_contained_in', 'is_unique'])[o_custkey % 6 + 1] AS kind,
+       list_filter(['click', 'view', 'purchase', 'signup', 'error', CAST(o_custkey % 100 AS VARCHAR), CAST(o_custkey * 7 % 100 AS VARCHAR)],
+                   lambda x, i: o_custkey % (1 << i) >= (1 << (i - 1))) AS vals,
+       o_custkey % 101 / 100.0 AS threshold,
+       (['Integral', 'Fractional', 'Boolean', 'String', 'Numeric'])[(o_orderkey + o_custkey) % 5 + 1] AS dtype
+FROM orders
+"""
+
 PART_NEW_SQL = """
 SELECT 'rule_' || CAST(p_partkey AS VARCHAR) AS constraint_name,
        CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_type END AS column_name,

@@ -73,8 +73,8 @@ def verification_job(spark: SparkSession, df: DataFrame, table: str, ts_col: str
                      database: str = "constraints", check: str = "tablewatch_verification") -> DataFrame:
     """Verify the active rules of ``table`` on the hour before ``at``."""
     _, activated = RL.table_names(table, database)
-    rules = V.rules_from_frame(V.read_active_rules(spark.table(activated)))
-    res = V.verify(S.slice_previous_hour(df, ts_col, at), rules, check=check)
+    rules = V.read_active_rules(spark.table(activated))
+    res = V.verify_frame(S.slice_previous_hour(df, ts_col, at), rules, check=check)
     return res.withColumn("table", F.lit(table)).withColumn("ts", ts_lit(at))
 
 

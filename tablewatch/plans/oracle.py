@@ -7,7 +7,7 @@ embeddings pages benchmark labels conversations).
 
 from __future__ import annotations
 
-from .fixtures import EVENT_TEXTS_SQL, EVENTS_WITH_HOLES_SQL
+from .fixtures import EVENT_TEXTS_SQL, EVENTS_WITH_HOLES_SQL, ORDER_RULES_SQL
 from .queries import (CORRELATION_PAIRS, EVENT_RULES)
 
 ORACLE: dict[str, str] = {}
@@ -363,7 +363,43 @@ def _verify_oracles():
         Rule("props_text_integral", "props_text", "has_data_type", dtype="Integral")], short)
 
 
+def _many_rules_sql():
+    """Rules as rows against measures as rows."""
+    parts, counts = [], []
+    for c, kind in EVENTS_COLS:
+        k = _class(f"CAST({c} AS VARCHAR)")
+        sign = f"coalesce({c}, 0) >= 0" if kind == "num" else f"coalesce(TRY_CAST({c} AS DOUBLE), 0) >= 0" if kind == "str" else "NULL"
+        parts.append(f"SELECT '{c}' AS c, count(*) AS n, count({c}) AS nn, count(*) FILTER ({sign}) AS pos, "
+                     + ", ".join(f"count(*) FILTER (({k}) = '{x}') AS n_{x.lower()}" for x in ("Integral", "Fractional", "Boolean", "String"))
+                     + f" FROM {HOLES} h")
+        counts.append(f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS v, count(*) AS cnt FROM {HOLES} h WHERE {c} IS NOT NULL GROUP BY {c}")
+    return f"""
+WITH r AS ({ORDER_RULES_SQL}), m AS ({" UNION ALL ".join(parts)}), vc AS MATERIALIZED ({" UNION ALL ".join(counts)}),
+u AS (SELECT c, CAST(count(*) FILTER (cnt = 1) AS DOUBLE) / sum(cnt) AS u FROM vc GROUP BY c),
+inside AS (SELECT x.column_name, x.vals, sum(vc.cnt) AS hits FROM (SELECT column_name, vals, unnest(list_distinct(vals)) AS v FROM (SELECT DISTINCT column_name, vals FROM r)) x
+           JOIN vc ON vc.c = x.column_name AND vc.v = x.v GROUP BY x.column_name, x.vals),
+v AS (SELECT r.*, m.n, CASE
+        WHEN kind IN ('is_complete', 'has_completeness') THEN CAST(nn AS DOUBLE) / n
+        WHEN kind = 'is_non_negative' AND r.column_name <> 'ts' THEN CAST(pos AS DOUBLE) / n
+        WHEN kind = 'has_data_type' THEN CAST(CASE dtype WHEN 'Integral' THEN n_integral WHEN 'Fractional' THEN n_fractional WHEN 'Boolean' THEN n_boolean
+             WHEN 'String' THEN n_string ELSE n_integral + n_fractional END AS DOUBLE) / nn
+        WHEN kind = 'is_contained_in' THEN CAST(n - nn + coalesce(hits, 0) AS DOUBLE) / n
+        WHEN kind = 'is_unique' THEN u.u END AS value
+      FROM r LEFT JOIN m ON m.c = r.column_name LEFT JOIN u ON u.c = r.column_name
+      LEFT JOIN inside i ON i.column_name = r.column_name AND i.vals = r.vals),
+o AS (SELECT *, coalesce(value >= threshold, FALSE) AS ok FROM v)
+SELECT 'events_rules' AS "check", CASE WHEN bool_and(ok) OVER () THEN 'Success' ELSE 'Warning' END AS check_status, constraint_name AS "constraint",
+       CASE WHEN ok THEN 'Success' ELSE 'Failure' END AS constraint_status,
+       CASE WHEN column_name = 'gone' THEN 'Input data does not include column gone!'
+            WHEN column_name = 'ts' AND kind = 'is_non_negative' THEN 'Cannot evaluate kind is_non_negative!' WHEN ok THEN ''
+            ELSE 'Value: ' || coalesce(printf('%.4f', floor(value * 10000 + 0.5) / 10000), 'NULL') || ' does not meet the constraint requirement!' END AS constraint_message,
+       round(value, 6) AS value, CASE WHEN ok THEN 1 ELSE 0 END AS status_value
+FROM o
+"""
+
+
 _verify_oracles()
+ORACLE["verify_many_rules"] = _many_rules_sql()
 
 
 # ------------------------------------------------------------------ rule lifecycle
@@ -601,6 +637,15 @@ SELECT label, FALSE AS is_test, CAST(n - floor(n * 0.2 + 0.5) AS BIGINT) AS n FR
 """
 
 
+ORACLE["split_test_rows"] = f"""
+SELECT event_id, event_type FROM (
+  SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type) AS n, row_number() OVER (
+           PARTITION BY event_type ORDER BY ('0x' || substr(md5('42|' || CAST(event_id AS VARCHAR)), 1, 15))::BIGINT) AS r
+  FROM {HOLES} h) x
+WHERE r <= floor(n * 0.2 + 0.5)
+"""
+
+
 def _stream_profile_sql():
     parts = ["SELECT 'Dataset' AS entity, '*' AS instance, 'Size' AS name, CAST(count(*) AS DOUBLE) AS value "
              "FROM events"]

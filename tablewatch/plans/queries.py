@@ -238,6 +238,15 @@ def verify_rules(spark, sf_dir):
                                      "constraint_message", _r(), "status_value")
 
 
+@query("verify_many_rules")
+def verify_many_rules(spark, sf_dir):
+    """V1 + V2 with the rules as data: one rule per order (all kinds, on every column of the events and on one
+    that is not there) evaluated by joins, whatever their number."""
+    rules = FX.order_rules(spark, sf_dir)
+    out = V.verify_frame(FX.events_with_holes(spark, sf_dir), rules, check="events_rules")
+    return out.select("check", "check_status", "constraint", "constraint_status", "constraint_message", _r(), "status_value")
+
+
 @query("verify_unique")
 def verify_unique(spark, sf_dir):
     """V8: uniqueness = values seen once / non-null rows, one grouping pass for all columns."""
@@ -585,6 +594,15 @@ def stratified_split(spark, sf_dir):
     return split.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("split_test_rows")
+def split_test_rows(spark, sf_dir):
+    """The rows of an exact split themselves: per event type (NULL is one) the fifth with the smallest digests."""
+    ev = FX.events_with_holes(spark, sf_dir)
+    digest = F.conv(F.substring(F.md5(F.concat(F.lit("42|"), F.col("event_id").cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
+    split = SM.stratified_split(ev, "event_type", 0.2, place=digest)
+    return split.where("is_test").select("event_id", "event_type")
+
+
 @query("sample_by_label")
 def sample_by_label(spark, sf_dir):
     """Seeded Bernoulli sample with the same fraction per label, drawn by a digest of the event id."""
