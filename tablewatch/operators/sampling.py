@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .ranking import global_row_number
-from .selection import GROUPS_SENT, group_cuts, inside_cut
+from .selection import group_cuts, inside_cut
 
 
 def sample_by_label(df: DataFrame, label: str = "label", fraction: float = 1.0, seed: int = 42,
@@ -40,14 +40,12 @@ def stratified_split(df: DataFrame, label: str = "label", test_fraction: float =
     h = F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed)) if place is None else place
     hashed = df.withColumn("_h", h)
     ensure_checkpoint_dir(df.sparkSession)
-    plan = group_cuts(hashed, label, "_h", lambda n: F.floor(n * F.lit(float(test_fraction)) + 0.5)).checkpoint()
-    groups, divided = plan.agg(F.count("*"), F.count_if(F.col("_need3") < F.col("_c3"))).first()
-    few = F.broadcast(plan) if groups <= GROUPS_SENT else plan
-    tagged = hashed.join(few, F.col(f"`{label}`").eqNullSafe(F.col("_g")), "left").withColumn(out, inside_cut("_h"))
+    plan, divided = group_cuts(hashed, label, "_h", lambda n: F.floor(n * F.lit(float(test_fraction)) + 0.5))
+    tagged = hashed.join(plan, F.col(f"`{label}`").eqNullSafe(F.col("_g")), "left").withColumn(out, inside_cut("_h"))
     spare = ["_g", "_h", *[c for c in plan.columns if c != "_g"]]
     if not divided:
         return tagged.drop(*spare)
     whole = tagged.where(F.col(out).isNotNull())
     order = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed + 1)).asc()]
     ranked = global_row_number(tagged.where(F.col(out).isNull()), order, "_r", partition_by=[label])
-    return whole.unionByName(ranked.withColumn(out, F.col("_r") <= F.col("_need3")).drop("_r")).drop(*spare)
+    return whole.unionByName(ranked.withColumn(out, F.col("_r") <= F.col("_need2")).drop("_r")).drop(*spare)

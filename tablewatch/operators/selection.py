@@ -5,9 +5,9 @@ sorts with ease are in question, a bounded sample of their keys brackets the pla
 one aggregate counts the rows below and inside the bracket, and the search goes on inside.
 
 :func:`group_cuts` does the same for every group of a table ordered by a 64-bit hash, by
-radix: counts per (group, leading bits) tell in which bucket a group's cut falls, the next
-bits are counted only in there.  Counting combines map-side, so a group or a bucket holding
-a third of the rows sends one row per task.
+radix: counts per (group, leading 16 bits) tell in which bucket a group's cut falls, whole
+hashes are counted only in there (a 65,536th of the group).  Counting combines map-side, so
+a group, a bucket or a hash holding a third of the rows sends one row per task.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 FEW = 100_000                   # rows whose order is settled by one top-n
 SAMPLE = 2_000                  # keys sampled to bracket the place sought
 GROUPS_SENT = 100_000           # groups whose cuts are sent to every task; more of them are joined by a shuffle
-_BITS = (("_b1", 48, 0), ("_b2", 24, 0xFFFFFF), ("_b3", 0, 0xFFFFFF))
+LEADING = 48                    # bits below the leading ones, which the first count goes by
 
 
 def sort_key(ascending: dict[str, bool], nulls_first: dict[str, bool]) -> Column:
@@ -66,43 +66,49 @@ def nth_key(df: DataFrame, key: Column, n: int, total: int) -> Column | None:
     return _literal(rows.orderBy("_k").limit(n).agg(F.max("_k").alias("k")).first()["k"])
 
 
-def _same(column: str, left: DataFrame, right: DataFrame) -> Column:
-    return left[column].eqNullSafe(right["_g"])
+def _levels(hash_col) -> tuple[Column, Column]:
+    return F.shiftright(hash_col, LEADING), F.col(hash_col).bitwiseAND((1 << LEADING) - 1)
 
 
-def group_cuts(hashed: DataFrame, group: str, hash_col: str, quota) -> DataFrame:
-    """One row per group with a quota above 0: ``_g`` and, for each radix level, the bucket of the cut and how many of its
-    ``_c`` rows are needed (``_need``); a level is NULL where the one above it is exact.  ``quota`` maps a group's
-    row count to the rows wanted of it."""
-    rows = hashed.select(F.col(f"`{group}`").alias("_g"), *[
-        (F.shiftright(hash_col, shift) if not mask else F.shiftright(hash_col, shift).bitwiseAND(mask)).alias(b) for b, shift, mask in _BITS])
-    plan, cut = None, None
-    for level, (bucket, _, _) in enumerate(_BITS, 1):
-        if cut is None:
-            counts = rows.groupBy("_g", bucket).agg(F.count("*").alias("_c"))
-            wanted = quota(F.sum("_c").over(Window.partitionBy("_g")))
-        else:
-            last = _BITS[level - 2][0]
-            partial = cut.where(F.col("_need") < F.col("_c")).select(F.col("_g").alias("_pg"), F.col(last).alias("_pb"), F.col("_need").alias("_wanted"))
-            rows = rows.join(partial, F.col("_g").eqNullSafe(F.col("_pg")) & (F.col(last) == F.col("_pb"))).drop("_pg", "_pb")
-            counts = rows.groupBy("_g", bucket).agg(F.count("*").alias("_c"), F.first("_wanted").alias("_wanted"))
-            rows, wanted = rows.drop("_wanted"), F.col("_wanted")
-        before = F.coalesce(F.sum("_c").over(Window.partitionBy("_g").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        cut = counts.withColumn("_need", wanted - before).where((F.col("_need") > 0) & (F.col("_need") <= F.col("_c"))).select("_g", bucket, "_need", "_c")
-        named = cut.withColumnsRenamed({"_need": f"_need{level}", "_c": f"_c{level}"})
-        if plan is None:
-            plan = named
-        else:
-            named = named.withColumnRenamed("_g", f"_g{level}")
-            plan = plan.join(named, F.col("_g").eqNullSafe(F.col(f"_g{level}")), "left").drop(f"_g{level}")
-    return plan
+def _cut(counts: DataFrame, bucket: str, wanted: Column, level: int) -> DataFrame:
+    """The bucket where each group's running count passes the rows wanted, and how many of its rows are needed."""
+    before = F.sum("_c").over(Window.partitionBy("_g").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
+    return counts.withColumn("_need", wanted - F.coalesce(before, F.lit(0))).where((F.col("_need") > 0) & (F.col("_need") <= F.col("_c"))) \
+        .select("_g", bucket, F.col("_need").alias(f"_need{level}"), F.col("_c").alias(f"_c{level}"))
+
+
+def group_cuts(hashed: DataFrame, group: str, hash_col: str, quota) -> tuple[DataFrame, bool]:
+    """One row per group with a quota above 0, and whether a cut divides rows of one hash.
+
+    Columns: ``_g`` and, for both levels, the bucket of the cut (``_b1``, ``_b2``), its rows (``_c1``, ``_c2``) and how many of
+    them are needed (``_need1``, ``_need2``); the second is NULL where the first is exact.  ``quota`` maps a group's row
+    count to the rows wanted of it.  Up to ``GROUPS_SENT`` groups carry a broadcast hint.
+    """
+    high, low = _levels(hash_col)
+    rows = hashed.select(F.col(f"`{group}`").alias("_g"), high.alias("_b1"), low.alias("_b2"))
+    counts = rows.groupBy("_g", "_b1").agg(F.count("*").alias("_c"))
+    first = _cut(counts, "_b1", quota(F.sum("_c").over(Window.partitionBy("_g"))), 1).checkpoint()
+    groups, open_ = first.agg(F.count("*"), F.count_if(F.col("_need1") < F.col("_c1"))).first()
+
+    def sent(plan: DataFrame) -> DataFrame:
+        return F.broadcast(plan) if groups <= GROUPS_SENT else plan
+    second, divided = None, False
+    if open_:
+        partial = first.where("_need1 < _c1").select(F.col("_g").alias("_pg"), F.col("_b1").alias("_pb"), F.col("_need1").alias("_wanted"))
+        inside = rows.join(sent(partial), F.col("_g").eqNullSafe(F.col("_pg")) & (F.col("_b1") == F.col("_pb")))
+        counts = inside.groupBy("_g", "_b2").agg(F.count("*").alias("_c"), F.first("_wanted").alias("_wanted"))
+        second = _cut(counts, "_b2", F.col("_wanted"), 2).checkpoint()
+        divided = not second.where("_need2 < _c2").isEmpty()
+        second = second.withColumnRenamed("_g", "_g2")
+        plan = first.join(sent(second), F.col("_g").eqNullSafe(F.col("_g2")), "left").drop("_g2")
+    else:
+        plan = first.select("*", *[F.lit(None).cast("long").alias(c) for c in ("_b2", "_need2", "_c2")])
+    return sent(plan), divided
 
 
 def inside_cut(hash_col: str) -> Column:
-    """Whether a row joined with its group's cuts lies inside; NULL for rows of equal hashes that a cut divides."""
-    inside = F.lit(None).cast("boolean")
-    for level, (bucket, shift, mask) in reversed(list(enumerate(_BITS, 1))):
-        mine = F.shiftright(hash_col, shift) if not mask else F.shiftright(hash_col, shift).bitwiseAND(mask)
-        whole = F.col(f"_need{level}") == F.col(f"_c{level}")
-        inside = F.when(F.col(bucket).isNull() | (mine > F.col(bucket)), False).when((mine < F.col(bucket)) | whole, True).otherwise(inside)
-    return inside
+    """Whether a row joined with its group's cuts lies inside; NULL for rows of one hash that a cut divides."""
+    high, low = _levels(hash_col)
+    return F.when(F.col("_b1").isNull() | (high > F.col("_b1")), False) \
+        .when((high < F.col("_b1")) | (F.col("_need1") == F.col("_c1")) | (low < F.col("_b2")), True) \
+        .when(low > F.col("_b2"), False).when(F.col("_need2") == F.col("_c2"), True)

@@ -61,8 +61,7 @@ def test_split_takes_the_smallest_places(spark):
 
 
 def test_split_of_many_labels_by_a_shuffle(spark, monkeypatch):
-    from tablewatch.operators import sampling
-    monkeypatch.setattr(sampling, "GROUPS_SENT", 3)
+    monkeypatch.setattr(SE, "GROUPS_SENT", 3)
     rows = [(i, None if i % 50 == 0 else f"l{i % 50}", (i * 7919) % 100_003) for i in range(2000)]
     got = stratified_split(spark.createDataFrame(rows, "id long, label string, h long"), "label", 0.3, place=F.col("h"))
     assert {r["id"] for r in got.where("is_test").collect()} == brute_split(rows, 0.3)
