@@ -4,8 +4,8 @@ J2, J3, O2, O3) and the labelled text exposition (K5).
 The history holds one row per (series labels, ts).  Every "latest value"
 panel is a ``max_by`` aggregation (partial aggregation, so a series with a
 third of the rows costs one row per task before the shuffle); windows are
-avoided.  Orderings inside a series (islands, rates) use the skew-safe rank
-from :mod:`ranking` plus equi-joins on (series, rank).
+avoided.  Orderings inside a series (islands, rates) cut the ordered rows into ranges:
+windows run per (range, series), and one row per range carries over to the next.
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from __future__ import annotations
 from datetime import timedelta
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import global_row_number, running_sums
+from ..session import ensure_checkpoint_dir
 from .slices import _as_datetime, _bound
 
 SERIES = ["job", "table", "entity", "instance", "name"]
@@ -149,20 +149,53 @@ def _series(history: DataFrame, series) -> list[str]:
     return [k for k in SERIES if k in history.columns] if series is None else list(series)
 
 
+def _in_ranges(history: DataFrame, series: Sequence[str], order: Sequence[str], num_ranges: int | None = None) -> DataFrame:
+    """The rows of every series in order, cut into ranges: distinct rows with their number ``_n``, their range ``_pid``
+    and the row before them in their series, ``_before`` (NULL at its start).
+
+    Equal rows are counted first, so no number of them is one range.  Ranges are written before they are numbered.
+    Inside a range a window per (range, series) finds the row before; what a range's first rows lack is the last row of
+    the range before it, one row per range for all of them.
+    """
+    spark = history.sparkSession
+    ensure_checkpoint_dir(spark)
+    tasks = int(num_ranges or spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(f"`{c}`") for c in (*series, *order)]
+    rows = history.groupBy(*series, *order).agg(F.count("*").alias("_n"))
+    ranged = rows.repartitionByRange(tasks, *keys).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    last = ranged.groupBy("_pid").agg(F.max(F.struct(F.struct(*keys[:len(series)]).alias("s"), F.struct(*keys[len(series):]).alias("r"))).alias("_last"))
+    carried = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_carried"))          # a row per range
+    within = Window.partitionBy("_pid", *series).orderBy(*order)
+    mine = F.struct(*keys[:len(series)])
+    out = ranged.withColumn("_lag", F.lag(F.struct(*keys[len(series):])).over(within)).join(F.broadcast(carried), "_pid", "left")
+    carry = F.when(F.col("_carried.s").eqNullSafe(mine), F.col("_carried.r"))
+    return out.withColumn("_before", F.coalesce("_lag", carry)).drop("_lag", "_carried")
+
+
 def breach_islands(history: DataFrame, breach: Column, series: Sequence[str] | None = None,
-                   ts: str = "ts") -> DataFrame:
-    """Runs of consecutive breaching rows per series (gaps-and-islands).
+                   ts: str = "ts", num_ranges: int | None = None) -> DataFrame:
+    """Runs of consecutive breaching rows per series (gaps-and-islands); rows of one time are taken by rising value,
+    then those that don't breach first.  A NULL breach is none.
 
-    rank of the row in its series minus rank among the series' breaching rows is
-    constant along a run; both ranks are skew-safe running counts.  Rows of one time are
-    taken by rising value."""
+    Runs are numbered inside each range; a run that a range begins with without starting it belongs to the run that an
+    earlier range ends with, which one row per range tells.
+    """
     history = normalize(history)
     series = _series(history, series)
-    flagged = history.withColumn("_b", breach.cast("int"))
-    ranked = running_sums(flagged, [F.col(ts).asc(), F.col("value").asc()], {"_rn": F.lit(1), "_rb": F.col("_b")}, list(series))
-    runs = ranked.where(F.col("_b") == 1).withColumn("_island", F.col("_rn") - F.col("_rb"))
-    return runs.groupBy(*series, "_island").agg(
-        F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n")).drop("_island")
+    flagged = history.withColumn("_b", F.coalesce(breach, F.lit(False)).cast("int"))
+    rows = _in_ranges(flagged, series, [ts, "value", "_b"], num_ranges)
+    starts = ((F.col("_b") == 1) & (F.coalesce(F.col("_before._b"), F.lit(0)) == 0)).cast("int")
+    within = Window.partitionBy("_pid", *series).orderBy(ts, "value", "_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = rows.withColumn("_run", F.sum(starts).over(within))
+    pieces = numbered.where("_b = 1").groupBy("_pid", *series, "_run").agg(
+        F.min(ts).alias("start"), F.max(ts).alias("end"), F.sum("_n").alias("n"))
+    order = F.struct(F.struct(*[F.col(f"`{c}`") for c in series]), F.col(ts), F.col("value"), F.col("_b"))
+    ends = numbered.groupBy("_pid").agg(F.max_by(F.struct("_b", "_run"), order).alias("_end"))
+    begun = F.when((F.col("_end._b") == 1) & (F.col("_end._run") > 0), F.struct(F.col("_pid").alias("p"), F.col("_end._run").alias("r")))
+    origin = ends.select("_pid", F.last(begun, ignorenulls=True).over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_origin"))
+    whole = pieces.join(F.broadcast(origin), "_pid", "left").withColumn(
+        "_key", F.when(F.col("_run") > 0, F.struct(F.col("_pid").alias("p"), F.col("_run").alias("r"))).otherwise(F.col("_origin")))
+    return whole.groupBy(*series, "_key").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")).drop("_key")
 
 
 def alert_hold(history: DataFrame, breach: Column, hold_seconds: float, series: Sequence[str] | None = None,
@@ -182,17 +215,19 @@ def absent(expected: DataFrame, present: DataFrame, series: Sequence[str] | None
 
 
 def rate(history: DataFrame, series: Sequence[str] | None = None, ts: str = "ts",
-         value: str = "value") -> DataFrame:
-    """D12 ``rate``: change per second between consecutive rows of a series.  The
-    previous row comes from an equi-join on (series, rank - 1), never a window."""
+         value: str = "value", num_ranges: int | None = None) -> DataFrame:
+    """D12 ``rate``: change per second between consecutive rows of a series (rows of one time by rising value; between
+    rows of one time the rate is NULL).  One window per range, no join of the history with itself."""
     history = normalize(history)
     series = _series(history, series)
-    ranked = global_row_number(history.select(*series, ts, value), [F.col(ts).asc(), F.col(value).asc()], "_rn", list(series))
-    prev = ranked.select(*series, (F.col("_rn") + 1).alias("_rn"), F.col(ts).alias("_pts"),
-                         F.col(value).alias("_pv"))
-    j = ranked.join(*_null_safe(ranked, prev, [*series, "_rn"]))
-    secs = F.expr(f"timestampdiff(MICROSECOND, `_pts`, `{ts}`)") / 1e6
-    return j.select(*series, ts, value, F.try_divide(F.col(value) - F.col("_pv"), secs).alias("rate"))
+    rows = _in_ranges(history, series, [ts, value], num_ranges).withColumnsRenamed({ts: "_ts", value: "_value"})
+    secs = F.expr("timestampdiff(MICROSECOND, _pts, _ts)") / 1e6
+    first = rows.withColumn("_pts", F.col("_before")[ts]).withColumn("_pv", F.col("_before")[value])
+    change = F.when(F.col("_before").isNotNull(), F.struct(F.try_divide(F.col("_value") - F.col("_pv"), secs).alias("rate")))
+    # equal rows: the first follows the row before them, the others follow an equal one
+    equal = F.array_repeat(F.struct(F.lit(None).cast("double").alias("rate")), (F.col("_n") - 1).cast("int"))
+    each = F.when(F.col("_before").isNotNull(), F.concat(F.array(change), equal)).otherwise(equal)
+    return first.select(*series, F.col("_ts").alias(ts), F.col("_value").alias(value), F.inline(each))
 
 
 # ------------------------------------------------------------------ K5
