@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tablewatch.llm.common import pick
 
 WINDOW = 8
+PIECE = 1 << 20                 # bytes of the texts measured together
 _SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper",
             "n_echo_words", "n_distinct_words")
@@ -97,6 +98,7 @@ def measure(texts: list[bytes]) -> np.ndarray:
     if total:
         flat = np.empty(total, object)
         flat[:] = [w for ws in words for w in ws]
+        words.clear()
         word, known = pd.factorize(flat)
         ends = np.cumsum(counts)
         ends = ends[counts > 0]
@@ -109,12 +111,24 @@ def measure(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def pieces(column, most: int = PIECE, rows: int = 256):
+    """(first row, rows) of pieces of a binary Arrow column: of ``most`` bytes (but for a single longer text) and ``rows`` rows at most."""
+    import pyarrow.compute as pc
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        limit = (ends[at - 1] if at else 0) + most
+        n = min(max(int(np.searchsorted(ends, limit, "right")) - at, 1), rows)
+        yield at, n
+        at += n
+
+
 def measured(text: Column) -> Column:
     """Struct of the measurements of a text column (null: an empty text)."""
     @F.arrow_udf(", ".join(f"{m} long" for m in MEASURES))
     def run(column):
         import pyarrow as pa
-        found = [measure(column.slice(at, 256).to_pylist()) for at in range(0, len(column), 256)]
+        found = [measure(column.slice(at, n).to_pylist()) for at, n in pieces(column)]
         found = np.concatenate(found) if found else np.zeros((0, len(MEASURES)), np.int64)
         return pa.StructArray.from_arrays([pa.array(found[:, i]) for i in range(len(MEASURES))], list(MEASURES))
     return run(F.coalesce(text, F.lit("")).cast("binary"))
