@@ -6,18 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .text import sanitize_key
 
 
+LEVELS_A_ROUND = 8              # levels taken apart in one plan; deeper documents take several, written in between
+
+
 def json_depth(df: DataFrame, text_col: str) -> int:
-    """Deepest nesting of any document: brackets outside of string literals, counted in one pass."""
+    """Deepest nesting of any document that parses: brackets outside of string literals, counted in one pass."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     bare = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]", "")
     zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
     step = F.aggregate(F.split(bare, ""), zero, lambda a, c: F.struct(
         (a["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)).alias("now"),
         F.greatest(a["most"], a["now"] + F.when(c.isin("{", "["), 1).otherwise(0)).alias("most")), lambda a: a["most"])
-    return df.select(F.max(step)).first()[0] or 0
+    parses = F.try_parse_json(F.col(text_col).cast("string")).isNotNull()
+    return df.select(F.max(F.when(parses, step))).first()[0] or 0
 
 
 def parse_json_columns(df: DataFrame, text_col: str, schema: T.StructType | str,
@@ -42,7 +47,9 @@ def flatten_json(df: DataFrame, text_col: str, keep: list[str] | None = None,
     container) explodes to a row with NULL ``pos``, which marks it as a leaf.
     With ``sanitize`` the name has every character outside ``[a-zA-Z0-9_]``
     replaced by ``_`` (P9).  The number of levels is that of the deepest document
-    (``json_depth``) unless ``max_depth`` gives it.
+    (``json_depth``; texts that don't parse have none) unless ``max_depth`` gives it.  After
+    every ``LEVELS_A_ROUND`` levels the nodes are written to the checkpoint folder, so no
+    plan holds more joins than that.
     """
     levels = json_depth(df, text_col) + 1 if max_depth is None else max_depth
     spark = df.sparkSession
@@ -52,7 +59,10 @@ def flatten_json(df: DataFrame, text_col: str, keep: list[str] | None = None,
     nodes = df.select(*keep, F.lit("").alias("_path"),
                       F.try_parse_json(F.col(text_col).cast("string")).alias("_v"),
                       F.lit(False).alias("_done"))
-    for _ in range(levels):
+    for level in range(levels):
+        if level and level % LEVELS_A_ROUND == 0:
+            ensure_checkpoint_dir(spark)
+            nodes = nodes.checkpoint()
         pending = F.when(~F.col("_done"), F.col("_v")).outer()
         ex = nodes.lateralJoin(spark.tvf.variant_explode_outer(pending), how="left")
         child = F.col("pos").isNotNull()

@@ -6,8 +6,8 @@ operators that need an exact global order (activation cut C5, exact AUC A24,
 exact stratified split X2) use this primitive instead:
 
 1. ``repartitionByRange`` on (partition keys, order keys) spreads the rows
-   over P ordered ranges; a random last key lets rows that are tied on all
-   of them span several ranges;
+   over P ordered ranges; a hash of the whole row as last key lets rows that
+   are tied on all of them span several ranges (copies of one row stay together);
 2. ``sortWithinPartitions`` + ``mapInPandas`` walk each range once, keeping a
    running sum per segment (a run of equal partition keys) with a carry
    across Arrow batches, so memory is one batch;
@@ -136,9 +136,11 @@ def running_sums(df: DataFrame, order_by: Sequence[Column | str], values: dict[s
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     sort_exprs = [F.col(k).asc_nulls_first() for k in keys] + order_cols
     base = df.withColumns(tmp_values)
-    # rows equal on every key are told apart by a random last one, so ranges can split them
+    # rows equal on every key are told apart by a hash of all they hold, so ranges can split them; it is the same when a
+    # lost task runs again over rows in another order, as a random number would not be
     sort_exprs.append(F.col(_TIE).asc())
-    ranged = base.withColumn(_TIE, F.rand(17)).repartitionByRange(P, *sort_exprs) \
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    ranged = base.withColumn(_TIE, F.xxhash64(*plain) if plain else F.lit(0)).repartitionByRange(P, *sort_exprs) \
         .sortWithinPartitions(*sort_exprs).drop(_TIE)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in base.schema.fields]
                           + [T.StructField(o, T.DoubleType()) for o in outs]

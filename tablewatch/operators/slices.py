@@ -2,7 +2,8 @@
 bounds reach the Parquet scan as pushed filters.
 
 Bounds are cast to the column's own type, so ``timestamp`` and
-``timestamp_ntz`` columns are both handled without a per-row cast of the data.
+``timestamp_ntz`` columns are both handled without a per-row cast of the data;
+only text times and hours of day columns need one.
 """
 
 from __future__ import annotations
@@ -29,7 +30,11 @@ def _bound(df: DataFrame, ts_col: str, value: datetime) -> Column:
 def between_times(df: DataFrame, ts_col: str, lo, hi) -> DataFrame:
     """Rows with ``lo <= ts < hi``."""
     lo, hi = _as_datetime(lo), _as_datetime(hi)
-    c = F.col(ts_col)
+    c, kind = F.col(ts_col), df.schema[ts_col].dataType.typeName()
+    if kind == "string" or (kind == "date" and (lo.time() != time() or hi.time() != time())):
+        # text is read as a time (what is none is in no slice), a day as its midnight
+        c = F.expr(f"try_cast(`{ts_col}` as timestamp_ntz)")
+        return df.where((c >= F.lit(str(lo)).cast("timestamp_ntz")) & (c < F.lit(str(hi)).cast("timestamp_ntz")))
     return df.where((c >= _bound(df, ts_col, lo)) & (c < _bound(df, ts_col, hi)))
 
 

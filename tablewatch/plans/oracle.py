@@ -637,6 +637,10 @@ SELECT label, FALSE AS is_test, CAST(n - floor(n * 0.2 + 0.5) AS BIGINT) AS n FR
 """
 
 
+ORACLE["flatten_json_deep"] = """
+SELECT event_id, repeat('k_0__', CAST(event_id % 7 AS BIGINT)) || 'v' AS name, CAST(user_id AS DOUBLE) AS value FROM events WHERE event_id % 11 <> 0
+"""
+
 ORACLE["split_test_rows"] = f"""
 SELECT event_id, event_type FROM (
   SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type) AS n, row_number() OVER (

@@ -514,6 +514,16 @@ def flatten_json(spark, sf_dir):
     return JS.flatten_json(ev.select("event_id", doc.alias("doc")), "doc", keep=["event_id"])
 
 
+@query("flatten_json_deep")
+def flatten_json_deep(spark, sf_dir):
+    """Documents of up to 13 levels, some of them 500 brackets that don't parse."""
+    ev = FX.events(spark, sf_dir)
+    deep = (F.col("event_id") % 7).cast("int")
+    doc = F.concat(F.repeat(F.lit('{"k": ['), deep), F.lit('{"v": '), F.col("user_id").cast("string"), F.lit("}"), F.repeat(F.lit("]}"), deep))
+    doc = F.when(F.col("event_id") % 11 == 0, F.repeat(F.lit("["), F.lit(500))).otherwise(doc)
+    return JS.flatten_json(ev.select("event_id", doc.alias("doc")), "doc", keep=["event_id"])
+
+
 @query("table_from_path")
 def table_from_path(spark, sf_dir):
     """Table name from a time-sliced drop path."""

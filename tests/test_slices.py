@@ -1,6 +1,8 @@
 from datetime import datetime
 
 
+from pyspark.sql import functions as F
+
 from tablewatch.operators import slices as S
 
 
@@ -37,3 +39,11 @@ def test_same_hour_labelled_includes_today(spark):
 def test_timestamp_with_zone_column(spark):
     df = spark.createDataFrame([(1, datetime(2024, 1, 2, 3, 30))], "id int, ts timestamp")
     assert S.slice_day(df, "ts", "2024-01-02").count() == 1
+
+
+def test_text_and_day_columns_are_read_as_times(spark):
+    rows = [("2024-01-02 03:30:00", "2024-01-02"), ("2024-01-02T03:59:59", "2024-01-02"), ("2024-01-02 4:00:00", "2024-01-01"), ("no time", None), (None, "2024-01-03")]
+    df = spark.createDataFrame(rows, "t string, d string").withColumn("d", F.col("d").cast("date"))
+    assert S.slice_previous_hour(df, "t", "2024-01-02 04:10:00").count() == 2
+    assert S.slice_previous_hour(df, "d", "2024-01-02 01:00:00").count() == 2 and S.slice_previous_hour(df, "d", "2024-01-02 04:00:00").count() == 0
+    assert S.slice_day(df, "d", "2024-01-02").count() == 2 and S.slice_day(df, "t", "2024-01-02").count() == 3
