@@ -239,14 +239,16 @@ def _esc(c: Column) -> Column:
 
 
 def exposition(metrics: DataFrame, metric_name: Column, labels: Sequence[str], value: str = "value",
-               value_format: str = "%.6f") -> DataFrame:
-    """K5: one text line per metric row, ``name{l1="v1",...} value``, label values escaped."""
+               value_format: str | None = "%.6f") -> DataFrame:
+    """K5: one text line per metric row, ``name{l1="v1",...} value``, label values escaped.
+    Without a ``value_format`` the value is the shortest text that reads as the same double."""
     from .. functions.text import sanitize_key
     parts = []
     for i, l in enumerate(labels):
         parts.append(F.concat(F.lit(("," if i else "") + f'{l}="'), F.coalesce(_esc(F.col(l)), F.lit("")),
                               F.lit('"')))
+    number = F.col(value).cast("double")
+    text = number.cast("string") if value_format is None else F.format_string(value_format, number)
     line = F.concat(sanitize_key(metric_name), F.lit("{"), *parts, F.lit("} "),
-                    F.coalesce(F.when(F.col(value).isNotNull(), F.format_string(value_format, F.col(value).cast("double"))),
-                               F.lit("NaN")))
+                    F.coalesce(F.when(F.col(value).isNotNull(), text), F.lit("NaN")))
     return metrics.select(line.alias("line"))

@@ -57,6 +57,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     sp = sub.add_parser("profile", help="metrics of the hour before --at")
     table_args(sp)
+    sp.add_argument("--gauges", help="folder of pushed gauge groups (text exposition)")
     sp.add_argument("--out", help="metric history path (appended)")
     sp.add_argument("--separate-sketches", action="store_true",
                     help="distinct-count sketches in their own aggregate (second scan)")
@@ -69,11 +70,13 @@ def build_parser() -> argparse.ArgumentParser:
 
     sp = sub.add_parser("verify", help="verify active rules on the hour before --at")
     table_args(sp)
+    sp.add_argument("--gauges", help="folder of pushed gauge groups (text exposition)")
     sp.add_argument("--database", default="constraints")
     sp.add_argument("--out")
 
     sp = sub.add_parser("drift", help="same-hour drift model: AUC + SHAP attributions")
     table_args(sp)
+    sp.add_argument("--gauges", help="folder of pushed gauge groups (text exposition)")
     sp.add_argument("--read-days", type=int, default=3)
     sp.add_argument("--sample-frac", type=float, default=1.0)
     sp.add_argument("--random-state", type=int, default=42)
@@ -100,6 +103,7 @@ def build_parser() -> argparse.ArgumentParser:
     sp.add_argument("--out", required=True, help="metric rows path")
     sp.add_argument("--data-out", help="append the events themselves here")
     sp.add_argument("--progress-out", help="flattened progress rows (with --available-now)")
+    sp.add_argument("--states-out", help="mergeable metric states per micro-batch")
     sp.add_argument("--trigger", default="2 seconds")
     sp.add_argument("--available-now", action="store_true")
 
@@ -117,16 +121,16 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
     a = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"tablewatch-{a.cmd}").getOrCreate()
     if a.cmd == "profile":
-        out = J.profiling_job(_source(spark, a), _name(a), a.ts_col, a.at, a.out, a.separate_sketches)
+        out = J.profiling_job(_source(spark, a), _name(a), a.ts_col, a.at, a.out, a.separate_sketches, a.gauges)
     elif a.cmd == "suggest":
         out = J.suggestion_job(spark, _source(spark, a), _name(a), a.ts_col, a.at, a.read_days,
                                a.top_low_ratio, a.database).activated
     elif a.cmd == "verify":
-        out = J.verification_job(spark, _source(spark, a), _name(a), a.ts_col, a.at, a.database)
+        out = J.verification_job(spark, _source(spark, a), _name(a), a.ts_col, a.at, a.database, gauges_path=a.gauges)
         _append(out, a.out)
     elif a.cmd == "drift":
         out = J.drift_job(_source(spark, a), _name(a), a.ts_col, a.at, a.read_days, a.sample_frac,
-                          a.random_state, a.exclude_cols, a.test_frac, a.n_estimators, a.max_depth)
+                          a.random_state, a.exclude_cols, a.test_frac, a.n_estimators, a.max_depth, a.gauges)
         _append(out, a.out)
     elif a.cmd == "ingest":
         parts = tuple(x.strip() for x in a.partition_by.split(",") if x.strip())
@@ -135,7 +139,7 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
         query = J.stream_job(spark, a.schema_ddl, a.checkpoint, a.out, json_dir=a.json_dir,
                              kafka_servers=a.kafka_servers, topic=a.topic, data_path=a.data_out,
                              processing_time=a.trigger, available_now=a.available_now,
-                             progress_path=a.progress_out)
+                             progress_path=a.progress_out, states_path=a.states_out)
         query.awaitTermination()
         out = spark.read.parquet(a.out)
     else:

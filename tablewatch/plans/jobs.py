@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.conform import conform_to_schema, drop_bookkeeping, stamp_processing_time
 from ..functions.text import table_from_path
 from ..operators import drift as DR
+from ..operators import history as H
 from ..operators import metrics as M
 from ..operators.metrics import ts_lit
 from ..operators import profile as PR
@@ -30,19 +31,33 @@ from ..operators import rules as RL
 from ..operators import slices as S
 from ..operators import suggest as SG
 from ..operators import verify as V
-from ..sinks import append_metrics, append_table, write_json_documents
+from ..sinks import append_metrics, append_table, push_gauges, write_json_documents
 from ..sources import commits as CM
 from ..sources import csv as CSV
 
 
+# The label sets of the gauges each job pushes.
+PROFILE_LABELS = ("table", "entity", "instance", "name")
+VERIFY_LABELS = ("table", "check_level", "constraint_name", "constraint_message")
+DRIFT_LABELS = ("table", "metric_type", "instance", "metric")
+
+
+def push(metrics: DataFrame, labels: tuple[str, ...], job: str, table: str, path: str | None, value: str = "value") -> None:
+    """The gauge ``job`` with the given labels, pushed to the (job, table) group below ``path``."""
+    if path:
+        push_gauges(H.exposition(metrics, F.lit(job), labels, value, None), path, job, table)
+
+
 def profiling_job(df: DataFrame, table: str, ts_col: str, at, metrics_path: str | None = None,
-                  separate_sketches: bool = False) -> DataFrame:
-    """Hourly profiling: metrics of the hour before ``at``; appended to the history if a path is given."""
+                  separate_sketches: bool = False, gauges_path: str | None = None, job: str = "data_profiling") -> DataFrame:
+    """Hourly profiling: metrics of the hour before ``at``; appended to the history and
+    pushed as gauges if paths are given."""
     sl = S.slice_previous_hour(df, ts_col, at)
     lo, _ = S.previous_hour_bounds(at)
     m = M.as_history_rows(M.profile_metrics(sl, separate_sketches), sl, ts=at, table=table, slice_start=lo)
     if metrics_path:
         append_metrics(m, metrics_path)
+    push(m.withColumnRenamed("metric", "name"), PROFILE_LABELS, job, table, gauges_path)
     return m
 
 
@@ -70,17 +85,20 @@ def suggestion_job(spark: SparkSession, df: DataFrame, table: str, ts_col: str,
 
 
 def verification_job(spark: SparkSession, df: DataFrame, table: str, ts_col: str, at,
-                     database: str = "constraints", check: str = "tablewatch_verification") -> DataFrame:
-    """Verify the active rules of ``table`` on the hour before ``at``."""
+                     database: str = "constraints", check: str = "tablewatch_verification",
+                     gauges_path: str | None = None, job: str = "constraints_verification") -> DataFrame:
+    """Verify the active rules of ``table`` on the hour before ``at``; gauges are 1 for success and 0 for failure."""
     _, activated = RL.table_names(table, database)
     rules = V.read_active_rules(spark.table(activated))
     res = V.verify_frame(S.slice_previous_hour(df, ts_col, at), rules, check=check)
-    return res.withColumn("table", F.lit(table)).withColumn("ts", ts_lit(at))
+    res = res.withColumn("table", F.lit(table)).withColumn("ts", ts_lit(at))
+    push(res.withColumnRenamed("constraint", "constraint_name"), VERIFY_LABELS, job, table, gauges_path, "status_value")
+    return res
 
 
 def drift_job(df: DataFrame, table: str, ts_col: str, at, read_days: int = 3, sample_fraction: float = 1.0,
               seed: int = 42, exclude=(), test_fraction: float = 0.2, max_iter: int = 500,
-              max_depth: int = 10) -> DataFrame:
+              max_depth: int = 10, gauges_path: str | None = None, job: str = "anomaly_detection") -> DataFrame:
     """Same hour on the previous ``read_days`` days and the run day, target day labelled 1."""
     from ..operators.sampling import sample_by_label
     if isinstance(exclude, str):           # "a, b" as given in a job configuration
@@ -89,6 +107,7 @@ def drift_job(df: DataFrame, table: str, ts_col: str, at, read_days: int = 3, sa
     sl = sample_by_label(sl, "label", sample_fraction, seed)
     res = DR.detect_drift(sl, table, exclude=("label", ts_col, *DR.DEFAULT_EXCLUDE, *exclude),
                           test_fraction=test_fraction, seed=seed, max_iter=max_iter, max_depth=max_depth)
+    push(res.metrics.withColumnRenamed("type", "metric_type"), DRIFT_LABELS, job, table, gauges_path)
     return res.metrics
 
 

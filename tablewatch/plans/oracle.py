@@ -641,6 +641,10 @@ ORACLE["flatten_json_deep"] = """
 SELECT event_id, repeat('k_0__', CAST(event_id % 7 AS BIGINT)) || 'v' AS name, CAST(user_id AS DOUBLE) AS value FROM events WHERE event_id % 11 <> 0
 """
 
+ORACLE["job_gauges"] = "\nUNION ALL\n".join(
+    f"SELECT 'data_profiling{{table=\"{t}\",entity=\"' || entity || '\",instance=\"' || instance || '\",name=\"' || name || '\"}}' AS gauge, value "
+    f"FROM ({_profile_sql(f'{HOUR} s', EVENTS_COLS)}) p" for t in ("events", "shop/events"))
+
 ORACLE["split_test_rows"] = f"""
 SELECT event_id, event_type FROM (
   SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type) AS n, row_number() OVER (

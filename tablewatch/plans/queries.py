@@ -740,6 +740,21 @@ def job_profiling(spark, sf_dir):
                           "value": F.round("value", 6)}))
 
 
+@query("job_gauges")
+def job_gauges(spark, sf_dir):
+    """K5: the gauges that the profiling program leaves after runs for two hours (the second push replaces the
+    first) and for a second table, read back and taken apart into labels and value."""
+    from ..sinks import read_gauges, scratch_path
+    path = scratch_path(spark, "gauges")
+    ev = FX.events_with_holes(spark, sf_dir)
+    for table, at in (("events", "2024-01-02 03:00:00"), ("events", "2024-01-02 04:00:00"), ("shop/events", "2024-01-02 04:00:00")):
+        JB.profiling_job(ev, table, "ts", at, gauges_path=path)
+    line = F.col("line")
+    return read_gauges(spark, path).where(~line.contains("ApproxCountDistinct")).select(
+        F.regexp_extract(line, r"^(.*[}]) ", 1).alias("gauge"),
+        F.round(F.expr("try_cast(regexp_extract(line, ' ([^ ]+)$', 1) as double)"), 6).alias("value"))
+
+
 @query("job_quality_loop")
 def job_quality_loop(spark, sf_dir):
     """Suggestion program (2 trailing days, merge, activation, publish) followed by the

@@ -45,6 +45,18 @@ def write_exposition(lines: DataFrame, path: str, mode: str = "overwrite") -> No
     lines.select("line").write.mode(mode).text(path)
 
 
+def push_gauges(lines: DataFrame, path: str, job: str, table: str) -> None:
+    """K5: push exposition lines of one (job, table) group.  A push replaces what the group had, so a rerun leaves one
+    value per gauge; other groups stay.  Read back with ``read_gauges``."""
+    from urllib.parse import quote
+    write_exposition(lines, f"{path.rstrip('/')}/job={quote(job, safe='')}/table={quote(table, safe='')}")
+
+
+def read_gauges(spark: SparkSession, path: str) -> DataFrame:
+    """(line, job, table) of every group pushed below ``path``."""
+    return spark.read.schema("value string, job string, table string").text(path).withColumnRenamed("value", "line")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder inside the shared checkpoint folder (never a machine-local temp dir)."""
     import uuid

@@ -124,3 +124,31 @@ def test_jobs_on_an_empty_hour(spark):
     from tablewatch.operators import verify as V
     res = V.verify(ev.where("ts > '2030-01-01'"), [V.Rule("c", "value", "is_complete")]).collect()
     assert res[0].constraint_message == "no rows" and res[0].check_status == "Warning"
+
+
+def test_gauges_are_replaced_by_group(spark, tmp_path):
+    from tablewatch.sinks import push_gauges, read_gauges
+    from tablewatch.operators import history as H
+    path = str(tmp_path / "gauges")
+    def push(job, table, values):
+        df = spark.createDataFrame([(table, n, v) for n, v in values], "table string, name string, value double")
+        push_gauges(H.exposition(df, F.lit(job), ("table", "name"), value_format=None), path, job, table)
+    push("a", "t one/x", [("m", 1.0), ("gone", 2.0)])
+    push("b", "t one/x", [("m", 1e-7)])
+    push("a", "t one/x", [("m", 0.1 + 0.2), ("none", None)])
+    lines = sorted(r["line"] for r in read_gauges(spark, path).collect())
+    assert lines == ['a{table="t one/x",name="m"} 0.30000000000000004', 'a{table="t one/x",name="none"} NaN', 'b{table="t one/x",name="m"} 1.0E-7']
+
+
+def test_verification_and_drift_push_their_labels(spark, tmp_path):
+    from tablewatch.plans import jobs as J
+    from tablewatch.sinks import read_gauges
+    path = str(tmp_path / "gauges")
+    res = spark.createDataFrame([("t", "Warning", "c1", "", 1), ("t", "Warning", "c2", 'Value: "0.5"', 0)],
+                                "table string, check_level string, constraint_name string, constraint_message string, status_value int")
+    J.push(res, J.VERIFY_LABELS, "constraints_verification", "t", path, "status_value")
+    J.push(spark.createDataFrame([("t", "AUC", "*", "auc", 0.75)], "table string, metric_type string, instance string, metric string, value double"),
+           J.DRIFT_LABELS, "anomaly_detection", "t", path)
+    lines = {r["line"] for r in read_gauges(spark, path).collect()}
+    assert 'constraints_verification{table="t",check_level="Warning",constraint_name="c2",constraint_message="Value: \\"0.5\\""} 0.0' in lines
+    assert 'anomaly_detection{table="t",metric_type="AUC",instance="*",metric="auc"} 0.75' in lines and len(lines) == 3
