@@ -186,7 +186,7 @@ def breach_islands(history: DataFrame, breach: Column, series: Sequence[str] | N
     rows = _in_ranges(flagged, series, [ts, "value", "_b"], num_ranges)
     starts = ((F.col("_b") == 1) & (F.coalesce(F.col("_before._b"), F.lit(0)) == 0)).cast("int")
     within = Window.partitionBy("_pid", *series).orderBy(ts, "value", "_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = rows.withColumn("_run", F.sum(starts).over(within))
+    numbered = rows.withColumn("_run", F.sum(starts).over(within)).checkpoint()       # read for the runs and for the ends
     pieces = numbered.where("_b = 1").groupBy("_pid", *series, "_run").agg(
         F.min(ts).alias("start"), F.max(ts).alias("end"), F.sum("_n").alias("n"))
     order = F.struct(F.struct(*[F.col(f"`{c}`") for c in series]), F.col(ts), F.col("value"), F.col("_b"))
