@@ -92,7 +92,9 @@ def build_parser() -> argparse.ArgumentParser:
     sp.add_argument("--lake", required=True)
     sp.add_argument("--ts", required=True, help="processing time")
     sp.add_argument("--partition-by", default="")
-    sp.add_argument("--out", help="metric table path (appended)")
+    sp.add_argument("--out", help="metric table path (a rerun for the same time replaces its rows)")
+    sp.add_argument("--register-as", help="name of the catalog view of the lake")
+    sp.add_argument("--extra", action="append", default=[], metavar="KEY=VALUE", help="kept with the commit")
 
     sp = sub.add_parser("stream", help="per-micro-batch metrics of a JSON event stream")
     sp.add_argument("--json-dir", help="folder of JSON text files (file source)")
@@ -134,7 +136,8 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
         _append(out, a.out)
     elif a.cmd == "ingest":
         parts = tuple(x.strip() for x in a.partition_by.split(",") if x.strip())
-        out = J.ingest_job(spark, a.csv, a.schema, a.lake, a.ts, a.out, parts)
+        out = J.ingest_job(spark, a.csv, a.schema, a.lake, a.ts, a.out, parts, a.register_as,
+                           dict(x.partition("=")[::2] for x in a.extra))
     elif a.cmd == "stream":
         query = J.stream_job(spark, a.schema_ddl, a.checkpoint, a.out, json_dir=a.json_dir,
                              kafka_servers=a.kafka_servers, topic=a.topic, data_path=a.data_out,

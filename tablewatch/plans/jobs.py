@@ -9,7 +9,7 @@ tables (metric history, rule tables) instead of pushing to a gateway.
                            activation, published through the rule tables      (3.2)
 * :func:`verification_job` previous-hour slice + active rules -> check rows      (3.2)
 * :func:`drift_job`        same hour over N days + target day -> AUC + attributions (3.4)
-* :func:`ingest_job`       CSV drop -> conform -> append -> metrics + write stats  (3.4)
+* :func:`ingest_job`       CSV drop -> conform -> commit -> metrics + write stats  (3.4)
 * :func:`daily_profile_job` one-day slice -> profile rows + suggestion / profile JSON
 """
 
@@ -31,11 +31,14 @@ from ..operators import rules as RL
 from ..operators import slices as S
 from ..operators import suggest as SG
 from ..operators import verify as V
-from ..sinks import append_metrics, append_table, push_gauges, write_json_documents
+from ..sinks import append_metrics, push_gauges, replace_run, write_json_documents
+from ..sinks import lake as LK
 from ..sources import commits as CM
 from ..sources import csv as CSV
 
 
+INGEST_SCHEMA = ("type string, column string, metric string, value double, value_str string, ts timestamp, path string, "
+                 "table string")
 # The label sets of the gauges each job pushes.
 PROFILE_LABELS = ("table", "entity", "instance", "name")
 VERIFY_LABELS = ("table", "check_level", "constraint_name", "constraint_message")
@@ -112,27 +115,35 @@ def drift_job(df: DataFrame, table: str, ts_col: str, at, read_days: int = 3, sa
 
 
 def ingest_job(spark: SparkSession, csv_path: str, schema_path: str, lake_path: str, ts,
-               metrics_path: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """CSV drop -> conform to the schema document -> append -> data metrics + write stats.
-
-    The conformed frame is written once and the metrics are computed from the
-    written table, so the CSV text is parsed only once."""
+               metrics_path: str | None = None, partition_by: tuple[str, ...] = (), register_as: str | None = None,
+               extra: dict[str, str] | None = None) -> DataFrame:
+    """CSV drop -> conform to the schema document -> commit to the lake -> data metrics + write stats.
+
+    The conformed frame is written once and the metrics are computed from the commit as
+    written, so the CSV text is parsed only once.  A rerun for the same ``ts`` replaces the
+    rows and the metrics of the earlier run.  With ``register_as`` the lake becomes a view of
+    the catalog; ``extra`` goes into the commit and its metric rows.  An empty drop commits nothing
+    and gives no rows."""
     raw = CSV.read_csv_text(spark, csv_path)
+    if CSV.is_empty(raw):
+        return spark.createDataFrame([], INGEST_SCHEMA)
     conformed = stamp_processing_time(drop_bookkeeping(conform_to_schema(raw, CSV.load_schema(spark, schema_path))),
                                       ts)
-    append_table(conformed, lake_path, partition_by=partition_by)
-    this_commit = F.col("processing_time") == ts_lit(ts)
-    written = spark.read.parquet(lake_path).where(this_commit)
+    table = spark.range(0, 1, 1, 1).select(table_from_path(F.lit(csv_path))).first()[0]
+    commit_id = LK.commit_name(ts)
+    written = LK.commit(conformed, lake_path, commit_id, partition_by, extra=extra)
+    if register_as:
+        LK.register(spark, lake_path, register_as, conformed.schema, partition_by)
     data_metrics = M.with_entity_type(M.profile_metrics(written)).select(
         F.col("type"), F.col("instance").alias("column"), F.col("name").alias("metric"), "value",
         F.col("value").cast("string").alias("value_str"))
-    stats = CM.file_write_stats(spark, lake_path, partition_cols=partition_by, where=this_commit)
-    commit = CM.write_stat_metrics(stats).unionByName(CM.commit_summary_metrics(stats))
+    stats = LK.commit_files(spark, lake_path, commit_id)
+    commit = CM.write_stat_metrics(stats).unionByName(CM.commit_summary_metrics(stats, extra=extra))
     out = (data_metrics.unionByName(commit)
            .withColumn("ts", ts_lit(ts)).withColumn("path", F.lit(csv_path))
-           .withColumn("table", table_from_path(F.lit(csv_path))))
+           .withColumn("table", F.lit(table)))
     if metrics_path:
-        append_metrics(out, metrics_path)
+        replace_run(out, metrics_path, f"{table}-{commit_id}")
     return out
 
 

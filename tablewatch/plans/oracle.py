@@ -752,3 +752,34 @@ FROM res
 
 
 ORACLE["job_quality_loop"] = _quality_loop_sql()
+
+
+def _ingest_sql():
+    """Both commits of the ingestion program, from the table itself."""
+    cols = LINEITEM_COLS + [("processing_time", "other")]
+    src = "(SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS processing_time FROM lineitem) l"
+    data = (f"SELECT entity AS type, instance AS \"column\", name AS metric, "
+            f"CASE WHEN name = 'Sum' THEN round(value, 2) ELSE round(value, 6) END AS value, CAST(NULL AS VARCHAR) AS value_str "
+            f"FROM ({_profile_sql(src, cols)}) p")
+    parts = [data]
+    parts += [f"SELECT 'Column', '{c}', 'ApproxCountDistinct', CAST(1 AS DOUBLE), NULL" for c, _ in cols]
+    per = "(SELECT 'l_returnflag=' || l_returnflag AS part, count(*) AS n FROM lineitem GROUP BY 1) f"
+    for m, v in (("numInserts", "n"), ("numWrites", "n"), ("numDeletes", "0")):
+        parts.append(f"SELECT 'WriteStat', part, '{m}', CAST({v} AS DOUBLE), CAST({v} AS VARCHAR) FROM {per}")
+    parts.append(f"SELECT 'WriteStat', part, 'fileSizeInBytes', CAST(1 AS DOUBLE), NULL FROM {per}")
+    for m, v in (("totalInserts", "count(*)"), ("totalUpdates", "0"), ("totalRecordsWritten", "count(*)")):
+        parts.append(f"SELECT 'CommitSummary', NULL, '{m}', CAST({v} AS DOUBLE), CAST({v} AS VARCHAR) FROM lineitem"
+                     + (" LIMIT 1" if v == "0" else ""))
+    parts[-2] = f"SELECT * FROM ({parts[-2]})"
+    parts.append("SELECT 'CommitSummary', NULL, 'totalBytesWritten', CAST(1 AS DOUBLE), NULL")
+    parts.append("SELECT 'CommitSummary', NULL, 'operationType', CAST(NULL AS DOUBLE), 'insert'")
+    parts.append("SELECT 'Commit', NULL, 'source', CAST(NULL AS DOUBLE), 'drop'")
+    return (f"SELECT ts, 'lineitem' AS \"table\", m.* FROM ({' UNION ALL '.join(parts)}) m "
+            f"CROSS JOIN (VALUES ('2024-02-01 00:00:00'), ('2024-01-02 04:00:00')) t(ts)")
+
+
+ORACLE["job_ingest"] = _ingest_sql()
+ORACLE["lake_rows"] = """
+SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN 'c1' ELSE 'c2' END AS commit_id,
+       CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS attempt FROM orders
+"""

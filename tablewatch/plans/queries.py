@@ -769,18 +769,57 @@ def job_quality_loop(spark, sf_dir):
     return res.withColumns({"value": F.round("value", 6), "ts": F.col("ts").cast("timestamp_ntz")})
 
 
-@query("job_ingest")
-def job_ingest(spark, sf_dir):
-    """Ingestion program: lineitem as a CSV drop + schema document -> conformed append
-    (partitioned by return flag) -> data metrics + write statistics (rows-only check:
-    file sizes depend on the writer)."""
+BYTE_METRICS = ("fileSizeInBytes", "totalBytesWritten")
+
+
+def _ingest_drop(spark, sf_dir):
     from ..sinks import scratch_path
     li = read_table(spark, sf_dir, "lineitem")
     base = scratch_path(spark, "ingest-job")
     li.write.option("header", True).csv(f"{base}/drop/lineitem_20240101_0000-0100.csv")
     spark.createDataFrame([(li.schema.json(),)], "value string").coalesce(1).write.text(f"{base}/schema")
-    return JB.ingest_job(spark, f"{base}/drop/lineitem_20240101_0000-0100.csv", f"{base}/schema",
-                         f"{base}/lake", NOW, metrics_path=f"{base}/metrics", partition_by=("l_returnflag",))
+    return base, li
+
+
+@query("job_ingest")
+def job_ingest(spark, sf_dir):
+    """Ingestion program, run twice for the same time and once for another: lineitem as a CSV drop +
+    schema document -> commits (partitioned by return flag) -> the metric rows of both commits as
+    stored.  Sizes of files depend on the writer and are given as whether they are positive, distinct
+    counts as whether they lie within three standard errors of the exact ones."""
+    base, li = _ingest_drop(spark, sf_dir)
+    for ts in (NOW, NOW, HOUR_AT):
+        JB.ingest_job(spark, f"{base}/drop/lineitem_20240101_0000-0100.csv", f"{base}/schema", f"{base}/lake", ts,
+                      metrics_path=f"{base}/metrics", partition_by=("l_returnflag",), extra={"source": "drop"})
+    rows = spark.read.parquet(f"{base}/metrics")
+    exact = li.agg(*[F.count_distinct(F.col(c)).alias(c) for c in li.columns]) \
+        .select(F.inline(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).alias("d")) for c in li.columns])))
+    near = F.abs(F.col("value") - F.coalesce("d", F.lit(1))) <= F.greatest(F.lit(0.15) * F.coalesce("d", F.lit(1)), F.lit(1.0))
+    checked = F.col("metric").isin(*BYTE_METRICS) | (F.col("metric") == "ApproxCountDistinct")
+    value = F.when(F.col("metric").isin(*BYTE_METRICS), (F.col("value") > 0).cast("double")) \
+        .when(F.col("metric") == "ApproxCountDistinct", near.cast("double")) \
+        .when(F.col("metric") == "Sum", F.round("value", 2)).otherwise(F.round("value", 6))
+    return rows.join(F.broadcast(exact), F.col("column") == F.col("of"), "left").select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "table", "type", "column", "metric", value.alias("value"),
+        F.when(~checked & (F.col("type") != "Dataset") & (F.col("type") != "Column"), F.col("value_str")).alias("value_str"))
+
+
+@query("lake_rows")
+def lake_rows(spark, sf_dir):
+    """K1 + S8: what the catalog's view of a lake shows after a commit, its rerun with other rows and a
+    second commit: the rerun's rows and the second commit's, each with its commit and attempt."""
+    import uuid
+    from ..sinks import lake as LK
+    from ..sinks import scratch_path
+    od = read_table(spark, sf_dir, "orders")
+    base = scratch_path(spark, "lake-rows")
+    first, second = F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 2 == 1
+    LK.commit(od, f"{base}/lake", "c1", ("o_orderstatus",))
+    LK.commit(od.where(first), f"{base}/lake", "c1", ("o_orderstatus",))
+    LK.commit(od.where(second), f"{base}/lake", "c2", ("o_orderstatus",))
+    name = f"lake_{uuid.uuid4().hex[:8]}"
+    LK.register(spark, f"{base}/lake", name, od.schema, ("o_orderstatus",))
+    return spark.table(name).select(*od.columns, "commit_id", "attempt")
 
 
 @query("job_drift")

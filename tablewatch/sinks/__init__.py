@@ -27,6 +27,13 @@ def append_metrics(metrics: DataFrame, path: str, partition_by: tuple[str, ...]
     out.write.mode("append").partitionBy(*[p for p in partition_by if p in out.columns]).parquet(path)
 
 
+def replace_run(metrics: DataFrame, path: str, run: str) -> None:
+    """K2: the metric rows of one run as partitions (date, run); a rerun takes the place of its earlier rows."""
+    (metrics.withColumn("timestamp_str", format_ts(F.col("ts"))).withColumn("date", F.to_date("ts"))
+     .withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date", "run").parquet(path))
+
+
 def replace_batch(metrics: DataFrame, path: str, batch_id: int) -> None:
     """Idempotent per micro-batch: the rows of ``batch_id`` are (re)written as one
     partition, so a replayed batch overwrites instead of duplicating."""

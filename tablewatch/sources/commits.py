@@ -16,23 +16,28 @@ WRITE_STAT_METRICS = ("numInserts", "numWrites", "numDeletes", "fileSizeInBytes"
 SUMMARY_METRICS = ("totalInserts", "totalUpdates", "totalRecordsWritten", "totalBytesWritten")
 WRITE_STAT_TYPE, SUMMARY_TYPE, EXTRA_TYPE = "WriteStat", "CommitSummary", "Commit"
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 WRITE_STATS_SCHEMA = ("partition_path string, file_path string, num_inserts long, num_writes long, "
                       "num_deletes long, file_size long")
 
 
 def file_write_stats(spark: SparkSession, path: str, fmt: str = "parquet",
-                     partition_cols: tuple[str, ...] = (), where=None) -> DataFrame:
+                     partition_cols: tuple[str, ...] = (), where=None, schema=None) -> DataFrame:
     """Per data file: partition path, file, rows written, size (inserts only: append writes).
-    ``where`` selects the files of one commit, e.g. ``processing_time = <run time>``."""
+    ``where`` selects the files of one commit, e.g. ``processing_time = <run time>``; ``schema``
+    keeps folder values from being guessed from their text.  A NULL partition value has its folder's name."""
     try:
-        df = spark.read.format(fmt).load(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        df = reader.format(fmt).load(path)
     except Exception as e:                 # nothing written yet: no commit, no statistics
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return spark.createDataFrame([], WRITE_STATS_SCHEMA)
         raise
     if where is not None:
         df = df.where(where)
-    part = (F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_cols])
+    part = (F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_FOLDER)))
+                               for c in partition_cols])
             if partition_cols else F.lit(""))
     return (df.select(part.alias("partition_path"), F.col("_metadata.file_path").alias("file_path"),
                       F.col("_metadata.file_size").alias("file_size"))
