@@ -104,6 +104,8 @@ def build_parser() -> argparse.ArgumentParser:
     sp.add_argument("--checkpoint", required=True)
     sp.add_argument("--out", required=True, help="metric rows path")
     sp.add_argument("--data-out", help="append the events themselves here")
+    sp.add_argument("--hours-out", help="the events themselves, in hour folders")
+    sp.add_argument("--events-out", help="progress and lifecycle rows, written while the query runs")
     sp.add_argument("--progress-out", help="flattened progress rows (with --available-now)")
     sp.add_argument("--states-out", help="mergeable metric states per micro-batch")
     sp.add_argument("--trigger", default="2 seconds")
@@ -142,7 +144,8 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
         query = J.stream_job(spark, a.schema_ddl, a.checkpoint, a.out, json_dir=a.json_dir,
                              kafka_servers=a.kafka_servers, topic=a.topic, data_path=a.data_out,
                              processing_time=a.trigger, available_now=a.available_now,
-                             progress_path=a.progress_out, states_path=a.states_out)
+                             progress_path=a.progress_out, states_path=a.states_out,
+                             hours_path=a.hours_out, events_path=a.events_out)
         query.awaitTermination()
         out = spark.read.parquet(a.out)
     else:

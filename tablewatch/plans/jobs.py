@@ -166,13 +166,16 @@ def stream_job(spark: SparkSession, schema, checkpoint: str, metrics_path: str,
                kafka_servers: str | None = None, topic: str | None = None, data_path: str | None = None,
                table: str = "stream", query_name: str = "quality_monitor", processing_time: str = "2 seconds",
                available_now: bool = False, max_files_per_trigger: int | None = None,
-               progress_path: str | None = None, states_path: str | None = None):
+               progress_path: str | None = None, states_path: str | None = None, hours_path: str | None = None,
+               events_path: str | None = None):
     """The streaming monitor: JSON events from a folder or a Kafka topic -> per-micro-batch
     metrics (entropy, correlations and compliance rules included; the smart-home
     rule set when the schema has its columns) -> metric rows keyed by batch id,
     optionally the events themselves.  With ``states_path`` the mergeable states of every
     micro-batch are kept, from which ``monitor.whole_stream`` gives exact metrics of any
-    stretch of the stream.  With ``progress_path`` the progress of every
+    stretch of the stream; with ``hours_path`` the events in hour folders.  With ``events_path``
+    progress and lifecycle rows are written while the query runs (``listener.EventSink``, which goes
+    when the query ends).  With ``progress_path`` the progress of every
     micro-batch is recorded and, after the query stops, flattened to numeric rows."""
     from ..streaming import listener as SL
     from ..streaming import monitor as SMON
@@ -184,9 +187,12 @@ def stream_job(spark: SparkSession, schema, checkpoint: str, metrics_path: str,
     if progress_path:
         recorder = SL.ProgressRecorder()
         spark.streams.addListener(recorder)
+    if events_path:
+        SL.EventSink(spark, events_path, query_name, close_after_end=True).open()
     query = SMON.start_monitor(stream, checkpoint, metrics_path, query_name=query_name,
                                analyzers=SMON.smart_home_analyzers, data_path=data_path, table=table,
-                               processing_time=processing_time, available_now=available_now, states_path=states_path)
+                               processing_time=processing_time, available_now=available_now, states_path=states_path,
+                               hours_path=hours_path)
     if recorder is not None and available_now:
         import time
         query.awaitTermination()

@@ -783,3 +783,10 @@ ORACLE["lake_rows"] = """
 SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN 'c1' ELSE 'c2' END AS commit_id,
        CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS attempt FROM orders
 """
+
+ORACLE["stream_events"] = """
+SELECT 'progress' AS event, 'events_probe' AS query_name, event_id % 4 AS batch_id, CAST(count(*) AS DOUBLE) AS rows FROM events GROUP BY 3
+UNION ALL SELECT 'started', 'events_probe', NULL, NULL
+UNION ALL SELECT 'terminated', 'events_probe', NULL, NULL
+"""
+ORACLE["stream_hours"] = "SELECT * FROM events"

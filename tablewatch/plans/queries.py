@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -714,6 +715,66 @@ def stream_progress(spark, sf_dir):
     return SL.progress_metrics(SL.progress_frame(spark, progress))
 
 
+@query("stream_events")
+def stream_events(spark, sf_dir):
+    """T3 + T5-T7 + E4: progress and lifecycle rows of a running query.  Four drops of the events arrive
+    one after the other under a processing-time trigger; each drop's progress is read from the written
+    rows before the next one comes, so they are written while the query runs."""
+    import time
+    from ..sinks import scratch_path
+    base, ev = scratch_path(spark, "stream-events"), FX.events(spark, sf_dir)
+    drop = ev.select(F.col("event_id"), F.to_json(F.struct(*ev.columns)).alias("value"))
+
+    def arrive(k):
+        drop.where(F.col("event_id") % 4 == k).select("value").coalesce(1).write.mode("append").text(f"{base}/in")
+    arrive(0)
+    sink = SL.EventSink(spark, f"{base}/events", "events_probe", flush_seconds=0.5, close_after_end=True).open()
+    q = SMON.start_monitor(SMON.read_json_stream(spark, f"{base}/in", ev.schema), f"{base}/ckpt", f"{base}/metrics",
+                           query_name="events_probe", processing_time="200 milliseconds", analyzers=lambda b: [M.Size()])
+    try:
+        for k in range(4):
+            if k:
+                arrive(k)
+            q.processAllAvailable()
+            deadline = time.time() + 60
+            while q.isActive and time.time() < deadline:
+                try:
+                    if SL.read_events(spark, f"{base}/events").where(F.col("batch_id") == k).count():
+                        break
+                except AnalysisException:            # nothing flushed yet
+                    pass
+                time.sleep(0.2)
+            else:
+                raise TimeoutError(f"no progress row of batch {k}")
+    finally:
+        q.stop()
+    sink.wait()
+    events = SL.read_events(spark, f"{base}/events")
+    rows = SL.events_progress(events).where("instance = 'numInputRows'").groupBy("run_id", "batch_id").agg(F.max("value").alias("rows"))
+    life = events.where(F.col("event") != SL.PROGRESS).select("event", "query_name", "batch_id", F.lit(None).cast("double").alias("rows"))
+    names = events.where(F.col("event") == SL.STARTED).select("run_id", "query_name")
+    return life.unionByName(rows.join(names, "run_id").select(F.lit(SL.PROGRESS).alias("event"), "query_name", "batch_id", "rows"))
+
+
+@query("stream_hours")
+def stream_hours(spark, sf_dir):
+    """T4: the stream's own rows from hour folders, after one micro-batch was written again in a later
+    hour and the closed hours were compacted: each event once."""
+    import datetime as dt
+    from ..sinks import hours as HR
+    events = FX.events(spark, sf_dir)
+    # JSON text keeps milliseconds of a time; as text all of it goes through
+    base, schema = _events_as_json_drop(spark, sf_dir, events=events.withColumn("ts", F.col("ts").cast("string")))
+    path = f"{base}/hours"
+    SMON.start_monitor(SMON.read_json_stream(spark, f"{base}/in", schema, max_files_per_trigger=1), f"{base}/ckpt", None,
+                       available_now=True, hours_path=path, analyzers=lambda b: [M.Size()]).awaitTermination()
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1)
+    again = HR.read(spark, path, schema, stored=True).where("batch_id = 1").select(schema.names)
+    HR.append_batch(again, path, 1, later, int(later.timestamp() * 1000))
+    HR.compact(spark, path, schema, later)
+    return HR.read(spark, path, schema).withColumn("ts", F.col("ts").cast(events.schema["ts"].dataType))
+
+
 @query("history_distinct")
 def history_distinct(spark, sf_dir):
     """Latest approximate distinct count per column of each table."""

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..operators import metrics as M
 from ..operators import states as ST
 from ..sinks import replace_batch
+from ..sinks.hours import append_batch
 
 
 # The smart-home event stream's schema, correlation pairs and compliance
@@ -94,9 +95,10 @@ def parse_stream(raw: DataFrame, schema: T.StructType | str) -> DataFrame:
 
 def batch_metrics_fn(metrics_path: str | None, analyzers: Callable[[DataFrame], list] | None = None,
                      data_path: str | None = None, table: str = "stream",
-                     states_path: str | None = None) -> Callable[[DataFrame, int], None]:
+                     states_path: str | None = None, hours_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """T2 body: metrics of one micro-batch and, with ``states_path``, the mergeable states they
-    come from; both idempotent on ``batch_id``."""
+    come from; both idempotent on ``batch_id``.  The rows themselves go to a folder per batch
+    (``data_path``) or to hour folders (``hours_path``, see ``sinks.hours``)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -114,6 +116,8 @@ def batch_metrics_fn(metrics_path: str | None, analyzers: Callable[[DataFrame],
                 replace_batch(stamped(ST.metric_states(batch, chosen)), states_path, batch_id)
             if data_path:
                 replace_batch(batch, data_path, batch_id)      # T4, replay-safe
+            if hours_path:
+                append_batch(batch, hours_path, batch_id, batch_ts)
         finally:
             batch.unpersist()
     return run
@@ -121,11 +125,12 @@ def batch_metrics_fn(metrics_path: str | None, analyzers: Callable[[DataFrame],
 
 def start_monitor(stream: DataFrame, checkpoint: str, metrics_path: str | None, *, query_name: str = "quality_monitor",
                   analyzers=None, data_path: str | None = None, table: str = "stream",
-                  processing_time: str | None = "2 seconds", available_now: bool = False, states_path: str | None = None):
+                  processing_time: str | None = "2 seconds", available_now: bool = False, states_path: str | None = None,
+                  hours_path: str | None = None):
     """T2 + T3 + T7: start the monitoring query (processing-time trigger, or
     ``availableNow`` to drain what is there and stop)."""
     w = (stream.writeStream.queryName(query_name).option("checkpointLocation", checkpoint)
-         .foreachBatch(batch_metrics_fn(metrics_path, analyzers, data_path, table, states_path)))
+         .foreachBatch(batch_metrics_fn(metrics_path, analyzers, data_path, table, states_path, hours_path)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
