@@ -8,7 +8,8 @@ unpacks one file as a stream and holds one record at a time.
 Resolution shuffles headers only: digest, length and place of every record.  For
 each digest the original is chosen by an aggregate, the other records become
 revisits of it, and each archive file is rewritten with its own list of revisits:
-what moves are the packed files and the short lists, never single payloads.
+what moves are headers, the places of revisits and, once, the packed files to their places,
+in parts of about ``TASK_BYTES``; never single payloads.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from tablewatch.llm.common import pick, shared_path
 
 RECORDS = 4000                  # records of an archive file at most
+TASK_BYTES = 32 << 20           # packed bytes that a rewriting task gets, about
 MIN_BYTES = 1000                # shorter payloads are never revisits
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -63,7 +65,7 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 def write(records: DataFrame, path: str) -> str:
     """Write records (column value, text or bytes) as gzipped archive files below ``path``."""
     records.select(F.col("value").cast("string").alias("value")).write.option("lineSep", END) \
-        .option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
+        .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", RECORDS).text(path)
     return path
 
 
@@ -109,10 +111,12 @@ class _Stream:
     def skip(self, letters: bytes) -> None:
         """Pass over bytes of the given kinds."""
         while True:
-            rest = self.buffer.lstrip(letters)
-            self.done += len(self.buffer) - len(rest)
-            self.buffer = rest
-            if rest or not self._more():
+            n = 0
+            while n < len(self.buffer) and self.buffer[n] in letters:
+                n += 1
+            del self.buffer[:n]
+            self.done += n
+            if self.buffer or not self._more():
                 return
 
     def take(self, n: int) -> bytes:
@@ -209,16 +213,20 @@ def deduplicate(source: str, target: str, spark, min_bytes: int = MIN_BYTES) ->
     Returns the headers of the new archives.  Records that are no responses go over
     unchanged; an empty source gives an empty target.
     """
-    lists = revisits(headers(source, spark), min_bytes).groupBy("file").agg(
-        F.collect_list(F.struct("at", "target")).alias("moved"))
+    lists = revisits(headers(source, spark), min_bytes)
 
     def run(batches):
         import pyarrow as pa
+        name, moved = None, {}
         for b in batches:
             for i in range(b.num_rows):
-                moved = {m["at"]: m["target"] for m in b.column(1)[i].as_py() or ()}
+                if name != (file := b.column(0)[i].as_py()):
+                    name, moved = file, {}
+                if not b.column(4)[i].is_valid:                # a place of the list, before its file
+                    moved[b.column(2)[i].as_py()] = b.column(3)[i].as_py()
+                    continue
                 out, size = [], 0
-                for at, f, block in records(b.column(0)[i].as_buffer().to_pybytes()):
+                for at, f, block in records(b.column(4)[i].as_buffer().to_pybytes()):
                     out.append(fresh(f, block, moved.get(at)))
                     size += len(out[-1])
                     if size > 1 << 22:
@@ -226,7 +234,14 @@ def deduplicate(source: str, target: str, spark, min_bytes: int = MIN_BYTES) ->
                         out, size = [], 0
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
-    write(files(source, spark).join(lists, "file", "left").select("content", "moved").mapInArrow(run, "value binary"), target)
+    # as many parts as the packed bytes ask for: they stay of one size however much there is; within one
+    # the places of a file (at most RECORDS) come before it
+    packed = spark.read.format("binaryFile").load(source).agg(F.sum("length")).first()[0] or 0
+    places = lists.select("file", F.lit(0).alias("kind"), "at", "target", F.lit(None).cast("binary").alias("content"))
+    bodies = files(source, spark).select("file", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("at"),
+                                         F.lit(None).cast("string").alias("target"), "content")
+    both = places.unionByName(bodies).repartition(int(packed // TASK_BYTES) + 1, "file").sortWithinPartitions("file", "kind")
+    write(both.mapInArrow(run, "value binary"), target)
     return headers(target, spark)
 
 
