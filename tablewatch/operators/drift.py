@@ -14,15 +14,15 @@ from typing import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import local_frame
+from ..sinks import scratch_path
 from .history import drift_verdict
 from .metrics import is_numeric, is_string
 from .ranking import running_sums
@@ -32,8 +32,8 @@ from .sampling import stratified_split
 ML_METRIC, ATTRIBUTION = "ML_Metric", "SHAP"
 INSUFFICIENT = "insufficient_data"
 DEFAULT_EXCLUDE = ("label", "date_hour")
-# Text becomes the number of its hash below this; two texts of a column share one by mere chance of 1 in 2^50.
-CODES = 1 << 50
+FOLDS = 5                        # parts of the training rows for the encoding of text
+PRIOR = 10.0                     # rows that the common share weighs in the encoding
 
 
 def auc_exact(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -55,14 +55,17 @@ def auc_exact(scored: DataFrame, score: str = "score", label: str = "label") ->
 class FeatureFrame:
     frame: DataFrame
     features: list[str]          # names in vector order
+    text: list[str]              # those that are text still
 
 
-def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] = DEFAULT_EXCLUDE) -> FeatureFrame:
-    """M1 (P21-P23): numeric columns as doubles, arrays and maps as their size,
-    datetimes as formatted text, text as the number of its hash (a NULL has one, too);
-    other types dropped."""
-    excluded = set(exclude) | {label}
-    cols, cat_candidates = [], []
+def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] = DEFAULT_EXCLUDE,
+                  keep: Sequence[str] = ()) -> FeatureFrame:
+    """M1 (P21-P23): numeric columns as doubles, arrays and maps as their size, datetimes as their
+    second (the zone dropped; their formatted text has the same order), text as it is, to be
+    encoded by :func:`encode_text`; other types dropped.  ``keep`` names columns that go along as they
+    are and are no features."""
+    excluded = {*exclude, label, *keep}
+    cols, text = [], []
     for f in df.schema.fields:
         if f.name in excluded:
             continue
@@ -72,18 +75,58 @@ def feature_frame(df: DataFrame, label: str = "label", exclude: Sequence[str] =
         elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
             cols.append(F.size(c).cast("double").alias(f.name))
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            # Zone dropped, formatted as text, then treated like any text column
-            cols.append(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(f.name))
-            cat_candidates.append(f.name)
+            wall = F.to_timestamp_ntz(F.date_format(c, "yyyy-MM-dd HH:mm:ss"))
+            cols.append(F.timestamp_diff("SECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), wall)
+                        .cast("double").alias(f.name))
         elif is_string(f.dataType):
-            cols.append(c.alias(f.name))
-            cat_candidates.append(f.name)
-    out = df.select(*cols, F.col(label).cast("double").alias("label"))
-    categorical = []
-    for c in cat_candidates:
-        out = out.withColumn(c, F.pmod(F.xxhash64(F.col(c)), F.lit(CODES)).cast("double"))
-    features = [c for c in out.columns if c != "label"]
-    return FeatureFrame(out, features)
+            cols.append(c.cast("string").alias(f.name))
+            text.append(f.name)
+    out = df.select(*cols, F.col(label).cast("double").alias("label"), *keep)
+    return FeatureFrame(out, [c for c in out.columns if c not in ("label", *keep)], text)
+
+
+def encode_text(split: DataFrame, columns: Sequence[str], is_test: str = "is_test", seed: int = 42,
+                key_cols: Sequence[str] | None = None) -> DataFrame:
+    """Text columns as the smoothed share of label 1 among the training rows of the same value (NULL is a value).
+
+    A training row is encoded from the other ``FOLDS - 1`` parts of the training rows, so its own label is
+    not in its features; a test row from all of them; a value that they lack has the common share.  Any
+    number of values will do: per column one grouping to a row per value, joined by that unique value.
+    Parts are drawn by a hash of ``key_cols`` (default: all columns), so rows of equal keys are in one.
+    """
+    rows = split.withColumn("_fold", F.when(~F.col(is_test), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in key_cols or split.columns], F.lit(seed)),
+                                                                  F.lit(FOLDS)).cast("int")))
+    share = rows.where(~F.col(is_test)).agg(F.coalesce(F.avg("label"), F.lit(0.5))).first()[0]
+    for c in columns:
+        train = rows.where(~F.col(is_test)).groupBy(F.col(f"`{c}`").alias("_v"))
+        parts = train.agg(F.array(*[F.struct(F.count_if(F.col("_fold") == k).alias("n"),
+                                             F.sum(F.when(F.col("_fold") == k, F.col("label")).otherwise(0.0)).alias("ones"))
+                                    for k in range(FOLDS)]).alias("_parts"))
+        def total(field):
+            whole = F.aggregate("_parts", F.lit(0.0), lambda a, x: a + x[field])
+            own = F.coalesce(F.get(F.col("_parts"), F.col("_fold"))[field].cast("double"), F.lit(0.0))
+            return F.coalesce(whole - own, F.lit(0.0))
+        code = (total("ones") + F.lit(PRIOR * share)) / (total("n") + F.lit(PRIOR))
+        rows = rows.join(parts, F.col(f"`{c}`").eqNullSafe(F.col("_v")), "left").withColumn(c, code).drop("_v", "_parts")
+    return rows.drop("_fold")
+
+
+def fit_rounds(gbt: GBTClassifier, train: DataFrame, valid: DataFrame, max_iter: int, rounds: int):
+    """M2: the model up to the iteration with the smallest validation loss, stopping once ``rounds`` further
+    iterations brought nothing better.
+
+    Boosting is tried to 2 x ``rounds`` iterations, then to twice as many and so on up to ``max_iter``;
+    the model of the best iteration is fitted again, with the same seed and so the same trees.
+    """
+    tried = min(max_iter, 2 * rounds)
+    while True:
+        model = gbt.copy({gbt.maxIter: tried}).fit(train)
+        loss = model.evaluateEachIteration(valid)
+        best = min(range(len(loss)), key=lambda i: (loss[i], i))
+        if tried >= max_iter or best + rounds < tried:
+            break
+        tried = min(max_iter, 2 * tried)
+    return model if best + 1 == tried else gbt.copy({gbt.maxIter: best + 1}).fit(train)
 
 
 @dataclass
@@ -96,9 +139,12 @@ class DriftResult:
 
 def detect_drift(labelled: DataFrame, table: str, label: str = "label", exclude: Sequence[str] = DEFAULT_EXCLUDE,
                  test_fraction: float = 0.2, seed: int = 42, max_iter: int = 500, max_depth: int = 10,
-                 validation_tol: float = 0.01, attribution_sample: float | None = None) -> DriftResult:
-    """M2-M6: fit GBT on the train split (test rows drive early stopping), score the
-    test split, exact AUC, per-feature attribution rows."""
+                 early_stopping_rounds: int = 20, attribution_sample: float | None = None) -> DriftResult:
+    """M2-M6: fit GBT on the train split (the loss on test rows drives early stopping), score the
+    test split, exact AUC, per-feature attribution rows.
+
+    Split and encoding go by a hash of the whole row, columns that are no features included: rows equal
+    in every column (maps apart) are on one side of the split."""
     spark = labelled.sparkSession
     # one tiny aggregate (at most two rows): a slice without both classes cannot be split
     # or fitted, so it yields an AUC row with status insufficient_data instead
@@ -109,22 +155,26 @@ def detect_drift(labelled: DataFrame, table: str, label: str = "label", exclude:
                            "table string, type string, instance string, metric string, value double, "
                            "verdict string")
         return DriftResult(rows, spark.createDataFrame([], "score double, label double"), None, [])
-    ff = feature_frame(labelled, label, exclude)
-    split = stratified_split(ff.frame, "label", test_fraction, seed).withColumn("is_test", F.col("is_test"))
-    gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=max_iter, maxDepth=max_depth,
-                        seed=seed, validationIndicatorCol="is_test", validationTol=validation_tol, maxBins=66)
-    stages = [VectorAssembler(inputCols=ff.features, outputCol="features", handleInvalid="keep"), gbt]
-    model = Pipeline(stages=stages).fit(split)
+    whole = [F.col(f"`{f.name}`") for f in labelled.schema.fields if "map<" not in f.dataType.simpleString()]
+    ff = feature_frame(labelled.withColumn("_key", F.xxhash64(*whole, F.lit(seed))), label, exclude, keep=("_key",))
+    if not ff.features:
+        raise ValueError("no column is left to compare")
+    # written once: the fits, the scores and the attribution read it instead of slicing again
+    path = scratch_path(spark, "drift-rows")
+    parts = stratified_split(ff.frame, "label", test_fraction, seed, place=F.col("_key"))
+    encode_text(parts, ff.text, seed=seed, key_cols=["_key"]).write.parquet(path)
+    split = VectorAssembler(inputCols=ff.features, outputCol="features", handleInvalid="keep").transform(spark.read.parquet(path))
+    gbt = GBTClassifier(labelCol="label", featuresCol="features", maxDepth=max_depth, seed=seed, maxBins=66)
     test = split.where(F.col("is_test"))
-    scored = model.transform(test).select(
-        *ff.features, "label", vector_to_array("probability")[1].alias("score"))
+    gbt_model = fit_rounds(gbt, split.where(~F.col("is_test")), test, max_iter, early_stopping_rounds)
+    scored = gbt_model.transform(test).select(
+        *[F.col(f"`{c}`") for c in ff.features], "label", vector_to_array("probability")[1].alias("score"))
     auc = auc_exact(scored, "score", "label")
     auc_rows = auc.select(F.lit(table).alias("table"), F.lit(ML_METRIC).alias("type"),
                           F.lit(None).cast("string").alias("instance"), "metric", "value",
                           drift_verdict(F.col("value")).alias("verdict"))
-    gbt_model = model.stages[-1]
-    attr = attribution(model, scored if attribution_sample is None
-                       else scored.sample(attribution_sample, seed), ff.features, ff.features)
+    attr = attribution(gbt_model, scored if attribution_sample is None
+                       else scored.sample(attribution_sample, seed), ff.features)
     attr_rows = attr.select(F.lit(table).alias("table"), F.lit(ATTRIBUTION).alias("type"),
                             F.col("feature").alias("instance"), F.lit("shap_mean_abs").alias("metric"),
                             F.col("mean_abs").alias("value"), F.lit(None).cast("string").alias("verdict"))
@@ -137,7 +187,6 @@ def model_trees(gbt_model, spark) -> tuple[list[dict], list[float]]:
     """The trees of a fitted GBT as arrays (feature, threshold, left-category set, left,
     right, value, cover), read from the model's saved node table in the shared
     scratch folder.  Size is bounded by maxIter x 2^(maxDepth+1) nodes."""
-    from ..sinks import scratch_path
     path = scratch_path(spark, "gbt-model")
     gbt_model.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(
@@ -261,15 +310,13 @@ def expected_value(tree: dict) -> float:
     return float((tree["value"][leaves] * tree["cover"][leaves]).sum() / tree["cover"][leaves].sum())
 
 
-def attribution(pipeline_model, scored: DataFrame, features: list[str], vec_inputs: list[str]) -> DataFrame:
+def attribution(gbt, scored: DataFrame, features: list[str]) -> DataFrame:
     """Mean absolute SHAP value per feature (exact path-dependent TreeSHAP of
     the GBT margin) over the scored rows.  Arrow batches are processed in
     ``mapInPandas``; each batch is reduced to one row per feature before it leaves
     Python.  Trees (bounded by maxIter x 2^(maxDepth+1) nodes) are shipped once as
     a broadcast."""
     spark = scored.sparkSession
-    gbt = pipeline_model.stages[-1]
-    indexers = {s.getInputCol(): s for s in pipeline_model.stages if isinstance(s, StringIndexerModel)}
     trees, weights = model_trees(gbt, spark)
     try:
         bc = spark.sparkContext.broadcast((trees, weights))
@@ -278,11 +325,7 @@ def attribution(pipeline_model, scored: DataFrame, features: list[str], vec_inpu
             value = (trees, weights)
         bc = _Local()
     nfeat = len(features)
-    # index text features the same way the model saw them
-    frame = scored
-    for c, idx_model in indexers.items():
-        frame = idx_model.transform(frame)
-    frame = frame.select(*[F.col(v).cast("double").alias(f"f{i}") for i, v in enumerate(vec_inputs)])
+    frame = scored.select(*[F.col(f"`{v}`").cast("double").alias(f"f{i}") for i, v in enumerate(features)])
 
     def contrib(batches):
         trees_, weights_ = bc.value

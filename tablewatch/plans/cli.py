@@ -83,6 +83,7 @@ def build_parser() -> argparse.ArgumentParser:
     sp.add_argument("--test-frac", type=float, default=0.2)
     sp.add_argument("--n-estimators", type=int, default=500)
     sp.add_argument("--max-depth", type=int, default=10)
+    sp.add_argument("--early-stopping-rounds", type=int, default=20)
     sp.add_argument("--exclude-cols", default="", help="comma-separated")
     sp.add_argument("--out")
 
@@ -134,7 +135,8 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
         _append(out, a.out)
     elif a.cmd == "drift":
         out = J.drift_job(_source(spark, a), _name(a), a.ts_col, a.at, a.read_days, a.sample_frac,
-                          a.random_state, a.exclude_cols, a.test_frac, a.n_estimators, a.max_depth, a.gauges)
+                          a.random_state, a.exclude_cols, a.test_frac, a.n_estimators, a.max_depth,
+                          a.early_stopping_rounds, a.gauges)
         _append(out, a.out)
     elif a.cmd == "ingest":
         parts = tuple(x.strip() for x in a.partition_by.split(",") if x.strip())

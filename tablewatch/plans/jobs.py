@@ -101,7 +101,8 @@ def verification_job(spark: SparkSession, df: DataFrame, table: str, ts_col: str
 
 def drift_job(df: DataFrame, table: str, ts_col: str, at, read_days: int = 3, sample_fraction: float = 1.0,
               seed: int = 42, exclude=(), test_fraction: float = 0.2, max_iter: int = 500,
-              max_depth: int = 10, gauges_path: str | None = None, job: str = "anomaly_detection") -> DataFrame:
+              max_depth: int = 10, early_stopping_rounds: int = 20, gauges_path: str | None = None,
+              job: str = "anomaly_detection") -> DataFrame:
     """Same hour on the previous ``read_days`` days and the run day, target day labelled 1."""
     from ..operators.sampling import sample_by_label
     if isinstance(exclude, str):           # "a, b" as given in a job configuration
@@ -109,7 +110,8 @@ def drift_job(df: DataFrame, table: str, ts_col: str, at, read_days: int = 3, sa
     sl = S.slice_same_hour_labelled(df, ts_col, at, read_days)
     sl = sample_by_label(sl, "label", sample_fraction, seed)
     res = DR.detect_drift(sl, table, exclude=("label", ts_col, *DR.DEFAULT_EXCLUDE, *exclude),
-                          test_fraction=test_fraction, seed=seed, max_iter=max_iter, max_depth=max_depth)
+                          test_fraction=test_fraction, seed=seed, max_iter=max_iter, max_depth=max_depth,
+                          early_stopping_rounds=early_stopping_rounds)
     push(res.metrics.withColumnRenamed("type", "metric_type"), DRIFT_LABELS, job, table, gauges_path)
     return res.metrics
 

@@ -790,3 +790,8 @@ UNION ALL SELECT 'started', 'events_probe', NULL, NULL
 UNION ALL SELECT 'terminated', 'events_probe', NULL, NULL
 """
 ORACLE["stream_hours"] = "SELECT * FROM events"
+
+ORACLE["drift_shifts"] = """
+SELECT feature, feature <> 'steady' AS shifted, n FROM (VALUES ('text'), ('list'), ('datetime'), ('steady')) f(feature),
+  (SELECT count(*) AS n FROM events WHERE event_type = 'purchase') p
+"""

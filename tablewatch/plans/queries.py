@@ -639,6 +639,27 @@ def attribution_mean_abs(spark, sf_dir):
     return _drift(spark, sf_dir).metrics.where(F.col("type") == DR.ATTRIBUTION)
 
 
+@query("drift_shifts")
+def drift_shifts(spark, sf_dir):
+    """M1-M4 + P21-P23: what the drift model says of one column at a time, where purchases against all
+    other events stand for the day compared: text, list lengths and datetimes that shift, and text that does not."""
+    purchase = F.col("event_type") == "purchase"
+    ev = FX.events(spark, sf_dir).select(
+        purchase.cast("int").alias("label"), "event_id",
+        F.concat(F.when(purchase, F.lit("new ")).otherwise(F.lit("old ")), F.col("user_id").cast("string")).alias("text"),
+        F.array_repeat(F.lit(1), F.when(purchase, 5).otherwise(2)).alias("list"),
+        F.when(purchase, F.col("ts") + F.expr("INTERVAL 400 DAYS")).otherwise(F.col("ts")).alias("datetime"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("steady"))
+    names = ("text", "list", "datetime", "steady")
+    n = ev.agg(F.count_if(F.col("label") == 1).alias("n")).select(F.explode(F.array(*map(F.lit, names))).alias("feature"), "n")
+    out = None
+    for c in names:
+        res = DR.detect_drift(ev.select("label", "event_id", c), "events", exclude=("label", "event_id"), max_iter=4, max_depth=3, early_stopping_rounds=2)
+        one = res.metrics.where(F.col("type") == DR.ML_METRIC).select(F.lit(c).alias("feature"), (F.col("value") > 0.95).alias("shifted"))
+        out = one if out is None else out.unionByName(one)
+    return out.join(n, "feature")
+
+
 # ------------------------------------------------------------------ streaming
 
 from ..streaming import listener as SL  # noqa: E402
