@@ -8,9 +8,10 @@ trained on labelled samples, give it a margin; a threshold per generator, calibr
 samples held out from training, decides.  Patterns' spans always stay, candidates that touch
 one give way, and of two candidates that overlap the higher margin stays.
 
-Labelled samples are made from a bounded draw of texts: values of many formats, personal or
-not, written between words of the text; the text's own candidates count as personal where
-they cover a pattern's span and, with a small weight, as ordinary elsewhere.
+Labelled samples come from every text, copies counted once: values of many formats, personal
+or not, written between words of the text; the text's own candidates count as personal where
+they cover a pattern's span and, with a small weight, as ordinary elsewhere.  Samples with
+equal features are one row whose weight is their number's, so trees and thresholds see them all.
 
 Everything runs in DataFrame expressions, the trees are compiled into one; a text never
 leaves its row.  Patterns take time linear in the text: they start at the beginning of a run
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 from tablewatch.llm.common import cut, pick
 
-TEXTS = 400                     # texts that samples are made from, at most (documented bound)
-TREES, DEPTH = 20, 4
+PLANTED, LEAST = 47_200, 4      # values written into samples, at least: of all texts, of each
+SPLITS = 1024                   # split points of a feature, at most; MLlib looks for them in SPLITS ** 2 rows, no feature has 100 values
+PART = 100_000                  # rows of different features that the trees are fitted on, per partition
+TREES, DEPTH = 40, 4            # on all texts 20 left a sixth to half of the group generator's recall unlearned
 PRECISION = 0.995               # of held-out samples above a generator's threshold, at least
 UNLABELLED = 0.25               # weight of a text's own candidate that no pattern covers
 CONTEXT = 32                    # characters of context before a candidate
@@ -198,8 +201,8 @@ def _pool(key: Column) -> Column:
     return F.concat(*[F.translate(F.sha2(F.concat(F.lit(salt), key), 256), "abcdef", "047293") for salt in "abcdefghijklmnop"])
 
 
-def _made(text: Column, pool: Column, hexes: Column) -> Column:
-    """Values made for a text from its digits and hex digits: array of (personal, lead, value)."""
+def _formats(name: Column, pool: Column, hexes: Column) -> list[tuple[bool, str, Column]]:
+    """(personal, lead, value) of every format, the value made from a text's name, digits and hex digits."""
     at = {"i": 1}
 
     def d(n: int) -> Column:                            # the next n digits
@@ -214,7 +217,6 @@ def _made(text: Column, pool: Column, hexes: Column) -> Column:
 
     def byte(n: int = 2) -> Column:
         return F.pmod(d(n).cast("int"), F.lit(256)).cast("string")
-    name = F.coalesce(F.nullif(F.lower(F.regexp_extract(text, r"([A-Za-z]{3,12})", 1)), F.lit("")), F.lit("name"))
     bank = d(18)
     check = F.lpad((98 - F.concat(bank, F.lit("131400")).cast("decimal(38,0)") % 97).cast("int").cast("string"), 2, "0")
     L, C = F.lit, F.concat
@@ -243,37 +245,68 @@ def _made(text: Column, pool: Column, hexes: Column) -> Column:
         ("", C(L("AB"), d(2), L(" "), d(4), L(" CD"), d(2), L(" "), d(4))), ("part ", C(F.upper(F.substring(hexes, 1, 2)), L("XY"), d(2), d(8))),
         ("", C(d(2), L(":"), d(2), L(":"), d(2), L(":"), d(2), L(":"), d(2))), ("build ", C(d(4), L("."), d(4), L("."), d(2))), ("page ", C(d(3), L("-"), d(4))),
     ]
-    values = F.array(*[F.struct(F.lit(good).alias("personal"), F.lit(lead).alias("lead"), value.alias("value"))
-                       for good, some in ((True, yes), (False, no)) for lead, value in some])
-    bare = F.transform(F.filter(values, lambda v: v["lead"] != ""), lambda v: F.struct(v["personal"], F.lit("").alias("lead"), v["value"]))
-    return F.concat(values, bare)                       # every value also without its lead
+    return [(good, lead, value) for good, some in ((True, yes), (False, no)) for lead, value in some]
 
 
-def samples(docs: DataFrame, texts: int = TEXTS, text_col: str = "text") -> DataFrame:
-    """(held, label, weight, features): labelled candidates of at most ``texts`` distinct texts, the smallest digests."""
-    src = pick(docs, text=text_col).where("text is not null and text <> ''")
-    keyed = src.withColumn("key", F.md5(F.col("text").cast("binary")))
-    keys = [r["key"] for r in keyed.select("key").distinct().orderBy("key").limit(texts).collect()]             # only digests are shuffled
-    drawn = cut(keyed.where(F.col("key").isin(keys)).groupBy("key").agg(F.min("text").alias("text")).withColumn("pool", _pool(F.col("key"))))
-    held = (F.conv(F.substring("key", 32, 1), 16, 10).cast("int") % 3 == 0).alias("held")
+def _made(texts: DataFrame, planted: int) -> DataFrame:
+    """(key, of, nth, held, label, weight, c): candidates that meet one of the values written between two words of each text.
+
+    A text takes as many formats as it needs for ``planted`` values in all, ``LEAST`` or more, the first one by its
+    digest; the weights are as if it took all of them."""
+    formats = _formats(F.col("name"), F.col("pool"), F.col("key"))
+    shown = [(i, lead) for i, (_, lead, _) in enumerate(formats)] + [(i, "") for i, (_, lead, _) in enumerate(formats) if lead]     # every value also without its lead
+    number = max(texts.select("key").distinct().count(), 1)
+    each = min(len(shown), max(LEAST, -(-planted // number)))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     place = F.conv(F.substring("key", 1, 7), 16, 10).cast("int")
-    word = F.coalesce(F.get(words, F.pmod(place, F.greatest(F.size(words), F.lit(1)))), F.lit("word"))
-    other = F.coalesce(F.get(words, F.pmod(place + 7, F.greatest(F.size(words), F.lit(1)))), F.lit("word"))
-    made = drawn.select(held, word.alias("a"), other.alias("b"), F.explode(_made(F.col("text"), F.col("pool"), F.col("key"))).alias("m"))
-    made = made.select("held", "m", F.concat("a", F.lit(" "), "m.lead", "m.value", F.lit(" "), "b").alias("text"), (
-        F.length("a") + 1 + F.length("m.lead")).cast("long").alias("s"))
-    made = made.select("held", "m", "s", (F.col("s") + F.length("m.value")).alias("e"), F.explode(candidates(F.col("text"))).alias("c"))
-    half = F.col("m.personal") & F.col("m.value").rlike(r"^[0-9]{16}\x20[0-9]{16}$")                   # either number is one
+
+    def word(at: Column) -> Column:
+        return F.coalesce(F.get(F.col("words"), F.pmod(at, F.greatest(F.size("words"), F.lit(1)))), F.lit("word"))
+    name = F.coalesce(F.nullif(F.lower(F.regexp_extract("text", r"([A-Za-z]{3,12})", 1)), F.lit("")), F.lit("name"))
+    beside = texts.select("key", name.alias("name"), words.alias("words")).select(
+        "key", "name", _pool(F.col("key")).alias("pool"), word(place).alias("a"), word(place + 7).alias("b"))
+    first = F.conv(F.substring("key", 8, 7), 16, 10).cast("int")
+    dealt = beside.select("*", F.explode(F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda j: F.pmod(first + j, F.lit(len(shown))))).alias("of"))
+
+    def known(items) -> Column:
+        return F.get(F.array(*[F.lit(x) for x in items]), F.col("of"))
+    dealt = dealt.withColumns({"i": known(i for i, _ in shown), "lead": known(lead for _, lead in shown),
+                               "personal": known(formats[i][0] for i, _ in shown)})
+    value = F.when(F.col("i") == 0, formats[0][2])
+    for i, (_, _, v) in enumerate(formats[1:], 1):
+        value = value.when(F.col("i") == i, v)
+    made = dealt.select("key", "of", "personal", "a", "b", "lead", value.alias("value"))
+    start = F.length("a") + 1 + F.length("lead")
+    made = made.select("key", "of", "personal", "value", F.concat("a", F.lit(" "), "lead", "value", F.lit(" "), "b").alias("text"),
+                       start.cast("long").alias("s"), (start + F.length("value")).cast("long").alias("e"))
+    made = made.select("key", "of", "personal", "value", "s", "e", F.posexplode(candidates(F.col("text"))).alias("nth", "c"))
+    half = F.col("personal") & F.col("value").rlike(r"^[0-9]{16}\x20[0-9]{16}$")                   # either number is one
     covers = ((F.col("c.start") <= F.col("s")) & (F.col("c.end") >= F.col("e"))) | (half & F.col("c.hit").rlike("^[0-9]{16}$"))
-    made = made.where((F.col("c.start") < F.col("e")) & (F.col("s") < F.col("c.end"))).select(
-        "held", (F.col("m.personal") & covers).cast("double").alias("label"), F.lit(1.0).alias("weight"), "c")
-    real = drawn.select(held, base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("cs"))
-    real = real.select("held", "base", F.explode("cs").alias("c"))
+    return made.where((F.col("c.start") < F.col("e")) & (F.col("s") < F.col("c.end"))).select(
+        "key", "of", "nth", (F.col("personal") & covers).cast("double").alias("label"), F.lit(len(shown) / each).alias("weight"), "c")
+
+
+def samples(docs: DataFrame, texts: int | None = None, text_col: str = "text", planted: int = PLANTED) -> DataFrame:
+    """(held, label, weight, features): labelled candidates of every distinct text, those of equal features in one row of
+    their weights' sum.  ``texts`` is for trials: that many texts, the smallest digests."""
+    src = pick(docs, text=text_col).where("text is not null and text <> ''")
+    keyed = src.withColumn("key", F.md5(F.col("text").cast("binary")))
+    if texts is not None:
+        keyed = keyed.where(F.col("key").isin([r["key"] for r in keyed.select("key").distinct().orderBy("key").limit(texts).collect()]))
+    real = keyed.select("key", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("cs"))
+    real = real.select("key", "base", F.posexplode("cs").alias("nth", "c"))
     known = F.exists("base", lambda b: (F.col("c.start") <= b["start"] + 1) & (b["end"] <= F.col("c.end")))
-    real = real.select("held", known.cast("double").alias("label"), F.when(known, 1.0).otherwise(UNLABELLED).alias("weight"), "c")
-    every = made.unionByName(real)
-    return every.select("held", "label", "weight", *[v.alias(n) for n, v in features(F.col("c")).items()])
+    real = real.select("key", F.lit(-1).alias("of"), "nth", known.cast("double").alias("label"),
+                       F.when(known, 1.0).otherwise(UNLABELLED).alias("weight"), "c")
+    held = (F.conv(F.substring("key", 32, 1), 16, 10).cast("int") % 3 == 0).alias("held")
+    # all features are small whole numbers: a text of them is what is shuffled
+    code = F.concat_ws(",", *[v.cast("int").cast("string") for v in features(F.col("c")).values()]).alias("code")
+    every = _made(keyed, planted).unionByName(real).select("key", "of", "nth", held, "label", "weight", code)
+    # copies of a text give equal rows; weights are multiplied, not summed, so that they don't depend on the layout
+    counted = every.distinct().groupBy("held", "label", "weight", "code").count()
+    numbers = F.split("code", ",")
+    return counted.select("held", "label", (F.col("weight") * F.col("count")).alias("weight"), "code").select(
+        "held", "label", "weight", *[F.get(numbers, F.lit(i)).cast("double").alias(n) for i, n in enumerate(FEATURES)])
 
 
 # --------------------------------------------------------------------- the model
@@ -294,7 +327,7 @@ def _tree(node, names) -> str:
     return f"CASE WHEN {test} THEN {_tree(node.leftChild(), names)} ELSE {_tree(node.rightChild(), names)} END"
 
 
-def train(docs: DataFrame, texts: int = TEXTS, trees: int = TREES, depth: int = DEPTH, precision: float = PRECISION,
+def train(docs: DataFrame, texts: int | None = None, trees: int = TREES, depth: int = DEPTH, precision: float = PRECISION,
           text_col: str = "text") -> Model:
     """Trees fitted on two thirds of the samples, thresholds set on the rest.  Without texts nothing is ever added."""
     from pyspark.ml.classification import GBTClassifier
@@ -303,14 +336,16 @@ def train(docs: DataFrame, texts: int = TEXTS, trees: int = TREES, depth: int =
     fit = rows.where("not held")
     if fit.groupBy("label").count().count() < 2:
         return Model("0D", {})
-    # one partition in a fixed order: the sample is bounded, and sums of doubles then don't depend on the layout
-    table = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(fit.repartition(1).sortWithinPartitions("label", "weight", *FEATURES)) \
-        .select("label", "weight", "x")
-    fitted = GBTClassifier(labelCol="label", featuresCol="x", weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=1).fit(table)
+    # rows dealt by their features and in a fixed order: sums of doubles hardly depend on the layout, in one part not at all
+    dealt = fit.repartition(-(-fit.count() // PART), *FEATURES).sortWithinPartitions("label", "weight", *FEATURES)
+    table = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(dealt).select("label", "weight", "x")
+    fitted = GBTClassifier(labelCol="label", featuresCol="x", weightCol="weight", maxIter=trees, maxDepth=depth, maxBins=SPLITS, stepSize=0.3,
+                           seed=1).fit(table)
     parts = [f"{float(w)!r}D * ({_tree(t._call_java('rootNode'), FEATURES)})" for w, t in zip(fitted.treeWeights, fitted.trees)]
     margin = " + ".join(parts)
-    scored = rows.where("held").select(F.struct(*FEATURES).alias("c"), "label", "weight")
-    bins = scored.withColumn("bin", F.floor(F.expr(margin.format(c="c")) * 20)).groupBy(F.col("c.generator").cast("int").alias("g"), "bin") \
+    scored = rows.where("held").select(F.struct(*FEATURES).alias("f"), "label", "weight")
+    # in a lambda, as where texts are scanned: the trees are too long for one compiled method
+    bins = scored.select("label", "weight", F.col("f").alias("c"), F.floor(F.expr(f"get(transform(array(f), c -> {margin.format(c='c')}), 0)") * 20).alias("bin")).groupBy(F.col("c.generator").cast("int").alias("g"), "bin") \
         .agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")).orderBy(F.col("bin").desc()).collect()
     thresholds, held_out = {}, {}
     for i, name in enumerate(GENERATORS):

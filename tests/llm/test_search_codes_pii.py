@@ -255,6 +255,15 @@ def test_trees_on_formats_of_other_making(spark, model):
     assert all(precision >= pii.PRECISION and recall > 0.7 for _, precision, recall in model.held_out.values()), model.held_out
 
 
+def test_samples_come_from_every_text(spark):
+    """900 texts with one number each, all of them there once, however often a text is repeated."""
+    docs = spark.createDataFrame([(i, f"id 1234567 w{i}") for i in range(900)], "doc_id int, text string")
+    own = F.expr("generator = 6 and length = 7 and joined_before = 0 and digits_before = 0")
+    for df in (docs, docs.union(docs).repartition(5), docs.unionByName(docs.limit(1).select("doc_id", F.lit(None).cast("string").alias("text")))):
+        got = pii.samples(df, planted=0).where(own).agg(F.sum("weight").alias("w"), F.max("label").alias("label")).first()
+        assert got["w"] == 900 * pii.UNLABELLED and got["label"] == 0
+
+
 def test_margin_is_the_fitted_one(spark):
     """No texts: nothing is added.  The same texts: the same model, whatever the layout."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
