@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OWN = [T.StructField("batch_id", T.LongType()), T.StructField("attempt", T.LongType()), T.StructField("hour", T.StringType())]
+FILE_BYTES = 64 << 20           # stored bytes of an hour for which compaction writes one file
 
 
 def hour_of(at: datetime.datetime) -> str:
@@ -49,9 +50,12 @@ def _stored(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame
 
 
 def _latest(rows: DataFrame) -> DataFrame:
-    """The rows of the latest attempt of each batch: one narrow aggregate and a join on the batch."""
-    last = rows.groupBy("batch_id").agg(F.max("attempt").alias("attempt"))
-    return rows.join(last, ["batch_id", "attempt"], "left_semi").select(rows.columns)
+    """The rows of the latest attempt of each batch: the overtaken attempts, a row for each replay, are sent to the
+    rows.  Joined on the batch instead, all rows of a batch would be sorted in one task."""
+    attempts = rows.select("batch_id", "attempt").distinct().groupBy("batch_id").agg(
+        F.max("attempt").alias("last"), F.collect_list("attempt").alias("every"))
+    overtaken = attempts.select("batch_id", "last", F.explode("every").alias("attempt")).where("attempt < last").select("batch_id", "attempt")
+    return rows.join(F.broadcast(overtaken), ["batch_id", "attempt"], "left_anti").select(rows.columns)
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType, stored: bool = False) -> DataFrame:
@@ -62,8 +66,10 @@ def read(spark: SparkSession, path: str, schema: T.StructType, stored: bool = Fa
     return _latest(rows).select([f.name for f in schema.fields + (OWN if stored else [])])
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, before: datetime.datetime, files_per_hour: int = 1) -> None:
-    """Rewrite the hours that closed before ``before`` as at most ``files_per_hour`` files each.
+def compact(spark: SparkSession, path: str, schema: T.StructType, before: datetime.datetime, files_per_hour: int = 1,
+            file_bytes: int = FILE_BYTES) -> None:
+    """Rewrite the hours that closed before ``before`` as at most ``files_per_hour`` files each, or one for every
+    ``file_bytes`` that the hour holds, if these are more: a task gets a file's rows, however many an hour has.
 
     An hour's rows are overtaken where a later attempt lies in any hour, so batches are compared
     over the whole sink and only the closed hours are rewritten."""
@@ -73,9 +79,11 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, before: dateti
     if rows is None:
         return
     closed = _latest(rows).where(F.col("hour") < hour_of(before))
+    files = rows.where(F.col("hour") < hour_of(before)).select("hour", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+    sizes = files.groupBy("hour").agg(F.greatest(F.ceil(F.sum("size") / file_bytes), F.lit(files_per_hour)).alias("_files"))
     # an hour is cut at random places of its batches, so that one hour may be spread over several tasks
-    cut = F.pmod(F.xxhash64("batch_id", F.monotonically_increasing_id()), F.lit(files_per_hour)) if files_per_hour > 1 else F.lit(0)
-    closed.withColumn("_cut", cut).repartition("hour", "_cut").drop("_cut") \
+    cut = F.pmod(F.xxhash64("batch_id", F.monotonically_increasing_id()), F.col("_files"))
+    closed.join(F.broadcast(sizes), "hour").withColumn("_cut", cut).repartition("hour", "_cut").select(rows.columns) \
         .write.mode("overwrite").partitionBy("hour").parquet(f"{root}/compacted")
     _ready(spark, root, True)
     _finish(spark, root, schema)

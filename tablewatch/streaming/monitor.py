@@ -101,7 +101,10 @@ def batch_metrics_fn(metrics_path: str | None, analyzers: Callable[[DataFrame],
     (``data_path``) or to hour folders (``hours_path``, see ``sinks.hours``)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        # kept only if it is read more than once
+        again = bool(metrics_path or states_path or (data_path and hours_path))
+        if again:
+            batch.persist()
         try:
             chosen = analyzers(batch) if analyzers else stream_analyzers(batch)
             # the batch's processing time makes the rows queryable with the history operators
@@ -119,7 +122,8 @@ def batch_metrics_fn(metrics_path: str | None, analyzers: Callable[[DataFrame],
             if hours_path:
                 append_batch(batch, hours_path, batch_id, batch_ts)
         finally:
-            batch.unpersist()
+            if again:
+                batch.unpersist()
     return run
 
 

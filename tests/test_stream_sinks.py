@@ -45,6 +45,23 @@ def test_compaction_bounds_the_files_of_closed_hours(spark):
     assert sorted(map(tuple, HR.read(spark, path, schema).collect())) == before
 
 
+def test_a_large_hour_is_compacted_in_several_files(spark):
+    """A file for every ``file_bytes`` of an hour, the rows as before."""
+    path, schema = scratch_path(spark, "hours-large"), frame(spark, ("a", 1)).schema
+    for i in range(3):
+        HR.append_batch(spark.range(4000).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v")), path, i, NOON, attempt=1)
+    HR.append_batch(frame(spark, ("new", 0)), path, 0, NOON, attempt=2)
+    before = sorted(map(tuple, HR.read(spark, path, schema).collect()))
+    assert len(before) == 8001
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")       # else tasks this small are joined again
+    try:
+        HR.compact(spark, path, schema, NOON + dt.timedelta(hours=1), file_bytes=5_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert files(spark, path, "h2024010112") > 1
+    assert sorted(map(tuple, HR.read(spark, path, schema).collect())) == before
+
+
 def test_a_compaction_that_died_is_finished_or_forgotten(spark):
     path, schema = scratch_path(spark, "hours-died"), frame(spark, ("a", 1)).schema
     HR.append_batch(frame(spark, ("a", 1)), path, 0, NOON, attempt=1)
